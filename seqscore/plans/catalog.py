@@ -75,3 +75,42 @@ def winner_loser_split(spark, sf_dir):
 @query
 def preference_pairs(spark, sf_dir):
     return pairs.preference_pairs(ranked(spark, sf_dir))
+
+
+# -- physics validation ---------------------------------------------------------
+
+def validated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Energy rows for every scored structure with proxy/physics ranks."""
+    from seqscore.operators import validation
+    rows = validation.energy_rows(fixtures.energies(spark, sf_dir, scores(spark, sf_dir)))
+    return validation.rank_validation(rows)
+
+
+VALIDATION_COLUMNS = ["id", "proxy_score", "plddt", "dist_nc", "muH", "net_charge", "e_initial",
+                      "e_final", "delta_e", "converged", "rank_proxy", "rank_physics"]
+
+
+@query
+def energy_validation(spark, sf_dir):
+    return validated(spark, sf_dir).select(*VALIDATION_COLUMNS)
+
+
+@query
+def rank_correlation(spark, sf_dir):
+    from seqscore.operators import validation
+    return validation.rank_correlation(validated(spark, sf_dir))
+
+
+@query
+def validation_summary(spark, sf_dir):
+    from seqscore.operators import validation
+    return validation.validation_summary(validated(spark, sf_dir))
+
+
+@query
+def rmsd(spark, sf_dir):
+    from seqscore.operators import validation
+    before = fixtures.ca_atoms_ordered(spark, sf_dir)
+    after = fixtures.relaxed_atoms(before)
+    return validation.rmsd(before, after).select(fixtures.structure_id().alias("id"), "rmsd",
+                                                 "n_atoms")

@@ -120,3 +120,92 @@ SELECT 'seq_' || CAST(w.seq_idx AS VARCHAR) AS chosen,
        {r6('w.score - arg_min(l.score, (abs(w.score - l.score), l.seq_idx))')} AS margin
 FROM split w JOIN split l ON w.is_winner AND NOT l.is_winner
 GROUP BY w.seq_idx, w.score""")
+
+VALIDATED = METRICS + f""",
+energies AS (
+  SELECT s.*,
+         CASE WHEN o.o_orderstatus <> 'P' THEN o.o_custkey / CAST(4.0 AS DOUBLE) END AS e0,
+         CASE WHEN o.o_orderstatus <> 'P' THEN -o.o_totalprice / CAST(31.7 AS DOUBLE) END AS e1
+  FROM scores s LEFT JOIN orders o ON s.seq_idx = o.o_orderkey),
+erows AS (
+  SELECT seq_idx, id, score AS proxy_score, plddt, dist_nc, muH, net_charge,
+         {r6('e0', 2)} AS e_initial, {r6('e1', 2)} AS e_final, {r6('e1 - e0', 2)} AS delta_e,
+         coalesce(abs(e1 - e0) > {C.CONVERGENCE_DELTA}, false) AS converged
+  FROM energies),
+nvalid AS (SELECT count(*) AS n FROM erows WHERE e_final IS NOT NULL),
+vranks AS (
+  SELECT seq_idx,
+         row_number() OVER (ORDER BY proxy_score DESC, seq_idx) AS rp,
+         row_number() OVER (ORDER BY e_final, seq_idx) AS rf
+  FROM erows WHERE e_final IS NOT NULL),
+allrank AS (SELECT seq_idx, row_number() OVER (ORDER BY proxy_score DESC, seq_idx) AS ra FROM erows),
+validated AS (
+  SELECT e.*,
+         CASE WHEN nv.n >= {C.MIN_CORRELATION_ROWS} THEN v.rp ELSE a.ra END AS rank_proxy,
+         CASE WHEN nv.n >= {C.MIN_CORRELATION_ROWS} THEN v.rf END AS rank_physics
+  FROM erows e LEFT JOIN vranks v ON e.seq_idx = v.seq_idx
+  JOIN allrank a ON e.seq_idx = a.seq_idx CROSS JOIN nvalid nv),
+corr_in AS (
+  SELECT count(*) AS n_total,
+         count(*) FILTER (WHERE rank_physics IS NOT NULL) AS n_validated,
+         corr(CASE WHEN rank_physics IS NOT NULL THEN CAST(rank_proxy AS DOUBLE) END,
+              CASE WHEN rank_physics IS NOT NULL THEN CAST(rank_physics AS DOUBLE) END) AS rho,
+         arg_max(id, (proxy_score, -seq_idx)) AS best_proxy,
+         arg_min(id, (e_final, seq_idx)) FILTER (WHERE e_final IS NOT NULL) AS best_physics,
+         avg(delta_e) FILTER (WHERE e_final IS NOT NULL) AS mean_de
+  FROM validated),
+t_in AS (
+  SELECT *, n_validated - 2 AS nu,
+         abs(rho) * sqrt((n_validated - 2) / (1.0 - rho * rho)) AS t
+  FROM corr_in),
+theta_in AS (SELECT *, atan(t / sqrt(nu)) AS th FROM t_in),
+pv AS (
+  SELECT *,
+    CASE WHEN n_validated < 3 THEN NULL
+         WHEN abs(rho) >= 1.0 THEN 0.0
+         WHEN nu > 200000 THEN
+           (1.0 / (1.0 + 0.3275911 * (t / sqrt(2.0)))) * (0.254829592 + (1.0 / (1.0 + 0.3275911 * (t / sqrt(2.0))))
+             * (-0.284496736 + (1.0 / (1.0 + 0.3275911 * (t / sqrt(2.0)))) * (1.421413741
+             + (1.0 / (1.0 + 0.3275911 * (t / sqrt(2.0)))) * (-1.453152027
+             + (1.0 / (1.0 + 0.3275911 * (t / sqrt(2.0)))) * 1.061405429))))
+             * exp(-(t / sqrt(2.0)) * (t / sqrt(2.0)))
+         WHEN nu % 2 = 0 THEN
+           1.0 - sin(th) * list_sum([exp(lgamma(k + 0.5) - lgamma(k + 1) - lgamma(0.5))
+                                     * pow(cos(th) * cos(th), k) FOR k IN range(0, nu // 2)])
+         ELSE
+           1.0 - 2.0 / pi() * (th + sin(th) * coalesce(list_sum(
+             [cos(th) * pow(cos(th) * cos(th), k - 1)
+              * exp((2 * k - 1) * ln(2.0) + lgamma(k) + lgamma(k + 1) - lgamma(2 * k + 1))
+              FOR k IN range(1, (nu - 1) // 2 + 1)]), 0.0))
+    END AS p_raw
+  FROM theta_in),
+corr_out AS (
+  SELECT n_validated, n_total,
+         {r6('CASE WHEN n_validated >= 3 THEN coalesce(rho, 0.0) ELSE 0.0 END', 4)} AS spearman_rho,
+         {r6('CASE WHEN n_validated >= 3 THEN greatest(0.0, least(1.0, p_raw)) ELSE 1.0 END', 4)} AS spearman_pval,
+         CASE WHEN n_validated < {C.MIN_CORRELATION_ROWS} THEN '{C.INSUFFICIENT_LABEL}'
+              WHEN coalesce(rho, 0.0) > {C.AGREEMENT_LABELS[0][0]} THEN '{C.AGREEMENT_LABELS[0][1]}'
+              WHEN coalesce(rho, 0.0) > {C.AGREEMENT_LABELS[1][0]} THEN '{C.AGREEMENT_LABELS[1][1]}'
+              WHEN coalesce(rho, 0.0) > {C.AGREEMENT_LABELS[2][0]} THEN '{C.AGREEMENT_LABELS[2][1]}'
+              ELSE '{C.NO_AGREEMENT_LABEL}' END AS interpretation,
+         best_proxy, best_physics, {r6('mean_de', 2)} AS mean_delta_e
+  FROM pv)"""
+
+QUERIES["energy_validation"] = with_(VALIDATED, """
+SELECT id, proxy_score, plddt, dist_nc, muH, net_charge, e_initial, e_final, delta_e, converged,
+       rank_proxy, rank_physics FROM validated""")
+
+QUERIES["rank_correlation"] = with_(VALIDATED, """
+SELECT n_validated, n_total, spearman_rho, spearman_pval, interpretation FROM corr_out""")
+
+QUERIES["validation_summary"] = with_(VALIDATED, f"""
+SELECT n_validated, n_total, spearman_rho, spearman_pval, interpretation,
+       '{C.FORCEFIELD_LABEL}' AS forcefield, best_proxy, best_physics, mean_delta_e FROM corr_out""")
+
+QUERIES["rmsd"] = with_(CA_ORDERED + """,
+relaxed AS (SELECT seq_idx, ord, x + (ord % 3) * 0.125 AS x, y - 0.25 AS y, z FROM ca_ord)""", f"""
+SELECT 'seq_' || CAST(a.seq_idx AS VARCHAR) AS id,
+       {r6('sqrt(avg((r.x - a.x) * (r.x - a.x) + (r.y - a.y) * (r.y - a.y) + (r.z - a.z) * (r.z - a.z)))', 3)} AS rmsd,
+       count(*) AS n_atoms
+FROM ca_ord a JOIN relaxed r ON a.seq_idx = r.seq_idx AND a.ord = r.ord
+GROUP BY a.seq_idx""")

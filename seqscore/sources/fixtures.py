@@ -76,8 +76,10 @@ def peptides(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def energies(spark: SparkSession, sf_dir: str, scores: DataFrame) -> DataFrame:
     """Energies per scored structure: ``e_initial = o_custkey/4``,
-    ``e_final = -o_totalprice/32``; both null (failed) when the order is
-    pending ('P') or missing."""
+    ``e_final = -o_totalprice/31.7``; both null (failed) when the order is
+    pending ('P') or missing.  The divisor 31.7 keeps every value off a
+    2-dp rounding tie (a tie would need 20m = 634n + 317: even = odd), so
+    rounding cannot depend on the engine's binary-to-decimal conversion."""
     orders = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_totalprice",
                                                   "o_orderstatus"])
     ok = F.col("o_orderstatus") != F.lit("P")
@@ -85,4 +87,4 @@ def energies(spark: SparkSession, sf_dir: str, scores: DataFrame) -> DataFrame:
     return j.select(
         scores["*"],
         F.when(ok, F.col("o_custkey") / 4.0).alias("e_initial"),
-        F.when(ok, -F.col("o_totalprice") / 32.0).alias("e_final"))
+        F.when(ok, -F.col("o_totalprice") / 31.7).alias("e_final"))
