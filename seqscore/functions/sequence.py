@@ -101,12 +101,13 @@ def charge(col: Column, ph: float = 7.4, pka: dict = C.PKA_LEHNINGER) -> Column:
     return F.when(F.length(col) > 0, charge_from_counts(ionisable_counts(col), F.lit(ph), pka))
 
 
-def isoelectric_point(col: Column, pka: dict = C.PKA_EMBOSS, steps: int = 40,
-                      lo: float = 0.0, hi: float = 14.0) -> Column:
+def isoelectric_point_from_counts(cts: dict[str, Column], pka: dict = C.PKA_EMBOSS,
+                                  steps: int = 40, lo: float = 0.0, hi: float = 14.0) -> Column:
     """pH where the net charge is zero: fixed-step bisection on [lo, hi]
     run as an ``aggregate`` over ``sequence(1, steps)``, so it stays a
-    native expression.  Charge falls monotonically with pH."""
-    cts = ionisable_counts(col)
+    native expression.  Charge falls monotonically with pH.  ``cts`` should
+    be plain column references (materialise the counts first; see
+    ``with_ionisable_counts``) so the strings are scanned once, not per step."""
 
     def step(acc, _i):
         mid = (acc["lo"] + acc["hi"]) / 2.0
@@ -116,4 +117,37 @@ def isoelectric_point(col: Column, pka: dict = C.PKA_EMBOSS, steps: int = 40,
 
     init = F.struct(F.lit(lo).alias("lo"), F.lit(hi).alias("hi"))
     res = F.aggregate(F.sequence(F.lit(1), F.lit(steps)), init, step)
-    return F.when(F.length(col) > 0, (res["lo"] + res["hi"]) / 2.0)
+    return (res["lo"] + res["hi"]) / 2.0
+
+
+COUNT_PREFIX = "_n_"
+
+
+def with_ionisable_counts(df, seq_col: str = "sequence"):
+    """Add one count column per ionisable residue (scanned once per row)."""
+    return df.withColumns({COUNT_PREFIX + aa: c for aa, c in ionisable_counts(F.col(seq_col)).items()})
+
+
+def count_refs() -> dict[str, Column]:
+    return {aa: F.col(COUNT_PREFIX + aa) for aa in C.POSITIVE_SIDE_CHAINS + C.NEGATIVE_SIDE_CHAINS}
+
+
+def drop_counts(df):
+    return df.drop(*[COUNT_PREFIX + aa for aa in C.POSITIVE_SIDE_CHAINS + C.NEGATIVE_SIDE_CHAINS])
+
+
+def isoelectric_point(df, seq_col: str = "sequence", name: str = "isoelectric_point",
+                      pka: dict = C.PKA_EMBOSS):
+    """DataFrame form: adds ``name`` (NULL for empty sequences)."""
+    tmp = with_ionisable_counts(df, seq_col)
+    tmp = tmp.withColumn(name, F.when(F.length(F.col(seq_col)) > 0,
+                                      isoelectric_point_from_counts(count_refs(), pka)))
+    return drop_counts(tmp)
+
+
+def dipeptides(col: Column) -> Column:
+    """All overlapping dipeptides as an array: pairs at odd offsets, then
+    pairs at even offsets (two native regex passes, no per-position rows
+    carrying the whole string)."""
+    return F.concat(F.regexp_extract_all(col, F.lit("(..)"), 1),
+                    F.regexp_extract_all(F.substring(col, 2, 1 << 30), F.lit("(..)"), 1))

@@ -114,3 +114,95 @@ def rmsd(spark, sf_dir):
     after = fixtures.relaxed_atoms(before)
     return validation.rmsd(before, after).select(fixtures.structure_id().alias("id"), "rmsd",
                                                  "n_atoms")
+
+
+# -- sequences -----------------------------------------------------------------
+
+def _peptides(spark, sf_dir):
+    return fixtures.peptides(spark, sf_dir)
+
+
+@query
+def normalize_ids(spark, sf_dir):
+    """P1/P4/P5/F9/P18/P19 over every document-derived sequence (the raw
+    form wraps the sequence in whitespace and lower-cases it)."""
+    from seqscore.functions import sequence as S
+    p = _peptides(spark, sf_dir)
+    raw = F.concat(F.lit(" \t"), F.lower(F.col("sequence")), F.lit("\n"))
+    norm = S.normalize_sequence(raw)
+    return p.select(
+        "id", S.parse_id(F.col("id")).alias("parsed_idx"),
+        norm.alias("normalized"), (norm == F.col("sequence")).alias("roundtrip_ok"),
+        S.cys_count(norm).alias("cys_count"), S.clean_generated(norm).alias("cleaned"),
+        S.preview(norm).alias("preview"))
+
+
+@query
+def hydrophobicity(spark, sf_dir):
+    from seqscore.functions import sequence as S
+    from seqscore.functions.numeric import round_dp
+    p = _peptides(spark, sf_dir)
+    return p.select("id", round_dp(S.hydrophobicity(F.col("sequence")), 6).alias("hydrophobicity"))
+
+
+@query
+def charge(spark, sf_dir):
+    from seqscore.functions import sequence as S
+    from seqscore.functions.numeric import round_dp
+    p = _peptides(spark, sf_dir)
+    return p.select("id", round_dp(S.charge(F.col("sequence"), 7.4), 6).alias("charge"))
+
+
+@query
+def isoelectric_point(spark, sf_dir):
+    from seqscore.functions import sequence as S
+    from seqscore.functions.numeric import round_dp
+    p = S.isoelectric_point(_peptides(spark, sf_dir))
+    return p.select("id", round_dp(F.col("isoelectric_point"), 4).alias("isoelectric_point"))
+
+
+@query
+def instability(spark, sf_dir):
+    from seqscore.functions.numeric import round_dp
+    from seqscore.operators.descriptors import instability_index
+    p = _peptides(spark, sf_dir)
+    ii = instability_index(p)
+    return ii.select(fixtures.structure_id().alias("id"),
+                     round_dp(F.col("instability_index"), 6).alias("instability_index"))
+
+
+@query
+def descriptors(spark, sf_dir):
+    """The four descriptors appended to the sequence rows (with
+    passthrough columns); limit 0 = all rows."""
+    from seqscore.functions.numeric import round_dp
+    from seqscore.operators.descriptors import descriptors as describe
+    from seqscore.sources.tables import read_table
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "lang", "source"])
+    p = _peptides(spark, sf_dir).join(docs.withColumnRenamed("doc_id", "seq_idx"), "seq_idx")
+    d = describe(p, limit=0)
+    return d.select("id", "lang", "source", F.length("sequence").alias("length"),
+                    round_dp(F.col("hydrophobicity"), 6).alias("hydrophobicity"),
+                    round_dp(F.col("charge"), 6).alias("charge"),
+                    round_dp(F.col("instability_index"), 6).alias("instability_index"),
+                    round_dp(F.col("isoelectric_point"), 4).alias("isoelectric_point"))
+
+
+@query
+def attach_sequence(spark, sf_dir):
+    """The scored table with the sequence looked up by
+    index (missing -> ''), Cys count and rank, in the fixed column order."""
+    from seqscore.functions import sequence as S
+    r = ranked(spark, sf_dir)
+    p = _peptides(spark, sf_dir).select("seq_idx", "sequence")
+    j = r.join(p, "seq_idx", "left").withColumn("sequence", F.coalesce(F.col("sequence"), F.lit("")))
+    ordered = ["id", "sequence", "net_charge", "muH", "plddt", "dist_nc", "score",
+               "cyclic_candidate", "cys_count", "rank"]
+    j = j.withColumn("cys_count", S.cys_count(F.col("sequence")))
+    return j.select(*[c for c in ordered if c in j.columns])
+
+
+@query
+def training_triplets(spark, sf_dir):
+    pr = pairs.preference_pairs(ranked(spark, sf_dir))
+    return pairs.training_triplets(pr, _peptides(spark, sf_dir), on_missing="null")

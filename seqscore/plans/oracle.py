@@ -209,3 +209,128 @@ SELECT 'seq_' || CAST(a.seq_idx AS VARCHAR) AS id,
        count(*) AS n_atoms
 FROM ca_ord a JOIN relaxed r ON a.seq_idx = r.seq_idx AND a.ord = r.ord
 GROUP BY a.seq_idx""")
+
+
+# -- sequences -----------------------------------------------------------------
+
+def d(v: float) -> str:
+    """A DOUBLE literal (mirrors Spark's double arithmetic exactly)."""
+    return f"CAST({v!r} AS DOUBLE)"
+
+
+PEPTIDES = f"""
+peptides AS (
+  SELECT doc_id AS seq_idx, 'seq_' || CAST(doc_id AS VARCHAR) AS id,
+         regexp_replace(upper(regexp_replace(text, '[^A-Za-z]', '', 'g')),
+                        '[^{C.AMINO_ACIDS}]', '', 'g') AS sequence
+  FROM documents)"""
+
+
+def cnt(s: str, ch: str) -> str:
+    return f"(length({s}) - length(replace({s}, '{ch}', '')))"
+
+
+def hydro_sql(s: str) -> str:
+    total = " + ".join(f"{cnt(s, aa)} * {d(v)}" for aa, v in C.KYTE_DOOLITTLE.items())
+    return f"(CASE WHEN length({s}) > 0 THEN ({total}) / length({s}) END)"
+
+
+def charge_sql(s: str, ph: str, pka: dict) -> str:
+    pos = lambda k: f"({d(1.0)} / ({d(1.0)} + pow({d(10.0)}, {ph} - {d(k)})))"
+    neg = lambda k: f"({d(1.0)} / ({d(1.0)} + pow({d(10.0)}, {d(k)} - {ph})))"
+    z = f"{pos(pka['Nterm'])} - {neg(pka['Cterm'])}"
+    for aa in C.POSITIVE_SIDE_CHAINS:
+        z = f"({z}) + {cnt(s, aa)} * {pos(pka[aa])}"
+    for aa in C.NEGATIVE_SIDE_CHAINS:
+        z = f"({z}) - {cnt(s, aa)} * {neg(pka[aa])}"
+    return z
+
+
+QUERIES["normalize_ids"] = with_(PEPTIDES + r""",
+raw AS (SELECT id, sequence, ' ' || chr(9) || lower(sequence) || chr(10) AS raw FROM peptides),
+norm AS (SELECT id, sequence, upper(regexp_replace(raw, '^\s+|\s+$', '', 'g')) AS normalized FROM raw)""",
+f"""
+SELECT id, TRY_CAST(NULLIF(regexp_extract(id, '^seq_(\\d+)$', 1), '') AS BIGINT) AS parsed_idx,
+       normalized, normalized = sequence AS roundtrip_ok,
+       {cnt('normalized', 'C')} AS cys_count,
+       CASE WHEN starts_with(replace(normalized, chr(10), ''), 'M')
+                 AND length(replace(normalized, chr(10), '')) > 1
+            THEN substr(replace(normalized, chr(10), ''), 2)
+            ELSE replace(normalized, chr(10), '') END AS cleaned,
+       substr(normalized, 1, 25) AS preview
+FROM norm""")
+
+QUERIES["hydrophobicity"] = with_(PEPTIDES, f"""
+SELECT id, {r6(hydro_sql('sequence'))} AS hydrophobicity FROM peptides""")
+
+QUERIES["charge"] = with_(PEPTIDES, f"""
+SELECT id, {r6(f"CASE WHEN length(sequence) > 0 THEN {charge_sql('sequence', d(7.4), C.PKA_LEHNINGER)} END")}
+       AS charge FROM peptides""")
+
+PI_STEPS = 40
+PI_ITER = PEPTIDES + f""",
+bisect AS (
+  SELECT seq_idx, sequence, 0 AS step, {d(0.0)} AS lo, {d(14.0)} AS hi FROM peptides
+  UNION ALL
+  SELECT seq_idx, sequence, step + 1,
+         CASE WHEN ({charge_sql('sequence', f'((lo + hi) / {d(2.0)})', C.PKA_EMBOSS)}) > 0
+              THEN (lo + hi) / {d(2.0)} ELSE lo END,
+         CASE WHEN ({charge_sql('sequence', f'((lo + hi) / {d(2.0)})', C.PKA_EMBOSS)}) > 0
+              THEN hi ELSE (lo + hi) / {d(2.0)} END
+  FROM bisect WHERE step < {PI_STEPS}),
+pi AS (
+  SELECT seq_idx, CASE WHEN length(sequence) > 0 THEN (lo + hi) / {d(2.0)} END AS pi
+  FROM bisect WHERE step = {PI_STEPS})"""
+
+QUERIES["isoelectric_point"] = "WITH RECURSIVE " + PI_ITER.strip() + f"""
+SELECT 'seq_' || CAST(seq_idx AS VARCHAR) AS id, {r6('pi', 4)} AS isoelectric_point FROM pi"""
+
+INSTABILITY = PEPTIDES + f""",
+dps AS (
+  SELECT seq_idx, substr(sequence, i, 2) AS dipeptide
+  FROM (SELECT seq_idx, sequence, unnest(range(1, length(sequence))) AS i
+        FROM peptides WHERE length(sequence) >= 2)),
+obs AS (SELECT dipeptide, count(*) AS obs FROM dps GROUP BY dipeptide),
+fa AS (SELECT substr(dipeptide, 1, 1) AS a, sum(obs) AS na FROM obs GROUP BY 1),
+fb AS (SELECT substr(dipeptide, 2, 1) AS b, sum(obs) AS nb FROM obs GROUP BY 1),
+tot AS (SELECT sum(obs) AS n FROM obs),
+weights AS (
+  SELECT o.dipeptide,
+         round({d(10.0)} * ln(CAST(o.obs AS DOUBLE) / (CAST(fa.na AS DOUBLE) * CAST(fb.nb AS DOUBLE)
+               / CAST(tot.n AS DOUBLE)))) AS weight
+  FROM obs o JOIN fa ON substr(o.dipeptide, 1, 1) = fa.a
+  JOIN fb ON substr(o.dipeptide, 2, 1) = fb.b CROSS JOIN tot),
+ii AS (
+  SELECT p.seq_idx,
+         CASE WHEN length(p.sequence) > 0 THEN
+           {d(10.0)} * coalesce((SELECT sum(coalesce(w.weight, 0.0)) FROM dps x
+                                LEFT JOIN weights w ON x.dipeptide = w.dipeptide
+                                WHERE x.seq_idx = p.seq_idx), 0.0) / length(p.sequence) END
+           AS instability_index
+  FROM peptides p)"""
+
+QUERIES["instability"] = with_(INSTABILITY, f"""
+SELECT 'seq_' || CAST(seq_idx AS VARCHAR) AS id, {r6('instability_index')} AS instability_index FROM ii""")
+
+QUERIES["descriptors"] = "WITH RECURSIVE " + (INSTABILITY + "," + PI_ITER.replace(PEPTIDES + ",", "", 1)).strip() + f"""
+SELECT p.id, doc.lang, doc.source, length(p.sequence) AS length,
+       {r6(hydro_sql('p.sequence'))} AS hydrophobicity,
+       {r6(f"CASE WHEN length(p.sequence) > 0 THEN {charge_sql('p.sequence', d(7.4), C.PKA_LEHNINGER)} END")} AS charge,
+       {r6('ii.instability_index')} AS instability_index,
+       {r6('pi.pi', 4)} AS isoelectric_point
+FROM peptides p JOIN documents doc ON p.seq_idx = doc.doc_id
+LEFT JOIN ii ON p.seq_idx = ii.seq_idx LEFT JOIN pi ON p.seq_idx = pi.seq_idx"""
+
+QUERIES["attach_sequence"] = with_(METRICS + "," + PEPTIDES, f"""
+SELECT r.id, coalesce(p.sequence, '') AS sequence, r.net_charge, r.muH, r.plddt, r.dist_nc, r.score,
+       r.cyclic_candidate, {cnt("coalesce(p.sequence, '')", 'C')} AS cys_count, r.rank
+FROM ranked r LEFT JOIN peptides p ON r.seq_idx = p.seq_idx""")
+
+QUERIES["training_triplets"] = with_(METRICS + "," + PEPTIDES + """,
+top_loser AS (SELECT seq_idx, score FROM split WHERE rank = (SELECT n_win + 1 FROM cut))""", f"""
+SELECT '{C.TRAINING_PROMPT}' AS prompt, w.id AS chosen_id, 'seq_' || CAST(l.seq_idx AS VARCHAR) AS rejected_id,
+       pc.sequence AS chosen, pr.sequence AS rejected
+FROM split w CROSS JOIN top_loser l
+LEFT JOIN peptides pc ON pc.seq_idx = w.seq_idx
+LEFT JOIN peptides pr ON pr.seq_idx = l.seq_idx
+WHERE w.is_winner""")
