@@ -144,29 +144,36 @@ def training_triplets(pairs: DataFrame, sequences: DataFrame, on_missing: str =
                       F.col("rejected_sequence").alias("rejected"))
 
 
+def minstd_hash(key: str, seed: int) -> Column:
+    """Lehmer / MINSTD step on the key: a deterministic pseudo-random order
+    any SQL engine computes identically in 64-bit integers."""
+    m = 2147483647
+    return ((F.col(key) + F.lit(seed)) % F.lit(m)) * F.lit(48271) % F.lit(m)
+
+
 def stratified_pairs(ranked: DataFrame, fraction: float = C.WINNER_FRACTION, seed: int = 7,
                      id_col: str = "id", score_col: str = "score", rank_col: str = "rank",
                      key_col: str = "seq_idx", digits: int = 6) -> DataFrame:
     """Each winner gets a distinct reject, spread over the loser score range
     (roadmap item X1).
 
-    Losers are cut into ``n_win`` contiguous rank bins (``ntile``-like, from
-    the global rank arithmetic, no window); inside a bin one loser is
-    chosen by the smallest ``xxhash64(key, seed)``; winner ``i`` takes the
-    pick of bin ``i``.  Deterministic and shuffle-light: one aggregation
-    over bins and one equi-join on the bin number.
+    Losers are cut into ``n_win`` contiguous rank bins (integer arithmetic
+    on the global rank, no window); inside a bin the loser with the
+    smallest ``minstd_hash(key, seed)`` is picked by a partial ``min_by``
+    aggregation; winner ``i`` takes the pick of bin ``i`` (equi-join on the
+    bin number).  Deterministic; fewer losers than winners leaves the
+    winners of empty bins unpaired.
     """
     n = ranked.select(F.count(F.lit(1))).scalar()
     n_win = winner_count(n, fraction)
     n_lose = n - n_win
     losers = ranked.filter(F.col(rank_col) > n_win)
-    # bin = floor((loser_pos - 1) * n_win / n_lose) + 1, loser_pos = rank - n_win
     pos = F.col(rank_col) - n_win
+    # bin = floor((pos - 1) * n_win / n_lose) + 1; exact in doubles below 2^53
     binned = losers.withColumn("_bin", (F.floor((pos - 1) * n_win / n_lose) + 1).cast("bigint"))
     picks = binned.groupBy("_bin").agg(F.min_by(
         F.struct(F.col(id_col).alias("id"), F.col(score_col).alias("score")),
-        F.struct(F.xxhash64(F.col(key_col), F.lit(seed)).alias("h"), F.col(key_col).alias("k"))
-    ).alias("_pick"))
+        F.struct(minstd_hash(key_col, seed).alias("h"), F.col(key_col).alias("k"))).alias("_pick"))
     winners = ranked.filter(F.col(rank_col) <= n_win).withColumn("_bin", F.col(rank_col))
     j = winners.join(picks, "_bin")
     return j.select(F.col(id_col).alias("chosen"), F.col("_pick.id").alias("rejected"),

@@ -206,3 +206,141 @@ def attach_sequence(spark, sf_dir):
 def training_triplets(spark, sf_dir):
     pr = pairs.preference_pairs(ranked(spark, sf_dir))
     return pairs.training_triplets(pr, _peptides(spark, sf_dir), on_missing="null")
+
+
+# -- joins ---------------------------------------------------------------------
+
+@query
+def nearest_join(spark, sf_dir):
+    """J4 general form: every purchase event paired with the same user's
+    view event of nearest value."""
+    from seqscore.sources.tables import read_table
+    ev = read_table(spark, sf_dir, "events", ["event_id", "user_id", "event_type", "value"])
+    left = ev.filter(F.col("event_type") == "purchase")
+    right = ev.filter(F.col("event_type") == "view").withColumnRenamed("event_id", "view_id")
+    j = pairs.nearest_join(left, right, "value", ["user_id"], "event_id", "view_id")
+    return j.select("user_id", F.col("event_id").alias("purchase_id"),
+                    F.col("left_key").alias("purchase_value"), "view_id",
+                    F.col("right_key").alias("view_value"))
+
+
+def _finished_orders(spark, sf_dir):
+    from seqscore.sources.tables import read_table
+    o = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_orderstatus"])
+    return o.filter(F.col("o_orderstatus") == "F").select(F.col("o_orderkey").alias("seq_idx"))
+
+
+@query
+def existing_semi(spark, sf_dir):
+    """Scored structures whose relaxed structure exists (finished order)."""
+    return scores(spark, sf_dir).join(_finished_orders(spark, sf_dir), "seq_idx", "left_semi") \
+        .select("id", "score")
+
+
+@query
+def pending_anti(spark, sf_dir):
+    """Scored structures still to be processed (no finished output)."""
+    return scores(spark, sf_dir).join(_finished_orders(spark, sf_dir), "seq_idx", "left_anti") \
+        .select("id", "score")
+
+
+@query
+def scale_join(spark, sf_dir):
+    """Residues joined to the (20-row, broadcast) scale table;
+    structures holding residues outside the scale, with their share."""
+    from seqscore.operators.lookup import scale_table
+    atoms = fixtures.ca_atoms(spark, sf_dir)
+    j = atoms.join(F.broadcast(scale_table(spark)), "resname", "left")
+    agg = j.groupBy("seq_idx").agg(
+        F.count(F.lit(1)).alias("n_res"),
+        F.count_if(F.col("h").isNull()).alias("n_unknown"),
+        F.sum(F.coalesce(F.col("h"), F.lit(0.0))).alias("_h"))
+    from seqscore.functions.numeric import round_dp
+    return agg.filter(F.col("n_unknown") > 0).select(
+        fixtures.structure_id().alias("id"), "n_res", "n_unknown",
+        round_dp(F.col("_h"), 6).alias("h_sum"))
+
+
+# -- reports ---------------------------------------------------------------------
+
+@query
+def row_counts(spark, sf_dir):
+    """Rows in (atoms), structures out, score range."""
+    s = scores(spark, sf_dir)
+    return s.agg(F.sum("n_res").alias("n_atoms"), F.count(F.lit(1)).alias("n_structures"),
+                 F.min("score").alias("min_score"), F.max("score").alias("max_score"))
+
+
+@query
+def batch_summary(spark, sf_dir):
+    from seqscore.operators import reports
+    return reports.batch_summary(attach_sequence(spark, sf_dir))
+
+
+@query
+def margin_stats(spark, sf_dir):
+    from seqscore.operators import reports
+    return reports.margin_stats(pairs.preference_pairs(ranked(spark, sf_dir)))
+
+
+@query
+def reject_diversity(spark, sf_dir):
+    from seqscore.operators import reports
+    return reports.reject_diversity(pairs.preference_pairs(ranked(spark, sf_dir)))
+
+
+def _cohorts(spark, sf_dir):
+    """Scores with a cohort label: 'original' for finished orders, else
+    'generated'."""
+    fin = _finished_orders(spark, sf_dir).withColumn("_fin", F.lit(True))
+    s = scores(spark, sf_dir).join(fin, "seq_idx", "left")
+    return s.withColumn("cohort", F.when(F.col("_fin"), F.lit("original")).otherwise(F.lit("generated"))) \
+        .drop("_fin")
+
+
+@query
+def above_p90(spark, sf_dir):
+    from seqscore.operators import reports
+    return reports.above_percentile(_cohorts(spark, sf_dir), "cohort", "original", "generated",
+                                    0.9, "score")
+
+
+@query
+def score_hist(spark, sf_dir):
+    from seqscore.operators import reports
+    return reports.histogram(_cohorts(spark, sf_dir), "score", ["cohort"], 20)
+
+
+@query
+def chart_sets(spark, sf_dir):
+    """V1-V4 in one table: pLDDT vs score with a validated flag, muH vs net
+    charge, proxy vs physics rank, Cys badge."""
+    from seqscore.functions import sequence as S
+    v = validated(spark, sf_dir)
+    p = _peptides(spark, sf_dir).select("seq_idx", S.cys_count(F.col("sequence")).alias("_cys"))
+    j = v.join(p, "seq_idx", "left")
+    return j.select("id", "plddt", F.col("proxy_score").alias("score"),
+                    F.col("e_final").isNotNull().alias("validated"), "muH", "net_charge",
+                    "rank_proxy", "rank_physics",
+                    (F.coalesce(F.col("_cys"), F.lit(0)) >= 2).alias("cys_badge"))
+
+
+@query
+def ranked_report(spark, sf_dir):
+    """The first ten ranks of the scored table."""
+    t = attach_sequence(spark, sf_dir)
+    return t.filter(F.col("rank") <= C.DEFAULT_TOP_N).select(
+        "rank", "sequence", "score", "plddt", "dist_nc", "cyclic_candidate", "cys_count")
+
+
+@query
+def validation_report(spark, sf_dir):
+    """Succeeded rows by physics rank."""
+    v = validated(spark, sf_dir)
+    return v.filter(F.col("e_final").isNotNull()).select(
+        "rank_physics", "rank_proxy", "id", "e_final", "delta_e", "plddt")
+
+
+@query
+def stratified_pairs(spark, sf_dir):
+    return pairs.stratified_pairs(ranked(spark, sf_dir))

@@ -334,3 +334,112 @@ FROM split w CROSS JOIN top_loser l
 LEFT JOIN peptides pc ON pc.seq_idx = w.seq_idx
 LEFT JOIN peptides pr ON pr.seq_idx = l.seq_idx
 WHERE w.is_winner""")
+
+
+# -- joins ---------------------------------------------------------------------
+
+QUERIES["nearest_join"] = """
+WITH p AS (SELECT event_id, user_id, value FROM events WHERE event_type = 'purchase'),
+     v AS (SELECT event_id, user_id, value FROM events WHERE event_type = 'view')
+SELECT p.user_id, p.event_id AS purchase_id, p.value AS purchase_value,
+       arg_min(v.event_id, (abs(p.value - v.value), v.value, v.event_id)) AS view_id,
+       arg_min(v.value, (abs(p.value - v.value), v.value, v.event_id)) AS view_value
+FROM p LEFT JOIN v ON p.user_id = v.user_id
+GROUP BY p.user_id, p.event_id, p.value"""
+
+FINISHED = """,
+finished AS (SELECT o_orderkey AS seq_idx FROM orders WHERE o_orderstatus = 'F')"""
+
+QUERIES["existing_semi"] = with_(METRICS + FINISHED, """
+SELECT id, score FROM scores WHERE seq_idx IN (SELECT seq_idx FROM finished)""")
+
+QUERIES["pending_anti"] = with_(METRICS + FINISHED, """
+SELECT id, score FROM scores s WHERE NOT EXISTS (SELECT 1 FROM finished f WHERE f.seq_idx = s.seq_idx)""")
+
+_SCALE_VALUES = ", ".join(f"('{k}', {d(v)})" for k, v in sorted(C.EISENBERG.items()))
+
+QUERIES["scale_join"] = with_(CA_ATOMS + f""",
+scale(resname, h) AS (VALUES {_SCALE_VALUES})""", f"""
+SELECT 'seq_' || CAST(a.seq_idx AS VARCHAR) AS id, count(*) AS n_res,
+       count(*) FILTER (WHERE s.h IS NULL) AS n_unknown, {r6('sum(coalesce(s.h, 0.0))')} AS h_sum
+FROM ca_atoms a LEFT JOIN scale s ON a.resname = s.resname
+GROUP BY a.seq_idx HAVING count(*) FILTER (WHERE s.h IS NULL) > 0""")
+
+
+# -- reports ---------------------------------------------------------------------
+
+QUERIES["row_counts"] = with_(METRICS, """
+SELECT CAST(sum(n_res) AS BIGINT) AS n_atoms, count(*) AS n_structures,
+       min(score) AS min_score, max(score) AS max_score FROM scores""")
+
+ATTACHED = METRICS + "," + PEPTIDES + f""",
+attached AS (
+  SELECT r.*, coalesce(p.sequence, '') AS sequence, {cnt("coalesce(p.sequence, '')", 'C')} AS cys_count
+  FROM ranked r LEFT JOIN peptides p ON r.seq_idx = p.seq_idx)"""
+
+QUERIES["batch_summary"] = with_(ATTACHED, f"""
+SELECT count(*) AS n_scored, count(*) FILTER (WHERE cyclic_candidate) AS n_cyclic,
+       count(*) FILTER (WHERE cys_count >= 2) AS n_multi_cys,
+       {r6('avg(plddt)')} AS mean_plddt, {r6('avg(score)')} AS mean_score,
+       min(score) AS min_score, max(score) AS max_score FROM attached""")
+
+PAIRS = METRICS + f""",
+top_loser AS (SELECT seq_idx, score FROM split WHERE rank = (SELECT n_win + 1 FROM cut)),
+pairs AS (
+  SELECT w.id AS chosen, 'seq_' || CAST(l.seq_idx AS VARCHAR) AS rejected, {r6('w.score - l.score')} AS margin
+  FROM split w CROSS JOIN top_loser l WHERE w.is_winner)"""
+
+QUERIES["margin_stats"] = with_(PAIRS, f"""
+SELECT count(*) AS n_pairs, min(margin) AS min_margin, max(margin) AS max_margin,
+       {r6('avg(margin)')} AS mean_margin FROM pairs""")
+
+QUERIES["reject_diversity"] = with_(PAIRS + """,
+per_reject AS (SELECT rejected, count(*) AS n FROM pairs GROUP BY rejected),
+top AS (SELECT arg_max(rejected, (n, rejected)) AS top_reject, max(n) AS top_n FROM per_reject)""", f"""
+SELECT count(*) AS n_pairs, count(DISTINCT chosen) AS n_distinct_chosen,
+       count(DISTINCT rejected) AS n_distinct_rejected, (SELECT top_reject FROM top) AS top_reject,
+       {r6('(SELECT top_n FROM top) / count(*)')} AS top_reject_share
+FROM pairs""")
+
+COHORTS = METRICS + FINISHED + """,
+cohorts AS (
+  SELECT s.*, CASE WHEN f.seq_idx IS NOT NULL THEN 'original' ELSE 'generated' END AS cohort
+  FROM scores s LEFT JOIN finished f ON s.seq_idx = f.seq_idx)"""
+
+QUERIES["above_p90"] = with_(COHORTS + """,
+thr AS (SELECT quantile_cont(score, 0.9) AS p FROM cohorts WHERE cohort = 'original')""", f"""
+SELECT count(*) AS n_other, count(*) FILTER (WHERE score > (SELECT p FROM thr)) AS n_above,
+       {r6('(SELECT p FROM thr)')} AS threshold
+FROM cohorts WHERE cohort = 'generated'""")
+
+QUERIES["score_hist"] = with_(COHORTS + """,
+rng AS (SELECT min(score) AS lo, max(score) AS hi FROM cohorts)""", """
+SELECT cohort,
+       CAST(CASE WHEN rng.hi > rng.lo
+                 THEN least(20, floor((score - rng.lo) / (rng.hi - rng.lo) * CAST(20.0 AS DOUBLE)) + 1)
+                 ELSE 1 END AS BIGINT) AS bucket,
+       count(*) AS n
+FROM cohorts CROSS JOIN rng GROUP BY 1, 2""")
+
+QUERIES["chart_sets"] = with_(VALIDATED + "," + PEPTIDES, f"""
+SELECT v.id, v.plddt, v.proxy_score AS score, v.e_final IS NOT NULL AS validated, v.muH, v.net_charge,
+       v.rank_proxy, v.rank_physics, coalesce({cnt('p.sequence', 'C')}, 0) >= 2 AS cys_badge
+FROM validated v LEFT JOIN peptides p ON v.seq_idx = p.seq_idx""")
+
+QUERIES["ranked_report"] = with_(ATTACHED, f"""
+SELECT rank, sequence, score, plddt, dist_nc, cyclic_candidate, cys_count
+FROM attached WHERE rank <= {C.DEFAULT_TOP_N}""")
+
+QUERIES["validation_report"] = with_(VALIDATED, """
+SELECT rank_physics, rank_proxy, id, e_final, delta_e, plddt FROM validated WHERE e_final IS NOT NULL""")
+
+QUERIES["stratified_pairs"] = with_(METRICS + """,
+nn AS (SELECT n_win, (SELECT count(*) FROM scores) - n_win AS n_lose FROM cut),
+binned AS (
+  SELECT s.*, CAST(floor(CAST((s.rank - nn.n_win - 1) * nn.n_win AS DOUBLE) / nn.n_lose) + 1 AS BIGINT) AS bin,
+         ((s.seq_idx + 7) % 2147483647) * 48271 % 2147483647 AS h
+  FROM split s CROSS JOIN nn WHERE NOT s.is_winner),
+picks AS (SELECT bin, arg_min(id, (h, seq_idx)) AS rid, arg_min(score, (h, seq_idx)) AS rscore
+          FROM binned GROUP BY bin)""", f"""
+SELECT w.id AS chosen, p.rid AS rejected, {r6('w.score - p.rscore')} AS margin, w.rank AS stratum
+FROM split w JOIN picks p ON p.bin = w.rank WHERE w.is_winner""")
