@@ -344,3 +344,129 @@ def validation_report(spark, sf_dir):
 @query
 def stratified_pairs(spark, sf_dir):
     return pairs.stratified_pairs(ranked(spark, sf_dir))
+
+
+# -- sources and sinks (round trips through the shared checkpoint folder) ---------
+
+def _scratch(spark, name):
+    from seqscore.session import scratch_path
+    return scratch_path(spark, name)
+
+
+SCORED_SCHEMA = ("id STRING, n_res BIGINT, net_charge DOUBLE, muH DOUBLE, plddt DOUBLE, "
+                 "dist_nc DOUBLE, score DOUBLE, cyclic_candidate BOOLEAN")
+
+
+@query
+def csv_roundtrip(spark, sf_dir):
+    """K1 then S1: the scored table written as CSV and read back typed."""
+    from seqscore.sinks.files import write_csv
+    from seqscore.sources.files import read_csv
+    path = write_csv(composite_score(spark, sf_dir), _scratch(spark, "scored_csv"))
+    return read_csv(spark, path, SCORED_SCHEMA)
+
+
+@query
+def jsonl_roundtrip(spark, sf_dir):
+    """K2 then S4: preference pairs as JSON lines."""
+    from seqscore.sinks.files import write_jsonl
+    from seqscore.sources.files import read_pairs
+    path = write_jsonl(preference_pairs(spark, sf_dir), _scratch(spark, "pairs_jsonl"))
+    return read_pairs(spark, path)
+
+
+SUMMARY_SCHEMA = ("n_validated BIGINT, n_total BIGINT, spearman_rho DOUBLE, spearman_pval DOUBLE, "
+                  "interpretation STRING, forcefield STRING, best_proxy STRING, best_physics STRING, "
+                  "mean_delta_e DOUBLE")
+
+
+@query
+def summary_roundtrip(spark, sf_dir):
+    """K3 then F11: the one-object validation summary."""
+    from seqscore.sinks.files import write_json_summary
+    from seqscore.sources.files import read_json
+    path = write_json_summary(validation_summary(spark, sf_dir), _scratch(spark, "summary_json"))
+    return read_json(spark, path, SUMMARY_SCHEMA)
+
+
+@query
+def fasta_roundtrip(spark, sf_dir):
+    """K4/F10 then S2: every sequence as a FASTA record and back."""
+    from seqscore.sinks.files import write_fasta
+    from seqscore.sources.files import read_fasta
+    path = write_fasta(_peptides(spark, sf_dir), _scratch(spark, "fasta"))
+    return read_fasta(spark, path).select("id", "sequence")
+
+
+def _pdb_atoms(spark, sf_dir):
+    a = fixtures.ca_atoms_ordered(spark, sf_dir)
+    return a.withColumn("id", fixtures.structure_id())
+
+
+def _n_files(spark):
+    return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "8")))
+
+
+def _score_structures_array(structures):
+    s = structure.add_score(structure.structure_metrics_array(structures), CFG)
+    return structure.rounded(s, ["net_charge", "muH", "plddt", "dist_nc", "score"]).select(
+        "id", "n_res", "net_charge", "muH", "plddt", "dist_nc", "score")
+
+
+@query
+def pdb_roundtrip(spark, sf_dir):
+    """S3: structures rendered as PDB text, parsed back (array form) and
+    scored without any shuffle."""
+    from seqscore.sinks.files import write_pdb
+    from seqscore.sources.files import read_pdb
+    path = write_pdb(_pdb_atoms(spark, sf_dir), _scratch(spark, "pdb"), _n_files(spark))
+    return _score_structures_array(read_pdb(spark, path))
+
+
+@query
+def file_inventory(spark, sf_dir):
+    """PDB files sharded into folders, discovered with the
+    fallback rule, listed without reading contents, and every structure in
+    a non-empty listed file recovered."""
+    from seqscore.sinks.files import write_pdb
+    from seqscore.sources.files import discover, read_pdb, structure_inventory
+    atoms = _pdb_atoms(spark, sf_dir).withColumn("shard", F.pmod(F.hash("id"), F.lit(4)))
+    root = write_pdb(atoms, _scratch(spark, "pdb_sharded"), _n_files(spark), partition_col="shard")
+    where = discover(spark, f"{root}/prediction_results", root)
+    inv = structure_inventory(spark, where, "*.txt").filter(F.col("length") > 0)
+    structs = read_pdb(spark, where, "*.txt").join(inv.select("file_name"), "file_name", "left_semi")
+    return structs.select("id")
+
+
+@query
+def stream_score(spark, sf_dir):
+    """PDB files scored by a Structured Streaming query (file source,
+    checkpointed, availableNow) into Parquet."""
+    from seqscore.sinks.files import write_pdb
+    from seqscore.streaming.incremental import run_incremental
+    src = write_pdb(_pdb_atoms(spark, sf_dir), _scratch(spark, "stream_in"), _n_files(spark))
+    out, ckpt = _scratch(spark, "stream_out"), _scratch(spark, "stream_ckpt")
+    run_incremental(spark, src, out, ckpt, CFG)
+    s = spark.read.parquet(out)
+    return structure.rounded(s, ["net_charge", "muH", "plddt", "dist_nc", "score"]).select(
+        "id", "n_res", "net_charge", "muH", "plddt", "dist_nc", "score")
+
+
+def relaxation_ratio(row: dict) -> dict:
+    """Example per-item user function for the guarded map: relative energy
+    change; raises on a failed run (missing energies) or a zero start."""
+    e0, e1 = row.get("e_initial"), row.get("e_final")
+    if e0 is None or e1 is None or e0 != e0 or e1 != e1:
+        raise ValueError("energy missing")
+    return {"ratio": (e1 - e0) / abs(e0)}
+
+
+@query
+def guarded_map(spark, sf_dir):
+    """A Python function per row in Arrow batches; failures become
+    NULL records with the error text instead of failing the job."""
+    from seqscore.functions.numeric import round_dp
+    from seqscore.runtime import guarded_map as gmap
+    e = fixtures.energies(spark, sf_dir, scores(spark, sf_dir)).select("id", "e_initial", "e_final")
+    out = gmap(e, relaxation_ratio, "id STRING, ratio DOUBLE, error STRING", ["id"])
+    return out.select("id", round_dp(F.col("ratio"), 6).alias("ratio"), "error")

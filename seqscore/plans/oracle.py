@@ -443,3 +443,42 @@ picks AS (SELECT bin, arg_min(id, (h, seq_idx)) AS rid, arg_min(score, (h, seq_i
           FROM binned GROUP BY bin)""", f"""
 SELECT w.id AS chosen, p.rid AS rejected, {r6('w.score - p.rscore')} AS margin, w.rank AS stratum
 FROM split w JOIN picks p ON p.bin = w.rank WHERE w.is_winner""")
+
+
+# -- sources and sinks ---------------------------------------------------------
+
+QUERIES["csv_roundtrip"] = QUERIES["composite_score"]
+QUERIES["jsonl_roundtrip"] = QUERIES["preference_pairs"]
+QUERIES["summary_roundtrip"] = QUERIES["validation_summary"]
+QUERIES["fasta_roundtrip"] = with_(PEPTIDES, """
+SELECT id, sequence FROM peptides WHERE length(sequence) > 0""")
+
+
+def fixed(expr: str, digits: int) -> str:
+    """The value as written to a fixed-width text column, read back."""
+    return f"CAST(ROUND(CAST({expr} AS DECIMAL(20,7)), {digits}) AS DOUBLE)"
+
+
+PDB_METRICS = f"""
+ca_atoms AS (
+  SELECT l_orderkey AS seq_idx, l_linenumber, l_partkey, l_suppkey, l_extendedprice,
+         ({_RESIDUE_LIST})[CAST(l_partkey % 21 AS INTEGER) + 1] AS resname,
+         {fixed('l_quantity / 10.0', 3)} AS x, {fixed('l_extendedprice / 20000.0', 3)} AS y,
+         {fixed('l_discount * 20.0', 3)} AS z, {fixed('1.0 - l_tax', 2)} AS plddt
+  FROM lineitem)""" + METRICS[len(CA_ATOMS):]
+
+QUERIES["pdb_roundtrip"] = with_(PDB_METRICS, """
+SELECT id, n_res, net_charge, muH, plddt, dist_nc, score FROM scores""")
+QUERIES["stream_score"] = QUERIES["pdb_roundtrip"]
+QUERIES["file_inventory"] = """
+SELECT DISTINCT 'seq_' || CAST(l_orderkey AS VARCHAR) AS id FROM lineitem"""
+
+QUERIES["guarded_map"] = with_(METRICS, f"""
+SELECT s.id,
+       CASE WHEN o.o_orderstatus = 'P' OR o.o_orderkey IS NULL OR o.o_custkey = 0 THEN NULL
+            ELSE {r6('((-o.o_totalprice / CAST(31.7 AS DOUBLE)) - o.o_custkey / CAST(4.0 AS DOUBLE)) / abs(o.o_custkey / CAST(4.0 AS DOUBLE))')}
+       END AS ratio,
+       CASE WHEN o.o_orderstatus = 'P' OR o.o_orderkey IS NULL THEN 'ValueError: energy missing'
+            WHEN o.o_custkey = 0 THEN 'ZeroDivisionError: float division by zero'
+            ELSE NULL END AS error
+FROM scores s LEFT JOIN orders o ON s.seq_idx = o.o_orderkey""")

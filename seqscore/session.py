@@ -49,7 +49,10 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the configured ``spark.checkpoint.dir``; only when it is unset
     (local tests) create a fresh scratch folder for it."""
-    d = checkpoint_dir(spark)
+    current = spark.sparkContext.getCheckpointDir()
+    if current:
+        return current
+    d = spark.conf.get("spark.checkpoint.dir", None) or None
     if d is None:
         d = tempfile.mkdtemp(prefix="seqscore-ckpt-", dir=os.environ.get("SEQSCORE_SCRATCH", "/tmp"))
     spark.sparkContext.setCheckpointDir(d)
