@@ -135,9 +135,11 @@ def training_triplets(pairs: DataFrame, sequences: DataFrame, on_missing: str =
     b = seqs.select(F.col("_idx").alias("_ri"), F.col("_seq").alias("rejected_sequence"))
     out = p.join(a, "_ci", how).join(b, "_ri", how)
     if on_missing == "raise":
-        out = out.withColumn("_chk", F.assert_true(
-            F.col("chosen_sequence").isNotNull() & F.col("rejected_sequence").isNotNull(),
-            F.lit("preference pair id has no sequence")))
+        # assert_true returns NULL; tying it into an output column keeps the
+        # check from being pruned away
+        ok = F.assert_true(F.col("chosen_sequence").isNotNull() & F.col("rejected_sequence").isNotNull(),
+                           F.lit("preference pair id has no sequence"))
+        out = out.withColumn("chosen_sequence", F.when(ok.isNull(), F.col("chosen_sequence")))
     return out.select(F.lit(C.TRAINING_PROMPT).alias("prompt"),
                       F.col("chosen").alias("chosen_id"), F.col("rejected").alias("rejected_id"),
                       F.col("chosen_sequence").alias("chosen"),

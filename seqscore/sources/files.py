@@ -130,8 +130,10 @@ def discover(spark: SparkSession, primary: str, fallback: str) -> str | None:
 
 
 def structure_inventory(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
-    """(path, file_name, stem, length) for every matching file; only
-    metadata columns are selected, so contents are pruned from the scan."""
+    """(path, file_name, stem, length) for every matching non-empty
+    file (zero-length files yield no scan split, which is the "exists and
+    size > 0" rule); only metadata columns are selected, so contents are
+    pruned from the scan."""
     require_paths(spark, [path])
     inv = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
            .option("recursiveFileLookup", True).load(path).select("path", "length"))

@@ -1,0 +1,75 @@
+"""J4 (both forms), J1, X1 against brute force."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from seqscore.operators import pairs, ranking
+
+
+def ranked(spark, scores):
+    df = spark.createDataFrame([(f"seq_{i}", i, s) for i, s in enumerate(scores)],
+                               "id string, seq_idx long, score double")
+    return ranking.global_rank(df, [F.col("score").desc(), F.col("seq_idx")])
+
+
+def test_preference_pairs_nearest_loser(spark):
+    scores = [3.0, 2.5, 2.0, 1.9, 1.0, 0.5, 0.1, -1.0, -2.0, -3.0]
+    got = {r.chosen: r for r in pairs.preference_pairs(ranked(spark, scores)).collect()}
+    assert set(got) == {"seq_0", "seq_1"}
+    assert all(r.rejected == "seq_2" for r in got.values())
+    assert got["seq_0"].margin == pytest.approx(1.0)
+
+
+def test_preference_pairs_no_losers(spark):
+    assert pairs.preference_pairs(ranked(spark, [1.0])).count() == 0
+
+
+def brute_nearest(left, right):
+    out = {}
+    for lid, g, v in left:
+        cands = [(abs(v - rv), rv, rid) for rid, rg, rv in right if rg == g]
+        out[lid] = min(cands)[2] if cands else None
+    return out
+
+
+@pytest.mark.parametrize("parts", [1, 3, 8])
+def test_nearest_join_matches_brute_force(spark, parts):
+    rnd = random.Random(parts)
+    left = [(i, rnd.choice([1, 1, 1, 2, 3]), float(rnd.randint(0, 40))) for i in range(120)]
+    right = [(1000 + i, rnd.choice([1, 1, 2, 4]), float(rnd.randint(0, 40))) for i in range(90)]
+    ldf = spark.createDataFrame(left, "lid long, g long, v double")
+    rdf = spark.createDataFrame(right, "rid long, g long, v double")
+    got = {r.lid: r.rid for r in pairs.nearest_join(ldf, rdf, "v", ["g"], "lid", "rid", parts).collect()}
+    assert got == brute_nearest(left, right)
+
+
+def test_nearest_join_without_groups(spark):
+    ldf = spark.createDataFrame([(1, 5.0), (2, 0.0), (3, 10.0)], "lid long, v double")
+    rdf = spark.createDataFrame([(7, 4.0), (8, 6.0), (9, 11.0)], "rid long, v double")
+    got = {r.lid: r.rid for r in pairs.nearest_join(ldf, rdf, "v", [], "lid", "rid", 2).collect()}
+    assert got == {1: 7, 2: 7, 3: 9}     # 5.0 is equidistant: the lower key wins
+
+
+def test_training_triplets_missing_modes(spark):
+    pr = spark.createDataFrame([("seq_0", "seq_1", 1.0), ("seq_0", "seq_9", 2.0)],
+                               "chosen string, rejected string, margin double")
+    seqs = spark.createDataFrame([("seq_0", "AAA"), ("seq_1", "CCC")], "id string, sequence string")
+    keep = pairs.training_triplets(pr, seqs, "null").orderBy("rejected_id").collect()
+    assert [(r.chosen, r.rejected) for r in keep] == [("AAA", "CCC"), ("AAA", None)]
+    assert keep[0].prompt == "<|endoftext|>"
+    assert pairs.training_triplets(pr, seqs, "drop").count() == 1
+    with pytest.raises(Exception):
+        pairs.training_triplets(pr, seqs, "raise").collect()
+
+
+def test_stratified_pairs_distinct_rejects(spark):
+    r = ranked(spark, [float(x) for x in range(100, 0, -1)])
+    got = pairs.stratified_pairs(r).collect()
+    assert len(got) == 20
+    assert len({g.rejected for g in got}) == 20
+    # stratum i draws from loser ranks 20 + 4(i-1) + 1 .. 20 + 4i
+    for g in got:
+        k = int(g.rejected.split("_")[1]) + 1
+        assert 20 + 4 * (g.stratum - 1) < k <= 20 + 4 * g.stratum
