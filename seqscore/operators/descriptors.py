@@ -13,8 +13,11 @@ counts) for runs without a supplied table.
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.functions import pandas_udf
 
 from seqscore import constants as C
 from seqscore.functions import sequence as S
@@ -33,8 +36,8 @@ def dipeptide_counts(seqs: DataFrame, key: str = "seq_idx", seq_col: str = "sequ
 
 def corpus_dipeptide_weights(counts: DataFrame) -> DataFrame:
     """(dipeptide, weight): ``round(10 * ln(observed / expected))`` where
-    expected = N * P(first letter) * P(second letter).  At most 400 rows,
-    so it is safe to broadcast."""
+    expected = N * P(first letter) * P(second letter); ``counts`` has
+    (dipeptide, n) rows.  At most 400 rows, so it is safe to broadcast."""
     dp = counts.groupBy("dipeptide").agg(F.sum("n").alias("obs"))
     dp = dp.withColumns({"_a": F.substring("dipeptide", 1, 1), "_b": F.substring("dipeptide", 2, 1)})
     tot = dp.agg(F.sum("obs").alias("_N"))
@@ -46,10 +49,90 @@ def corpus_dipeptide_weights(counts: DataFrame) -> DataFrame:
                     F.round(F.lit(10.0) * F.log(F.col("obs").cast("double") / expected)).alias("weight"))
 
 
+# -- vectorised path: residue codes with numpy inside Arrow batches ----------
+
+def _lut():
+    lut = np.full(256, -1, dtype=np.int16)
+    for i, aa in enumerate(C.AMINO_ACIDS):
+        lut[ord(aa)] = i
+    return lut
+
+
+def _pair_codes(seq: str, lut):
+    """Dipeptide codes 20*a+b of adjacent standard residues (bytes outside
+    the twenty codes, including any non-ASCII byte, break the pair)."""
+    c = lut[np.frombuffer(seq.encode("utf-8"), dtype=np.uint8)]
+    a, b = c[:-1], c[1:]
+    keep = (a >= 0) & (b >= 0)
+    return (a[keep] * 20 + b[keep]).astype(np.int64)
+
+
+def dipeptide_histogram(seqs: DataFrame, seq_col: str = "sequence") -> DataFrame:
+    """(code, n): corpus dipeptide counts.  Every partition reduces its
+    sequences to one 400-bin histogram inside ``mapInPandas`` (map-side
+    combine by construction), so at most 400 rows per partition are shuffled."""
+
+    def hist(batches):
+        lut, total = _lut(), np.zeros(400, dtype=np.int64)
+        for pdf in batches:
+            for s in pdf[seq_col]:
+                if isinstance(s, str) and len(s) > 1:
+                    total += np.bincount(_pair_codes(s, lut), minlength=400)
+        nz = np.nonzero(total)[0]
+        yield pd.DataFrame({"code": nz.astype(np.int32), "n": total[nz]})
+
+    return (seqs.select(seq_col).mapInPandas(hist, "code int, n long")
+            .groupBy("code").agg(F.sum("n").alias("n")))
+
+
+def _code_to_dipeptide(code: F.Column) -> F.Column:
+    aa = F.lit(C.AMINO_ACIDS)
+    return F.concat(F.substring(aa, (F.floor(code / 20) + 1).cast("int"), 1),
+                    F.substring(aa, (code % 20 + 1).cast("int"), 1))
+
+
+def weight_vector(weights: DataFrame) -> list[float]:
+    """Dense 400-vector from a (dipeptide, weight) table.  Only the 400
+    standard dipeptides are kept, so the driver receives at most 400 rows."""
+    valid = F.col("dipeptide").rlike(f"^[{C.AMINO_ACIDS}]{{2}}$")
+    vec = [0.0] * 400
+    for r in weights.filter(valid).select("dipeptide", "weight").collect():
+        a, b = C.AMINO_ACIDS.index(r.dipeptide[0]), C.AMINO_ACIDS.index(r.dipeptide[1])
+        vec[a * 20 + b] = float(r.weight or 0.0)
+    return vec
+
+
 def instability_index(seqs: DataFrame, weights: DataFrame | None = None, key: str = "seq_idx",
                       seq_col: str = "sequence") -> DataFrame:
-    """(key, instability_index).  Unknown dipeptides weigh 0; a single
-    residue gives 0; empty sequences give NULL."""
+    """(key, instability_index) = 10/L * sum of pair weights.  Unknown
+    dipeptides weigh 0; one residue gives 0; empty sequences give NULL.
+
+    Two Arrow passes over the sequences: the corpus histogram (only when no
+    weight table is supplied) and a scalar pandas UDF that looks the pair
+    codes up in the broadcast 400-vector.  No per-residue rows exist."""
+    if weights is None:
+        h = dipeptide_histogram(seqs, seq_col).withColumn("dipeptide", _code_to_dipeptide(F.col("code")))
+        weights = corpus_dipeptide_weights(h)
+    w = np.asarray(weight_vector(weights), dtype=np.float64)
+
+    @pandas_udf("double")
+    def ii(s: pd.Series) -> pd.Series:
+        lut = _lut()
+        out = np.full(len(s), np.nan)
+        for i, seq in enumerate(s):
+            if isinstance(seq, str) and len(seq) > 0:
+                total = w[_pair_codes(seq, lut)].sum() if len(seq) > 1 else 0.0
+                out[i] = 10.0 * total / len(seq)
+        return pd.Series(out)
+
+    return seqs.select(key, ii(F.col(seq_col)).alias("instability_index"))
+
+
+def instability_index_native(seqs: DataFrame, weights: DataFrame | None = None,
+                             key: str = "seq_idx", seq_col: str = "sequence") -> DataFrame:
+    """Same result with built-in functions only: dipeptide rows exploded and
+    joined to the broadcast weights (suits short peptides; long texts make
+    one row per residue)."""
     counts = dipeptide_counts(seqs, key, seq_col)
     if weights is None:
         weights = corpus_dipeptide_weights(counts)

@@ -38,10 +38,14 @@ def structure_metrics(atoms: DataFrame, key: list[str], order: str,
     centroid = a.groupBy(*key).agg(
         F.count(F.lit(1)).alias("_n"),
         F.avg("x").alias("_cx"), F.avg("y").alias("_cy"), F.avg("z").alias("_cz"))
-    # One row per structure; pinning it keeps the hot-key count and the
-    # join from recomputing the first scan.
-    centroid = cut_lineage(centroid)
-    j = split_hot_join(a, centroid, key, "_n", policy)
+    # Exact bound first: when the whole input has no more rows than the hot
+    # threshold no key can be hot (a column-free count reads only Parquet
+    # footers).  Otherwise the per-structure centroids (one row each) are
+    # pinned so the hot-key count and the join share one computation.
+    if a.count() <= policy.hot_rows:
+        j = a.join(centroid.drop("_n"), key)
+    else:
+        j = split_hot_join(a, cut_lineage(centroid), key, "_n", policy)
     dx, dy, dz = F.col("x") - F.col("_cx"), F.col("y") - F.col("_cy"), F.col("z") - F.col("_cz")
     nrm = safe_norm3(dx, dy, dz)
     h = eisenberg(F.col("resname"))

@@ -15,6 +15,7 @@ from seqscore import constants as C
 from seqscore.functions.numeric import round_dp
 from seqscore.functions.scoring import agreement_label
 from seqscore.operators.ranking import global_rank
+from seqscore.session import cut_lineage
 
 IDENTITY = ["id", "proxy_score", "plddt", "dist_nc", "muH", "net_charge"]
 
@@ -40,21 +41,23 @@ def rank_validation(rows: DataFrame, key: str = "seq_idx") -> DataFrame:
     """``rank_proxy`` (score desc) and ``rank_physics`` (e_final
     asc) among succeeded rows, merged back by key; failures get NULL ranks.
     With fewer than three succeeded rows: proxy rank over all rows in
-    candidate order and no physics rank."""
+    candidate order and no physics rank.
+
+    The energy rows are pinned once (reliable checkpoint) so the two
+    global ranks and the merge read them instead of recomputing the
+    scoring pipeline; the <3 case is decided from one count of that copy.
+    """
+    rows = cut_lineage(rows)
     ok = rows.filter(F.col("e_final").isNotNull() & ~F.isnan("e_final"))
-    n_ok = ok.select(F.count(F.lit(1))).scalar()
-    rp = global_rank(ok.select(key, "proxy_score"), [F.col("proxy_score").desc(), F.col(key)],
+    if ok.count() >= C.MIN_CORRELATION_ROWS:
+        rp = global_rank(ok.select(key, "proxy_score"), [F.col("proxy_score").desc(), F.col(key)],
+                         "rank_proxy").select(key, "rank_proxy")
+        rf = global_rank(ok.select(key, "e_final"), [F.col("e_final").asc(), F.col(key)],
+                         "rank_physics").select(key, "rank_physics")
+        return rows.join(rp, key, "left").join(rf, key, "left")
+    rp = global_rank(rows.select(key, "proxy_score"), [F.col("proxy_score").desc(), F.col(key)],
                      "rank_proxy").select(key, "rank_proxy")
-    rf = global_rank(ok.select(key, "e_final"), [F.col("e_final").asc(), F.col(key)],
-                     "rank_physics").select(key, "rank_physics")
-    all_rank = global_rank(rows.select(key, "proxy_score"),
-                           [F.col("proxy_score").desc(), F.col(key)], "_rank_all").select(key, "_rank_all")
-    out = rows.join(rp, key, "left").join(rf, key, "left").join(all_rank, key, "left")
-    enough = n_ok >= F.lit(C.MIN_CORRELATION_ROWS)
-    return out.withColumns({
-        "rank_proxy": F.when(enough, F.col("rank_proxy")).otherwise(F.col("_rank_all")),
-        "rank_physics": F.when(enough, F.col("rank_physics")),
-    }).drop("_rank_all")
+    return rows.join(rp, key, "left").withColumn("rank_physics", F.lit(None).cast("bigint"))
 
 
 def _int_range(lo: int, hi: Column) -> Column:

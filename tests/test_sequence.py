@@ -81,3 +81,16 @@ def test_descriptors_keep_columns_and_limit(spark):
     assert set(d.columns) >= {"seq_idx", "tag", "sequence", "hydrophobicity", "charge",
                               "instability_index", "isoelectric_point"}
     assert sorted(r.seq_idx for r in d.collect()) == [0, 1]
+
+
+def test_instability_paths_agree(spark):
+    from seqscore.operators.descriptors import instability_index_native
+    import random
+    rnd = random.Random(5)
+    rows = [(i, "".join(rnd.choice(C.AMINO_ACIDS) for _ in range(rnd.randint(0, 60)))) for i in range(40)]
+    seqs = spark.createDataFrame(rows, "seq_idx long, sequence string")
+    a = {r.seq_idx: r.instability_index for r in instability_index(seqs).collect()}
+    b = {r.seq_idx: r.instability_index for r in instability_index_native(seqs).collect()}
+    assert a.keys() == b.keys()
+    for k in a:
+        assert (a[k] is None and b[k] is None) or a[k] == pytest.approx(b[k], abs=1e-12)
