@@ -102,30 +102,42 @@ def weight_vector(weights: DataFrame) -> list[float]:
     return vec
 
 
-def instability_index(seqs: DataFrame, weights: DataFrame | None = None, key: str = "seq_idx",
-                      seq_col: str = "sequence") -> DataFrame:
-    """(key, instability_index) = 10/L * sum of pair weights.  Unknown
-    dipeptides weigh 0; one residue gives 0; empty sequences give NULL.
-
-    Two Arrow passes over the sequences: the corpus histogram (only when no
-    weight table is supplied) and a scalar pandas UDF that looks the pair
-    codes up in the broadcast 400-vector.  No per-residue rows exist."""
-    if weights is None:
-        h = dipeptide_histogram(seqs, seq_col).withColumn("dipeptide", _code_to_dipeptide(F.col("code")))
-        weights = corpus_dipeptide_weights(h)
-    w = np.asarray(weight_vector(weights), dtype=np.float64)
+def instability_column(seq: F.Column, weights: list[float]) -> F.Column:
+    """10/L * sum of pair weights as a scalar pandas UDF (Arrow batches);
+    ``weights`` is the dense 400-vector, shipped with the function."""
+    w = np.asarray(weights, dtype=np.float64)
 
     @pandas_udf("double")
     def ii(s: pd.Series) -> pd.Series:
         lut = _lut()
         out = np.full(len(s), np.nan)
-        for i, seq in enumerate(s):
-            if isinstance(seq, str) and len(seq) > 0:
-                total = w[_pair_codes(seq, lut)].sum() if len(seq) > 1 else 0.0
-                out[i] = 10.0 * total / len(seq)
+        for i, text in enumerate(s):
+            if isinstance(text, str) and len(text) > 0:
+                total = w[_pair_codes(text, lut)].sum() if len(text) > 1 else 0.0
+                out[i] = 10.0 * total / len(text)
         return pd.Series(out)
 
-    return seqs.select(key, ii(F.col(seq_col)).alias("instability_index"))
+    return ii(seq)
+
+
+def resolve_weights(seqs: DataFrame, weights: DataFrame | None, seq_col: str = "sequence") -> list[float]:
+    """The supplied (dipeptide, weight) table, or the corpus-derived one."""
+    if weights is None:
+        h = dipeptide_histogram(seqs, seq_col).withColumn("dipeptide", _code_to_dipeptide(F.col("code")))
+        weights = corpus_dipeptide_weights(h)
+    return weight_vector(weights)
+
+
+def instability_index(seqs: DataFrame, weights: DataFrame | None = None, key: str = "seq_idx",
+                      seq_col: str = "sequence") -> DataFrame:
+    """(key, instability_index) = 10/L * sum of pair weights.  Unknown
+    dipeptides weigh 0; one residue gives 0; empty sequences give NULL.
+
+    Two Arrow passes over the sequences: the corpus histogram (only when no
+    weight table is supplied) and a scalar pandas UDF that looks the pair
+    codes up in the 400-vector.  No per-residue rows exist."""
+    wv = resolve_weights(seqs, weights, seq_col)
+    return seqs.select(key, instability_column(F.col(seq_col), wv).alias("instability_index"))
 
 
 def instability_index_native(seqs: DataFrame, weights: DataFrame | None = None,
@@ -161,5 +173,7 @@ def descriptors(seqs: DataFrame, weights: DataFrame | None = None, limit: int =
         "isoelectric_point": F.when(nonempty, S.isoelectric_point_from_counts(S.count_refs())),
     })
     native = S.drop_counts(native)
-    ii = instability_index(seqs, weights, key, seq_col)
-    return native.join(ii, key, "left")
+    # The instability index is one more column of the same projection (no
+    # self-join); only the weight table needs its own pass.
+    return native.withColumn("instability_index",
+                             instability_column(s, resolve_weights(seqs, weights, seq_col)))

@@ -1,44 +1,25 @@
-"""Skew-aware equi join of a large relation with a per-key relation.
+"""Skew policy shared by the operators that group or join on a key.
 
-Keys whose row count exceeds ``hot_rows`` are joined map-side against a
-broadcast of just their per-key rows (their number is counted before it is
-broadcast, so the broadcast size is checked, not assumed); every other key
-goes through the ordinary shuffle join.  A single key holding a third of
-the data therefore never lands in one reduce task.
+A key whose row count exceeds ``hot_rows`` is "hot": operators route it
+through a path whose per-task work does not grow with that key (partial
+aggregation plus a broadcast of the few hot keys' per-key rows) instead
+of a per-key window or shuffle partition.  The number of hot keys is
+counted before anything is broadcast and capped by ``max_hot_keys``.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
 
 @dataclass(frozen=True)
 class SkewPolicy:
-    # A key with more rows than this is handled by the broadcast path.
+    # A key with more rows than this is handled by the hot-key path; it
+    # also bounds the rows a single window partition may hold.
     hot_rows: int = 2_000_000
     # Upper bound on how many hot keys may be broadcast (each is one small
-    # row); above it the split is skipped and AQE's skew-join handles it.
+    # row); above it the plain shuffle join is used and AQE splits skew.
     max_hot_keys: int = 100_000
 
 
 DEFAULT_POLICY = SkewPolicy()
-
-
-def split_hot_join(big: DataFrame, per_key: DataFrame, keys: list[str], count_col: str,
-                   policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame:
-    """Inner join ``big`` with ``per_key`` (one row per key, carrying a row
-    count ``count_col`` of ``big``).  Output columns: big + per_key minus
-    ``count_col``."""
-    hot = per_key.filter(F.col(count_col) > F.lit(policy.hot_rows)).drop(count_col)
-    n_hot = hot.count()  # per_key is materialised by the caller, so this is cheap
-    cold_side = per_key.drop(count_col)
-    if n_hot == 0 or n_hot > policy.max_hot_keys:
-        return big.join(cold_side, keys)
-    hot_b = F.broadcast(hot)
-    hot_part = big.join(hot_b, keys)
-    cold_part = (big.join(F.broadcast(hot.select(*keys)), keys, "left_anti")
-                 .join(cold_side.join(F.broadcast(hot.select(*keys)), keys, "left_anti"), keys))
-    return hot_part.unionByName(cold_part)

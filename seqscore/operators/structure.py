@@ -2,9 +2,11 @@
 P8-P11), in two forms:
 
 * relational: one row per CA atom, grouped by structure key.  Two
-  aggregation passes (centroid, then everything else); both are partial
-  (map-side) aggregations, so a huge structure is pre-reduced before the
-  shuffle.  The centroid is joined back with ``split_hot_join``.
+  steps (centroid, then everything else).  The centroid is a window
+  average for keys whose size is bounded by the skew policy, and a
+  partial aggregation joined back by broadcast for hot keys; the final
+  aggregation is partial (map-side), so a huge structure is pre-reduced
+  before its shuffle.
 * array: one row per structure holding ``array<struct<resname,x,y,z,plddt>>``
   in file order, computed with higher-order functions and no shuffle at
   all (used by the file and streaming paths, where a file is one
@@ -13,39 +15,71 @@ P8-P11), in two forms:
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seqscore.config import ScoringConfig
 from seqscore.functions.numeric import distance3, norm3, round_dp, safe_norm3
 from seqscore.functions.scoring import (charge_class, composite_score, cyclic_candidate,
                                         eisenberg)
-from seqscore.operators.skew import DEFAULT_POLICY, SkewPolicy, split_hot_join
+from seqscore.operators.skew import DEFAULT_POLICY, SkewPolicy
 from seqscore.session import cut_lineage
 
 METRIC_COLUMNS = ["n_res", "net_charge", "muH", "plddt", "dist_nc"]
 
 
+def _centre_by_window(a: DataFrame, key: list[str]) -> DataFrame:
+    """Centroid as a window average: one shuffle on the key, and the
+    aggregation that follows reuses that partitioning (no second exchange).
+    Only used for keys whose row count is bounded by the skew policy."""
+    w = Window.partitionBy(*key)
+    return a.withColumns({"_cx": F.avg("x").over(w), "_cy": F.avg("y").over(w),
+                          "_cz": F.avg("z").over(w)})
+
+
+def centred_atoms(a: DataFrame, key: list[str], policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame:
+    """Atoms with their structure centroid (``_cx, _cy, _cz``).
+
+    * No key can be hot (the whole input has at most ``hot_rows`` rows,
+      a column-free count): window path only.
+    * Otherwise per-key counts (partial aggregation, key column only) find
+      the hot keys; cold keys take the window path, hot keys get their
+      centroid from a partial aggregation joined back by broadcast (their
+      number is counted and capped before it is broadcast).
+    """
+    if a.count() <= policy.hot_rows:
+        return _centre_by_window(a, key)
+    hot = cut_lineage(a.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
+                      .filter(F.col("_n") > F.lit(policy.hot_rows)).select(*key))
+    n_hot = hot.count()
+    if n_hot == 0:
+        return _centre_by_window(a, key)
+    if n_hot > policy.max_hot_keys:
+        # Too many oversized keys to broadcast: plain shuffle join of the
+        # per-key centroids (AQE splits skewed partitions).
+        centroid = a.groupBy(*key).agg(F.avg("x").alias("_cx"), F.avg("y").alias("_cy"),
+                                       F.avg("z").alias("_cz"))
+        return a.join(centroid, key)
+    hb = F.broadcast(hot)
+    cold = _centre_by_window(a.join(hb, key, "left_anti"), key)
+    hot_rows = a.join(hb, key, "left_semi")
+    hot_c = hot_rows.groupBy(*key).agg(F.avg("x").alias("_cx"), F.avg("y").alias("_cy"),
+                                       F.avg("z").alias("_cz"))
+    return cold.unionByName(hot_rows.join(F.broadcast(hot_c), key))
+
+
 def structure_metrics(atoms: DataFrame, key: list[str], order: str,
                       policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame:
     """``atoms``: key columns, ``order`` (any orderable column giving file
     order), ``resname``, ``x``, ``y``, ``z``, ``plddt``.
 
     Returns key + ``n_res, net_charge, muH, plddt, dist_nc`` (unrounded).
-    Structures with no atoms produce no row (P7).
+    Structures with no atoms produce no row (P7).  All per-structure
+    quantities are partial (map-side) aggregates, so even a hot structure
+    is pre-reduced before its shuffle.
     """
     a = atoms.select(*key, order, "resname", "x", "y", "z", "plddt")
-    centroid = a.groupBy(*key).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.avg("x").alias("_cx"), F.avg("y").alias("_cy"), F.avg("z").alias("_cz"))
-    # Exact bound first: when the whole input has no more rows than the hot
-    # threshold no key can be hot (a column-free count reads only Parquet
-    # footers).  Otherwise the per-structure centroids (one row each) are
-    # pinned so the hot-key count and the join share one computation.
-    if a.count() <= policy.hot_rows:
-        j = a.join(centroid.drop("_n"), key)
-    else:
-        j = split_hot_join(a, cut_lineage(centroid), key, "_n", policy)
+    j = centred_atoms(a, key, policy)
     dx, dy, dz = F.col("x") - F.col("_cx"), F.col("y") - F.col("_cy"), F.col("z") - F.col("_cz")
     nrm = safe_norm3(dx, dy, dz)
     h = eisenberg(F.col("resname"))
