@@ -63,17 +63,23 @@ def fasta_record(seq: Column, header: str = C.FASTA_HEADER) -> Column:
 # Descriptors
 # ---------------------------------------------------------------------------
 
-def hydrophobicity(col: Column, scale: dict = C.KYTE_DOOLITTLE) -> Column:
-    """Mean scale value per residue; residues outside the scale weigh 0.
-    Empty sequences -> NULL."""
+def hydrophobicity_from_counts(counts: dict[str, Column], n: Column,
+                               scale: dict = C.KYTE_DOOLITTLE) -> Column:
+    """Mean scale value per residue from residue counts and the length;
+    residues outside the scale weigh 0.  Empty sequences -> NULL."""
     total = None
     for aa, v in scale.items():
-        term = count_char(col, aa) * F.lit(float(v))
+        term = counts[aa] * F.lit(float(v))
         total = term if total is None else total + term
-    n = F.length(col)
     return F.when(n > 0, total / n)
 
 
+def hydrophobicity(col: Column, scale: dict = C.KYTE_DOOLITTLE) -> Column:
+    """Mean scale value per residue; residues outside the scale weigh 0.
+    Empty sequences -> NULL."""
+    return hydrophobicity_from_counts({aa: count_char(col, aa) for aa in scale}, F.length(col), scale)
+
+
 def _pos(ph: Column, pka: float) -> Column:
     return F.lit(1.0) / (F.lit(1.0) + F.pow(F.lit(10.0), ph - F.lit(pka)))
 

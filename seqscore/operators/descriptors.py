@@ -67,6 +67,25 @@ def _pair_codes(seq: str, lut):
     return (a[keep] * 20 + b[keep]).astype(np.int64)
 
 
+def residue_counts(seq: F.Column) -> F.Column:
+    """Counts of the twenty residues (conventional order) in one pass over
+    each sequence (numpy ``bincount`` on byte codes, Arrow batches)."""
+
+    @pandas_udf("array<int>")
+    def counts(s: pd.Series) -> pd.Series:
+        lut = _lut()
+        out = []
+        for text in s:
+            if isinstance(text, str):
+                c = lut[np.frombuffer(text.encode("utf-8"), dtype=np.uint8)]
+                out.append(np.bincount(c[c >= 0], minlength=20).astype(np.int32))
+            else:
+                out.append(None)
+        return pd.Series(out)
+
+    return counts(seq)
+
+
 def dipeptide_histogram(seqs: DataFrame, seq_col: str = "sequence") -> DataFrame:
     """(code, n): corpus dipeptide counts.  Every partition reduces its
     sequences to one 400-bin histogram inside ``mapInPandas`` (map-side
@@ -161,19 +180,24 @@ def descriptors(seqs: DataFrame, weights: DataFrame | None = None, limit: int =
                 key: str = "seq_idx", seq_col: str = "sequence", ph: float = 7.4) -> DataFrame:
     """All input columns plus ``hydrophobicity, charge, instability_index,
     isoelectric_point`` (P2: appended, input columns kept).  ``limit`` > 0
-    keeps rows with ``key < limit`` (P3, deterministic first-n)."""
+    keeps rows with ``key < limit`` (P3, deterministic first-n).
+
+    One projection: residue counts come from a single Arrow pass, the
+    formulas (mean hydropathy, Henderson-Hasselbalch charge, bisection pI)
+    are native expressions over those counts, and the instability index is
+    a further UDF column; only the corpus weight table needs its own pass."""
     if limit and limit > 0:
         seqs = seqs.filter(F.col(key) < F.lit(limit))
     s = F.col(seq_col)
-    native = S.with_ionisable_counts(seqs, seq_col)
-    nonempty = F.length(s) > 0
-    native = native.withColumns({
-        "hydrophobicity": S.hydrophobicity(s),
+    wv = resolve_weights(seqs, weights, seq_col)
+    tmp = seqs.withColumns({"_rc": residue_counts(s), "_len": F.length(s),
+                            "instability_index": instability_column(s, wv)})
+    cnt = {aa: F.col("_rc")[i].cast("bigint") for i, aa in enumerate(C.AMINO_ACIDS)}
+    tmp = tmp.withColumns({S.COUNT_PREFIX + aa: cnt[aa] for aa in S.count_refs()})
+    nonempty = F.col("_len") > 0
+    out = tmp.withColumns({
+        "hydrophobicity": S.hydrophobicity_from_counts(cnt, F.col("_len")),
         "charge": F.when(nonempty, S.charge_from_counts(S.count_refs(), F.lit(ph), C.PKA_LEHNINGER)),
         "isoelectric_point": F.when(nonempty, S.isoelectric_point_from_counts(S.count_refs())),
     })
-    native = S.drop_counts(native)
-    # The instability index is one more column of the same projection (no
-    # self-join); only the weight table needs its own pass.
-    return native.withColumn("instability_index",
-                             instability_column(s, resolve_weights(seqs, weights, seq_col)))
+    return S.drop_counts(out).drop("_rc", "_len")

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from seqscore import constants as C
 from seqscore.operators.ranking import ordinal_within
-from seqscore.sources.tables import read_table
+from seqscore.sources.tables import read_table, spread
 
 # FIXED VALUES: residue names indexed by ``l_partkey % 21`` (the twenty
 # standard residues in conventional order, then an unknown residue).
@@ -67,7 +67,7 @@ def structure_id(seq_idx: str = "seq_idx"):
 def peptides(spark: SparkSession, sf_dir: str) -> DataFrame:
     """seq_idx, id, sequence: every letter of the document, upper-cased
     ASCII, keeping the twenty residue codes (the whole text, no prefix)."""
-    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    docs = spread(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
     letters = F.upper(F.regexp_replace(F.col("text"), "[^A-Za-z]", ""))
     aa = F.regexp_replace(letters, f"[^{C.AMINO_ACIDS}]", "")
     return docs.select(F.col("doc_id").alias("seq_idx"), structure_id("doc_id").alias("id"),
