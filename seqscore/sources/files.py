@@ -145,3 +145,37 @@ def legacy_order(structures: DataFrame) -> DataFrame:
     """The source pipeline's lexicographic file order (only needed for
     the legacy id mode, where an id is the file's position in that order)."""
     return structures.orderBy("file_name", "block_no")
+
+
+def with_file_position(df: DataFrame) -> DataFrame:
+    """Attach the file order of rows read from a file source: (file path,
+    split start, position inside the split).  Rows of one split arrive in
+    file order, so this key sorts rows exactly as they appear on disk.
+    Must be applied directly on the scan (``_metadata`` is a scan column)."""
+    return df.withColumns({
+        "_file": F.col("_metadata.file_path"),
+        "_split": F.col("_metadata.file_block_start"),
+        "_pos": F.monotonically_increasing_id(),
+    })
+
+
+def assign_ids(df: DataFrame, prefix: str = "seq_") -> DataFrame:
+    """``seq_idx`` = 0-based position in file order and ``id`` =
+    ``seq_<seq_idx>``, computed with the scalable global rank (no single-
+    task window); the result is pinned by the rank's checkpoint so the
+    position is derived once."""
+    from seqscore.operators.ranking import global_rank
+    pos = with_file_position(df)
+    r = global_rank(pos, ["_file", "_split", "_pos"], "_r")
+    idx = (F.col("_r") - 1).cast("bigint")
+    return r.withColumns({"seq_idx": idx, "id": F.concat(F.lit(prefix), idx.cast("string"))}) \
+        .drop("_file", "_split", "_pos", "_r")
+
+
+def legacy_ids(structures: DataFrame, prefix: str = "seq_") -> DataFrame:
+    """D1 regression mode: the source pipeline named structure ``seq_k``
+    after the k-th file in lexicographic file-name order (so ``seq_10.pdb``
+    became ``seq_2``).  Adds ``legacy_id``; the true id stays in ``id``."""
+    from seqscore.operators.ranking import global_rank
+    r = global_rank(structures, ["file_name", "block_no"], "_r")
+    return r.withColumn("legacy_id", F.concat(F.lit(prefix), (F.col("_r") - 1).cast("string"))).drop("_r")

@@ -140,3 +140,21 @@ def test_config_loading(monkeypatch):
     with pytest.raises(ConfigError):
         load_config("{bad")
     assert load_config("{bad", on_bad_json="default") == ScoringConfig()
+
+
+def test_assign_ids_follow_file_order(spark):
+    d = tmp()
+    with open(os.path.join(d, "a.csv"), "w") as f:
+        f.write("sequence\n" + "\n".join(f"S{i:03d}" for i in range(50)) + "\n")
+    df = sources.assign_ids(spark.read.schema("sequence STRING").option("header", True).csv(d))
+    got = sorted((r.seq_idx, r.id, r.sequence) for r in df.collect())
+    assert got == [(i, f"seq_{i}", f"S{i:03d}") for i in range(50)]
+
+
+def test_legacy_ids_lexicographic(spark):
+    d = tmp()
+    for k in (0, 1, 2, 10):
+        open(os.path.join(d, f"seq_{k}.pdb"), "w").write(PDB.replace("HEADER    PEPTIDE\n", ""))
+    s = sources.legacy_ids(sources.read_pdb(spark, d, "*.pdb"))
+    got = {r.id: r.legacy_id for r in s.collect()}
+    assert got == {"seq_0": "seq_0", "seq_1": "seq_1", "seq_10": "seq_2", "seq_2": "seq_3"}
