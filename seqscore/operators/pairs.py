@@ -120,19 +120,29 @@ def _struct_type(right: DataFrame, by: list[str], key: str, right_id: str):
 
 
 def training_triplets(pairs: DataFrame, sequences: DataFrame, on_missing: str = "null",
-                      id_col: str = "id", seq_col: str = "sequence") -> DataFrame:
+                      id_col: str = "id", seq_col: str = "sequence",
+                      max_broadcast_ids: int = 10_000) -> DataFrame:
     """(prompt, chosen, rejected) sequences for each preference pair.
 
     Pair ids resolve to sequences by index (``seq_<n>`` -> row ``n``).
     ``on_missing``: ``null`` keeps the pair with a null sequence, ``drop``
     removes it, ``raise`` fails the job on the first unresolved id.
+
+    Rejected ids repeat heavily (the nearest-loser rule gives every pair
+    the same one), so a shuffle join on them would send all pairs to one
+    task.  Their distinct ids are counted first; up to ``max_broadcast_ids``
+    the looked-up (id, sequence) rows are broadcast and the join is
+    map-side, otherwise AQE's skew-join splitting applies.
     """
     from seqscore.functions.sequence import parse_id
     seqs = sequences.select(parse_id(F.col(id_col)).alias("_idx"), F.col(seq_col).alias("_seq"))
     how = "inner" if on_missing == "drop" else "left"
     p = pairs.withColumns({"_ci": parse_id(F.col("chosen")), "_ri": parse_id(F.col("rejected"))})
     a = seqs.select(F.col("_idx").alias("_ci"), F.col("_seq").alias("chosen_sequence"))
+    rej_ids = p.select("_ri").distinct()
     b = seqs.select(F.col("_idx").alias("_ri"), F.col("_seq").alias("rejected_sequence"))
+    if rej_ids.count() <= max_broadcast_ids:
+        b = F.broadcast(b.join(rej_ids, "_ri", "left_semi"))
     out = p.join(a, "_ci", how).join(b, "_ri", how)
     if on_missing == "raise":
         # assert_true returns NULL; tying it into an output column keeps the
