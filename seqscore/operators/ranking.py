@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from seqscore.operators.skew import DEFAULT_POLICY, SkewPolicy
 from seqscore.session import cut_lineage
 
 _PID = "_ss_pid"
@@ -31,21 +32,29 @@ def _sort_key_names(order: list[Column | str]) -> list[Column]:
 
 
 def global_rank(df: DataFrame, order: list[Column | str], name: str = "rank",
-                num_partitions: int | None = None) -> DataFrame:
-    """1..n over a total order (include a unique tie-breaker in ``order``).
+                num_partitions: int | None = None, pin_input: bool = True) -> DataFrame:
+    """1..n over a total order (``order`` must end in a unique tie-breaker).
 
     Plan: range exchange on the sort key -> sort within partitions ->
     position from ``monotonically_increasing_id`` (no second shuffle) ->
-    reliable checkpoint (pins partition assignment) -> per-partition
-    counts (P rows) -> running offsets -> broadcast join on the partition id.
+    reliable checkpoint -> per-partition counts (P rows) -> running
+    offsets -> broadcast join on the partition id.
+
+    The checkpoint after the exchange is what makes the result safe: Spark
+    re-samples unbalanced partitions with a seed tied to the RDD id, so two
+    evaluations of the same range exchange (a lost executor, a second
+    branch of the plan) may draw different bounds; pinned partition ids and
+    positions cannot drift.  ``pin_input`` also checkpoints the input first
+    so the sampling pass does not recompute an expensive upstream plan
+    (pass False when the input is already a pinned copy or a filter of one).
     """
     keys = _sort_key_names(order)
     p = _partitions(df, num_partitions)
-    ranged = (df.repartitionByRange(p, *keys).sortWithinPartitions(*keys)
+    src = cut_lineage(df) if pin_input else df
+    ranged = (src.repartitionByRange(p, *keys).sortWithinPartitions(*keys)
               .withColumn(_PID, F.spark_partition_id()))
-    ranged = ranged.withColumn(
-        _POS, F.monotonically_increasing_id() - F.shiftleft(F.col(_PID).cast("bigint"), 33))
-    ranged = cut_lineage(ranged)
+    ranged = cut_lineage(ranged.withColumn(
+        _POS, F.monotonically_increasing_id() - F.shiftleft(F.col(_PID).cast("bigint"), 33)))
     offsets = (ranged.groupBy(_PID).agg(F.count(F.lit(1)).alias("_n"))
                .withColumn("_off", F.coalesce(F.sum("_n").over(
                    Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
@@ -55,19 +64,19 @@ def global_rank(df: DataFrame, order: list[Column | str], name: str = "rank",
             .drop(_PID, _POS, "_off"))
 
 
-def ordinal_within(df: DataFrame, group: list[str], order: list[Column | str],
-                   name: str = "ord", num_partitions: int | None = None) -> DataFrame:
-    """1-based position of each row inside its group, ordered by ``order``.
+def _ordinal_by_window(df: DataFrame, group: list[str], order: list[Column | str], name: str) -> DataFrame:
+    w = Window.partitionBy(*group).orderBy(*_sort_key_names(order))
+    return df.withColumn(name, F.row_number().over(w).cast("bigint"))
 
-    Same result as ``row_number() OVER (PARTITION BY group ORDER BY order)``
-    but a group larger than one partition is spread over several range
-    partitions; the rows of a group that continue from earlier partitions
-    get an offset from a P-row boundary summary.
-    """
+
+def _ordinal_by_range(df: DataFrame, group: list[str], order: list[Column | str], name: str,
+                      p: int) -> DataFrame:
+    """Range-partitioned ordinal: a group may span partitions; rows that
+    continue a group from earlier partitions get an offset from a P-row
+    boundary summary.  (group, order) must be unique."""
     keys = [F.col(g) for g in group] + _sort_key_names(order)
-    p = _partitions(df, num_partitions)
-    ranged = df.repartitionByRange(p, *keys).withColumn(_PID, F.spark_partition_id())
-    ranged = cut_lineage(ranged)
+    # pin the partition assignment (see global_rank for why)
+    ranged = cut_lineage(cut_lineage(df).repartitionByRange(p, *keys).withColumn(_PID, F.spark_partition_id()))
     gkey = F.struct(*[F.col(g) for g in group])
     local = ranged.withColumn(
         "_rn", F.row_number().over(Window.partitionBy(_PID, *group).orderBy(*_sort_key_names(order))))
@@ -91,6 +100,36 @@ def ordinal_within(df: DataFrame, group: list[str], order: list[Column | str],
     return out.drop(_PID, "_rn", "_first_g", "_off")
 
 
+def ordinal_within(df: DataFrame, group: list[str], order: list[Column | str],
+                   name: str = "ord", num_partitions: int | None = None,
+                   policy: SkewPolicy = DEFAULT_POLICY, force_range: bool = False) -> DataFrame:
+    """1-based position of each row inside its group, ordered by ``order``
+    (``row_number() OVER (PARTITION BY group ORDER BY order)``).
+
+    A plain window is used for groups whose size is bounded by the skew
+    policy (no group can exceed ``hot_rows`` when the whole input has no
+    more rows; otherwise per-group counts find the hot ones).  Hot groups
+    take the range-partitioned path, where one group is spread over
+    several tasks.
+    """
+    p = _partitions(df, num_partitions)
+    if force_range:
+        return _ordinal_by_range(df, group, order, name, p)
+    if df.count() <= policy.hot_rows:
+        return _ordinal_by_window(df, group, order, name)
+    hot = cut_lineage(df.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
+                      .filter(F.col("_n") > F.lit(policy.hot_rows)).select(*group))
+    n_hot = hot.count()
+    if n_hot == 0:
+        return _ordinal_by_window(df, group, order, name)
+    if n_hot > policy.max_hot_keys:
+        return _ordinal_by_range(df, group, order, name, p)
+    hb = F.broadcast(hot)
+    cold = _ordinal_by_window(df.join(hb, group, "left_anti"), group, order, name)
+    hot_part = _ordinal_by_range(df.join(hb, group, "left_semi"), group, order, name, p)
+    return cold.unionByName(hot_part)
+
+
 def winner_count(n_rows: Column, fraction: float) -> Column:
     """``max(1, int(n * fraction))``."""
     return F.greatest(F.lit(1), F.floor(n_rows * F.lit(float(fraction)))).cast("bigint")

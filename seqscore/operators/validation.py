@@ -51,12 +51,12 @@ def rank_validation(rows: DataFrame, key: str = "seq_idx") -> DataFrame:
     ok = rows.filter(F.col("e_final").isNotNull() & ~F.isnan("e_final"))
     if ok.count() >= C.MIN_CORRELATION_ROWS:
         rp = global_rank(ok.select(key, "proxy_score"), [F.col("proxy_score").desc(), F.col(key)],
-                         "rank_proxy").select(key, "rank_proxy")
+                         "rank_proxy", pin_input=False).select(key, "rank_proxy")
         rf = global_rank(ok.select(key, "e_final"), [F.col("e_final").asc(), F.col(key)],
-                         "rank_physics").select(key, "rank_physics")
+                         "rank_physics", pin_input=False).select(key, "rank_physics")
         return rows.join(rp, key, "left").join(rf, key, "left")
     rp = global_rank(rows.select(key, "proxy_score"), [F.col("proxy_score").desc(), F.col(key)],
-                     "rank_proxy").select(key, "rank_proxy")
+                     "rank_proxy", pin_input=False).select(key, "rank_proxy")
     return rows.join(rp, key, "left").withColumn("rank_physics", F.lit(None).cast("bigint"))
 
 

@@ -4,6 +4,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from seqscore.operators import ranking
+from seqscore.operators.skew import SkewPolicy
 
 
 def test_global_rank_equals_row_number_with_ties(spark):
@@ -25,11 +26,14 @@ def test_ordinal_within_hot_group_spanning_partitions(spark):
     hot = spark.range(0, 400).select(F.lit(1).alias("g"), F.col("id").alias("o"))
     cold = spark.range(0, 30).select((F.col("id") % 5 + 2).alias("g"), F.col("id").alias("o"))
     df = hot.unionByName(cold)
-    got = ranking.ordinal_within(df, ["g"], ["o"], "ord", num_partitions=7)
     ref = df.withColumn("ref", F.row_number().over(Window.partitionBy("g").orderBy("o")))
-    j = got.join(ref, ["g", "o"])
-    assert j.count() == 430
-    assert j.filter(F.col("ord") != F.col("ref")).count() == 0
+    forced = ranking.ordinal_within(df, ["g"], ["o"], "ord", num_partitions=7, force_range=True)
+    split = ranking.ordinal_within(df, ["g"], ["o"], "ord", num_partitions=7,
+                                   policy=SkewPolicy(hot_rows=100))   # g=1 is hot
+    for got in (forced, split):
+        j = got.join(ref, ["g", "o"])
+        assert j.count() == 430
+        assert j.filter(F.col("ord") != F.col("ref")).count() == 0
 
 
 def test_split_partitions_input(spark):
@@ -53,3 +57,15 @@ def test_top_n_plan_is_take_ordered(spark):
     plan = t._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in plan
     assert [r.k for r in t.collect()] == [11, 28, 45, 62, 79]
+
+
+def test_global_rank_on_unbalanced_input_partitions(spark):
+    """One input partition holds most rows, which makes Spark re-sample it
+    with an RDD-dependent seed; ranks must still be exact."""
+    big = spark.range(0, 10000, 1, 1)
+    small = spark.range(10000, 11500, 1, 15)
+    df = big.unionByName(small).select(F.col("id").alias("k"), ((F.col("id") * 7919) % 1000).cast("double").alias("score"))
+    got = ranking.global_rank(df, [F.col("score").desc(), F.col("k")], num_partitions=8).select("k", "rank")
+    ref = df.withColumn("ref", F.row_number().over(Window.orderBy(F.col("score").desc(), "k")))
+    assert got.join(ref, "k").filter(F.col("rank") != F.col("ref")).count() == 0
+    assert got.count() == 11500
