@@ -74,13 +74,21 @@ def pdb_lines(atoms: DataFrame, id_col: str = "id", pos_col: str = "ord") -> Dat
     return head.unionByName(body).unionByName(tail)
 
 
+MAX_LINES_PER_FILE = 1_000_000   # ~80 MB of PDB text per file
+
+
 def write_pdb(atoms: DataFrame, path: str, num_files: int, id_col: str = "id",
-              pos_col: str = "ord", partition_col: str | None = None) -> str:
+              pos_col: str = "ord", partition_col: str | None = None,
+              max_lines_per_file: int = MAX_LINES_PER_FILE) -> str:
     """Multi-structure PDB text files.  Lines are hash-partitioned by
     structure and sorted within the partition, so every structure is one
     contiguous block in one file.  A structure is bounded by the format
     (5-digit atom serials), so no task holds more than 99,999 lines of one
-    structure.  ``partition_col`` optionally adds a directory level."""
+    structure.  The file count is at least ``num_files`` and grows with the
+    atom count so a file stays near ``max_lines_per_file`` lines (files are
+    read back whole).  ``partition_col`` optionally adds a directory level."""
+    n_atoms = atoms.count()
+    num_files = max(int(num_files), -(-n_atoms // int(max_lines_per_file)))
     lines = pdb_lines(atoms, id_col, pos_col)
     cols = ["value"]
     if partition_col:
