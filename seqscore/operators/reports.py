@@ -50,11 +50,11 @@ def exact_percentile(df: DataFrame, col: str, q: float, key: str = "seq_idx"):
     scalar Column: the two neighbouring order statistics are fetched by
     global rank, so no task holds more than its range partition."""
     vals = df.select(key, col)
-    n = vals.select(F.count(F.lit(1))).scalar()
+    r = global_rank(vals, [F.col(col).asc(), F.col(key)], "_r")
+    n = r.select(F.max("_r")).scalar()          # reads the rank's pinned copy
     h = (n - 1).cast("double") * F.lit(float(q))
     lo = F.floor(h)
     hi = F.ceil(h)
-    r = global_rank(vals, [F.col(col).asc(), F.col(key)], "_r")
     v_lo = r.filter(F.col("_r") == lo + 1).select(F.col(col)).scalar()
     v_hi = r.filter(F.col("_r") == hi + 1).select(F.col(col)).scalar()
     return v_lo + (h - lo) * (v_hi - v_lo)
@@ -74,8 +74,8 @@ def above_percentile(df: DataFrame, cohort_col: str, base: str, other: str, q: f
 def histogram(df: DataFrame, col: str, by: list[str], buckets: int) -> DataFrame:
     """Equal-width buckets over the global [min, max] (1..buckets; the
     maximum falls in the last bucket), counted per group."""
-    lo = df.select(F.min(col)).scalar()
-    hi = df.select(F.max(col)).scalar()
+    rng = df.select(F.struct(F.min(col).alias("lo"), F.max(col).alias("hi"))).scalar()
+    lo, hi = rng["lo"], rng["hi"]
     b = F.when(hi > lo, F.least(F.lit(buckets).cast("bigint"), (F.floor(
         (F.col(col) - lo) / (hi - lo) * F.lit(float(buckets))) + 1).cast("bigint"))).otherwise(F.lit(1).cast("bigint"))
     return df.withColumn("bucket", b).groupBy(*by, "bucket").agg(F.count(F.lit(1)).alias("n"))
