@@ -28,11 +28,14 @@ def energy_rows(candidates: DataFrame, key: str = "seq_idx") -> DataFrame:
     ``candidates``: key, id, score, plddt, dist_nc, muH, net_charge,
     e_initial, e_final (NULL = failed).
     """
-    d = F.col("e_final") - F.col("e_initial")
+    # NaN (a failed run written by pandas) is the same as NULL here
+    e0 = F.when(~F.isnan("e_initial"), F.col("e_initial"))
+    e1 = F.when(~F.isnan("e_final"), F.col("e_final"))
+    d = e1 - e0
     return candidates.select(
         key, "id", F.col("score").alias("proxy_score"), "plddt", "dist_nc", "muH", "net_charge",
-        round_dp(F.col("e_initial"), 2).alias("e_initial"),
-        round_dp(F.col("e_final"), 2).alias("e_final"),
+        round_dp(e0, 2).alias("e_initial"),
+        round_dp(e1, 2).alias("e_final"),
         round_dp(d, 2).alias("delta_e"),
         F.coalesce(F.abs(d) > F.lit(C.CONVERGENCE_DELTA), F.lit(False)).alias("converged"))
 

@@ -84,7 +84,8 @@ def parse_pdb_blocks(files: DataFrame, text_col: str = "value", name_col: str =
 
     Id: the ``HEADER`` text when present, else the file stem.  Atoms: every
     ATOM/HETATM record named CA (either justification, altLoc blank or A),
-    in file order across models and chains."""
+    in file order across models and chains.  A malformed number becomes
+    NULL (``try_cast``) instead of failing the whole job."""
     blocks = files.select(name_col, F.posexplode(F.split(F.col(text_col), r"(?m)^END\s*$")).alias("block_no", "block"))
     blocks = blocks.filter(F.length(F.trim(F.col("block"))) > 0)
     head = F.trim(F.regexp_extract(F.col("block"), r"(?m)^HEADER\s+(\S+)", 1))
@@ -93,10 +94,10 @@ def parse_pdb_blocks(files: DataFrame, text_col: str = "value", name_col: str =
     def atom(line):
         return F.struct(
             F.trim(F.substring(line, 18, 3)).alias("resname"),
-            F.trim(F.substring(line, 31, 8)).cast("double").alias("x"),
-            F.trim(F.substring(line, 39, 8)).cast("double").alias("y"),
-            F.trim(F.substring(line, 47, 8)).cast("double").alias("z"),
-            F.trim(F.substring(line, 61, 6)).cast("double").alias("plddt"))
+            F.trim(F.substring(line, 31, 8)).try_cast("double").alias("x"),
+            F.trim(F.substring(line, 39, 8)).try_cast("double").alias("y"),
+            F.trim(F.substring(line, 47, 8)).try_cast("double").alias("z"),
+            F.trim(F.substring(line, 61, 6)).try_cast("double").alias("plddt"))
 
     return blocks.select(
         name_col, "block_no",

@@ -74,3 +74,12 @@ def test_rmsd_positional(spark):
                               "seq_idx long, ord long, x double, y double, z double")
     r = validation.rmsd(a, b).collect()[0]
     assert r.n_atoms == 2 and r.rmsd == pytest.approx(round((25 / 2) ** 0.5, 3))
+
+
+def test_nan_energy_is_a_failed_run(spark):
+    rows = [GOLDEN[0], ("seq_7", 1.8, float("nan"), float("nan"), None, 0, 0), GOLDEN[2], GOLDEN[3]]
+    v = validation.rank_validation(validation.energy_rows(candidates(spark, rows)))
+    got = {r.id: r for r in v.collect()}
+    assert got["seq_7"].e_final is None and got["seq_7"].rank_physics is None
+    assert not got["seq_7"].converged
+    assert sorted(r.rank_physics for r in got.values() if r.rank_physics) == [1, 2, 3]
