@@ -133,3 +133,12 @@ def test_translation_invariance(spark):
 def test_empty_input_gives_no_rows(spark):
     df = spark.createDataFrame([], SCHEMA)
     assert structure.structure_metrics(df, ["sid"], "ord").count() == 0
+
+
+def test_rotation_invariance(spark):
+    rows = [("a", 1, "ARG", 0.1, 0.2, 0.3, 0.9), ("a", 2, "TRP", 1.5, -0.2, 0.0, 0.8),
+            ("a", 3, "ASP", 3.0, 1.0, 2.0, 0.7), ("a", 4, "LEU", -1.0, 2.5, 0.5, 0.6)]
+    c, s = math.cos(0.7), math.sin(0.7)
+    turned = [(sid, o, r, c * x - s * y, s * x + c * y, z, b) for sid, o, r, x, y, z, b in rows]
+    a, b = metrics(spark, rows)["a"], metrics(spark, turned)["a"]
+    assert (a.muH, a.dist_nc, a.score) == pytest.approx((b.muH, b.dist_nc, b.score), abs=1e-9)
