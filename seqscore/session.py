@@ -16,6 +16,9 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # pinned copies (reliable checkpoints) are deleted once the DataFrames
+    # that use them are garbage-collected
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # Scalar-subquery results and P-row partition summaries are the only
     # things broadcast explicitly; keep the automatic threshold at its
     # default so large dimension tables are never auto-broadcast by surprise.
