@@ -7,7 +7,7 @@ Nothing is gathered on the driver.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seqscore import constants as C
@@ -55,23 +55,18 @@ def _fixed(v: Column, width: int, digits: int) -> Column:
     return F.lpad(dec.cast("string"), width, " ")
 
 
-def pdb_lines(atoms: DataFrame, id_col: str = "id", pos_col: str = "ord") -> DataFrame:
-    """One text row per PDB line: ``HEADER`` with the id, one ``ATOM`` line
-    per CA (PDB v3.3 fixed columns), ``END``.  Columns: id, _line_no, value."""
+PDB_MAX_ATOMS = 99_999   # 5-digit atom serial field: the format's own bound
+
+
+def pdb_atom_line(pos_col: str = "ord") -> Column:
+    """One ``ATOM`` record for a CA (PDB v3.3 fixed columns)."""
     serial = F.format_string("%5d", F.col(pos_col))
     res = F.format_string("%-3s", F.col("resname"))
     resseq = F.format_string("%4d", F.col(pos_col))
-    line = F.concat(
+    return F.concat(
         F.lit("ATOM  "), serial, F.lit("  CA  "), res, F.lit(" A"), resseq, F.lit("    "),
         _fixed(F.col("x"), 8, 3), _fixed(F.col("y"), 8, 3), _fixed(F.col("z"), 8, 3),
         F.lit("  1.00"), _fixed(F.col("plddt"), 6, 2), F.lit("           C"))
-    body = atoms.select(F.col(id_col).alias("id"), F.col(pos_col).cast("bigint").alias("_line_no"),
-                        line.alias("value"))
-    ids = atoms.select(F.col(id_col).alias("id")).distinct()
-    head = ids.select("id", F.lit(-1).cast("bigint").alias("_line_no"),
-                      F.format_string("HEADER    %s", F.col("id")).alias("value"))
-    tail = ids.select("id", F.lit(1 << 62).cast("bigint").alias("_line_no"), F.lit("END").alias("value"))
-    return head.unionByName(body).unionByName(tail)
 
 
 MAX_LINES_PER_FILE = 1_000_000   # ~80 MB of PDB text per file
@@ -80,26 +75,35 @@ MAX_LINES_PER_FILE = 1_000_000   # ~80 MB of PDB text per file
 def write_pdb(atoms: DataFrame, path: str, num_files: int, id_col: str = "id",
               pos_col: str = "ord", partition_col: str | None = None,
               max_lines_per_file: int = MAX_LINES_PER_FILE) -> str:
-    """Multi-structure PDB text files.  Lines are hash-partitioned by
-    structure and sorted within the partition, so every structure is one
-    contiguous block in one file.  A structure is bounded by the format
-    (5-digit atom serials), so no task holds more than 99,999 lines of one
-    structure.  The file count is at least ``num_files`` and grows with the
-    atom count so a file stays near ``max_lines_per_file`` lines (files are
-    read back whole).  ``partition_col`` optionally adds a directory level."""
+    """Multi-structure PDB text files: per structure a ``HEADER`` line with
+    the id, its ``ATOM`` lines in position order, and ``END``.
+
+    One hash exchange on the structure id does all the work: the window
+    that finds each structure's last position reuses it (a structure is
+    bounded by the format, 99,999 atoms, so a window partition is too), and
+    the sort within partitions makes every structure one contiguous block
+    of one file.  The header and ``END`` ride on the first and last atom's
+    text row, so no second pass over the atoms is needed.  The file count
+    is at least ``num_files`` and grows with the atom count so a file stays
+    near ``max_lines_per_file`` lines (files are read back whole).
+    ``partition_col`` optionally adds a directory level."""
     n_atoms = atoms.count()
     num_files = max(int(num_files), -(-n_atoms // int(max_lines_per_file)))
-    lines = pdb_lines(atoms, id_col, pos_col)
-    cols = ["value"]
-    if partition_col:
-        part = atoms.select(F.col(id_col).alias("id"), partition_col).distinct()
-        lines = lines.join(part, "id")
-        cols.append(partition_col)
+    pos = F.col(pos_col)
+    keep = [F.col(id_col).alias("id"), pos.cast("bigint").alias("_pos"), "resname", "x", "y", "z",
+            "plddt"] + ([partition_col] if partition_col else [])
+    a = atoms.select(*keep).repartition(int(num_files), "id")
+    w = Window.partitionBy("id")
+    a = a.withColumns({"_first": F.min("_pos").over(w), "_last": F.max("_pos").over(w)})
+    text = F.concat(
+        F.when(F.col("_pos") == F.col("_first"), F.concat(F.lit("HEADER    "), F.col("id"), F.lit("\n"))).otherwise(F.lit("")),
+        pdb_atom_line("_pos"),
+        F.when(F.col("_pos") == F.col("_last"), F.lit("\nEND")).otherwise(F.lit("")))
     # With a directory level the writer needs rows ordered by it; leading
     # the sort with it keeps the block order (no second, unstable sort).
-    order = ([partition_col] if partition_col else []) + ["id", "_line_no"]
-    out = (lines.repartition(int(num_files), "id").sortWithinPartitions(*order)
-           .select(*cols).write.mode("overwrite"))
+    order = ([partition_col] if partition_col else []) + ["id", "_pos"]
+    cols = [text.alias("value")] + ([partition_col] if partition_col else [])
+    out = a.sortWithinPartitions(*order).select(*cols).write.mode("overwrite")
     if partition_col:
         out = out.partitionBy(partition_col)
     out.text(path)
