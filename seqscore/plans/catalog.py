@@ -181,7 +181,7 @@ def descriptors(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents", ["doc_id", "lang", "source"])
     p = _peptides(spark, sf_dir).join(docs.withColumnRenamed("doc_id", "seq_idx"), "seq_idx")
     d = describe(p, limit=0)
-    return d.select("id", "lang", "source", F.length("sequence").alias("length"),
+    return d.select("id", "lang", "source", F.length("sequence").cast("bigint").alias("length"),
                     round_dp(F.col("hydrophobicity"), 6).alias("hydrophobicity"),
                     round_dp(F.col("charge"), 6).alias("charge"),
                     round_dp(F.col("instability_index"), 6).alias("instability_index"),
