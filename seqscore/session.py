@@ -27,13 +27,14 @@ DEFAULT_CONF = {
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
-                  driver_memory: str = "8g", app: str = "seqscore") -> SparkSession:
+                  driver_memory: str = "8g", app: str = "seqscore",
+                  extra_conf: dict | None = None) -> SparkSession:
     """A local-mode session for tests and the bench (never used on a cluster)."""
     builder = (SparkSession.builder.master(f"local[{cores}]").appName(app)
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
                .config("spark.default.parallelism", str(shuffle_partitions))
                .config("spark.driver.memory", driver_memory))
-    for k, v in DEFAULT_CONF.items():
+    for k, v in {**DEFAULT_CONF, **(extra_conf or {})}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
