@@ -95,7 +95,10 @@ def write_pdb(atoms: DataFrame, path: str, num_files: int, id_col: str = "id",
     a = atoms.select(*keep).repartition(int(num_files), "id")
     w = Window.partitionBy("id")
     a = a.withColumns({"_first": F.min("_pos").over(w), "_last": F.max("_pos").over(w)})
+    within = F.assert_true(F.col("_last") <= F.lit(PDB_MAX_ATOMS),
+                           F.lit(f"structure exceeds the PDB limit of {PDB_MAX_ATOMS} atoms"))
     text = F.concat(
+        F.when(within.isNull(), F.lit("")),
         F.when(F.col("_pos") == F.col("_first"), F.concat(F.lit("HEADER    "), F.col("id"), F.lit("\n"))).otherwise(F.lit("")),
         pdb_atom_line("_pos"),
         F.when(F.col("_pos") == F.col("_last"), F.lit("\nEND")).otherwise(F.lit("")))

@@ -158,3 +158,11 @@ def test_legacy_ids_lexicographic(spark):
     s = sources.legacy_ids(sources.read_pdb(spark, d, "*.pdb"))
     got = {r.id: r.legacy_id for r in s.collect()}
     assert got == {"seq_0": "seq_0", "seq_1": "seq_1", "seq_10": "seq_2", "seq_2": "seq_3"}
+
+
+def test_pdb_writer_refuses_oversized_structure(spark):
+    atoms = spark.range(1, 100_002).select(
+        F.lit("big").alias("id"), F.col("id").alias("ord"), F.lit("GLY").alias("resname"),
+        F.lit(0.0).alias("x"), F.lit(0.0).alias("y"), F.lit(0.0).alias("z"), F.lit(0.5).alias("plddt"))
+    with pytest.raises(Exception):
+        sinks.write_pdb(atoms, os.path.join(tmp(), "big"), 2)
