@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from seqscore import constants as C
 from seqscore.functions.numeric import round_dp
-from seqscore.operators.ranking import winner_count
+from seqscore.operators.ranking import one_row, winner_count
 from seqscore.session import cut_lineage
 
 
@@ -20,20 +20,21 @@ def preference_pairs(ranked: DataFrame, fraction: float = C.WINNER_FRACTION,
 
     Winners are exactly the first ``n`` ranks, so every loser scores at
     most every winner and the nearest loser is always rank ``n + 1``.  That
-    row is fetched as a scalar subquery (one row, no join, no shuffle) and
-    attached to the winners by projection.  No losers -> no pairs.
+    one row is looked up once and attached to the winners as literals: no
+    join, no pairs, no shuffle.  No losers -> no pairs.
     """
-    n = ranked.select(F.count(F.lit(1))).scalar()
-    n_win = winner_count(n, fraction)
-    top_loser = (ranked.filter(F.col(rank_col) == n_win + F.lit(1))
-                 .select(F.struct(F.col(id_col).alias("id"), F.col(score_col).alias("score")))
-                 .scalar())
-    winners = ranked.filter(F.col(rank_col) <= n_win)
-    return (winners.select(
+    n_win = winner_count(ranked.count(), fraction)
+    loser = one_row(ranked.filter(F.col(rank_col) == F.lit(n_win + 1))
+                    .select(F.col(id_col).alias("id"), F.col(score_col).alias("score")))
+    winners = ranked.filter(F.col(rank_col) <= F.lit(n_win))
+    rej_type = ranked.schema[id_col].dataType
+    if loser is None:
+        return winners.select(F.col(id_col).alias("chosen"), F.lit(None).cast(rej_type).alias("rejected"),
+                              F.lit(None).cast("double").alias("margin")).filter(F.lit(False))
+    return winners.select(
         F.col(id_col).alias("chosen"),
-        top_loser["id"].alias("rejected"),
-        round_dp(F.col(score_col) - top_loser["score"], digits).alias("margin"))
-        .filter(F.col("rejected").isNotNull()))
+        F.lit(loser["id"]).cast(rej_type).alias("rejected"),
+        round_dp(F.col(score_col) - F.lit(loser["score"]), digits).alias("margin"))
 
 
 def nearest_join(left: DataFrame, right: DataFrame, key: str, by: list[str],
@@ -130,9 +131,10 @@ def training_triplets(pairs: DataFrame, sequences: DataFrame, on_missing: str =
 
     Rejected ids repeat heavily (the nearest-loser rule gives every pair
     the same one), so a shuffle join on them would send all pairs to one
-    task.  Their distinct ids are counted first; up to ``max_broadcast_ids``
-    the looked-up (id, sequence) rows are broadcast and the join is
-    map-side, otherwise AQE's skew-join splitting applies.
+    task.  Their distinct ids are counted first: a single reject is looked
+    up once and attached to every pair; up to ``max_broadcast_ids`` the
+    looked-up (id, sequence) rows are broadcast and the join is map-side;
+    beyond that AQE's skew-join splitting applies.
     """
     from seqscore.functions.sequence import parse_id
     seqs = sequences.select(parse_id(F.col(id_col)).alias("_idx"), F.col(seq_col).alias("_seq"))
@@ -141,9 +143,22 @@ def training_triplets(pairs: DataFrame, sequences: DataFrame, on_missing: str =
     a = seqs.select(F.col("_idx").alias("_ci"), F.col("_seq").alias("chosen_sequence"))
     rej_ids = p.select("_ri").distinct()
     b = seqs.select(F.col("_idx").alias("_ri"), F.col("_seq").alias("rejected_sequence"))
-    if rej_ids.count() <= max_broadcast_ids:
-        b = F.broadcast(b.join(rej_ids, "_ri", "left_semi"))
-    out = p.join(a, "_ci", how).join(b, "_ri", how)
+    n_rej = rej_ids.count()
+    out = p.join(a, "_ci", how)
+    if n_rej == 1:
+        # The nearest-loser rule gives every pair the same reject: look its
+        # sequence up once and attach it (a join on a constant key would
+        # plan as a nested loop).
+        rid = one_row(rej_ids)["_ri"]
+        hit = one_row(b.filter(F.col("_ri") == F.lit(rid))) if rid is not None else None
+        out = out.withColumn("rejected_sequence",
+                             F.lit(hit["rejected_sequence"] if hit else None).cast("string"))
+        if on_missing == "drop" and hit is None:
+            out = out.filter(F.lit(False))
+    else:
+        if n_rej <= max_broadcast_ids:
+            b = F.broadcast(b.join(rej_ids, "_ri", "left_semi"))
+        out = out.join(b, "_ri", how)
     if on_missing == "raise":
         # assert_true returns NULL; tying it into an output column keeps the
         # check from being pruned away
@@ -176,17 +191,18 @@ def stratified_pairs(ranked: DataFrame, fraction: float = C.WINNER_FRACTION, see
     bin number).  Deterministic; fewer losers than winners leaves the
     winners of empty bins unpaired.
     """
-    n = ranked.select(F.count(F.lit(1))).scalar()
+    n = ranked.count()
     n_win = winner_count(n, fraction)
     n_lose = n - n_win
-    losers = ranked.filter(F.col(rank_col) > n_win)
-    pos = F.col(rank_col) - n_win
+    losers = ranked.filter(F.col(rank_col) > F.lit(n_win))
+    pos = F.col(rank_col) - F.lit(n_win)
     # bin = floor((pos - 1) * n_win / n_lose) + 1; exact in doubles below 2^53
-    binned = losers.withColumn("_bin", (F.floor((pos - 1) * n_win / n_lose) + 1).cast("bigint"))
+    binned = losers.withColumn("_bin", (F.floor((pos - 1) * F.lit(n_win) / F.lit(max(n_lose, 1)))
+                                        + 1).cast("bigint"))
     picks = binned.groupBy("_bin").agg(F.min_by(
         F.struct(F.col(id_col).alias("id"), F.col(score_col).alias("score")),
         F.struct(minstd_hash(key_col, seed).alias("h"), F.col(key_col).alias("k"))).alias("_pick"))
-    winners = ranked.filter(F.col(rank_col) <= n_win).withColumn("_bin", F.col(rank_col))
+    winners = ranked.filter(F.col(rank_col) <= F.lit(n_win)).withColumn("_bin", F.col(rank_col))
     j = winners.join(picks, "_bin")
     return j.select(F.col(id_col).alias("chosen"), F.col("_pick.id").alias("rejected"),
                     round_dp(F.col(score_col) - F.col("_pick.score"), digits).alias("margin"),

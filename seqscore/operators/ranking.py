@@ -11,6 +11,8 @@ no task ever holds more than about N/P rows whatever the key skew.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -130,20 +132,33 @@ def ordinal_within(df: DataFrame, group: list[str], order: list[Column | str],
     return cold.unionByName(hot_part)
 
 
-def winner_count(n_rows: Column, fraction: float) -> Column:
-    """``max(1, int(n * fraction))``."""
-    return F.greatest(F.lit(1), F.floor(n_rows * F.lit(float(fraction)))).cast("bigint")
+def winner_count(n_rows: int, fraction: float) -> int:
+    """``max(1, int(n * fraction))`` (double product, floor; as in SQL)."""
+    return max(1, int(math.floor(n_rows * float(fraction))))
+
+
+def one_row(df: DataFrame):
+    """The single row of a one-row aggregate or lookup (None when empty).
+
+    Scalars are evaluated once, as their own small job, and enter the main
+    plan as literals: a scalar subquery would copy its whole sub-plan into
+    every expression that references it."""
+    rows = df.limit(2).collect()
+    if len(rows) > 1:
+        raise ValueError("expected at most one row")
+    return rows[0] if rows else None
 
 
 def top_fraction_split(ranked: DataFrame, fraction: float, rank_col: str = "rank",
                        flag: str = "is_winner") -> DataFrame:
     """Flag the first ``max(1, floor(n*fraction))`` ranks as winners.
 
-    ``n`` comes from a scalar subquery (one global count), so the flag is
-    a plain projection; winners and losers partition the input.
+    ``n`` is one global count (ranks are 1..n, so it is the largest rank);
+    the flag is then a plain projection and winners and losers partition
+    the input.
     """
-    n = ranked.select(F.count(F.lit(1))).scalar()
-    return ranked.withColumn(flag, F.col(rank_col) <= winner_count(n, fraction))
+    n = ranked.count()
+    return ranked.withColumn(flag, F.col(rank_col) <= F.lit(winner_count(n, fraction)))
 
 
 def split(ranked: DataFrame, flag: str = "is_winner") -> tuple[DataFrame, DataFrame]:

@@ -4,11 +4,13 @@ the global rank instead of collecting values."""
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seqscore.functions.numeric import round_dp
-from seqscore.operators.ranking import global_rank
+from seqscore.operators.ranking import global_rank, one_row
 
 
 def batch_summary(scored: DataFrame) -> DataFrame:
@@ -39,25 +41,27 @@ def reject_diversity(pairs: DataFrame) -> DataFrame:
     base = pairs.agg(F.count(F.lit(1)).alias("n_pairs"),
                      F.count_distinct("chosen").alias("n_distinct_chosen"),
                      F.count_distinct("rejected").alias("n_distinct_rejected"))
-    top_row = top.select(F.col("_top")).scalar()
+    t = one_row(top.select("_top.rejected", "_top._n"))
+    top_id, top_n = (t["rejected"], t["_n"]) if t is not None else (None, None)
     return base.select("n_pairs", "n_distinct_chosen", "n_distinct_rejected",
-                       top_row["rejected"].alias("top_reject"),
-                       round_dp(top_row["_n"] / F.col("n_pairs"), 6).alias("top_reject_share"))
+                       F.lit(top_id).cast(pairs.schema["rejected"].dataType).alias("top_reject"),
+                       round_dp(F.lit(top_n).cast("bigint") / F.col("n_pairs"), 6).alias("top_reject_share"))
 
 
-def exact_percentile(df: DataFrame, col: str, q: float, key: str = "seq_idx"):
-    """Exact linear-interpolation percentile (``percentile_cont``) as a
-    scalar Column: the two neighbouring order statistics are fetched by
-    global rank, so no task holds more than its range partition."""
-    vals = df.select(key, col)
-    r = global_rank(vals, [F.col(col).asc(), F.col(key)], "_r")
-    n = r.select(F.max("_r")).scalar()          # reads the rank's pinned copy
-    h = (n - 1).cast("double") * F.lit(float(q))
-    lo = F.floor(h)
-    hi = F.ceil(h)
-    v_lo = r.filter(F.col("_r") == lo + 1).select(F.col(col)).scalar()
-    v_hi = r.filter(F.col("_r") == hi + 1).select(F.col(col)).scalar()
-    return v_lo + (h - lo) * (v_hi - v_lo)
+def exact_percentile(df: DataFrame, col: str, q: float, key: str = "seq_idx") -> float | None:
+    """Exact linear-interpolation percentile (``percentile_cont``): the two
+    neighbouring order statistics are fetched by global rank, so no task
+    holds more than its range partition; None for an empty input."""
+    r = global_rank(df.select(key, col), [F.col(col).asc(), F.col(key)], "_r")
+    n = r.count()                               # reads the rank's pinned copy
+    if n == 0:
+        return None
+    h = (n - 1) * float(q)
+    lo, hi = math.floor(h), math.ceil(h)
+    v = one_row(r.filter(F.col("_r").isin(lo + 1, hi + 1)).agg(
+        F.max(F.when(F.col("_r") == lo + 1, F.col(col))).alias("v_lo"),
+        F.max(F.when(F.col("_r") == hi + 1, F.col(col))).alias("v_hi")))
+    return v["v_lo"] + (h - lo) * (v["v_hi"] - v["v_lo"])
 
 
 def above_percentile(df: DataFrame, cohort_col: str, base: str, other: str, q: float,
@@ -65,17 +69,18 @@ def above_percentile(df: DataFrame, cohort_col: str, base: str, other: str, q: f
     """Rows of cohort ``other`` above the ``q`` percentile of cohort
     ``base`` (e.g. generated sequences above the original 90th)."""
     p = exact_percentile(df.filter(F.col(cohort_col) == base), col, q)
+    pl = F.lit(p).cast("double")
     o = df.filter(F.col(cohort_col) == other)
     return o.agg(F.count(F.lit(1)).alias("n_other"),
-                 F.count_if(F.col(col) > p).alias("n_above")).select(
-        "n_other", "n_above", round_dp(p, 6).alias("threshold"))
+                 F.count_if(F.col(col) > pl).alias("n_above")).select(
+        "n_other", "n_above", round_dp(pl, 6).alias("threshold"))
 
 
 def histogram(df: DataFrame, col: str, by: list[str], buckets: int) -> DataFrame:
     """Equal-width buckets over the global [min, max] (1..buckets; the
     maximum falls in the last bucket), counted per group."""
-    rng = df.select(F.struct(F.min(col).alias("lo"), F.max(col).alias("hi"))).scalar()
-    lo, hi = rng["lo"], rng["hi"]
+    rng = one_row(df.agg(F.min(col).alias("lo"), F.max(col).alias("hi")))
+    lo, hi = F.lit(rng["lo"]).cast("double"), F.lit(rng["hi"]).cast("double")
     b = F.when(hi > lo, F.least(F.lit(buckets).cast("bigint"), (F.floor(
         (F.col(col) - lo) / (hi - lo) * F.lit(float(buckets))) + 1).cast("bigint"))).otherwise(F.lit(1).cast("bigint"))
     return df.withColumn("bucket", b).groupBy(*by, "bucket").agg(F.count(F.lit(1)).alias("n"))
