@@ -10,6 +10,7 @@ command line: ``python -m seqscore <stage> ...``.
 
 from __future__ import annotations
 
+import logging
 import os
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +25,8 @@ from seqscore.runtime import require_non_empty
 from seqscore.sinks import files as sinks
 from seqscore.sources import files as sources
 
+LOG = logging.getLogger("seqscore.stages")
+
 SCORE_COLUMNS = ["id", "net_charge", "muH", "plddt", "dist_nc", "score"]
 SCORED_GENERATED = ["id", "sequence", "net_charge", "muH", "plddt", "dist_nc", "score",
                     "cyclic_candidate", "cys_count", "rank"]
@@ -48,7 +51,9 @@ def ingest(spark: SparkSession, input_csv: str, out_dir: str, schema: str = sour
     cols = [c for c in seqs.columns if c not in ("seq_idx", "id")] + [
         "hydrophobicity", "charge", "instability_index", "isoelectric_point"]
     out = d.orderBy("seq_idx").select(*cols)
-    sinks.write_csv(out, _out(out_dir, "ingested_sequences"))
+    counted, obs = sinks.counted(out, "ingest")
+    sinks.write_csv(counted, _out(out_dir, "ingested_sequences"))
+    LOG.info("ingest: %d sequences with descriptors written", obs.get["rows"])
     return out
 
 
@@ -57,7 +62,9 @@ def prepare_fasta(spark: SparkSession, sequences_csv: str, out_dir: str, limit:
     seqs = load_sequences(spark, sequences_csv, "sequence STRING")
     if limit > 0:
         seqs = seqs.filter(F.col("seq_idx") < limit)
-    sinks.write_fasta(seqs, _out(out_dir, "fasta_inputs"))
+    counted, obs = sinks.counted(seqs, "fasta")
+    sinks.write_fasta(counted, _out(out_dir, "fasta_inputs"))
+    LOG.info("fasta: %d records written", obs.get["rows"])
     return seqs
 
 
@@ -84,11 +91,14 @@ def score_and_pair(spark: SparkSession, pdb_dir: str, out_dir: str, cfg: Scoring
     """Stage 3: scoring_results.csv and preferences.jsonl (nearest loser)."""
     cfg = cfg or ScoringConfig()
     scored = score_structures(spark, pdb_dir, cfg)
-    sinks.write_csv(scored.select(*SCORE_COLUMNS), _out(out_dir, "scoring_results"))
+    s_counted, s_obs = sinks.counted(scored.select(*SCORE_COLUMNS), "scored")
+    sinks.write_csv(s_counted, _out(out_dir, "scoring_results"))
     keyed = scored.withColumn("_k", F.col("id"))
     ranked = ranking.global_rank(keyed, [F.col("score").desc(), F.col("_k")])
     prefs = pairs.preference_pairs(ranked, fraction)
-    sinks.write_jsonl(prefs, _out(out_dir, "preferences"))
+    p_counted, p_obs = sinks.counted(prefs, "pairs")
+    sinks.write_jsonl(p_counted, _out(out_dir, "preferences"))
+    LOG.info("score: %d structures scored, %d preference pairs", s_obs.get["rows"], p_obs.get["rows"])
     return scored, prefs
 
 
@@ -98,7 +108,9 @@ def build_triplets(spark: SparkSession, preferences: str, sequences_csv: str, ou
     prefs = sources.read_pairs(spark, preferences)
     seqs = load_sequences(spark, sequences_csv, "sequence STRING")
     t = pairs.training_triplets(prefs, seqs, on_missing).select("prompt", "chosen", "rejected")
-    sinks.write_jsonl(t, _out(out_dir, "dpo_triplets"))
+    counted, obs = sinks.counted(t, "triplets")
+    sinks.write_jsonl(counted, _out(out_dir, "dpo_triplets"))
+    LOG.info("triplets: %d written", obs.get["rows"])
     return t
 
 
@@ -124,7 +136,9 @@ def score_generated(spark: SparkSession, generated_csv: str, pdb_dir: str, out_d
          .withColumn("_k", F.col("id")))
     ranked = ranking.global_rank(j, [F.col("score").desc(), F.col("_k")])
     table = ranked.select(*[c for c in SCORED_GENERATED if c in ranked.columns])
-    sinks.write_csv(table.orderBy("rank"), _out(out_dir, "scored_generated"))
+    counted, obs = sinks.counted(table.orderBy("rank"), "scored_generated")
+    sinks.write_csv(counted, _out(out_dir, "scored_generated"))
+    LOG.info("generated: %d structures scored and ranked", obs.get["rows"])
     summary = reports.batch_summary(table)
     sinks.write_json_summary(summary, _out(out_dir, "generated_summary"))
     return table, summary
@@ -151,7 +165,9 @@ def validate(spark: SparkSession, scored_csv: str, energies_csv: str, pdb_dir: s
     table = ranked.select("id", "sequence", "proxy_score", "plddt", "dist_nc", "muH", "net_charge",
                           "cys_count", "e_initial", "e_final", "delta_e", "converged",
                           "rank_proxy", "rank_physics")
-    sinks.write_csv(table.orderBy("rank_proxy"), _out(out_dir, "physics_validation"))
+    counted, obs = sinks.counted(table.orderBy("rank_proxy"), "physics_validation")
+    sinks.write_csv(counted, _out(out_dir, "physics_validation"))
+    LOG.info("validate: %d candidates written", obs.get["rows"])
     summary = validation.validation_summary(ranked)
     sinks.write_json_summary(summary, _out(out_dir, "validation_summary"))
     return table, summary

@@ -7,12 +7,20 @@ Nothing is gathered on the driver.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from seqscore import constants as C
 
 
+def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
+    """A16 without a second pass: the returned frame carries a row-count
+    observation that is filled in by whatever action writes it
+    (``obs.get["rows"]`` after the write)."""
+    obs = Observation(name)
+    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
+
+
 def write_csv(df: DataFrame, path: str, columns: list[str] | None = None) -> str:
     """K1: header row, fixed column order, no index."""
     out = df.select(*columns) if columns else df

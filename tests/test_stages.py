@@ -29,7 +29,9 @@ def read_csv_dir(path):
     return pd.concat([pd.read_csv(f) for f in sorted(glob.glob(os.path.join(path, "part-*.csv")))])
 
 
-def test_stages_end_to_end(spark):
+def test_stages_end_to_end(spark, caplog):
+    import logging
+    caplog.set_level(logging.INFO, logger="seqscore.stages")
     rnd = random.Random(11)
     root = tempfile.mkdtemp(prefix="seqscore-stages-")
     pdb_dir = os.path.join(root, "pdbs")
@@ -47,10 +49,12 @@ def test_stages_end_to_end(spark):
     out = os.path.join(root, "out")
     ing = stages.ingest(spark, seq_csv, out).collect()
     assert [r.sequence for r in ing] == seqs
+    assert "ingest: 12 sequences" in caplog.text          # counted while writing
     stages.prepare_fasta(spark, seq_csv, out, limit=5)
 
     scored, prefs = stages.score_and_pair(spark, pdb_dir, out)
     assert scored.count() == 12 and prefs.count() == 2          # int(12 * 0.2)
+    assert "12 structures scored, 2 preference pairs" in caplog.text
     trip = stages.build_triplets(spark, os.path.join(out, "preferences"), seq_csv, out).collect()
     assert len(trip) == 2 and all(t.chosen in seqs and t.rejected in seqs for t in trip)
 
