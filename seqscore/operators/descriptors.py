@@ -21,6 +21,7 @@ from pyspark.sql.functions import pandas_udf
 
 from seqscore import constants as C
 from seqscore.functions import sequence as S
+from seqscore.session import cut_lineage
 
 
 def dipeptide_counts(seqs: DataFrame, key: str = "seq_idx", seq_col: str = "sequence") -> DataFrame:
@@ -142,7 +143,10 @@ def instability_column(seq: F.Column, weights: list[float]) -> F.Column:
 def resolve_weights(seqs: DataFrame, weights: DataFrame | None, seq_col: str = "sequence") -> list[float]:
     """The supplied (dipeptide, weight) table, or the corpus-derived one."""
     if weights is None:
-        h = dipeptide_histogram(seqs, seq_col).withColumn("dipeptide", _code_to_dipeptide(F.col("code")))
+        # the histogram (<= 400 rows) feeds four aggregates: pin it so the
+        # pass over the texts runs once
+        h = cut_lineage(dipeptide_histogram(seqs, seq_col)
+                        .withColumn("dipeptide", _code_to_dipeptide(F.col("code"))))
         weights = corpus_dipeptide_weights(h)
     return weight_vector(weights)
 
