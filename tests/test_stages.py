@@ -80,3 +80,20 @@ def test_stages_end_to_end(spark, caplog):
     assert obj["forcefield"].startswith("AMBER14") and "mean_delta_e" in obj
     df = read_csv_dir(os.path.join(out, "physics_validation"))
     assert list(df["rank_proxy"]) == list(range(1, len(df) + 1)) or df["rank_proxy"].isna().any()
+
+
+def test_cli_runs_a_stage():
+    import subprocess
+    import sys
+    root = tempfile.mkdtemp(prefix="seqscore-cli-")
+    csv = os.path.join(root, "s.csv")
+    with open(csv, "w") as f:
+        f.write("sequence\nacdk\nKKRW\n")
+    out = os.path.join(root, "out")
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    r = subprocess.run([sys.executable, "-m", "seqscore", "--master", "local[2]", "fasta", csv, out],
+                       cwd=repo, capture_output=True, text=True, timeout=300)
+    assert r.returncode == 0, r.stderr[-2000:]
+    text = "".join(open(os.path.join(out, "fasta_inputs", f)).read()
+                   for f in os.listdir(os.path.join(out, "fasta_inputs")) if f.startswith("part-"))
+    assert ">seq_0 A|protein\nACDK" in text and ">seq_1 A|protein\nKKRW" in text
