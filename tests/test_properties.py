@@ -37,3 +37,18 @@ def test_nearest_join_is_brute_force(spark, left, right, parts):
         cands = [(abs(v - rv), rv, 1000 + j) for j, (rg, rv) in enumerate(right) if rg == g]
         exp[i] = min(cands)[2] if cands else None
     assert got == exp
+
+
+@SETTINGS
+@given(groups=st.lists(st.integers(0, 4), min_size=1, max_size=80), parts=st.integers(1, 7))
+def test_range_ordinal_is_row_number(spark, groups, parts):
+    # order keys shuffled so file order differs from row order
+    order = list(range(len(groups)))[::-1]
+    df = spark.createDataFrame([(g, o) for g, o in zip(groups, order)], "g long, o long")
+    got = {(r.g, r.o): r.ord for r in ranking.ordinal_within(df, ["g"], ["o"], "ord", parts,
+                                                             force_range=True).collect()}
+    exp = {}
+    for g in set(groups):
+        for pos, o in enumerate(sorted(o for gg, o in zip(groups, order) if gg == g)):
+            exp[(g, o)] = pos + 1
+    assert got == exp
