@@ -83,3 +83,11 @@ def test_nan_energy_is_a_failed_run(spark):
     assert got["seq_7"].e_final is None and got["seq_7"].rank_physics is None
     assert not got["seq_7"].converged
     assert sorted(r.rank_physics for r in got.values() if r.rank_physics) == [1, 2, 3]
+
+
+def test_empty_candidates(spark):
+    v = validation.rank_validation(validation.energy_rows(candidates(spark, [])))
+    assert v.count() == 0
+    s = validation.validation_summary(v).collect()[0]
+    assert (s.n_validated, s.n_total, s.spearman_rho, s.spearman_pval) == (0, 0, 0.0, 1.0)
+    assert s.interpretation == "Insufficient data" and s.best_proxy is None and s.mean_delta_e is None
