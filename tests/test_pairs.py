@@ -73,3 +73,17 @@ def test_stratified_pairs_distinct_rejects(spark):
     for g in got:
         k = int(g.rejected.split("_")[1]) + 1
         assert 20 + 4 * (g.stratum - 1) < k <= 20 + 4 * g.stratum
+
+
+def test_empty_inputs(spark):
+    from seqscore.operators import reports
+    e = spark.createDataFrame([], "seq_idx long, id string, score double, cohort string")
+    assert ranking.global_rank(e, [F.col("score").desc(), F.col("seq_idx")]).count() == 0
+    assert pairs.preference_pairs(ranking.global_rank(e, [F.col("score").desc(), F.col("seq_idx")])
+                                  ).count() == 0
+    assert reports.histogram(e, "score", ["cohort"], 20).count() == 0
+    r = reports.above_percentile(e, "cohort", "original", "generated", 0.9, "score").collect()[0]
+    assert (r.n_other, r.n_above, r.threshold) == (0, 0, None)
+    ldf = spark.createDataFrame([], "lid long, g long, v double")
+    rdf = spark.createDataFrame([(1, 1, 2.0)], "rid long, g long, v double")
+    assert pairs.nearest_join(ldf, rdf, "v", ["g"], "lid", "rid", 3).count() == 0
