@@ -19,12 +19,15 @@ def duck_views(sf_dir: str):
 
 
 def _norm(v):
+    """Exact comparison: NaN counts as NULL and -0.0 as 0.0; doubles are not
+    rounded here (both sides already round to the documented digits, and
+    they agree bit for bit)."""
     if v is None:
         return None
     if isinstance(v, float):
         if math.isnan(v):
             return None
-        return round(v, 6) + 0.0
+        return v + 0.0
     if hasattr(v, "item"):
         return _norm(v.item())
     return v
