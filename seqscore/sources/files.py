@@ -51,7 +51,8 @@ def _file_stem(name_col) -> F.Column:
     return F.regexp_replace(name_col, r"\.[^.]*$", "")
 
 
-def read_fasta(spark: SparkSession, path: str, line2_only: bool = False) -> DataFrame:
+def read_fasta(spark: SparkSession, path: str, line2_only: bool = False,
+               on_short: str = "skip") -> DataFrame:
     """(file_name, id, header, sequence) per record.
 
     ``id`` is the first header token when the header has one before a space
@@ -59,7 +60,7 @@ def read_fasta(spark: SparkSession, path: str, line2_only: bool = False) -> Data
     by id).  The sequence joins all lines after the header; with
     ``line2_only`` only the first sequence line is kept (the legacy reader
     truncated multi-line records).  Records with no sequence line are
-    dropped."""
+    dropped (``on_short="skip"``) or fail the job (``"raise"``)."""
     require_paths(spark, [path])
     raw = (spark.read.option("lineSep", ">").text(path)
            .select("value", F.col("_metadata.file_name").alias("file_name")))
@@ -73,6 +74,11 @@ def read_fasta(spark: SparkSession, path: str, line2_only: bool = False) -> Data
     out = rec.select("file_name", header.alias("header"), seq.alias("sequence"))
     token = F.regexp_extract(F.col("header"), r"^(\S+)\s", 1)
     out = out.withColumn("id", F.when(token != "", token).otherwise(_file_stem(F.col("file_name"))))
+    if on_short == "raise":
+        ok = F.assert_true(F.length("sequence") > 0,
+                           F.concat(F.lit("FASTA record without sequence: "), F.col("file_name")))
+        return out.select("file_name", "id", "header",
+                          F.when(ok.isNull(), F.col("sequence")).alias("sequence"))
     return out.filter(F.length("sequence") > 0).select("file_name", "id", "header", "sequence")
 
 

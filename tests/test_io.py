@@ -166,3 +166,14 @@ def test_pdb_writer_refuses_oversized_structure(spark):
         F.lit(0.0).alias("x"), F.lit(0.0).alias("y"), F.lit(0.0).alias("z"), F.lit(0.5).alias("plddt"))
     with pytest.raises(Exception):
         sinks.write_pdb(atoms, os.path.join(tmp(), "big"), 2)
+
+
+def test_fasta_short_record_skip_or_raise(spark):
+    d = tmp()
+    with open(os.path.join(d, "seq_1.fasta"), "w") as f:
+        f.write(">A|protein\nACD\n")
+    with open(os.path.join(d, "seq_2.fasta"), "w") as f:
+        f.write(">A|protein\n")
+    assert [r.id for r in sources.read_fasta(spark, d).collect()] == ["seq_1"]
+    with pytest.raises(Exception):
+        sources.read_fasta(spark, d, on_short="raise").collect()
