@@ -43,10 +43,29 @@ def load_sequences(spark: SparkSession, csv_path: str, schema: str = sources.SEQ
     return df.withColumn("sequence", S.normalize_sequence(F.col("sequence")))
 
 
+def split_rejected(seqs: DataFrame, out_dir: str, name: str) -> DataFrame:
+    """Rows whose normalised sequence is NULL or empty are not turned
+    into text; they go to a side table ``<name>_rejected`` (seq_idx, id,
+    reason) and the valid rows are returned.  The seqs frame is pinned so
+    both outputs read one copy."""
+    from seqscore.session import cut_lineage
+    seqs = cut_lineage(seqs)
+    bad = F.col("sequence").isNull() | (F.length("sequence") == 0)
+    rejected = seqs.filter(bad).select(
+        "seq_idx", "id",
+        F.when(F.col("sequence").isNull(), F.lit("null sequence")).otherwise(F.lit("empty sequence"))
+        .alias("reason"))
+    counted, obs = sinks.counted(rejected, name + "_rejected")
+    sinks.write_csv(counted, _out(out_dir, name + "_rejected"))
+    if obs.get["rows"]:
+        LOG.warning("%s: %d rows without a sequence rejected", name, obs.get["rows"])
+    return seqs.filter(~bad)
+
+
 def ingest(spark: SparkSession, input_csv: str, out_dir: str, schema: str = sources.SEQUENCE_SCHEMA,
            weights: DataFrame | None = None) -> DataFrame:
     """Stage 1: descriptors appended to every input row (passthrough kept)."""
-    seqs = load_sequences(spark, input_csv, schema)
+    seqs = split_rejected(load_sequences(spark, input_csv, schema), out_dir, "ingest")
     d = descriptors(seqs, weights)
     cols = [c for c in seqs.columns if c not in ("seq_idx", "id")] + [
         "hydrophobicity", "charge", "instability_index", "isoelectric_point"]
@@ -62,6 +81,7 @@ def prepare_fasta(spark: SparkSession, sequences_csv: str, out_dir: str, limit:
     seqs = load_sequences(spark, sequences_csv, "sequence STRING")
     if limit > 0:
         seqs = seqs.filter(F.col("seq_idx") < limit)
+    seqs = split_rejected(seqs, out_dir, "fasta")
     counted, obs = sinks.counted(seqs, "fasta")
     sinks.write_fasta(counted, _out(out_dir, "fasta_inputs"))
     LOG.info("fasta: %d records written", obs.get["rows"])

@@ -97,3 +97,19 @@ def test_cli_runs_a_stage():
     text = "".join(open(os.path.join(out, "fasta_inputs", f)).read()
                    for f in os.listdir(os.path.join(out, "fasta_inputs")) if f.startswith("part-"))
     assert ">seq_0 A|protein\nACDK" in text and ">seq_1 A|protein\nKKRW" in text
+
+
+def test_rejected_sequences_side_table(spark):
+    root = tempfile.mkdtemp(prefix="seqscore-rej-")
+    csv = os.path.join(root, "s.csv")
+    with open(csv, "w") as f:
+        # a quoted empty value, a quoted blank value (unquoted blank lines are
+        # skipped by the reader, as by pandas)
+        f.write('sequence\nacdk\n""\n" \t"\nKKRW\n')
+    out = os.path.join(root, "out")
+    ing = stages.ingest(spark, csv, out).collect()
+    assert [r.sequence for r in ing] == ["ACDK", "KKRW"]
+    rej = spark.read.option("header", True).csv(os.path.join(out, "ingest_rejected")).collect()
+    assert sorted(r.id for r in rej) == ["seq_1", "seq_2"]
+    fa = stages.prepare_fasta(spark, csv, out).count()
+    assert fa == 2
