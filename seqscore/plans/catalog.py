@@ -470,3 +470,22 @@ def guarded_map(spark, sf_dir):
     e = fixtures.energies(spark, sf_dir, scores(spark, sf_dir)).select("id", "e_initial", "e_final")
     out = gmap(e, relaxation_ratio, "id STRING, ratio DOUBLE, error STRING", ["id"])
     return out.select("id", round_dp(F.col("ratio"), 6).alias("ratio"), "error")
+
+
+# -- SQL access ------------------------------------------------------------------
+
+def register_views(spark: SparkSession, sf_dir: str) -> list[str]:
+    """Register the fixture views and derived tables as Spark temp views
+    (``ca_atoms``, ``peptides``, ``scores``, ``ranked``, ``energies``) so
+    they can be queried with ``spark.sql``.  The frames are lazy except for
+    the pinned rank."""
+    views = {
+        "ca_atoms": fixtures.ca_atoms(spark, sf_dir),
+        "peptides": _peptides(spark, sf_dir),
+        "scores": scores(spark, sf_dir),
+    }
+    views["ranked"] = ranking.global_rank(views["scores"], [F.col("score").desc(), F.col("seq_idx")])
+    views["energies"] = fixtures.energies(spark, sf_dir, views["scores"])
+    for name, df in views.items():
+        df.createOrReplaceTempView(name)
+    return sorted(views)

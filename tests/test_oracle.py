@@ -25,3 +25,11 @@ def test_entry_contract(spark):
     df = e.entry(spark)
     assert df.count() == 10
     assert set(e.oracle_sql()) <= set(e.queries())
+
+
+def test_register_views_for_sql(spark):
+    from seqscore.plans.catalog import register_views
+    names = register_views(spark, SF)
+    assert names == ["ca_atoms", "energies", "peptides", "ranked", "scores"]
+    r = spark.sql("SELECT count(*) AS n, max(rank) AS m FROM ranked").collect()[0]
+    assert r.n == r.m == spark.sql("SELECT count(DISTINCT seq_idx) FROM ca_atoms").collect()[0][0]
