@@ -399,8 +399,9 @@ def fasta_roundtrip(spark, sf_dir):
 
 
 def _pdb_atoms(spark, sf_dir):
-    a = fixtures.ca_atoms_ordered(spark, sf_dir)
-    return a.withColumn("id", fixtures.structure_id())
+    """CA atoms with the structure id; the writer numbers positions from the
+    file-order key itself (``order_col``)."""
+    return fixtures.ca_atoms(spark, sf_dir).withColumn("id", fixtures.structure_id())
 
 
 def _n_files(spark):
@@ -419,7 +420,8 @@ def pdb_roundtrip(spark, sf_dir):
     scored without any shuffle."""
     from seqscore.sinks.files import write_pdb
     from seqscore.sources.files import read_pdb
-    path = write_pdb(_pdb_atoms(spark, sf_dir), _scratch(spark, "pdb"), _n_files(spark))
+    path = write_pdb(_pdb_atoms(spark, sf_dir), _scratch(spark, "pdb"), _n_files(spark),
+                     order_col="ord_key")
     return _score_structures_array(read_pdb(spark, path))
 
 
@@ -431,7 +433,8 @@ def file_inventory(spark, sf_dir):
     from seqscore.sinks.files import write_pdb
     from seqscore.sources.files import discover, read_pdb, structure_inventory
     atoms = _pdb_atoms(spark, sf_dir).withColumn("shard", F.pmod(F.hash("id"), F.lit(4)))
-    root = write_pdb(atoms, _scratch(spark, "pdb_sharded"), _n_files(spark), partition_col="shard")
+    root = write_pdb(atoms, _scratch(spark, "pdb_sharded"), _n_files(spark), partition_col="shard",
+                     order_col="ord_key")
     where = discover(spark, f"{root}/prediction_results", root)
     inv = structure_inventory(spark, where, "*.txt").filter(F.col("length") > 0)
     structs = read_pdb(spark, where, "*.txt").join(inv.select("file_name"), "file_name", "left_semi")
@@ -444,7 +447,8 @@ def stream_score(spark, sf_dir):
     checkpointed, availableNow) into Parquet."""
     from seqscore.sinks.files import write_pdb
     from seqscore.streaming.incremental import run_incremental
-    src = write_pdb(_pdb_atoms(spark, sf_dir), _scratch(spark, "stream_in"), _n_files(spark))
+    src = write_pdb(_pdb_atoms(spark, sf_dir), _scratch(spark, "stream_in"), _n_files(spark),
+                    order_col="ord_key")
     out, ckpt = _scratch(spark, "stream_out"), _scratch(spark, "stream_ckpt")
     run_incremental(spark, src, out, ckpt, CFG)
     s = spark.read.parquet(out)

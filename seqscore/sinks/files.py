@@ -82,7 +82,8 @@ MAX_LINES_PER_FILE = 1_000_000   # ~80 MB of PDB text per file
 
 def write_pdb(atoms: DataFrame, path: str, num_files: int, id_col: str = "id",
               pos_col: str = "ord", partition_col: str | None = None,
-              max_lines_per_file: int = MAX_LINES_PER_FILE) -> str:
+              max_lines_per_file: int = MAX_LINES_PER_FILE,
+              order_col: str | None = None) -> str:
     """Multi-structure PDB text files: per structure a ``HEADER`` line with
     the id, its ``ATOM`` lines in position order, and ``END``.
 
@@ -94,14 +95,20 @@ def write_pdb(atoms: DataFrame, path: str, num_files: int, id_col: str = "id",
     text row, so no second pass over the atoms is needed.  The file count
     is at least ``num_files`` and grows with the atom count so a file stays
     near ``max_lines_per_file`` lines (files are read back whole).
-    ``partition_col`` optionally adds a directory level."""
+    ``partition_col`` optionally adds a directory level.  With ``order_col``
+    the positions are numbered here, in the same bounded window (no separate
+    ordinal pass); otherwise ``pos_col`` holds them."""
     n_atoms = atoms.count()
     num_files = max(int(num_files), -(-n_atoms // int(max_lines_per_file)))
-    pos = F.col(pos_col)
-    keep = [F.col(id_col).alias("id"), pos.cast("bigint").alias("_pos"), "resname", "x", "y", "z",
+    src = F.col(order_col) if order_col else F.col(pos_col).cast("bigint")
+    keep = [F.col(id_col).alias("id"), src.alias("_src"), "resname", "x", "y", "z",
             "plddt"] + ([partition_col] if partition_col else [])
     a = atoms.select(*keep).repartition(int(num_files), "id")
     w = Window.partitionBy("id")
+    if order_col:
+        a = a.withColumn("_pos", F.row_number().over(w.orderBy("_src")).cast("bigint"))
+    else:
+        a = a.withColumnRenamed("_src", "_pos")
     a = a.withColumns({"_first": F.min("_pos").over(w), "_last": F.max("_pos").over(w)})
     within = F.assert_true(F.col("_last") <= F.lit(PDB_MAX_ATOMS),
                            F.lit(f"structure exceeds the PDB limit of {PDB_MAX_ATOMS} atoms"))
