@@ -1,0 +1,156 @@
+import zlib
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from seqscore.llm.packing import SumOfSquares, pack, pack_documents, sequences, token_pieces
+from seqscore.llm.token_files import EliasFano, TokenShard, blob_files, token_file_round_trip, write_token_files
+from seqscore.llm.common import RangeReader, scratch_path
+from seqscore.llm.tokenizing import TextEncoder, default_vocabulary
+
+ODD = ["", " ", "a  b", "a \n b", "a\n b\n\n c ", "it's  a test's end", "x<|endoftext|> y", "\ta b\t",
+       "héllo wörld ñandú ß.\nÜber,  naïve", "a\n \nb", " lead", "trail ", "one", "\n\n", "日本語 テキスト　x 🙂 y"]
+
+
+@pytest.fixture(scope="module")
+def plain():
+    from tokenizers import Tokenizer
+    tok = Tokenizer.from_file(default_vocabulary())
+    return lambda t: tok.encode(t or "", add_special_tokens=False).ids
+
+
+def test_encoder_equals_the_tokenizer_on_odd_texts(plain):
+    enc = TextEncoder.of(default_vocabulary())
+    for t, raw in zip(ODD, enc.encode(ODD), strict=True):
+        assert np.frombuffer(raw, "<u4").tolist() == plain(t), repr(t)
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text(alphabet=" \n\tab,.'sé1  ß", max_size=30), min_size=1, max_size=4))
+def test_encoder_equals_the_tokenizer_on_random_texts(texts):
+    from tokenizers import Tokenizer
+    enc = TextEncoder.of(default_vocabulary())
+    tok = Tokenizer.from_file(default_vocabulary())
+    for t, raw in zip(texts, enc.encode(texts), strict=True):
+        assert np.frombuffer(raw, "<u4").tolist() == tok.encode(t, add_special_tokens=False).ids
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.integers(0, 5000), max_size=700), st.integers(1, 10**12))
+def test_elias_fano_round_trip(values, scale):
+    x = np.sort(np.asarray(values, np.int64)) * scale // 5000
+    u = int(x[-1]) + 1 if len(x) else 1
+    ef, _ = EliasFano.from_bytes(EliasFano.build(x, u).to_bytes())
+    assert ef.values().tolist() == x.tolist()
+    assert [ef.select(i) for i in range(0, len(x), 7)] == x[::7].tolist()
+
+
+def test_token_files(spark, docs_of, plain):
+    rows = [(5, "hello world"), (3, None), (None, "no id"), (9, ODD[8]), (3, "again"), (2**60, ODD[14]), (7, ""),
+            (4, "word " * 3000)]
+    df = docs_of([(a, b, 1, "x") for a, b in rows], "doc_id long, text string, start int, id string")
+    got = token_file_round_trip(df, ids_per_shard=50).collect()
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
+    want, at = [], 0
+    for k, t in order:
+        ids = plain(t) + [0]
+        want.append((k, at, len(ids), zlib.crc32(np.asarray(ids, "<u4").tobytes())))
+        at += len(ids)
+    assert sorted(map(tuple, got), key=lambda r: r[1]) == want
+
+
+def test_token_files_empty(spark, docs_of):
+    assert token_file_round_trip(docs_of([])).collect() == []
+
+
+def test_shard_random_access(spark, docs_of, plain):
+    path = scratch_path(spark, "shards")
+    texts = [f"text number {i} " + "word " * (i % 7) for i in range(600)]
+    write_token_files(docs_of(list(enumerate(texts))), path, partitions=1)
+    (file,) = [r.path for r in blob_files(spark, path).collect()]
+    with RangeReader(file) as r:
+        shard = TokenShard(r)
+        for i in (0, 1, 255, 256, 257, 599):
+            assert shard.ids(*shard.bounds(i)).tolist() == plain(texts[i]) + [0]
+
+
+def check_packing(rows, total_docs=None):
+    places = {}
+    for r in rows:
+        places.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for spans in places.values():
+        at = 0
+        for off, n in sorted(spans):
+            assert off == at
+            at += n
+        assert at <= 1024
+    return len(places)
+
+
+def test_packing_pieces_and_places(spark, docs_of, plain):
+    rows = [(1, "hello"), (2, None), (2, None), (None, "x y"), (3, "word " * 5000), (4, "a b c " * 341)]
+    df = docs_of([(a, b, 7) for a, b in rows], "doc_id long, text string, offset int")
+    got = pack_documents(df).collect()
+    check_packing(got)
+    by = {}
+    for r in got:
+        by.setdefault(r.doc_id, []).append(r)
+    for key, text in [(1, "hello"), (3, "word " * 5000), (None, "x y")]:
+        ids = np.asarray(plain(text) + [2], "<u4")
+        parts = sorted(by[key], key=lambda r: r.piece)
+        assert [p.piece for p in parts] == list(range(len(parts)))
+        at = 0
+        for p in parts:
+            assert (p.start, zlib.crc32(ids[at:at + p.length].tobytes())) == (at, p.ids_crc32)
+            at += p.length
+        assert at == len(ids) and all(p.length == 1024 for p in parts[1:])
+    assert len(by[2]) == 2
+    assert pack_documents(docs_of([])).collect() == []
+
+
+def test_packing_is_tight(spark):
+    rng = np.random.default_rng(0)
+    lens = rng.integers(1, 1025, 4000)
+    df = spark.createDataFrame([(i, 0, 0, int(n), 0) for i, n in enumerate(lens)],
+                               "doc_id long, piece int, start long, length long, ids_crc32 long")
+    n = check_packing(pack(df).collect())
+    bound = max(-(-int(lens.sum()) // 1024), int((lens > 512).sum()))
+    assert n <= 1.02 * bound
+    apart = check_packing(pack(df, items_per_packer=1000).collect())
+    assert n <= apart <= 1.05 * bound
+
+
+def test_sum_of_squares_rule():
+    """Each placement is the one that brute force over all open gaps prefers."""
+    rng = np.random.default_rng(3)
+    packer, gaps = SumOfSquares(20), {}
+    for n in sorted(rng.integers(1, 21, 300).tolist(), reverse=True):
+        seq, off = packer.place(n)
+        before = dict(gaps)
+
+        def cost(g):
+            c = np.bincount([v for v in before.values() if v] or [0], minlength=21)
+            c[0] = 0
+            c[g] -= 1
+            if g - n:
+                c[g - n] += 1
+            return int((c ** 2).sum()), g
+        fits = [g for g in before.values() if g >= n]
+        if fits:
+            assert 20 - off == min(fits, key=cost)
+        else:
+            assert off == 0
+        gaps[seq] = 20 - off - n
+
+
+def test_sequences_hold_the_ids(spark, docs_of, plain):
+    df = docs_of([(i, f"text {i} " * (i + 1)) for i in range(40)])
+    pieces = token_pieces(df, keep_ids=True)
+    placed = pack(pieces)
+    whole = {r.sequence_id: (r.length, np.frombuffer(bytes(r.ids), "<u4")) for r in sequences(pieces, placed).collect()}
+    for r in placed.collect():
+        n, ids = whole[r.sequence_id]
+        assert len(ids) == n
+        assert zlib.crc32(ids[r.offset:r.offset + r.length].tobytes()) == r.ids_crc32
