@@ -43,16 +43,16 @@ class RangeReader:
         if uri.startswith("file:/") and not uri.startswith("file://"):
             uri = "file://" + uri[len("file:"):]
         fs, path = pafs.FileSystem.from_uri(uri)
-        self._file = fs.open_input_file(path)
-        self.size = self._file.size()
+        self.file = fs.open_input_file(path)
+        self.size = self.file.size()
 
     def read_at(self, offset: int, length: int) -> bytes:
         if offset < 0 or length < 0 or offset + length > self.size:
             raise ValueError(f"range {offset}+{length} outside a file of {self.size} bytes")
-        return self._file.read_at(length, offset) if length else b""
+        return self.file.read_at(length, offset) if length else b""
 
     def close(self) -> None:
-        self._file.close()
+        self.file.close()
 
     def __enter__(self) -> RangeReader:
         return self

@@ -4,19 +4,71 @@ production parameters, to its whole table."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from seqscore.sources.tables import read_table
 
 
+def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .simhash import near_duplicates
+    return near_duplicates(read_table(spark, sf_dir, "documents", ["doc_id", "text"]),
+                           words_per_shingle=3, max_distance=2)
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .toxicity import toxicity
+    return toxicity(read_table(spark, sf_dir, "documents", ["doc_id", "text"]),
+                    read_table(spark, sf_dir, "labels", ["doc_id", "toxic"]))
+
+
+def op3_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .warc_zip import archive_round_trip
+    return archive_round_trip(read_table(spark, sf_dir, "pages", ["page_id", "url", "html"])).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import pack_documents
     return pack_documents(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
 
 
+def op5_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .difference_sketch import document_fingerprints
+    return document_fingerprints(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
+
+
+def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .raking import mix
+    mixed = mix(read_table(spark, sf_dir, "documents", ["doc_id", "text", "lang", "source"]))
+    plain = lambda c: F.when(F.col(c) != "null", F.substring(c, 2, 1 << 20))
+    return mixed.select("doc_id", plain("mix_source").alias("source"), plain("mix_lang").alias("lang"),
+                        plain("mix_topic").alias("topic"), F.col("mix_tokens").alias("tokens"),
+                        F.col("mix_weight").alias("weight"), F.col("mix_probability").alias("probability"),
+                        F.col("mix_sampled").alias("sampled"))
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .language import language_id
+    return language_id(read_table(spark, sf_dir, "documents", ["doc_id", "text", "lang"]))
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .token_files import token_file_round_trip
     return token_file_round_trip(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
 
 
-QUERIES = {f.__name__: f for f in (op4_best_fit_packing, op8_token_files)}
+def op9_metric_range_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .metric_join import range_join
+    return range_join(read_table(spark, sf_dir, "embeddings", ["vec_id", "embedding"]), min_cosine=0.95)
+
+
+def op10_quality_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality import quality
+    return quality(read_table(spark, sf_dir, "documents", ["doc_id", "text", "lang"]),
+                   read_table(spark, sf_dir, "labels", ["doc_id", "quality"]))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_simhash_near_dedup, op2_toxicity, op3_warc_zip, op4_best_fit_packing, op5_document_fingerprints,
+    op6_source_mixing, op7_language_id, op8_token_files, op9_metric_range_join, op10_quality_perplexity)}
 ORACLE_SQL: dict[str, str] = {}
