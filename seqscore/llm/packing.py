@@ -21,10 +21,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut_lineage
-from .tokenizing import TextEncoder, default_vocabulary
+from .tokenizing import TextEncoder, blocks, default_vocabulary
 
 ITEMS_PER_PACKER = 200_000
-ROWS_AT_ONCE = 64
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary"
 
 
@@ -78,10 +77,10 @@ def token_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             keys = [None if no else k
                     for no, k in zip(f["no_id"].tolist(), f["id"].tolist(), strict=True)]
             texts = f["text"].tolist()
-            for at in range(0, len(texts), ROWS_AT_ONCE):
+            for at, to in blocks(texts):
                 rows = []
-                for key, raw in zip(keys[at:at + ROWS_AT_ONCE],
-                                    enc.encode(texts[at:at + ROWS_AT_ONCE]), strict=True):
+                for key, raw in zip(keys[at:to],
+                                    enc.encode(texts[at:to]), strict=True):
                     raw += end
                     n = len(raw) // 4
                     stop, start, piece = n % capacity or capacity, 0, 0

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import RangeReader, blob_files, scratch_path, write_blobs
-from .tokenizing import TextEncoder, default_vocabulary
+from .tokenizing import TextEncoder, blocks, default_vocabulary
 
 MAGIC = b"EFTOKS1\0"
 # part, shard, documents, of them without an id, ids, bytes an id, smallest doc_id
@@ -36,7 +36,6 @@ SAMPLE = 256
 # A shard is closed once it holds this many ids (a longer document fills one
 # alone); it bounds a task's memory, not what is stored.
 IDS_PER_SHARD = 16_000_000
-ROWS_AT_ONCE = 64
 
 
 class EliasFano:
@@ -202,9 +201,9 @@ def write_token_files(docs: DataFrame, path: str, id_col: str = "doc_id", text_c
         for f in frames:
             keys = [None if no else k for no, k in zip(f["no_id"].tolist(), f["id"].tolist(), strict=True)]
             texts = f["text"].tolist()
-            for at in range(0, len(texts), ROWS_AT_ONCE):
-                for k, raw in zip(keys[at:at + ROWS_AT_ONCE],
-                                  enc.encode(texts[at:at + ROWS_AT_ONCE]), strict=True):
+            for at, to in blocks(texts):
+                for k, raw in zip(keys[at:to],
+                                  enc.encode(texts[at:to]), strict=True):
                     raw += end
                     if ids and held + len(raw) // 4 > ids_per_shard:
                         yield pd.DataFrame({"shard": [encode_shard(part, shard, doc_ids, ids,

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import re
+from itertools import pairwise
 
 import numpy as np
 
-# Below this many remembered words a worker keeps every word's ids; beyond it
-# the memory starts afresh.  It bounds memory only, never a result.
-WORDS_KEPT = 400_000
+# A worker that remembers more words than this starts afresh with the next block
+# of texts.  It bounds memory only, never a result.
+WORDS_KEPT = 1_500_000
 
 _BREAK = re.compile(r" \s")
 
@@ -59,34 +60,49 @@ class TextEncoder:
         """Remember the ids of ``words`` (none holds a space or is empty)."""
         for at in range(0, len(words), 4096):
             part = words[at:at + 4096]
-            ids = np.asarray(self._tok.encode_batch_fast(
-                [" " + " ".join(part)], add_special_tokens=False)[0].ids, "<u4")
-            ends = np.cumsum(self._width[ids])
-            cut = np.cumsum([1 + len(w.encode()) for w in part])
-            stops = np.searchsorted(ends, cut) + 1
-            raw, start = ids.tobytes(), 0
-            for w, stop in zip(part, stops.tolist(), strict=True):
-                self._words[w] = raw[4 * start:4 * stop]
-                start = stop
+            joined = " " + " ".join(part)
+            ids = np.asarray(self._tok.encode_batch_fast([joined], add_special_tokens=False)[0].ids, "<u4")
+            raw = joined.encode()
+            blanks = np.flatnonzero(np.frombuffer(raw, np.uint8) == 32)
+            cut = [*(4 * np.searchsorted(np.cumsum(self._width[ids]), blanks, "right")).tolist(), 4 * len(ids)]
+            packed = ids.tobytes()
+            self._words.update(zip(part, [packed[a:b] for a, b in pairwise(cut)], strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        if len(self._words) > WORDS_KEPT:
+            self._words = {}
+        get = self._words.get
         split: list[list[str] | None] = []
+        found: list[list[bytes | None]] = []
+        fresh: set[str] = set()
         for t in texts:
-            odd = t.endswith(" ") or _BREAK.search(t) or any(s in t for s in self._special)
-            split.append(None if odd else t.split(" "))
-        met: set[str] = set()
-        for p in split:
-            if p:
-                met.update(p[1:])
-        fresh = met - self._words.keys()
-        if len(self._words) + len(fresh) > WORDS_KEPT:
-            self._words, fresh = {}, met
-        self._learn(sorted(fresh))
-        out = []
-        for t, p in zip(texts, split, strict=True):
-            if p is None:
-                out.append(self._whole(t))
+            if t.endswith(" ") or _BREAK.search(t) or any(s in t for s in self._special):
+                split.append(None)
+                found.append([self._whole(t)])
                 continue
-            known = self._words
-            out.append(self._whole(p[0]) + b"".join([known[w] for w in p[1:]]))
-        return out
+            words = t.split(" ")
+            ids = list(map(get, words))
+            ids[0] = self._whole(words[0])  # it has no blank before it
+            if None in ids:
+                fresh.update([w for w, i in zip(words, ids, strict=True) if i is None])
+                split.append(words)
+            else:
+                split.append(None)
+            found.append(ids)
+        if fresh:
+            self._learn(list(fresh))
+        return [b"".join(ids if words is None else
+                         [get(w) if i is None else i for w, i in zip(words, ids, strict=True)])
+                for words, ids in zip(split, found, strict=True)]
+
+
+def blocks(texts: list[str], chars: int = 1_000_000):
+    """Ranges of consecutive texts of about ``chars`` characters, for ``encode``."""
+    start, held = 0, 0
+    for i, t in enumerate(texts):
+        if i > start and held + len(t) > chars:
+            yield start, i
+            start, held = i, 0
+        held += len(t)
+    if start < len(texts):
+        yield start, len(texts)

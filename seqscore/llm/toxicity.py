@@ -26,14 +26,18 @@ from .common import fold
 
 MAX_TRAINING_ROWS = 20_000
 BUCKETS = 1 << 18
+STEM = 4
 _EDGE = ".,;:!?|\"'()[]{}<>*&%$#@-_/\\…«»„“”‘’¡¿"
 
 
 def hashed_terms(text: str | None, buckets: int = BUCKETS) -> np.ndarray:
     """Sorted distinct buckets of the text's lower-cased words, edge
-    punctuation left out.  Null, empty and blank texts have none."""
+    punctuation left out, and of the first ``STEM`` letters of longer ones, so
+    that inflected and compound forms share a term.  Null, empty and blank
+    texts have none."""
     words = {w.strip(_EDGE) for w in set((text or "").lower().split())}
     words.discard("")
+    words |= {w[:STEM] + "-" for w in words if len(w) > STEM}
     crc = zlib.crc32
     return np.unique(np.fromiter((crc(w.encode("utf-8", "surrogatepass")) for w in words),
                                  np.int64, len(words)) & (buckets - 1))
@@ -81,10 +85,11 @@ class FactorizationMachine:
                    np.frombuffer(raw, "<f8", n * k, at + 16 * n).reshape(n, k))
 
 
-def fit(rows: list[np.ndarray], labels: np.ndarray, factors: int = 4, epochs: int = 12,
-        batch: int = 256, rate: float = 0.1, l1: float = 2e-4, l2: float = 1e-4,
-        least_documents: int = 4, seed: int = 7) -> FactorizationMachine:
-    """Minibatch AdaGrad on the logistic loss, the classes weighted towards
+def fit(rows: list[np.ndarray], labels: np.ndarray, factors: int = 4, steps: int = 640,
+        epochs: int = 8, batch: int = 256, rate: float = 0.1, l1: float = 1e-3, l2: float = 1e-4,
+        least_documents: int = 4, power: float = 0.5, seed: int = 7) -> FactorizationMachine:
+    """Minibatch AdaGrad on the logistic loss (``steps`` of them and ``epochs``
+    over the sample at least), the classes weighted towards
     balance by the root of their ratio; soft thresholding (``l1``) takes terms
     that carry no signal to zero, so long texts gather no noise."""
     y = np.asarray(labels, np.float64)
@@ -102,8 +107,9 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, factors: int = 4, epochs: in
     size = len(terms)
     b, w, v = prior, np.zeros(size), rng.normal(0, 0.01, (size, factors))
     gb, gw, gv = 1e-6, np.full(size, 1e-6), np.full((size, factors), 1e-6)
-    lift = np.sqrt((n - positives) / positives)
-    for _ in range(epochs):
+    lift = ((n - positives) / positives) ** power
+    batch = min(batch, max(32, n // 16))
+    for _ in range(max(epochs, -(-steps * batch // n))):
         order = rng.permutation(n)
         for lo in range(0, n, batch):
             part = order[lo:lo + batch]
