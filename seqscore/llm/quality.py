@@ -235,33 +235,50 @@ def train(spark: SparkSession, trusted: DataFrame, text_col: str = "text") -> li
     return write_model(kneser_ney(ngram_counts(trusted, text_col)), scratch_path(spark, "language-model"))
 
 
-def quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-            lang_col: str = "lang", label_col: str = "quality", quantile: float = 0.995,
-            folds: int = 5, out: str = "perplexity") -> DataFrame:
-    """``id_col``, lang, perplexity, threshold, keep for every row of ``docs``.
+def judged(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+           lang_col: str = "lang", label_col: str = "quality", quantile: float = 0.995,
+           folds: int = 5, prefix: str = "") -> DataFrame:
+    """``docs``, all rows and columns, with the columns ``prefix`` + perplexity,
+    threshold and keep.
 
     Trusted are documents whose label is 1.  All but one fold of them train the
     model; the ``quantile`` of the perplexities of the fold left out, language
     by language, is the threshold (of all languages together where a language
     has none; a null language is one of its own).  keep is 1 up to the
     threshold, 0 above it, and 0 for texts without a word; without any trusted
-    text, every text with a word is kept."""
+    text left out, every text with a word is kept."""
     spark = docs.sparkSession
     good = (labels.filter(F.col(label_col) == 1).select(F.col(id_col).cast("long").alias("id"))
             .filter("id is not null").distinct())
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(lang_col).cast("string").alias("lang"),
                        F.col(text_col).alias("text"))
-    rest = fold(F.col("id"), folds) != 0
-    trusted = rows.select("id", "text").filter(rest).join(good.filter(rest), "id", "left_semi")
-    files = train(spark, trusted)
-    scored = cut_lineage(perplexities(rows, files, "text", out).drop("text"))
-    measured = scored.join(good.filter(~rest), "id", "left_semi").filter(F.col(out).isNotNull())
-    cut = F.percentile_approx(out, quantile, 10_000)
+    out = fold(F.col("id"), folds) == 0
+    files = train(spark, rows.filter(~out).join(good.filter(~out), "id", "left_semi"), "text")
+    measured = cut_lineage(
+        perplexities(rows.filter(out).join(good.filter(out), "id", "left_semi"), files)
+        .select("lang", "perplexity").filter("perplexity is not null"))
+    cut = F.percentile_approx("perplexity", quantile, 10_000)
+    overall = measured.agg(cut).first()[0]
     # one row for each language
-    per_language = measured.groupBy("lang").agg(cut.alias("t"))
-    overall = measured.agg(cut.alias("overall"))
-    marked = (scored.join(F.broadcast(per_language.withColumnRenamed("lang", "l")),
-                          F.col("lang").eqNullSafe(F.col("l")), "left")
-              .withColumn("threshold", F.coalesce("t", F.lit(overall.first()["overall"]))))
-    keep = F.col(out).isNotNull() & (F.col("threshold").isNull() | (F.col(out) <= F.col("threshold")))
-    return marked.select(F.col("id").alias(id_col), "lang", out, "threshold", keep.cast("int").alias("keep"))
+    per_language = measured.groupBy(F.col("lang").alias("__lang")).agg(cut.alias("__t"))
+    ppl, top = f"{prefix}perplexity", f"{prefix}threshold"
+    scored = perplexities(docs, files, text_col, ppl).join(
+        F.broadcast(per_language), F.col(lang_col).cast("string").eqNullSafe(F.col("__lang")), "left")
+    keep = F.col(ppl).isNotNull() & (F.col(top).isNull() | (F.col(ppl) <= F.col(top)))
+    return (scored.withColumn(top, F.coalesce("__t", F.lit(overall).cast("double")))
+            .withColumn(f"{prefix}keep", keep.cast("int")).drop("__lang", "__t"))
+
+
+def quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+            lang_col: str = "lang", label_col: str = "quality", **options) -> DataFrame:
+    """doc_id, lang, perplexity, threshold, keep for every row of ``docs``, see
+    ``judged``."""
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(lang_col).alias("lang"),
+                       F.col(text_col).alias("text"))
+    known = labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).alias("quality"))
+    return judged(rows, known, **options).drop("text")
+
+
+def keep_within(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs`` that ``judged`` keeps, with their own columns."""
+    return judged(docs, labels, prefix="__quality_", **options).filter("__quality_keep = 1").select(*docs.columns)
