@@ -20,8 +20,8 @@ from seqscore.llm.common import scratch_path
 from seqscore.sources.tables import read_table
 
 TOXIC_FROM = 0.7
-# Trusted documents decide the quality threshold; this share of them stays.
-QUALITY_QUANTILE = 0.998
+# Trusted documents decide the quality threshold: beyond this quantile of theirs, times the margin.
+QUALITY_QUANTILE, QUALITY_MARGIN = 0.998, 1.2
 WORDS_PER_SHINGLE, MAX_DISTANCE = 3, 2
 MIX_EXPONENT, MIX_FRACTION = 0.7, 0.6
 SEQUENCE_TOKENS = 1024
@@ -36,7 +36,7 @@ def keep_civil(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose perplexity is within their language's quantile."""
     return quality.keep_within(docs, read_table(spark, sf_dir, "labels", ["doc_id", "quality"]),
-                               quantile=QUALITY_QUANTILE)
+                               quantile=QUALITY_QUANTILE, margin=QUALITY_MARGIN)
 
 
 def keep_first_of_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

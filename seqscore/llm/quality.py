@@ -30,6 +30,8 @@ ORDER = 5
 REPEAT = "\x01"
 BLOCK_BYTES = 1 << 22
 """Bytes of text whose n-grams a task holds at a time."""
+SHORT = 2.0
+"""Standard deviation, in nats, allowed to the log-probability of one byte."""
 
 
 def symbols(text: str | None) -> bytes:
@@ -208,12 +210,14 @@ class ModelFiles:
         return acc
 
 
-def perplexities(docs: DataFrame, files: list[str], text_col: str = "text", out: str = "perplexity") -> DataFrame:
-    """``docs`` with a column of perplexities per byte; null for texts without a word."""
+def perplexities(docs: DataFrame, files: list[str], text_col: str = "text", out: str = "ppl") -> DataFrame:
+    """``docs`` with a column ``out`` of (perplexity, lower): the perplexity per
+    byte and its lower bound by the text's length, as a short text's perplexity
+    says less; null for texts without a word."""
     shared = docs.sparkSession.sparkContext.broadcast(files)
 
-    @F.pandas_udf("double")
-    def apply(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.pandas_udf("perplexity double, lower double")
+    def apply(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         model = ModelFiles(shared.value)
         for s in texts:
             found = []
@@ -223,9 +227,10 @@ def perplexities(docs: DataFrame, files: list[str], text_col: str = "text", out:
                 logp = model.log_probabilities(distinct)
                 each = logp[np.searchsorted(distinct, codes)]
                 sums = np.add.reduceat(each, np.concatenate([[0], np.cumsum(lengths)[:-1]]))
-                ppl = np.exp(-sums / lengths)
-                found += [None if not b else float(p) for b, p in zip(block, ppl, strict=True)]
-            yield pd.Series(found, dtype="float64")
+                nats = -sums / lengths
+                found += [(None, None) if not b else (float(np.exp(x)), float(np.exp(x - SHORT / n ** 0.5)))
+                          for b, x, n in zip(block, nats, lengths, strict=True)]
+            yield pd.DataFrame(found, columns=["perplexity", "lower"], dtype="float64")
 
     return docs.withColumn(out, apply(F.col(text_col)))
 
@@ -236,17 +241,18 @@ def train(spark: SparkSession, trusted: DataFrame, text_col: str = "text") -> li
 
 
 def judged(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-           lang_col: str = "lang", label_col: str = "quality", quantile: float = 0.995,
-           folds: int = 5, prefix: str = "") -> DataFrame:
+           lang_col: str = "lang", label_col: str = "quality", quantile: float = 0.998,
+           margin: float = 1.2, folds: int = 5, prefix: str = "") -> DataFrame:
     """``docs``, all rows and columns, with the columns ``prefix`` + perplexity,
-    threshold and keep.
+    lower, threshold and keep.
 
     Trusted are documents whose label is 1.  All but one fold of them train the
-    model; the ``quantile`` of the perplexities of the fold left out, language
-    by language, is the threshold (of all languages together where a language
-    has none; a null language is one of its own).  keep is 1 up to the
-    threshold, 0 above it, and 0 for texts without a word; without any trusted
-    text left out, every text with a word is kept."""
+    model; ``margin`` times the ``quantile`` of the lower bounds of the fold
+    left out, language by language, is the threshold (of all languages together
+    where a language has none; a null language is one of its own).  The margin
+    covers the error of a quantile of few documents.  keep is 1 for lower
+    bounds up to the threshold, 0 above it, and 0 for texts without a word;
+    without any trusted text left out, every text with a word is kept."""
     spark = docs.sparkSession
     good = (labels.filter(F.col(label_col) == 1).select(F.col(id_col).cast("long").alias("id"))
             .filter("id is not null").distinct())
@@ -256,22 +262,23 @@ def judged(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     files = train(spark, rows.filter(~out).join(good.filter(~out), "id", "left_semi"), "text")
     measured = cut_lineage(
         perplexities(rows.filter(out).join(good.filter(out), "id", "left_semi"), files)
-        .select("lang", "perplexity").filter("perplexity is not null"))
-    cut = F.percentile_approx("perplexity", quantile, 10_000)
+        .select("lang", "ppl.lower").filter("lower is not null"))
+    cut = F.percentile_approx("lower", quantile, 10_000) * margin
     overall = measured.agg(cut).first()[0]
     # one row for each language
     per_language = measured.groupBy(F.col("lang").alias("__lang")).agg(cut.alias("__t"))
-    ppl, top = f"{prefix}perplexity", f"{prefix}threshold"
-    scored = perplexities(docs, files, text_col, ppl).join(
+    ppl, low, top = (f"{prefix}{x}" for x in ("perplexity", "lower", "threshold"))
+    scored = perplexities(docs, files, text_col, "__ppl").join(
         F.broadcast(per_language), F.col(lang_col).cast("string").eqNullSafe(F.col("__lang")), "left")
-    keep = F.col(ppl).isNotNull() & (F.col(top).isNull() | (F.col(ppl) <= F.col(top)))
-    return (scored.withColumn(top, F.coalesce("__t", F.lit(overall).cast("double")))
-            .withColumn(f"{prefix}keep", keep.cast("int")).drop("__lang", "__t"))
+    keep = F.col(low).isNotNull() & (F.col(top).isNull() | (F.col(low) <= F.col(top)))
+    return (scored.withColumns({ppl: F.col("__ppl.perplexity"), low: F.col("__ppl.lower"),
+                                top: F.coalesce("__t", F.lit(overall).cast("double"))})
+            .withColumn(f"{prefix}keep", keep.cast("int")).drop("__lang", "__t", "__ppl"))
 
 
 def quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             lang_col: str = "lang", label_col: str = "quality", **options) -> DataFrame:
-    """doc_id, lang, perplexity, threshold, keep for every row of ``docs``, see
+    """doc_id, lang, perplexity, lower, threshold, keep for every row of ``docs``, see
     ``judged``."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(lang_col).alias("lang"),
                        F.col(text_col).alias("text"))
