@@ -36,13 +36,13 @@ SHORT = 2.0
 
 def symbols(text: str | None) -> bytes:
     """The bytes the model reads for a text: words joined by single blanks (line
-    breaks count as blanks), repeated words as one sign."""
+    breaks count as blanks), a repeated word and its blank as one sign."""
     words = (text or "").split()
     if not words:
         return b""
     if any(a == b for a, b in zip(words, words[1:], strict=False)):
         words = [words[0], *(REPEAT if a == b else b for a, b in zip(words, words[1:], strict=False))]
-    return " ".join(words).encode("utf-8", "surrogatepass")
+    return " ".join(words).replace(" " + REPEAT, REPEAT).encode("utf-8", "surrogatepass")
 
 
 def ngrams(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
