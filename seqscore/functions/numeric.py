@@ -7,13 +7,37 @@ from pyspark.sql import functions as F
 
 
 def round_dp(col: Column | str, digits: int) -> Column:
-    """Round half-up on the decimal value, returned as DOUBLE.
+    """Round half to even on the decimal value, returned as DOUBLE.
 
     Going through DECIMAL makes the result independent of how an engine
-    multiplies binary doubles, so the same SQL gives the same digits.
+    multiplies binary doubles, so the same SQL gives the same digits.  A value
+    such as 2.675, which binary doubles can't hold, counts as the decimal that
+    it is written as; a rounding of the binary value may differ there.
     """
     c = F.col(col) if isinstance(col, str) else col
-    return F.round(c.cast("decimal(38,12)"), digits).cast("double")
+    return F.bround(c.cast("decimal(38,12)"), digits).cast("double")
+
+
+def no_nan(col: Column | str) -> Column:
+    """The value, NULL for NaN (a missing number written by another tool)."""
+    c = F.col(col) if isinstance(col, str) else col
+    return F.when(~F.isnan(c), c)
+
+
+def best_first(col: Column | str) -> Column:
+    """Descending sort key; NULL and NaN come last."""
+    return no_nan(col).desc_nulls_last()
+
+
+def least_first(col: Column | str) -> Column:
+    """Ascending sort key; NULL and NaN come last."""
+    return no_nan(col).asc_nulls_last()
+
+
+def score_key(col: Column | str) -> Column:
+    """A score as a sort key: 12 decimals, below which sums of doubles depend on
+    the order of their addition and a rank would differ between runs."""
+    return no_nan(col).cast("decimal(38,12)")
 
 
 def norm3(x: Column, y: Column, z: Column) -> Column:

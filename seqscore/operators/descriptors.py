@@ -5,10 +5,8 @@ F3, the dipeptide instability index, needs a 20x20 weight table:
 
     II = (10 / L) * sum_i w(s_i s_{i+1})
 
-The published dipeptide weights are not available offline, so the table
-is a parameter.  ``corpus_dipeptide_weights`` derives one from the data
-itself (integer scaled log-odds of observed vs. expected dipeptide
-counts) for runs without a supplied table.
+The published dipeptide weights are not available offline, so the table is
+an input; without one the index is NULL.
 """
 
 from __future__ import annotations
@@ -21,7 +19,7 @@ from pyspark.sql.functions import pandas_udf
 
 from seqscore import constants as C
 from seqscore.functions import sequence as S
-from seqscore.session import cut_lineage
+from seqscore.functions.numeric import no_nan
 
 
 def dipeptide_counts(seqs: DataFrame, key: str = "seq_idx", seq_col: str = "sequence") -> DataFrame:
@@ -35,21 +33,6 @@ def dipeptide_counts(seqs: DataFrame, key: str = "seq_idx", seq_col: str = "sequ
     return pos.groupBy(key, "dipeptide").agg(F.count(F.lit(1)).alias("n"))
 
 
-def corpus_dipeptide_weights(counts: DataFrame) -> DataFrame:
-    """(dipeptide, weight): ``round(10 * ln(observed / expected))`` where
-    expected = N * P(first letter) * P(second letter); ``counts`` has
-    (dipeptide, n) rows.  At most 400 rows, so it is safe to broadcast."""
-    dp = counts.groupBy("dipeptide").agg(F.sum("n").alias("obs"))
-    dp = dp.withColumns({"_a": F.substring("dipeptide", 1, 1), "_b": F.substring("dipeptide", 2, 1)})
-    tot = dp.agg(F.sum("obs").alias("_N"))
-    fa = dp.groupBy("_a").agg(F.sum("obs").alias("_na"))
-    fb = dp.groupBy("_b").agg(F.sum("obs").alias("_nb"))
-    j = dp.join(F.broadcast(fa), "_a").join(F.broadcast(fb), "_b").join(F.broadcast(tot))
-    expected = F.col("_na").cast("double") * F.col("_nb").cast("double") / F.col("_N").cast("double")
-    return j.select("dipeptide",
-                    F.round(F.lit(10.0) * F.log(F.col("obs").cast("double") / expected)).alias("weight"))
-
-
 # -- vectorised path: residue codes with numpy inside Arrow batches ----------
 
 def _lut():
@@ -68,47 +51,27 @@ def _pair_codes(seq: str, lut):
     return (a[keep] * 20 + b[keep]).astype(np.int64)
 
 
-def residue_counts(seq: F.Column) -> F.Column:
-    """Counts of the twenty residues (conventional order) in one pass over
-    each sequence (numpy ``bincount`` on byte codes, Arrow batches)."""
+def residue_profile(seq: F.Column, weights: list[float] | None) -> F.Column:
+    """struct(counts, pair_sum) in one pass over each sequence (numpy on byte
+    codes, Arrow batches): counts of the twenty residues in conventional
+    order, and the sum of the dipeptide weights (NULL without weights)."""
+    w = None if weights is None else np.asarray(weights, dtype=np.float64)
 
-    @pandas_udf("array<int>")
-    def counts(s: pd.Series) -> pd.Series:
+    @pandas_udf("counts array<int>, pair_sum double")
+    def profile(s: pd.Series) -> pd.DataFrame:
         lut = _lut()
-        out = []
+        counts, sums = [], []
         for text in s:
             if isinstance(text, str):
                 c = lut[np.frombuffer(text.encode("utf-8"), dtype=np.uint8)]
-                out.append(np.bincount(c[c >= 0], minlength=20).astype(np.int32))
+                counts.append(np.bincount(c[c >= 0], minlength=20).astype(np.int32))
+                sums.append(None if w is None else float(w[_pair_codes(text, lut)].sum()) if len(text) > 1 else 0.0)
             else:
-                out.append(None)
-        return pd.Series(out)
-
-    return counts(seq)
-
-
-def dipeptide_histogram(seqs: DataFrame, seq_col: str = "sequence") -> DataFrame:
-    """(code, n): corpus dipeptide counts.  Every partition reduces its
-    sequences to one 400-bin histogram inside ``mapInPandas`` (map-side
-    combine by construction), so at most 400 rows per partition are shuffled."""
+                counts.append(None)
+                sums.append(None)
+        return pd.DataFrame({"counts": counts, "pair_sum": pd.Series(sums, dtype="float64")})
 
-    def hist(batches):
-        lut, total = _lut(), np.zeros(400, dtype=np.int64)
-        for pdf in batches:
-            for s in pdf[seq_col]:
-                if isinstance(s, str) and len(s) > 1:
-                    total += np.bincount(_pair_codes(s, lut), minlength=400)
-        nz = np.nonzero(total)[0]
-        yield pd.DataFrame({"code": nz.astype(np.int32), "n": total[nz]})
-
-    return (seqs.select(seq_col).mapInPandas(hist, "code int, n long")
-            .groupBy("code").agg(F.sum("n").alias("n")))
-
-
-def _code_to_dipeptide(code: F.Column) -> F.Column:
-    aa = F.lit(C.AMINO_ACIDS)
-    return F.concat(F.substring(aa, (F.floor(code / 20) + 1).cast("int"), 1),
-                    F.substring(aa, (code % 20 + 1).cast("int"), 1))
+    return profile(seq)
 
 
 def weight_vector(weights: DataFrame) -> list[float]:
@@ -122,62 +85,34 @@ def weight_vector(weights: DataFrame) -> list[float]:
     return vec
 
 
-def instability_column(seq: F.Column, weights: list[float]) -> F.Column:
-    """10/L * sum of pair weights as a scalar pandas UDF (Arrow batches);
-    ``weights`` is the dense 400-vector, shipped with the function."""
-    w = np.asarray(weights, dtype=np.float64)
-
-    @pandas_udf("double")
-    def ii(s: pd.Series) -> pd.Series:
-        lut = _lut()
-        out = np.full(len(s), np.nan)
-        for i, text in enumerate(s):
-            if isinstance(text, str) and len(text) > 0:
-                total = w[_pair_codes(text, lut)].sum() if len(text) > 1 else 0.0
-                out[i] = 10.0 * total / len(text)
-        return pd.Series(out)
-
-    return ii(seq)
-
-
-def resolve_weights(seqs: DataFrame, weights: DataFrame | None, seq_col: str = "sequence") -> list[float]:
-    """The supplied (dipeptide, weight) table, or the corpus-derived one."""
-    if weights is None:
-        # the histogram (<= 400 rows) feeds four aggregates: pin it so the
-        # pass over the texts runs once
-        h = cut_lineage(dipeptide_histogram(seqs, seq_col)
-                        .withColumn("dipeptide", _code_to_dipeptide(F.col("code"))))
-        weights = corpus_dipeptide_weights(h)
-    return weight_vector(weights)
+def _index(pair_sum: F.Column, length: F.Column) -> F.Column:
+    return F.when(length > 0, F.lit(10.0) * no_nan(pair_sum) / length)
 
 
 def instability_index(seqs: DataFrame, weights: DataFrame | None = None, key: str = "seq_idx",
                       seq_col: str = "sequence") -> DataFrame:
-    """(key, instability_index) = 10/L * sum of pair weights.  Unknown
-    dipeptides weigh 0; one residue gives 0; empty sequences give NULL.
-
-    Two Arrow passes over the sequences: the corpus histogram (only when no
-    weight table is supplied) and a scalar pandas UDF that looks the pair
-    codes up in the 400-vector.  No per-residue rows exist."""
-    wv = resolve_weights(seqs, weights, seq_col)
-    return seqs.select(key, instability_column(F.col(seq_col), wv).alias("instability_index"))
+    """(key, instability_index) = 10/L * sum of pair weights, from a (dipeptide,
+    weight) table.  Dipeptides outside the table weigh 0; one residue gives
+    0; empty sequences give NULL, and so do all without a table."""
+    if weights is None:
+        return seqs.select(key, F.lit(None).cast("double").alias("instability_index"))
+    s = F.col(seq_col)
+    return (seqs.select(key, F.length(s).alias("_L"), residue_profile(s, weight_vector(weights)).alias("_p"))
+            .select(key, _index(F.col("_p.pair_sum"), F.col("_L")).alias("instability_index")))
 
 
-def instability_index_native(seqs: DataFrame, weights: DataFrame | None = None,
-                             key: str = "seq_idx", seq_col: str = "sequence") -> DataFrame:
+def instability_index_native(seqs: DataFrame, weights: DataFrame, key: str = "seq_idx",
+                             seq_col: str = "sequence") -> DataFrame:
     """Same result with built-in functions only: dipeptide rows exploded and
-    joined to the broadcast weights (suits short peptides; long texts make
-    one row per residue)."""
+    joined to the broadcast weights, at most 400 rows (suits short peptides;
+    long texts make one row per residue)."""
     counts = dipeptide_counts(seqs, key, seq_col)
-    if weights is None:
-        weights = corpus_dipeptide_weights(counts)
     total = (counts.join(F.broadcast(weights), "dipeptide", "left")
              .groupBy(key).agg(F.sum(F.col("n") * F.coalesce(F.col("weight"), F.lit(0.0))).alias("_w")))
     L = F.length(F.col(seq_col))
     base = seqs.select(key, L.alias("_L"))
     return (base.join(total, key, "left")
-            .select(key, F.when(F.col("_L") > 0, F.lit(10.0) * F.coalesce(F.col("_w"), F.lit(0.0))
-                                / F.col("_L")).alias("instability_index")))
+            .select(key, _index(F.coalesce(F.col("_w"), F.lit(0.0)), F.col("_L")).alias("instability_index")))
 
 
 def descriptors(seqs: DataFrame, weights: DataFrame | None = None, limit: int = 0,
@@ -186,22 +121,21 @@ def descriptors(seqs: DataFrame, weights: DataFrame | None = None, limit: int =
     isoelectric_point`` (P2: appended, input columns kept).  ``limit`` > 0
     keeps rows with ``key < limit`` (P3, deterministic first-n).
 
-    One projection: residue counts come from a single Arrow pass, the
-    formulas (mean hydropathy, Henderson-Hasselbalch charge, bisection pI)
-    are native expressions over those counts, and the instability index is
-    a further UDF column; only the corpus weight table needs its own pass."""
+    One projection: residue counts and the sum of pair weights come from a
+    single Arrow pass, the formulas (mean hydropathy, Henderson-Hasselbalch
+    charge, bisection pI) are native expressions over them."""
     if limit and limit > 0:
         seqs = seqs.filter(F.col(key) < F.lit(limit))
     s = F.col(seq_col)
-    wv = resolve_weights(seqs, weights, seq_col)
-    tmp = seqs.withColumns({"_rc": residue_counts(s), "_len": F.length(s),
-                            "instability_index": instability_column(s, wv)})
-    cnt = {aa: F.col("_rc")[i].cast("bigint") for i, aa in enumerate(C.AMINO_ACIDS)}
+    wv = None if weights is None else weight_vector(weights)
+    tmp = seqs.withColumns({"_p": residue_profile(s, wv), "_len": F.length(s)})
+    cnt = {aa: F.col("_p.counts")[i].cast("bigint") for i, aa in enumerate(C.AMINO_ACIDS)}
     tmp = tmp.withColumns({S.COUNT_PREFIX + aa: cnt[aa] for aa in S.count_refs()})
     nonempty = F.col("_len") > 0
     out = tmp.withColumns({
         "hydrophobicity": S.hydrophobicity_from_counts(cnt, F.col("_len")),
         "charge": F.when(nonempty, S.charge_from_counts(S.count_refs(), F.lit(ph), C.PKA_LEHNINGER)),
+        "instability_index": _index(F.col("_p.pair_sum"), F.col("_len")),
         "isoelectric_point": F.when(nonempty, S.isoelectric_point_from_counts(S.count_refs())),
     })
-    return S.drop_counts(out).drop("_rc", "_len")
+    return S.drop_counts(out).drop("_p", "_len")

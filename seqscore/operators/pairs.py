@@ -7,14 +7,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seqscore import constants as C
-from seqscore.functions.numeric import round_dp
+from seqscore.functions.numeric import no_nan
 from seqscore.operators.ranking import one_row, winner_count
 from seqscore.session import cut_lineage
 
 
 def preference_pairs(ranked: DataFrame, fraction: float = C.WINNER_FRACTION,
                      id_col: str = "id", score_col: str = "score",
-                     rank_col: str = "rank", digits: int = 6) -> DataFrame:
+                     rank_col: str = "rank") -> DataFrame:
     """Each winner (top ``fraction`` by rank) paired with the loser whose
     score is nearest.
 
@@ -34,7 +34,7 @@ def preference_pairs(ranked: DataFrame, fraction: float = C.WINNER_FRACTION,
     return winners.select(
         F.col(id_col).alias("chosen"),
         F.lit(loser["id"]).cast(rej_type).alias("rejected"),
-        round_dp(F.col(score_col) - F.lit(loser["score"]), digits).alias("margin"))
+        (F.col(score_col) - F.lit(loser["score"])).alias("margin"))
 
 
 def nearest_join(left: DataFrame, right: DataFrame, key: str, by: list[str],
@@ -42,7 +42,8 @@ def nearest_join(left: DataFrame, right: DataFrame, key: str, by: list[str],
     """For every left row, the right row (same ``by`` values) whose ``key``
     is nearest.  Ties: equal distance -> the lower right key; equal right
     keys -> the smaller right id.  Left rows with no right partner in their
-    group get nulls.
+    group get nulls, and so do left rows whose key or group value is null or
+    NaN: as in any equi-join, null matches nothing.
 
     Output: ``by``, ``left_id``, ``left_key``, ``right_id``, ``right_key``.
 
@@ -58,6 +59,14 @@ def nearest_join(left: DataFrame, right: DataFrame, key: str, by: list[str],
     p = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     rtype = _struct_type(right, by, key, right_id)
     # One right row per (by, key): the smallest id wins equal keys.
+    usable = F.lit(True)
+    for c in (*by, key):
+        usable = usable & F.col(c).isNotNull()
+        if right.schema[c].dataType.typeName() in ("double", "float"):
+            usable = usable & ~F.isnan(c)
+    right = right.filter(usable)
+    unmatched = left.filter(~F.coalesce(usable, F.lit(False)))
+    left = left.filter(usable)
     r1 = right.groupBy(*by, key).agg(F.min(right_id).alias("_rid"))
     rstruct = F.struct(*[F.col(b).alias(f"_b{i}") for i, b in enumerate(by)],
                        F.col(key).alias("k"), F.col("_rid").alias("rid"))
@@ -108,8 +117,11 @@ def nearest_join(left: DataFrame, right: DataFrame, key: str, by: list[str],
     dq = F.abs(F.col("_q.k") - F.col(key))
     pick = (F.when(F.col("_q").isNull(), F.col("_p")).when(F.col("_p").isNull(), F.col("_q"))
             .when(dq < dp, F.col("_q")).otherwise(F.col("_p")))
-    return scanned.select(*by, F.col("_lid").alias(left_id), F.col(key).alias("left_key"),
-                          pick["rid"].alias(right_id), pick["k"].alias("right_key"))
+    found = scanned.select(*by, F.col("_lid").alias(left_id), F.col(key).alias("left_key"),
+                           pick["rid"].alias(right_id), pick["k"].alias("right_key"))
+    return found.union(unmatched.select(
+        *by, left_id, key, F.lit(None).cast(right.schema[right_id].dataType),
+        F.lit(None).cast(right.schema[key].dataType)))
 
 
 def _struct_type(right: DataFrame, by: list[str], key: str, right_id: str):
@@ -121,44 +133,27 @@ def _struct_type(right: DataFrame, by: list[str], key: str, right_id: str):
 
 
 def training_triplets(pairs: DataFrame, sequences: DataFrame, on_missing: str = "null",
-                      id_col: str = "id", seq_col: str = "sequence",
-                      max_broadcast_ids: int = 10_000) -> DataFrame:
+                      id_col: str = "id", seq_col: str = "sequence") -> DataFrame:
     """(prompt, chosen, rejected) sequences for each preference pair.
 
     Pair ids resolve to sequences by index (``seq_<n>`` -> row ``n``).
     ``on_missing``: ``null`` keeps the pair with a null sequence, ``drop``
     removes it, ``raise`` fails the job on the first unresolved id.
 
-    Rejected ids repeat heavily (the nearest-loser rule gives every pair
-    the same one), so a shuffle join on them would send all pairs to one
-    task.  Their distinct ids are counted first: a single reject is looked
-    up once and attached to every pair; up to ``max_broadcast_ids`` the
-    looked-up (id, sequence) rows are broadcast and the join is map-side;
-    beyond that AQE's skew-join splitting applies.
+    Rejected ids repeat heavily (the nearest-loser rule gives every pair the
+    same one).  Both look-ups are plain joins on the id: the side with the
+    repeated id holds two ids a row, and adaptive execution splits it where
+    it grows large; the sequence is sent to each split, never collected.
     """
     from seqscore.functions.sequence import parse_id
     seqs = sequences.select(parse_id(F.col(id_col)).alias("_idx"), F.col(seq_col).alias("_seq"))
     how = "inner" if on_missing == "drop" else "left"
-    p = pairs.withColumns({"_ci": parse_id(F.col("chosen")), "_ri": parse_id(F.col("rejected"))})
+    # pinned: pairs made with one literal reject would turn the join on it
+    # into a nested loop
+    p = cut_lineage(pairs).withColumns({"_ci": parse_id(F.col("chosen")), "_ri": parse_id(F.col("rejected"))})
     a = seqs.select(F.col("_idx").alias("_ci"), F.col("_seq").alias("chosen_sequence"))
-    rej_ids = p.select("_ri").distinct()
     b = seqs.select(F.col("_idx").alias("_ri"), F.col("_seq").alias("rejected_sequence"))
-    n_rej = rej_ids.count()
-    out = p.join(a, "_ci", how)
-    if n_rej == 1:
-        # The nearest-loser rule gives every pair the same reject: look its
-        # sequence up once and attach it (a join on a constant key would
-        # plan as a nested loop).
-        rid = one_row(rej_ids)["_ri"]
-        hit = one_row(b.filter(F.col("_ri") == F.lit(rid))) if rid is not None else None
-        out = out.withColumn("rejected_sequence",
-                             F.lit(hit["rejected_sequence"] if hit else None).cast("string"))
-        if on_missing == "drop" and hit is None:
-            out = out.filter(F.lit(False))
-    else:
-        if n_rej <= max_broadcast_ids:
-            b = F.broadcast(b.join(rej_ids, "_ri", "left_semi"))
-        out = out.join(b, "_ri", how)
+    out = p.join(a, "_ci", how).join(b, "_ri", how)
     if on_missing == "raise":
         # assert_true returns NULL; tying it into an output column keeps the
         # check from being pruned away
@@ -180,7 +175,7 @@ def minstd_hash(key: str, seed: int) -> Column:
 
 def stratified_pairs(ranked: DataFrame, fraction: float = C.WINNER_FRACTION, seed: int = 7,
                      id_col: str = "id", score_col: str = "score", rank_col: str = "rank",
-                     key_col: str = "seq_idx", digits: int = 6) -> DataFrame:
+                     key_col: str = "seq_idx") -> DataFrame:
     """Each winner gets a distinct reject, spread over the loser score range
     (roadmap item X1).
 
@@ -188,8 +183,8 @@ def stratified_pairs(ranked: DataFrame, fraction: float = C.WINNER_FRACTION, see
     on the global rank, no window); inside a bin the loser with the
     smallest ``minstd_hash(key, seed)`` is picked by a partial ``min_by``
     aggregation; winner ``i`` takes the pick of bin ``i`` (equi-join on the
-    bin number).  Deterministic; fewer losers than winners leaves the
-    winners of empty bins unpaired.
+    bin number).  Deterministic; with fewer losers than winners, the
+    winners of empty bins get a NULL reject and margin.
     """
     n = ranked.count()
     n_win = winner_count(n, fraction)
@@ -203,7 +198,7 @@ def stratified_pairs(ranked: DataFrame, fraction: float = C.WINNER_FRACTION, see
         F.struct(F.col(id_col).alias("id"), F.col(score_col).alias("score")),
         F.struct(minstd_hash(key_col, seed).alias("h"), F.col(key_col).alias("k"))).alias("_pick"))
     winners = ranked.filter(F.col(rank_col) <= F.lit(n_win)).withColumn("_bin", F.col(rank_col))
-    j = winners.join(picks, "_bin")
+    j = winners.join(picks, "_bin", "left")
     return j.select(F.col(id_col).alias("chosen"), F.col("_pick.id").alias("rejected"),
-                    round_dp(F.col(score_col) - F.col("_pick.score"), digits).alias("margin"),
+                    (F.col(score_col) - F.col("_pick.score")).alias("margin"),
                     F.col("_bin").alias("stratum"))

@@ -16,7 +16,6 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from seqscore.operators.skew import DEFAULT_POLICY, SkewPolicy
 from seqscore.session import cut_lineage
 
 _PID = "_ss_pid"
@@ -66,11 +65,6 @@ def global_rank(df: DataFrame, order: list[Column | str], name: str = "rank",
             .drop(_PID, _POS, "_off"))
 
 
-def _ordinal_by_window(df: DataFrame, group: list[str], order: list[Column | str], name: str) -> DataFrame:
-    w = Window.partitionBy(*group).orderBy(*_sort_key_names(order))
-    return df.withColumn(name, F.row_number().over(w).cast("bigint"))
-
-
 def _ordinal_by_range(df: DataFrame, group: list[str], order: list[Column | str], name: str,
                       p: int) -> DataFrame:
     """Range-partitioned ordinal: a group may span partitions; rows that
@@ -103,33 +97,15 @@ def _ordinal_by_range(df: DataFrame, group: list[str], order: list[Column | str]
 
 
 def ordinal_within(df: DataFrame, group: list[str], order: list[Column | str],
-                   name: str = "ord", num_partitions: int | None = None,
-                   policy: SkewPolicy = DEFAULT_POLICY, force_range: bool = False) -> DataFrame:
+                   name: str = "ord", num_partitions: int | None = None) -> DataFrame:
     """1-based position of each row inside its group, ordered by ``order``
     (``row_number() OVER (PARTITION BY group ORDER BY order)``).
 
-    A plain window is used for groups whose size is bounded by the skew
-    policy (no group can exceed ``hot_rows`` when the whole input has no
-    more rows; otherwise per-group counts find the hot ones).  Hot groups
-    take the range-partitioned path, where one group is spread over
-    several tasks.
-    """
-    p = _partitions(df, num_partitions)
-    if force_range:
-        return _ordinal_by_range(df, group, order, name, p)
-    if df.count() <= policy.hot_rows:
-        return _ordinal_by_window(df, group, order, name)
-    hot = cut_lineage(df.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
-                      .filter(F.col("_n") > F.lit(policy.hot_rows)).select(*group))
-    n_hot = hot.count()
-    if n_hot == 0:
-        return _ordinal_by_window(df, group, order, name)
-    if n_hot > policy.max_hot_keys:
-        return _ordinal_by_range(df, group, order, name, p)
-    hb = F.broadcast(hot)
-    cold = _ordinal_by_window(df.join(hb, group, "left_anti"), group, order, name)
-    hot_part = _ordinal_by_range(df.join(hb, group, "left_semi"), group, order, name, p)
-    return cold.unionByName(hot_part)
+    One plan for every input: rows are range-partitioned on (group, order),
+    numbered inside their range, and a group that spans ranges gets its
+    offsets from a summary of one row per range, so no group has to fit
+    into one task."""
+    return _ordinal_by_range(df, group, order, name, _partitions(df, num_partitions))
 
 
 def winner_count(n_rows: int, fraction: float) -> int:

@@ -9,7 +9,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seqscore.functions.numeric import round_dp
+from seqscore.functions.numeric import least_first, no_nan, round_dp
 from seqscore.operators.ranking import global_rank, one_row
 
 
@@ -52,8 +52,8 @@ def exact_percentile(df: DataFrame, col: str, q: float, key: str = "seq_idx") ->
     """Exact linear-interpolation percentile (``percentile_cont``): the two
     neighbouring order statistics are fetched by global rank, so no task
     holds more than its range partition; None for an empty input."""
-    r = global_rank(df.select(key, col), [F.col(col).asc(), F.col(key)], "_r")
-    n = r.count()                               # reads the rank's pinned copy
+    r = global_rank(df.select(key, col), [least_first(col), F.col(key)], "_r")
+    n = r.filter(no_nan(col).isNotNull()).count()                               # reads the rank's pinned copy
     if n == 0:
         return None
     h = (n - 1) * float(q)

@@ -2,11 +2,8 @@
 P8-P11), in two forms:
 
 * relational: one row per CA atom, grouped by structure key.  Two
-  steps (centroid, then everything else).  The centroid is a window
-  average for keys whose size is bounded by the skew policy, and a
-  partial aggregation joined back by broadcast for hot keys; the final
-  aggregation is partial (map-side), so a huge structure is pre-reduced
-  before its shuffle.
+  steps (centroid, then everything else), each a partial (map-side)
+  aggregation, so a huge structure is pre-reduced before its shuffle.
 * array: one row per structure holding ``array<struct<resname,x,y,z,plddt>>``
   in file order, computed with higher-order functions and no shuffle at
   all (used by the file and streaming paths, where a file is one
@@ -15,71 +12,68 @@ P8-P11), in two forms:
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seqscore.config import ScoringConfig
-from seqscore.functions.numeric import distance3, norm3, round_dp, safe_norm3
+from seqscore.functions.numeric import distance3, no_nan, norm3, round_dp, safe_norm3
 from seqscore.functions.scoring import (charge_class, composite_score, cyclic_candidate,
                                         eisenberg)
-from seqscore.operators.skew import DEFAULT_POLICY, SkewPolicy
-from seqscore.session import cut_lineage
 
 METRIC_COLUMNS = ["n_res", "net_charge", "muH", "plddt", "dist_nc"]
 
 
-def _centre_by_window(a: DataFrame, key: list[str]) -> DataFrame:
-    """Centroid as a window average: one shuffle on the key, and the
-    aggregation that follows reuses that partitioning (no second exchange).
-    Only used for keys whose row count is bounded by the skew policy."""
-    w = Window.partitionBy(*key)
-    return a.withColumns({"_cx": F.avg("x").over(w), "_cy": F.avg("y").over(w),
-                          "_cz": F.avg("z").over(w)})
+def _missing(r) -> Column:
+    """Whether an atom lacks a coordinate."""
+    bad = None
+    for axis in ("x", "y", "z"):
+        b = r[axis].isNull() | F.isnan(r[axis])
+        bad = b if bad is None else bad | b
+    return bad
 
 
-def centred_atoms(a: DataFrame, key: list[str], policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame:
-    """Atoms with their structure centroid (``_cx, _cy, _cz``).
+def _row(*names: str) -> dict:
+    return {n: F.col(n) for n in names}
 
-    * No key can be hot (the whole input has at most ``hot_rows`` rows,
-      a column-free count): window path only.
-    * Otherwise per-key counts (partial aggregation, key column only) find
-      the hot keys; cold keys take the window path, hot keys get their
-      centroid from a partial aggregation joined back by broadcast (their
-      number is counted and capped before it is broadcast).
-    """
-    if a.count() <= policy.hot_rows:
-        return _centre_by_window(a, key)
-    hot = cut_lineage(a.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
-                      .filter(F.col("_n") > F.lit(policy.hot_rows)).select(*key))
-    n_hot = hot.count()
-    if n_hot == 0:
-        return _centre_by_window(a, key)
-    if n_hot > policy.max_hot_keys:
-        # Too many oversized keys to broadcast: plain shuffle join of the
-        # per-key centroids (AQE splits skewed partitions).
-        centroid = a.groupBy(*key).agg(F.avg("x").alias("_cx"), F.avg("y").alias("_cy"),
-                                       F.avg("z").alias("_cz"))
-        return a.join(centroid, key)
-    hb = F.broadcast(hot)
-    cold = _centre_by_window(a.join(hb, key, "left_anti"), key)
-    hot_rows = a.join(hb, key, "left_semi")
-    hot_c = hot_rows.groupBy(*key).agg(F.avg("x").alias("_cx"), F.avg("y").alias("_cy"),
-                                       F.avg("z").alias("_cz"))
-    return cold.unionByName(hot_rows.join(F.broadcast(hot_c), key))
-
-
-def structure_metrics(atoms: DataFrame, key: list[str], order: str,
-                      policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame:
+
+def centred_atoms(a: DataFrame, key: list[str]) -> DataFrame:
+    """Atoms with their structure's centroid (``_cx, _cy, _cz``); structures
+    with a missing coordinate are left out (see ``incomplete_structures``).
+
+    One plan for every input: partial aggregation for the centroids, joined
+    back by key; a structure with very many atoms is one skewed join key,
+    which adaptive execution splits."""
+    c = a.groupBy(*key).agg(
+        F.avg("x").alias("_cx"), F.avg("y").alias("_cy"), F.avg("z").alias("_cz"),
+        F.count_if(_missing(_row("x", "y", "z"))).alias("_missing")).filter("_missing = 0").drop("_missing")
+    on = None
+    for k in key:
+        c = c.withColumnRenamed(k, f"_k_{k}")
+        same = F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+        on = same if on is None else on & same
+    return a.join(c, on).drop(*(f"_k_{k}" for k in key))
+
+
+def incomplete_structures(atoms: DataFrame, key: list[str]) -> DataFrame:
+    """Side table of the structures that are not scored: key, n_res and the
+    number of atoms that lack a coordinate."""
+    return atoms.groupBy(*key).agg(
+        F.count(F.lit(1)).alias("n_res"),
+        F.count_if(_missing(_row("x", "y", "z"))).alias("n_missing")).filter("n_missing > 0")
+
+
+def structure_metrics(atoms: DataFrame, key: list[str], order: str) -> DataFrame:
     """``atoms``: key columns, ``order`` (any orderable column giving file
     order), ``resname``, ``x``, ``y``, ``z``, ``plddt``.
 
     Returns key + ``n_res, net_charge, muH, plddt, dist_nc`` (unrounded).
-    Structures with no atoms produce no row (P7).  All per-structure
+    Structures with no atoms (P7) or with a missing coordinate produce no
+    row; a missing pLDDT is left out of its mean.  All per-structure
     quantities are partial (map-side) aggregates, so even a hot structure
     is pre-reduced before its shuffle.
     """
     a = atoms.select(*key, order, "resname", "x", "y", "z", "plddt")
-    j = centred_atoms(a, key, policy)
+    j = centred_atoms(a, key)
     dx, dy, dz = F.col("x") - F.col("_cx"), F.col("y") - F.col("_cy"), F.col("z") - F.col("_cz")
     nrm = safe_norm3(dx, dy, dz)
     h = eisenberg(F.col("resname"))
@@ -89,7 +83,7 @@ def structure_metrics(atoms: DataFrame, key: list[str], order: str,
         F.sum(charge_class(F.col("resname"))).alias("_charge"),
         F.sum(dx / nrm * h).alias("_sx"), F.sum(dy / nrm * h).alias("_sy"),
         F.sum(dz / nrm * h).alias("_sz"),
-        F.avg("plddt").alias("plddt"),
+        F.avg(no_nan("plddt")).alias("plddt"),
         F.min_by(xyz, F.col(order)).alias("_first"),
         F.max_by(xyz, F.col(order)).alias("_last"))
     return agg.select(
@@ -113,45 +107,54 @@ def rounded(df: DataFrame, cols: list[str], digits: int = 6) -> DataFrame:
     return df.withColumns({c: round_dp(F.col(c), digits) for c in cols})
 
 
-def score_structures(atoms: DataFrame, key: list[str], order: str, cfg: ScoringConfig,
-                     digits: int = 6, policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame:
-    """Metrics + score, all doubles rounded to ``digits`` (ranking uses the
-    rounded score so ties are decided by the key, identically everywhere)."""
-    s = add_score(structure_metrics(atoms, key, order, policy), cfg)
-    return rounded(s, ["net_charge", "muH", "plddt", "dist_nc", "score"], digits)
+def score_structures(atoms: DataFrame, key: list[str], order: str, cfg: ScoringConfig) -> DataFrame:
+    """Metrics + score, unrounded: outputs round (``rounded``), ranks don't."""
+    return add_score(structure_metrics(atoms, key, order), cfg)
 
 
 # ---------------------------------------------------------------------------
 # Array form: one structure per row, no shuffle.
 # ---------------------------------------------------------------------------
 
-def _sum_arr(arr: Column, f) -> Column:
-    return F.aggregate(arr, F.lit(0.0), lambda acc, r: acc + f(r))
-
-
 def structure_metrics_array(df: DataFrame, atoms_col: str = "atoms") -> DataFrame:
-    """Same metrics from ``array<struct<resname,x,y,z,plddt>>`` (file order)."""
+    """Same metrics from ``array<struct<resname,x,y,z,plddt>>`` (file order):
+    one pass for the centroid, one that prepares each atom's direction and
+    scale value, one that adds everything up."""
     arr = F.col(atoms_col)
-    n = F.size(arr)
-    cx = _sum_arr(arr, lambda r: r["x"]) / n
-    cy = _sum_arr(arr, lambda r: r["y"]) / n
-    cz = _sum_arr(arr, lambda r: r["z"]) / n
-    tmp = df.withColumns({"_n": n, "_cx": cx, "_cy": cy, "_cz": cz})
-
-    def contrib(r, axis):
-        d = {"x": r["x"] - F.col("_cx"), "y": r["y"] - F.col("_cy"), "z": r["z"] - F.col("_cz")}
-        return d[axis] / safe_norm3(d["x"], d["y"], d["z"]) * eisenberg(r["resname"])
-
-    sx = _sum_arr(arr, lambda r: contrib(r, "x"))
-    sy = _sum_arr(arr, lambda r: contrib(r, "y"))
-    sz = _sum_arr(arr, lambda r: contrib(r, "z"))
-    charge = F.aggregate(arr, F.lit(0), lambda acc, r: acc + charge_class(r["resname"]))
-    first, last = F.element_at(arr, 1), F.element_at(arr, -1)
-    out = tmp.filter(F.col("_n") > 0).withColumns({
+    zero = F.lit(0.0)
+    centre = F.aggregate(
+        arr, F.struct(zero.alias("x"), zero.alias("y"), zero.alias("z")),
+        lambda s, r: F.struct(*((s[k] + r[k]).alias(k) for k in "xyz")))
+    tmp = (df.filter((F.size(arr) > 0) & ~F.exists(arr, _missing))
+           .withColumns({"_n": F.size(arr), "_c": centre}))
+
+    def towards(r):
+        d = {k: r[k] - F.col("_c")[k] / F.col("_n") for k in "xyz"}
+        return F.struct(*(v.alias(k) for k, v in d.items()), safe_norm3(d["x"], d["y"], d["z"]).alias("n"),
+                        eisenberg(r["resname"]).alias("h"), charge_class(r["resname"]).alias("q"),
+                        no_nan(r["plddt"]).alias("p"))
+
+    def add(s, r):
+        return F.struct(*((s[k] + r[k] / r["n"] * r["h"]).alias(k) for k in "xyz"),
+                        (s["q"] + r["q"]).alias("q"), (s["p"] + F.coalesce(r["p"], zero)).alias("p"),
+                        (s["m"] + F.when(r["p"].isNull(), 0).otherwise(1)).alias("m"))
+
+    start = F.struct(*(zero.alias(k) for k in "xyz"), F.lit(0).alias("q"), zero.alias("p"), F.lit(0).alias("m"))
+    tmp = tmp.withColumn("_s", F.aggregate(F.transform(arr, towards), start, add))
+    first, last, s = F.element_at(arr, 1), F.element_at(arr, -1), F.col("_s")
+    out = tmp.withColumns({
         "n_res": F.col("_n").cast("bigint"),
-        "net_charge": charge / F.col("_n"),
-        "muH": norm3(sx, sy, sz) / F.col("_n"),
-        "plddt": _sum_arr(arr, lambda r: r["plddt"]) / F.col("_n"),
+        "net_charge": s["q"] / F.col("_n"),
+        "muH": norm3(s["x"], s["y"], s["z"]) / F.col("_n"),
+        "plddt": F.when(s["m"] > 0, s["p"] / s["m"]),
         "dist_nc": norm3(first["x"] - last["x"], first["y"] - last["y"], first["z"] - last["z"]),
     })
-    return out.drop("_n", "_cx", "_cy", "_cz")
+    return out.drop("_n", "_c", "_s")
+
+
+def incomplete_structures_array(df: DataFrame, atoms_col: str = "atoms") -> DataFrame:
+    """Side table of the array form: structures without atoms or with a missing
+    coordinate, with n_res and n_missing."""
+    n = F.size(F.filter(F.col(atoms_col), _missing))
+    return (df.withColumns({"n_res": F.size(atoms_col).cast("bigint"), "n_missing": n.cast("bigint")})
+            .filter("n_res = 0 or n_missing > 0").select("id", "n_res", "n_missing"))

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seqscore import constants as C
-from seqscore.functions.numeric import round_dp
+from seqscore.functions.numeric import least_first, no_nan, round_dp, score_key
 from seqscore.functions.scoring import agreement_label
 from seqscore.operators.ranking import global_rank
 from seqscore.session import cut_lineage
@@ -29,8 +29,7 @@ def energy_rows(candidates: DataFrame, key: str = "seq_idx") -> DataFrame:
     e_initial, e_final (NULL = failed).
     """
     # NaN (a failed run written by pandas) is the same as NULL here
-    e0 = F.when(~F.isnan("e_initial"), F.col("e_initial"))
-    e1 = F.when(~F.isnan("e_final"), F.col("e_final"))
+    e0, e1 = no_nan("e_initial"), no_nan("e_final")
     d = e1 - e0
     return candidates.select(
         key, "id", F.col("score").alias("proxy_score"), "plddt", "dist_nc", "muH", "net_charge",
@@ -46,66 +45,48 @@ def rank_validation(rows: DataFrame, key: str = "seq_idx") -> DataFrame:
     With fewer than three succeeded rows: proxy rank over all rows in
     candidate order and no physics rank.
 
-    The energy rows are pinned once (reliable checkpoint) so the two
-    global ranks and the merge read them instead of recomputing the
-    scoring pipeline; the <3 case is decided from one count of that copy.
+    The ranks are chained with all columns carried, the second reading the
+    first's pinned copy, so nothing is merged back by a join; failures are
+    added at the end (U1).
     """
     rows = cut_lineage(rows)
     ok = rows.filter(F.col("e_final").isNotNull() & ~F.isnan("e_final"))
+    none = F.lit(None).cast("bigint")
     if ok.count() >= C.MIN_CORRELATION_ROWS:
-        rp = global_rank(ok.select(key, "proxy_score"), [F.col("proxy_score").desc(), F.col(key)],
-                         "rank_proxy", pin_input=False).select(key, "rank_proxy")
-        rf = global_rank(ok.select(key, "e_final"), [F.col("e_final").asc(), F.col(key)],
-                         "rank_physics", pin_input=False).select(key, "rank_physics")
-        return rows.join(rp, key, "left").join(rf, key, "left")
-    rp = global_rank(rows.select(key, "proxy_score"), [F.col("proxy_score").desc(), F.col(key)],
-                     "rank_proxy", pin_input=False).select(key, "rank_proxy")
-    return rows.join(rp, key, "left").withColumn("rank_physics", F.lit(None).cast("bigint"))
-
-
-def _int_range(lo: int, hi: Column) -> Column:
-    """``[lo .. hi]``, empty when hi < lo (``sequence`` alone would count down)."""
-    return F.when(hi >= lo, F.sequence(F.lit(lo), hi)).otherwise(F.array().cast("array<int>"))
-
-
-def _series(first: Column, ks: Column, ratio) -> Column:
-    """first + sum of terms t_k = t_{k-1} * ratio(k) over ``ks``."""
-    st0 = F.struct(first.alias("t"), first.alias("s"))
-    out = F.aggregate(ks, st0, lambda st, k: F.struct(
-        (st["t"] * ratio(k)).alias("t"), (st["s"] + st["t"] * ratio(k)).alias("s")))
-    return out["s"]
-
-
-def t_test_pvalue(rho: Column, n: Column, max_dof: int = 200_000) -> Column:
-    """Two-sided p-value of a correlation coefficient from ``n`` pairs,
-    Student t with nu = n - 2 (closed-form series for integer nu, A&S
-    26.7.3/26.7.4); normal tail (A&S 7.1.26) when nu > ``max_dof``.
-    NULL below 3 pairs; 0 at |rho| = 1."""
-    nu = (n - 2).cast("int")
-    nud = nu.cast("double")
-    t = F.abs(rho) * F.sqrt(nud / (F.lit(1.0) - rho * rho))
-    theta = F.atan(t / F.sqrt(nud))
-    s, c = F.sin(theta), F.cos(theta)
-    c2 = c * c
-    # even nu: 1 - sin(theta) * (1 + 1/2 c2 + 1*3/(2*4) c2^2 + ...), nu/2 terms
-    even_sum = _series(F.lit(1.0), _int_range(1, (nu / 2).cast("int") - 1),
-                       lambda k: (2 * k - 1) / (2 * k) * c2)
-    p_even = F.lit(1.0) - s * even_sum
-    # odd nu: 1 - 2/pi (theta + sin(theta) (cos + 2/3 cos^3 + ...)), (nu-1)/2 terms
-    m = ((nu - 1) / 2).cast("int")
-    odd_sum = F.when(m >= 1, _series(c, _int_range(2, m), lambda k: (2 * k - 2) / (2 * k - 1) * c2)) \
-        .otherwise(F.lit(0.0))
-    p_odd = F.lit(1.0) - F.lit(2.0 / math.pi) * (theta + s * odd_sum)
-    z = t / F.lit(math.sqrt(2.0))
-    tt = F.lit(1.0) / (F.lit(1.0) + F.lit(0.3275911) * z)
-    poly = tt * (F.lit(0.254829592) + tt * (F.lit(-0.284496736) + tt * (
-        F.lit(1.421413741) + tt * (F.lit(-1.453152027) + tt * F.lit(1.061405429)))))
-    p_norm = poly * F.exp(-z * z)
-    p = (F.when(n < 3, F.lit(None).cast("double"))
-         .when(F.abs(rho) >= 1.0, F.lit(0.0))
-         .when(nu > F.lit(max_dof), p_norm)
-         .when(nu % 2 == 0, p_even).otherwise(p_odd))
-    return F.greatest(F.lit(0.0), F.least(F.lit(1.0), p))
+        proxy = global_rank(ok, [score_key("proxy_score").desc_nulls_last(), F.col(key)], "rank_proxy", pin_input=False)
+        both = global_rank(proxy, [least_first("e_final"), F.col(key)], "rank_physics", pin_input=False)
+        failed = rows.filter(F.col("e_final").isNull() | F.isnan("e_final"))
+        return both.unionByName(failed.withColumns({"rank_proxy": none, "rank_physics": none}))
+    return global_rank(rows, [score_key("proxy_score").desc_nulls_last(), F.col(key)], "rank_proxy",
+                       pin_input=False).withColumn("rank_physics", none)
+
+
+PVALUE_STEPS = 400
+
+
+def t_test_pvalue(rho: Column, n: Column) -> Column:
+    """Two-sided p-value of a correlation coefficient from ``n`` pairs, by
+    Student's t with nu = n - 2 degrees of freedom; NULL below 3 pairs, 0 at
+    |rho| = 1.
+
+    With t = sqrt(nu) tan(theta), theta = asin |rho|, the density becomes
+    cos(theta)^(nu - 1), so p = 1 - I(theta) / I(pi / 2), I being its integral
+    from 0.  Beyond 12 / sqrt(nu) the integrand is below 1e-31 of its peak;
+    Simpson's rule with a fixed number of steps up to there serves every n."""
+    nu = (n - 2).cast("double")
+    top = F.least(F.lit(math.pi / 2), F.lit(12.0) / F.sqrt(nu))
+    theta = F.least(F.asin(F.abs(rho)), top)
+
+    def area(upto: Column) -> Column:
+        def term(acc, k):
+            weight = F.when(k % (2 * PVALUE_STEPS) == 0, 1.0).when(k % 2 == 1, 4.0).otherwise(2.0)
+            # 2 * PVALUE_STEPS intervals
+            return acc + weight * F.exp((nu - 1) * F.log(F.cos(upto * k / (2.0 * PVALUE_STEPS))))
+        return upto * F.aggregate(F.sequence(F.lit(0), F.lit(2 * PVALUE_STEPS)), F.lit(0.0), term)
+
+    p = F.lit(1.0) - area(theta) / area(top)
+    return (F.when(n < 3, F.lit(None).cast("double")).when(F.abs(rho) >= 1.0, F.lit(0.0))
+            .otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), p))))
 
 
 def _correlation_aggs() -> list[Column]:
@@ -135,7 +116,7 @@ def rank_correlation(ranked_rows: DataFrame) -> DataFrame:
     return ranked_rows.agg(*_correlation_aggs()).select(*_correlation_cols())
 
 
-def validation_summary(ranked_rows: DataFrame, key: str = "seq_idx") -> DataFrame:
+def validation_summary(ranked_rows: DataFrame, key: str = "seq_idx", best: str = "proxy_score") -> DataFrame:
     """A8/A9/K3 content in one global aggregate: correlation, forcefield
     label, best proxy (highest proxy score), best physics (lowest e_final)
     and the mean of the rounded delta_e over succeeded rows (2 dp; NULL
@@ -143,7 +124,7 @@ def validation_summary(ranked_rows: DataFrame, key: str = "seq_idx") -> DataFram
     ok = F.col("e_final").isNotNull()
     agg = ranked_rows.agg(
         *_correlation_aggs(),
-        F.max_by("id", F.struct(F.col("proxy_score"), -F.col(key))).alias("best_proxy"),
+        F.max_by("id", F.struct(score_key(best), -F.col(key))).alias("best_proxy"),
         F.min_by(F.when(ok, F.col("id")), F.when(ok, F.struct(F.col("e_final"), F.col(key)))).alias("best_physics"),
         F.avg(F.when(ok, F.col("delta_e"))).alias("_mean_de"))
     return agg.select(
@@ -155,10 +136,20 @@ def validation_summary(ranked_rows: DataFrame, key: str = "seq_idx") -> DataFram
 def rmsd(before: DataFrame, after: DataFrame, key: str = "seq_idx", pos: str = "ord") -> DataFrame:
     """Positional pairing of atoms, ``sqrt(mean squared
     displacement)`` without superposition (3 dp), and the atom count.
-    The join key (structure, position) is unique, so it cannot skew."""
-    a = before.select(key, pos, F.col("x").alias("x0"), F.col("y").alias("y0"), F.col("z").alias("z0"))
-    b = after.select(key, pos, F.col("x").alias("x1"), F.col("y").alias("y1"), F.col("z").alias("z1"))
+
+    Both sides must hold the same positions of a structure: an atom without
+    partner fails the job and names the structure.  The join key (structure,
+    position) is unique, so it cannot skew."""
+    a = before.select(key, pos, F.lit(True).alias("_a"), F.col("x").alias("x0"), F.col("y").alias("y0"),
+                      F.col("z").alias("z0"))
+    b = after.select(key, pos, F.lit(True).alias("_b"), F.col("x").alias("x1"), F.col("y").alias("y1"),
+                     F.col("z").alias("z1"))
     d2 = (F.pow(F.col("x1") - F.col("x0"), 2) + F.pow(F.col("y1") - F.col("y0"), 2)
           + F.pow(F.col("z1") - F.col("z0"), 2))
-    return (a.join(b, [key, pos]).groupBy(key)
-            .agg(round_dp(F.sqrt(F.avg(d2)), 3).alias("rmsd"), F.count(F.lit(1)).alias("n_atoms")))
+    paired = F.count("_a") + F.count("_b") == 2 * F.count(F.lit(1))
+    agg = a.join(b, [key, pos], "full").groupBy(key).agg(
+        round_dp(F.sqrt(F.avg(d2)), 3).alias("rmsd"), F.count(F.lit(1)).alias("n_atoms"),
+        paired.alias("_paired"))
+    ok = F.assert_true(F.col("_paired"), F.concat(
+        F.lit("structures differ in their number of atoms: "), F.col(key).cast("string")))
+    return agg.select(key, F.when(ok.isNull(), F.col("rmsd")).alias("rmsd"), "n_atoms")

@@ -6,12 +6,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from seqscore import constants as C
 from seqscore.config import ScoringConfig
+from seqscore.functions.numeric import round_dp, score_key
 from seqscore.operators import pairs, ranking, structure
+from seqscore.session import cut_lineage
 from seqscore.sources import fixtures
 
 CFG = ScoringConfig()
@@ -25,16 +27,30 @@ def query(fn):
 
 # -- shared building blocks ---------------------------------------------------
 
+SCORED = ["net_charge", "muH", "plddt", "dist_nc", "score"]
+
+
 def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """seq_idx, id, n_res, net_charge, muH, plddt, dist_nc, score,
-    cyclic_candidate (doubles rounded to 6 dp)."""
+    """seq_idx, id, n_res, net_charge, muH, plddt, dist_nc, score (doubles as
+    published, 6 dp), cyclic_candidate, and raw_score, the unrounded score
+    that ranks and margins are taken from."""
     atoms = fixtures.ca_atoms(spark, sf_dir)
-    s = structure.score_structures(atoms, ["seq_idx"], "ord_key", CFG)
-    return s.withColumn("id", fixtures.structure_id())
+    s = structure.score_structures(atoms, ["seq_idx"], "ord_key", CFG).withColumn("raw_score", F.col("score"))
+    return structure.rounded(s, SCORED).withColumn("id", fixtures.structure_id())
+
+
+def by_score() -> list:
+    """Rank order: best unrounded score first, the key decides ties."""
+    return [score_key("raw_score").desc_nulls_last(), F.col("seq_idx")]
 
 
 def ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ranking.global_rank(scores(spark, sf_dir), [F.col("score").desc(), F.col("seq_idx")])
+    return ranking.global_rank(scores(spark, sf_dir), by_score())
+
+
+def _margins(pairs_df: DataFrame) -> DataFrame:
+    """Margins as published, 6 dp."""
+    return pairs_df.withColumn("margin", round_dp("margin", 6))
 
 
 # -- structure scoring ----------------------------------------------------------
@@ -57,7 +73,7 @@ def composite_score(spark, sf_dir):
 @query
 def top_candidates(spark, sf_dir):
     s = scores(spark, sf_dir)
-    return ranking.top_n(s, [F.col("score").desc(), F.col("seq_idx")], C.DEFAULT_TOP_N).select(
+    return ranking.top_n(s, by_score(), C.DEFAULT_TOP_N).select(
         "id", "score", "plddt", "dist_nc", "muH", "net_charge")
 
 
@@ -74,7 +90,7 @@ def winner_loser_split(spark, sf_dir):
 
 @query
 def preference_pairs(spark, sf_dir):
-    return pairs.preference_pairs(ranked(spark, sf_dir))
+    return _margins(pairs.preference_pairs(ranked(spark, sf_dir), score_col="raw_score"))
 
 
 # -- physics validation ---------------------------------------------------------
@@ -82,8 +98,10 @@ def preference_pairs(spark, sf_dir):
 def validated(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Energy rows for every scored structure with proxy/physics ranks."""
     from seqscore.operators import validation
-    rows = validation.energy_rows(fixtures.energies(spark, sf_dir, scores(spark, sf_dir)))
-    return validation.rank_validation(rows)
+    s = scores(spark, sf_dir).withColumn("score", F.col("raw_score"))
+    rows = validation.energy_rows(fixtures.energies(spark, sf_dir, s))
+    return validation.rank_validation(rows).withColumn("raw_score", F.col("proxy_score")).withColumn(
+        "proxy_score", round_dp("proxy_score", 6))
 
 
 VALIDATION_COLUMNS = ["id", "proxy_score", "plddt", "dist_nc", "muH", "net_charge", "e_initial",
@@ -104,7 +122,7 @@ def rank_correlation(spark, sf_dir):
 @query
 def validation_summary(spark, sf_dir):
     from seqscore.operators import validation
-    return validation.validation_summary(validated(spark, sf_dir))
+    return validation.validation_summary(validated(spark, sf_dir), best="raw_score")
 
 
 @query
@@ -140,7 +158,6 @@ def normalize_ids(spark, sf_dir):
 @query
 def hydrophobicity(spark, sf_dir):
     from seqscore.functions import sequence as S
-    from seqscore.functions.numeric import round_dp
     p = _peptides(spark, sf_dir)
     return p.select("id", round_dp(S.hydrophobicity(F.col("sequence")), 6).alias("hydrophobicity"))
 
@@ -148,7 +165,6 @@ def hydrophobicity(spark, sf_dir):
 @query
 def charge(spark, sf_dir):
     from seqscore.functions import sequence as S
-    from seqscore.functions.numeric import round_dp
     p = _peptides(spark, sf_dir)
     return p.select("id", round_dp(S.charge(F.col("sequence"), 7.4), 6).alias("charge"))
 
@@ -156,17 +172,15 @@ def charge(spark, sf_dir):
 @query
 def isoelectric_point(spark, sf_dir):
     from seqscore.functions import sequence as S
-    from seqscore.functions.numeric import round_dp
     p = S.isoelectric_point(_peptides(spark, sf_dir))
     return p.select("id", round_dp(F.col("isoelectric_point"), 4).alias("isoelectric_point"))
 
 
 @query
 def instability(spark, sf_dir):
-    from seqscore.functions.numeric import round_dp
     from seqscore.operators.descriptors import instability_index
     p = _peptides(spark, sf_dir)
-    ii = instability_index(p)
+    ii = instability_index(p, fixtures.synthetic_weights(spark))
     return ii.select(fixtures.structure_id().alias("id"),
                      round_dp(F.col("instability_index"), 6).alias("instability_index"))
 
@@ -175,12 +189,21 @@ def instability(spark, sf_dir):
 def descriptors(spark, sf_dir):
     """The four descriptors appended to the sequence rows (with
     passthrough columns); limit 0 = all rows."""
-    from seqscore.functions.numeric import round_dp
     from seqscore.operators.descriptors import descriptors as describe
-    from seqscore.sources.tables import read_table
-    docs = read_table(spark, sf_dir, "documents", ["doc_id", "lang", "source"])
-    p = _peptides(spark, sf_dir).join(docs.withColumnRenamed("doc_id", "seq_idx"), "seq_idx")
-    d = describe(p, limit=0)
+    p = fixtures.peptides(spark, sf_dir, ("lang", "source"))
+    return _described(describe(p, fixtures.synthetic_weights(spark)))
+
+
+@query
+def descriptors_first(spark, sf_dir):
+    """Descriptors of the first 100 sequences by position, the feature
+    that the limit is."""
+    from seqscore.operators.descriptors import descriptors as describe
+    p = fixtures.peptides(spark, sf_dir, ("lang", "source"))
+    return _described(describe(p, fixtures.synthetic_weights(spark), limit=100))
+
+
+def _described(d: DataFrame) -> DataFrame:
     return d.select("id", "lang", "source", F.length("sequence").cast("bigint").alias("length"),
                     round_dp(F.col("hydrophobicity"), 6).alias("hydrophobicity"),
                     round_dp(F.col("charge"), 6).alias("charge"),
@@ -204,7 +227,7 @@ def attach_sequence(spark, sf_dir):
 
 @query
 def training_triplets(spark, sf_dir):
-    pr = pairs.preference_pairs(ranked(spark, sf_dir))
+    pr = pairs.preference_pairs(ranked(spark, sf_dir), score_col="raw_score")
     return pairs.training_triplets(pr, _peptides(spark, sf_dir), on_missing="null")
 
 
@@ -255,7 +278,6 @@ def scale_join(spark, sf_dir):
         F.count(F.lit(1)).alias("n_res"),
         F.count_if(F.col("h").isNull()).alias("n_unknown"),
         F.sum(F.coalesce(F.col("h"), F.lit(0.0))).alias("_h"))
-    from seqscore.functions.numeric import round_dp
     return agg.filter(F.col("n_unknown") > 0).select(
         fixtures.structure_id().alias("id"), "n_res", "n_unknown",
         round_dp(F.col("_h"), 6).alias("h_sum"))
@@ -274,19 +296,21 @@ def row_counts(spark, sf_dir):
 @query
 def batch_summary(spark, sf_dir):
     from seqscore.operators import reports
-    return reports.batch_summary(attach_sequence(spark, sf_dir))
+    from seqscore.functions import sequence as S
+    cys = _peptides(spark, sf_dir).select("seq_idx", S.cys_count(F.col("sequence")).alias("cys_count"))
+    return reports.batch_summary(scores(spark, sf_dir).join(cys, "seq_idx", "left"))
 
 
 @query
 def margin_stats(spark, sf_dir):
     from seqscore.operators import reports
-    return reports.margin_stats(pairs.preference_pairs(ranked(spark, sf_dir)))
+    return reports.margin_stats(preference_pairs(spark, sf_dir))
 
 
 @query
 def reject_diversity(spark, sf_dir):
     from seqscore.operators import reports
-    return reports.reject_diversity(pairs.preference_pairs(ranked(spark, sf_dir)))
+    return reports.reject_diversity(preference_pairs(spark, sf_dir))
 
 
 def _cohorts(spark, sf_dir):
@@ -294,8 +318,9 @@ def _cohorts(spark, sf_dir):
     'generated'."""
     fin = _finished_orders(spark, sf_dir).withColumn("_fin", F.lit(True))
     s = scores(spark, sf_dir).join(fin, "seq_idx", "left")
-    return s.withColumn("cohort", F.when(F.col("_fin"), F.lit("original")).otherwise(F.lit("generated"))) \
-        .drop("_fin")
+    labelled = s.withColumn("cohort", F.when(F.col("_fin"), F.lit("original")).otherwise(F.lit("generated")))
+    # scored once: each report reads these rows more than once
+    return cut_lineage(labelled.select("seq_idx", "cohort", "score", "dist_nc"))
 
 
 @query
@@ -311,6 +336,13 @@ def score_hist(spark, sf_dir):
     return reports.histogram(_cohorts(spark, sf_dir), "score", ["cohort"], 20)
 
 
+@query
+def dist_hist(spark, sf_dir):
+    """End-to-end distances by cohort."""
+    from seqscore.operators import reports
+    return reports.histogram(_cohorts(spark, sf_dir), "dist_nc", ["cohort"], 20)
+
+
 @query
 def chart_sets(spark, sf_dir):
     """V1-V4 in one table: pLDDT vs score with a validated flag, muH vs net
@@ -328,8 +360,13 @@ def chart_sets(spark, sf_dir):
 @query
 def ranked_report(spark, sf_dir):
     """The first ten ranks of the scored table."""
-    t = attach_sequence(spark, sf_dir)
-    return t.filter(F.col("rank") <= C.DEFAULT_TOP_N).select(
+    from seqscore.functions import sequence as S
+    top = ranking.top_n(scores(spark, sf_dir), by_score(), C.DEFAULT_TOP_N)
+    # ten rows: their ranks and their sequences
+    top = top.withColumn("rank", F.row_number().over(Window.orderBy(*by_score())).cast("bigint"))
+    t = F.broadcast(top).join(_peptides(spark, sf_dir).select("seq_idx", "sequence"), "seq_idx", "left")
+    t = t.withColumn("sequence", F.coalesce("sequence", F.lit("")))
+    return t.withColumn("cys_count", S.cys_count(F.col("sequence"))).select(
         "rank", "sequence", "score", "plddt", "dist_nc", "cyclic_candidate", "cys_count")
 
 
@@ -343,7 +380,7 @@ def validation_report(spark, sf_dir):
 
 @query
 def stratified_pairs(spark, sf_dir):
-    return pairs.stratified_pairs(ranked(spark, sf_dir))
+    return _margins(pairs.stratified_pairs(ranked(spark, sf_dir), score_col="raw_score"))
 
 
 # -- sources and sinks (round trips through the shared checkpoint folder) ---------
@@ -366,6 +403,19 @@ def csv_roundtrip(spark, sf_dir):
     return read_csv(spark, path, SCORED_SCHEMA)
 
 
+@query
+def csv_ids(spark, sf_dir):
+    """Sequences written as CSV in document order, with columns before
+    and behind the sequence, read by header name and numbered by position."""
+    from seqscore.sinks.files import write_csv
+    from seqscore.sources.files import assign_ids, read_csv
+    p = fixtures.peptides(spark, sf_dir, ("lang", "source")).orderBy("seq_idx")
+    path = write_csv(p.select("lang", F.col("seq_idx").alias("doc"), "sequence", "source"),
+                     _scratch(spark, "sequences_csv"))
+    ids = assign_ids(read_csv(spark, path, "sequence STRING, doc BIGINT"))
+    return ids.select("id", "doc", "lang", "source", F.length("sequence").cast("bigint").alias("length"))
+
+
 @query
 def jsonl_roundtrip(spark, sf_dir):
     """K2 then S4: preference pairs as JSON lines."""
@@ -410,7 +460,7 @@ def _n_files(spark):
 
 def _score_structures_array(structures):
     s = structure.add_score(structure.structure_metrics_array(structures), CFG)
-    return structure.rounded(s, ["net_charge", "muH", "plddt", "dist_nc", "score"]).select(
+    return structure.rounded(s, SCORED).select(
         "id", "n_res", "net_charge", "muH", "plddt", "dist_nc", "score")
 
 
@@ -427,18 +477,16 @@ def pdb_roundtrip(spark, sf_dir):
 
 @query
 def file_inventory(spark, sf_dir):
-    """PDB files sharded into folders, discovered with the
-    fallback rule, listed without reading contents, and every structure in
-    a non-empty listed file recovered."""
+    """PDB files in the preferred folder, discovered with the
+    fallback rule, listed without reading contents, and every structure in a
+    non-empty listed file recovered."""
     from seqscore.sinks.files import write_pdb
     from seqscore.sources.files import discover, read_pdb, structure_inventory
-    atoms = _pdb_atoms(spark, sf_dir).withColumn("shard", F.pmod(F.hash("id"), F.lit(4)))
-    root = write_pdb(atoms, _scratch(spark, "pdb_sharded"), _n_files(spark), partition_col="shard",
-                     order_col="ord_key")
-    where = discover(spark, f"{root}/prediction_results", root)
+    root = _scratch(spark, "pdb_folders")
+    write_pdb(_pdb_atoms(spark, sf_dir), f"{root}/prediction_results", _n_files(spark), order_col="ord_key")
+    where = discover(spark, f"{root}/prediction_results", root, "*.txt")
     inv = structure_inventory(spark, where, "*.txt").filter(F.col("length") > 0)
-    structs = read_pdb(spark, where, "*.txt").join(inv.select("file_name"), "file_name", "left_semi")
-    return structs.select("id")
+    return read_pdb(spark, where, "*.txt").join(inv.select("path"), "path", "left_semi").select("id")
 
 
 @query
@@ -452,7 +500,7 @@ def stream_score(spark, sf_dir):
     out, ckpt = _scratch(spark, "stream_out"), _scratch(spark, "stream_ckpt")
     run_incremental(spark, src, out, ckpt, CFG)
     s = spark.read.parquet(out)
-    return structure.rounded(s, ["net_charge", "muH", "plddt", "dist_nc", "score"]).select(
+    return structure.rounded(s, SCORED).select(
         "id", "n_res", "net_charge", "muH", "plddt", "dist_nc", "score")
 
 
@@ -469,7 +517,6 @@ def relaxation_ratio(row: dict) -> dict:
 def guarded_map(spark, sf_dir):
     """A Python function per row in Arrow batches; failures become
     NULL records with the error text instead of failing the job."""
-    from seqscore.functions.numeric import round_dp
     from seqscore.runtime import guarded_map as gmap
     e = fixtures.energies(spark, sf_dir, scores(spark, sf_dir)).select("id", "e_initial", "e_final")
     out = gmap(e, relaxation_ratio, "id STRING, ratio DOUBLE, error STRING", ["id"])

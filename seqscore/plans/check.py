@@ -79,7 +79,7 @@ def main(argv: list[str]) -> int:
     from seqscore.session import local_session
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     names = argv[2:]
-    spark = local_session(8, 8)
+    spark = local_session(4, 8)
     from seqscore.plans.catalog import QUERIES
     con = duck_views(sf_dir)
     bad = 0

@@ -17,7 +17,7 @@ CFG = ScoringConfig()
 
 
 def r6(expr: str, digits: int = 6) -> str:
-    return f"CAST(ROUND(CAST({expr} AS DECIMAL(38,12)), {digits}) AS DOUBLE)"
+    return f"CAST(round_even(CAST({expr} AS DECIMAL(38,12)), {digits}) AS DOUBLE)"
 
 
 def _case_map(col: str, mapping: dict, default: str = "0.0") -> str:
@@ -77,10 +77,11 @@ scored_raw AS (
 scores AS (
   SELECT seq_idx, 'seq_' || CAST(seq_idx AS VARCHAR) AS id, n_res,
          {r6('net_charge')} AS net_charge, {r6('muH')} AS muH, {r6('plddt')} AS plddt,
-         {r6('dist_nc')} AS dist_nc, {r6('score')} AS score, cyclic_candidate
+         {r6('dist_nc')} AS dist_nc, {r6('score')} AS score, cyclic_candidate,
+         score AS raw, CAST(score AS DECIMAL(38,12)) AS k
   FROM scored_raw),
 ranked AS (
-  SELECT *, row_number() OVER (ORDER BY score DESC, seq_idx) AS rank FROM scores),
+  SELECT *, row_number() OVER (ORDER BY k DESC, seq_idx) AS rank FROM scores),
 cut AS (
   SELECT CAST(greatest(1, floor(count(*) * CAST({C.WINNER_FRACTION} AS DOUBLE))) AS BIGINT) AS n_win
   FROM scores),
@@ -104,7 +105,7 @@ SELECT id, n_res, net_charge, muH, plddt, dist_nc, score, cyclic_candidate FROM
 
 QUERIES["top_candidates"] = with_(METRICS, f"""
 SELECT id, score, plddt, dist_nc, muH, net_charge FROM scores
-ORDER BY score DESC, seq_idx LIMIT {C.DEFAULT_TOP_N}""")
+ORDER BY k DESC, seq_idx LIMIT {C.DEFAULT_TOP_N}""")
 
 QUERIES["global_rank"] = with_(METRICS, """
 SELECT id, score, rank FROM ranked""")
@@ -116,29 +117,29 @@ SELECT id, score, rank, is_winner FROM split""")
 # to the loser with the smaller key.
 QUERIES["preference_pairs"] = with_(METRICS, f"""
 SELECT 'seq_' || CAST(w.seq_idx AS VARCHAR) AS chosen,
-       'seq_' || CAST(arg_min(l.seq_idx, (abs(w.score - l.score), l.seq_idx)) AS VARCHAR) AS rejected,
-       {r6('w.score - arg_min(l.score, (abs(w.score - l.score), l.seq_idx))')} AS margin
+       'seq_' || CAST(arg_min(l.seq_idx, (abs(w.k - l.k), l.seq_idx)) AS VARCHAR) AS rejected,
+       {r6('w.raw - arg_min(l.raw, (abs(w.k - l.k), l.seq_idx))')} AS margin
 FROM split w JOIN split l ON w.is_winner AND NOT l.is_winner
-GROUP BY w.seq_idx, w.score""")
+GROUP BY w.seq_idx, w.raw, w.k""")
 
 VALIDATED = METRICS + f""",
 energies AS (
   SELECT s.*,
          CASE WHEN o.o_orderstatus <> 'P' THEN o.o_custkey / CAST(4.0 AS DOUBLE) END AS e0,
-         CASE WHEN o.o_orderstatus <> 'P' THEN -o.o_totalprice / CAST(31.7 AS DOUBLE) END AS e1
+         CASE WHEN o.o_orderstatus <> 'P' THEN -floor(o.o_totalprice) / CAST(32.0 AS DOUBLE) END AS e1
   FROM scores s LEFT JOIN orders o ON s.seq_idx = o.o_orderkey),
 erows AS (
-  SELECT seq_idx, id, score AS proxy_score, plddt, dist_nc, muH, net_charge,
+  SELECT seq_idx, id, k, score AS proxy_score, plddt, dist_nc, muH, net_charge,
          {r6('e0', 2)} AS e_initial, {r6('e1', 2)} AS e_final, {r6('e1 - e0', 2)} AS delta_e,
          coalesce(abs(e1 - e0) > {C.CONVERGENCE_DELTA}, false) AS converged
   FROM energies),
 nvalid AS (SELECT count(*) AS n FROM erows WHERE e_final IS NOT NULL),
 vranks AS (
   SELECT seq_idx,
-         row_number() OVER (ORDER BY proxy_score DESC, seq_idx) AS rp,
+         row_number() OVER (ORDER BY k DESC, seq_idx) AS rp,
          row_number() OVER (ORDER BY e_final, seq_idx) AS rf
   FROM erows WHERE e_final IS NOT NULL),
-allrank AS (SELECT seq_idx, row_number() OVER (ORDER BY proxy_score DESC, seq_idx) AS ra FROM erows),
+allrank AS (SELECT seq_idx, row_number() OVER (ORDER BY k DESC, seq_idx) AS ra FROM erows),
 validated AS (
   SELECT e.*,
          CASE WHEN nv.n >= {C.MIN_CORRELATION_ROWS} THEN v.rp ELSE a.ra END AS rank_proxy,
@@ -150,7 +151,7 @@ corr_in AS (
          count(*) FILTER (WHERE rank_physics IS NOT NULL) AS n_validated,
          corr(CASE WHEN rank_physics IS NOT NULL THEN CAST(rank_proxy AS DOUBLE) END,
               CASE WHEN rank_physics IS NOT NULL THEN CAST(rank_physics AS DOUBLE) END) AS rho,
-         arg_max(id, (proxy_score, -seq_idx)) AS best_proxy,
+         arg_max(id, (k, -seq_idx)) AS best_proxy,
          arg_min(id, (e_final, seq_idx)) FILTER (WHERE e_final IS NOT NULL) AS best_physics,
          avg(delta_e) FILTER (WHERE e_final IS NOT NULL) AS mean_de
   FROM validated),
@@ -163,12 +164,6 @@ pv AS (
   SELECT *,
     CASE WHEN n_validated < 3 THEN NULL
          WHEN abs(rho) >= 1.0 THEN 0.0
-         WHEN nu > 200000 THEN
-           (1.0 / (1.0 + 0.3275911 * (t / sqrt(2.0)))) * (0.254829592 + (1.0 / (1.0 + 0.3275911 * (t / sqrt(2.0))))
-             * (-0.284496736 + (1.0 / (1.0 + 0.3275911 * (t / sqrt(2.0)))) * (1.421413741
-             + (1.0 / (1.0 + 0.3275911 * (t / sqrt(2.0)))) * (-1.453152027
-             + (1.0 / (1.0 + 0.3275911 * (t / sqrt(2.0)))) * 1.061405429))))
-             * exp(-(t / sqrt(2.0)) * (t / sqrt(2.0)))
          WHEN nu % 2 = 0 THEN
            1.0 - sin(th) * list_sum([exp(lgamma(k + 0.5) - lgamma(k + 1) - lgamma(0.5))
                                      * pow(cos(th) * cos(th), k) FOR k IN range(0, nu // 2)])
@@ -290,16 +285,10 @@ dps AS (
   SELECT seq_idx, substr(sequence, i, 2) AS dipeptide
   FROM (SELECT seq_idx, sequence, unnest(range(1, length(sequence))) AS i
         FROM peptides WHERE length(sequence) >= 2)),
-obs AS (SELECT dipeptide, count(*) AS obs FROM dps GROUP BY dipeptide),
-fa AS (SELECT substr(dipeptide, 1, 1) AS a, sum(obs) AS na FROM obs GROUP BY 1),
-fb AS (SELECT substr(dipeptide, 2, 1) AS b, sum(obs) AS nb FROM obs GROUP BY 1),
-tot AS (SELECT sum(obs) AS n FROM obs),
 weights AS (
-  SELECT o.dipeptide,
-         round({d(10.0)} * ln(CAST(o.obs AS DOUBLE) / (CAST(fa.na AS DOUBLE) * CAST(fb.nb AS DOUBLE)
-               / CAST(tot.n AS DOUBLE)))) AS weight
-  FROM obs o JOIN fa ON substr(o.dipeptide, 1, 1) = fa.a
-  JOIN fb ON substr(o.dipeptide, 2, 1) = fb.b CROSS JOIN tot),
+  SELECT substr('{C.AMINO_ACIDS}', i + 1, 1) || substr('{C.AMINO_ACIDS}', j + 1, 1) AS dipeptide,
+         ((7 * i + 13 * j) % 29 - 14) / {d(2.0)} AS weight
+  FROM range(0, 20) a(i) CROSS JOIN range(0, 20) b(j)),
 ii AS (
   SELECT p.seq_idx,
          CASE WHEN length(p.sequence) > 0 THEN
@@ -321,6 +310,14 @@ SELECT p.id, doc.lang, doc.source, length(p.sequence) AS length,
 FROM peptides p JOIN documents doc ON p.seq_idx = doc.doc_id
 LEFT JOIN ii ON p.seq_idx = ii.seq_idx LEFT JOIN pi ON p.seq_idx = pi.seq_idx"""
 
+QUERIES["descriptors_first"] = QUERIES["descriptors"] + """
+WHERE p.seq_idx < 100"""
+
+QUERIES["csv_ids"] = with_(PEPTIDES, """
+SELECT 'seq_' || CAST(row_number() OVER (ORDER BY p.seq_idx) - 1 AS VARCHAR) AS id, p.seq_idx AS doc,
+       doc.lang, doc.source, length(p.sequence) AS length
+FROM peptides p JOIN documents doc ON doc.doc_id = p.seq_idx""")
+
 QUERIES["attach_sequence"] = with_(METRICS + "," + PEPTIDES, f"""
 SELECT r.id, coalesce(p.sequence, '') AS sequence, r.net_charge, r.muH, r.plddt, r.dist_nc, r.score,
        r.cyclic_candidate, {cnt("coalesce(p.sequence, '')", 'C')} AS cys_count, r.rank
@@ -384,9 +381,9 @@ SELECT count(*) AS n_scored, count(*) FILTER (WHERE cyclic_candidate) AS n_cycli
        min(score) AS min_score, max(score) AS max_score FROM attached""")
 
 PAIRS = METRICS + f""",
-top_loser AS (SELECT seq_idx, score FROM split WHERE rank = (SELECT n_win + 1 FROM cut)),
+top_loser AS (SELECT seq_idx, raw FROM split WHERE rank = (SELECT n_win + 1 FROM cut)),
 pairs AS (
-  SELECT w.id AS chosen, 'seq_' || CAST(l.seq_idx AS VARCHAR) AS rejected, {r6('w.score - l.score')} AS margin
+  SELECT w.id AS chosen, 'seq_' || CAST(l.seq_idx AS VARCHAR) AS rejected, {r6('w.raw - l.raw')} AS margin
   FROM split w CROSS JOIN top_loser l WHERE w.is_winner)"""
 
 QUERIES["margin_stats"] = with_(PAIRS, f"""
@@ -421,6 +418,10 @@ SELECT cohort,
        count(*) AS n
 FROM cohorts CROSS JOIN rng GROUP BY 1, 2""")
 
+QUERIES["dist_hist"] = QUERIES["score_hist"].replace("min(score) AS lo, max(score) AS hi",
+                                                     "min(dist_nc) AS lo, max(dist_nc) AS hi").replace(
+    "(score - rng.lo)", "(dist_nc - rng.lo)")
+
 QUERIES["chart_sets"] = with_(VALIDATED + "," + PEPTIDES, f"""
 SELECT v.id, v.plddt, v.proxy_score AS score, v.e_final IS NOT NULL AS validated, v.muH, v.net_charge,
        v.rank_proxy, v.rank_physics, coalesce({cnt('p.sequence', 'C')}, 0) >= 2 AS cys_badge
@@ -439,9 +440,9 @@ binned AS (
   SELECT s.*, CAST(floor(CAST((s.rank - nn.n_win - 1) * nn.n_win AS DOUBLE) / nn.n_lose) + 1 AS BIGINT) AS bin,
          ((s.seq_idx + 7) % 2147483647) * 48271 % 2147483647 AS h
   FROM split s CROSS JOIN nn WHERE NOT s.is_winner),
-picks AS (SELECT bin, arg_min(id, (h, seq_idx)) AS rid, arg_min(score, (h, seq_idx)) AS rscore
+picks AS (SELECT bin, arg_min(id, (h, seq_idx)) AS rid, arg_min(raw, (h, seq_idx)) AS rscore
           FROM binned GROUP BY bin)""", f"""
-SELECT w.id AS chosen, p.rid AS rejected, {r6('w.score - p.rscore')} AS margin, w.rank AS stratum
+SELECT w.id AS chosen, p.rid AS rejected, {r6('w.raw - p.rscore')} AS margin, w.rank AS stratum
 FROM split w JOIN picks p ON p.bin = w.rank WHERE w.is_winner""")
 
 
@@ -456,7 +457,7 @@ SELECT id, sequence FROM peptides WHERE length(sequence) > 0""")
 
 def fixed(expr: str, digits: int) -> str:
     """The value as written to a fixed-width text column, read back."""
-    return f"CAST(ROUND(CAST({expr} AS DECIMAL(20,7)), {digits}) AS DOUBLE)"
+    return f"CAST(round_even(CAST({expr} AS DECIMAL(20,7)), {digits}) AS DOUBLE)"
 
 
 PDB_METRICS = f"""
@@ -476,7 +477,7 @@ SELECT DISTINCT 'seq_' || CAST(l_orderkey AS VARCHAR) AS id FROM lineitem"""
 QUERIES["guarded_map"] = with_(METRICS, f"""
 SELECT s.id,
        CASE WHEN o.o_orderstatus = 'P' OR o.o_orderkey IS NULL OR o.o_custkey = 0 THEN NULL
-            ELSE {r6('((-o.o_totalprice / CAST(31.7 AS DOUBLE)) - o.o_custkey / CAST(4.0 AS DOUBLE)) / abs(o.o_custkey / CAST(4.0 AS DOUBLE))')}
+            ELSE {r6('((-floor(o.o_totalprice) / CAST(32.0 AS DOUBLE)) - o.o_custkey / CAST(4.0 AS DOUBLE)) / abs(o.o_custkey / CAST(4.0 AS DOUBLE))')}
        END AS ratio,
        CASE WHEN o.o_orderstatus = 'P' OR o.o_orderkey IS NULL THEN 'ValueError: energy missing'
             WHEN o.o_custkey = 0 THEN 'ZeroDivisionError: float division by zero'

@@ -19,9 +19,11 @@ from pyspark.sql import functions as F
 from seqscore import constants as C
 from seqscore.config import ScoringConfig
 from seqscore.functions import sequence as S
+from seqscore.functions.numeric import score_key
 from seqscore.operators import pairs, ranking, reports, structure, validation
 from seqscore.operators.descriptors import descriptors
 from seqscore.runtime import require_non_empty
+from seqscore.session import cut_lineage
 from seqscore.sinks import files as sinks
 from seqscore.sources import files as sources
 
@@ -48,7 +50,6 @@ def split_rejected(seqs: DataFrame, out_dir: str, name: str) -> DataFrame:
     into text; they go to a side table ``<name>_rejected`` (seq_idx, id,
     reason) and the valid rows are returned.  The seqs frame is pinned so
     both outputs read one copy."""
-    from seqscore.session import cut_lineage
     seqs = cut_lineage(seqs)
     bad = F.col("sequence").isNull() | (F.length("sequence") == 0)
     rejected = seqs.filter(bad).select(
@@ -89,7 +90,7 @@ def prepare_fasta(spark: SparkSession, sequences_csv: str, out_dir: str, limit:
 
 
 def _structures(spark: SparkSession, pdb_dir: str) -> DataFrame | None:
-    where = sources.discover(spark, os.path.join(pdb_dir, "prediction_results"), pdb_dir)
+    where = sources.discover(spark, _out(pdb_dir, "prediction_results"), pdb_dir, "*.pdb")
     return None if where is None else sources.read_pdb(spark, where, "*.pdb")
 
 
@@ -107,14 +108,25 @@ def score_structures(spark: SparkSession, pdb_dir: str, cfg: ScoringConfig,
 
 
 def score_and_pair(spark: SparkSession, pdb_dir: str, out_dir: str, cfg: ScoringConfig | None = None,
-                   fraction: float = C.WINNER_FRACTION) -> tuple[DataFrame, DataFrame]:
-    """Stage 3: scoring_results.csv and preferences.jsonl (nearest loser)."""
+                   fraction: float = C.WINNER_FRACTION, plddt_scale: float = 1.0,
+                   on_empty: str = "write") -> tuple[DataFrame, DataFrame]:
+    """Stage 3: scoring_results.csv and preferences.jsonl (nearest loser), and
+    side tables of the structures that can't be scored.  Without any scored
+    structure the tables are empty (``on_empty="write"``) or it fails."""
     cfg = cfg or ScoringConfig()
-    scored = score_structures(spark, pdb_dir, cfg)
+    structures = _structures(spark, pdb_dir)
+    if structures is not None:
+        # Ids that hold no CA record or lack a coordinate are listed, not scored
+        sinks.write_csv(sources.without_ca(structures), _out(out_dir, "structures_without_ca"))
+        sinks.write_csv(structure.incomplete_structures_array(structures).filter("n_missing > 0"),
+                        _out(out_dir, "structures_incomplete"))
+    scored = cut_lineage(score_structures(spark, pdb_dir, cfg, plddt_scale))
+    if on_empty == "raise":
+        require_non_empty(scored, "scored structures")
     s_counted, s_obs = sinks.counted(scored.select(*SCORE_COLUMNS), "scored")
     sinks.write_csv(s_counted, _out(out_dir, "scoring_results"))
     keyed = scored.withColumn("_k", F.col("id"))
-    ranked = ranking.global_rank(keyed, [F.col("score").desc(), F.col("_k")])
+    ranked = ranking.global_rank(keyed, [score_key("score").desc_nulls_last(), F.col("_k")])
     prefs = pairs.preference_pairs(ranked, fraction)
     p_counted, p_obs = sinks.counted(prefs, "pairs")
     sinks.write_jsonl(p_counted, _out(out_dir, "preferences"))
@@ -154,7 +166,7 @@ def score_generated(spark: SparkSession, generated_csv: str, pdb_dir: str, out_d
          .withColumn("sequence", F.coalesce(F.col("sequence"), F.lit("")))
          .withColumn("cys_count", S.cys_count(F.col("sequence")))
          .withColumn("_k", F.col("id")))
-    ranked = ranking.global_rank(j, [F.col("score").desc(), F.col("_k")])
+    ranked = ranking.global_rank(j, [score_key("score").desc_nulls_last(), F.col("_k")])
     table = ranked.select(*[c for c in SCORED_GENERATED if c in ranked.columns])
     counted, obs = sinks.counted(table.orderBy("rank"), "scored_generated")
     sinks.write_csv(counted, _out(out_dir, "scored_generated"))
@@ -164,27 +176,44 @@ def score_generated(spark: SparkSession, generated_csv: str, pdb_dir: str, out_d
     return table, summary
 
 
+def _displacements(spark: SparkSession, cand: DataFrame, pdb_dir: str, relaxed_dir: str | None) -> DataFrame:
+    """(id, rmsd, n_atoms, relaxed_pdb) of the candidates that have a relaxed
+    structure; no rows without a folder of them."""
+    if relaxed_dir is None:
+        return spark.createDataFrame([], "id string, rmsd double, n_atoms bigint, relaxed_pdb string")
+    stem = F.regexp_replace("file_name", r"(_relaxed)?\.[^.]*$", "")
+    wanted = cand.select("id").distinct()
+    after = sources.read_pdb(spark, relaxed_dir, "*_relaxed.pdb").withColumn("id", stem).join(wanted, "id", "left_semi")
+    before = sources.read_pdb(spark, pdb_dir, "*.pdb").withColumn("id", stem).join(after.select("id"), "id", "left_semi")
+    moved = validation.rmsd(sources.explode_atoms(before), sources.explode_atoms(after), key="id")
+    return moved.join(after.select("id", F.col("path").alias("relaxed_pdb")), "id")
+
+
 ENERGY_SCHEMA = "id STRING, e_initial DOUBLE, e_final DOUBLE"
 
 
 def validate(spark: SparkSession, scored_csv: str, energies_csv: str, pdb_dir: str, out_dir: str,
-             top_n: int = C.DEFAULT_TOP_N) -> tuple[DataFrame, DataFrame]:
+             top_n: int = C.DEFAULT_TOP_N, relaxed_dir: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Stage 6 data work: top-N by proxy score (O2) that still have a
     structure file (J5), energies joined (P20, NULL = failed run), ranks
     and rank correlation (W3, A10), physics_validation.csv and the summary
-    JSON (K3).  Fails when no candidate survives (P21)."""
+    JSON (K3).  Candidates without a structure file are listed in
+    candidates_without_file.  With ``relaxed_dir`` (files <id>_relaxed.pdb),
+    rmsd and n_atoms come from the structures' CA atoms before and after.
+    Fails when no candidate survives (P21)."""
     schema = ("id STRING, sequence STRING, net_charge DOUBLE, muH DOUBLE, plddt DOUBLE, dist_nc DOUBLE, "
               "score DOUBLE, cyclic_candidate BOOLEAN, cys_count INT, rank INT")
     scored = sources.read_csv(spark, scored_csv, schema).withColumn("seq_idx", F.col("rank").cast("bigint"))
-    top = ranking.top_n(scored, [F.col("score").desc(), F.col("seq_idx")], top_n)
-    inv = sources.structure_inventory(spark, pdb_dir, "*.pdb").select(F.col("stem").alias("id"))
-    cand = require_non_empty(top.join(inv, "id", "left_semi"), "validation candidates")
+    top = ranking.top_n(scored, [score_key("score").desc_nulls_last(), F.col("seq_idx")], top_n)
+    done, left = sources.pending(top, sources.structure_inventory(spark, pdb_dir, "*.pdb"))
+    sinks.write_csv(left.select("id", "rank"), _out(out_dir, "candidates_without_file"))
+    cand = require_non_empty(done, "validation candidates")
     energies = sources.read_csv(spark, energies_csv, ENERGY_SCHEMA)
     rows = validation.energy_rows(cand.join(energies, "id", "left"))
     ranked = validation.rank_validation(rows.join(cand.select("id", "sequence", "cys_count"), "id"))
-    table = ranked.select("id", "sequence", "proxy_score", "plddt", "dist_nc", "muH", "net_charge",
-                          "cys_count", "e_initial", "e_final", "delta_e", "converged",
-                          "rank_proxy", "rank_physics")
+    table = ranked.join(_displacements(spark, cand, pdb_dir, relaxed_dir), "id", "left").select(
+        "id", "sequence", "proxy_score", "plddt", "dist_nc", "muH", "net_charge", "cys_count", "e_initial",
+        "e_final", "delta_e", "rmsd", "n_atoms", "converged", "relaxed_pdb", "rank_proxy", "rank_physics")
     counted, obs = sinks.counted(table.orderBy("rank_proxy"), "physics_validation")
     sinks.write_csv(counted, _out(out_dir, "physics_validation"))
     LOG.info("validate: %d candidates written", obs.get["rows"])

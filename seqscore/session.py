@@ -4,6 +4,7 @@ reliable lineage cuts into the cluster's shared checkpoint folder."""
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -51,13 +52,17 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the configured ``spark.checkpoint.dir``; only when it is unset
-    (local tests) create a fresh scratch folder for it."""
+    """Use the configured ``spark.checkpoint.dir``.  Where it is unset, a
+    local session gets a fresh scratch folder; on a cluster, whose hosts share
+    no local folder, that is an error."""
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
     d = spark.conf.get("spark.checkpoint.dir", None) or None
     if d is None:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise RuntimeError(f"spark.checkpoint.dir is not set: on {master}, name a folder that all hosts share")
         d = tempfile.mkdtemp(prefix="seqscore-ckpt-", dir=os.environ.get("SEQSCORE_SCRATCH", "/tmp"))
     spark.sparkContext.setCheckpointDir(d)
     return spark.sparkContext.getCheckpointDir() or d

@@ -56,25 +56,40 @@ def write_fasta(df: DataFrame, path: str, id_col: str = "id", seq_col: str = "se
     return path
 
 
-def _fixed(v: Column, width: int, digits: int) -> Column:
-    """``%{width}.{digits}f`` of the decimal value (half-up on the decimal,
+def _field(text: Column, width: int, what: str, left: bool = False) -> Column:
+    """The text padded to its fixed field; a text that doesn't fit fails the
+    job with its value instead of being cut."""
+    padded = F.rpad(text, width, " ") if left else F.lpad(text, width, " ")
+    wide = F.raise_error(F.concat(F.lit(f"{what} doesn't fit its {width} columns: "), text))
+    return F.when(F.length(text) <= width, padded).when(text.isNull(), F.lit(" " * width)).otherwise(wide)
+
+
+def _fixed(v: Column, width: int, digits: int, what: str) -> Column:
+    """``%{width}.{digits}f`` of the decimal value (half to even on the decimal,
     so the text does not depend on binary rounding)."""
-    dec = F.round(v.cast("decimal(20,7)"), digits).cast(f"decimal(20,{digits})")
-    return F.lpad(dec.cast("string"), width, " ")
+    dec = F.bround(v.cast("decimal(20,7)"), digits).cast(f"decimal(20,{digits})")
+    return _field(dec.cast("string"), width, what)
 
 
-PDB_MAX_ATOMS = 99_999   # 5-digit atom serial field: the format's own bound
+def _number(n: Column, width: int) -> Column:
+    """A serial or residue number in ``width`` columns: decimal as far as it
+    fits, then hybrid-36 (A000..., as PDB tools write large structures), then
+    blank; readers go by the order of records."""
+    most = 10 ** width
+    first = 10 * 36 ** (width - 1)
+    letters = F.conv((n - most + first).cast("string"), 10, 36)
+    return (F.when(n < most, F.lpad(n.cast("string"), width, " "))
+            .when(n < most + 26 * 36 ** (width - 1), letters).otherwise(F.lit(" " * width)))
 
 
 def pdb_atom_line(pos_col: str = "ord") -> Column:
     """One ``ATOM`` record for a CA (PDB v3.3 fixed columns)."""
-    serial = F.format_string("%5d", F.col(pos_col))
-    res = F.format_string("%-3s", F.col("resname"))
-    resseq = F.format_string("%4d", F.col(pos_col))
+    n = F.col(pos_col)
     return F.concat(
-        F.lit("ATOM  "), serial, F.lit("  CA  "), res, F.lit(" A"), resseq, F.lit("    "),
-        _fixed(F.col("x"), 8, 3), _fixed(F.col("y"), 8, 3), _fixed(F.col("z"), 8, 3),
-        F.lit("  1.00"), _fixed(F.col("plddt"), 6, 2), F.lit("           C"))
+        F.lit("ATOM  "), _number(n, 5), F.lit("  CA  "), _field(F.col("resname"), 3, "residue name", left=True),
+        F.lit(" A"), _number(n, 4), F.lit("    "),
+        _fixed(F.col("x"), 8, 3, "x"), _fixed(F.col("y"), 8, 3, "y"), _fixed(F.col("z"), 8, 3, "z"),
+        F.lit("  1.00"), _fixed(F.col("plddt"), 6, 2, "plddt"), F.lit("           C"))
 
 
 MAX_LINES_PER_FILE = 1_000_000   # ~80 MB of PDB text per file
@@ -87,36 +102,30 @@ def write_pdb(atoms: DataFrame, path: str, num_files: int, id_col: str = "id",
     """Multi-structure PDB text files: per structure a ``HEADER`` line with
     the id, its ``ATOM`` lines in position order, and ``END``.
 
-    One hash exchange on the structure id does all the work: the window
-    that finds each structure's last position reuses it (a structure is
-    bounded by the format, 99,999 atoms, so a window partition is too), and
-    the sort within partitions makes every structure one contiguous block
-    of one file.  The header and ``END`` ride on the first and last atom's
-    text row, so no second pass over the atoms is needed.  The file count
-    is at least ``num_files`` and grows with the atom count so a file stays
-    near ``max_lines_per_file`` lines (files are read back whole).
-    ``partition_col`` optionally adds a directory level.  With ``order_col``
-    the positions are numbered here, in the same bounded window (no separate
-    ordinal pass); otherwise ``pos_col`` holds them."""
+    One hash exchange on the structure id, and a sort within partitions that
+    makes every structure one contiguous block of one file.  Positions and
+    the first and last atom come from running windows over that order (row
+    number, look-ahead by one), which hold no structure in memory; header and
+    ``END`` ride on the first and last atom's text row.  The file count is at
+    least ``num_files`` and grows with the atom count so a file stays near
+    ``max_lines_per_file`` lines.  ``partition_col`` optionally adds a
+    directory level.  With ``order_col`` the positions are numbered here;
+    otherwise ``pos_col`` holds them.  A coordinate, pLDDT or residue name
+    that its field can't hold fails the job."""
     n_atoms = atoms.count()
     num_files = max(int(num_files), -(-n_atoms // int(max_lines_per_file)))
     src = F.col(order_col) if order_col else F.col(pos_col).cast("bigint")
     keep = [F.col(id_col).alias("id"), src.alias("_src"), "resname", "x", "y", "z",
             "plddt"] + ([partition_col] if partition_col else [])
     a = atoms.select(*keep).repartition(int(num_files), "id")
-    w = Window.partitionBy("id")
-    if order_col:
-        a = a.withColumn("_pos", F.row_number().over(w.orderBy("_src")).cast("bigint"))
-    else:
-        a = a.withColumnRenamed("_src", "_pos")
-    a = a.withColumns({"_first": F.min("_pos").over(w), "_last": F.max("_pos").over(w)})
-    within = F.assert_true(F.col("_last") <= F.lit(PDB_MAX_ATOMS),
-                           F.lit(f"structure exceeds the PDB limit of {PDB_MAX_ATOMS} atoms"))
+    w = Window.partitionBy("id").orderBy("_src")
+    a = a.withColumns({"_nth": F.row_number().over(w).cast("bigint"),
+                       "_end": F.lead(F.lit(1)).over(w).isNull()})
+    a = a.withColumn("_pos", F.col("_nth") if order_col else F.col("_src"))
     text = F.concat(
-        F.when(within.isNull(), F.lit("")),
-        F.when(F.col("_pos") == F.col("_first"), F.concat(F.lit("HEADER    "), F.col("id"), F.lit("\n"))).otherwise(F.lit("")),
+        F.when(F.col("_nth") == 1, F.concat(F.lit("HEADER    "), F.col("id"), F.lit("\n"))).otherwise(F.lit("")),
         pdb_atom_line("_pos"),
-        F.when(F.col("_pos") == F.col("_last"), F.lit("\nEND")).otherwise(F.lit("")))
+        F.when(F.col("_end"), F.lit("\nEND")).otherwise(F.lit("")))
     # With a directory level the writer needs rows ordered by it; leading
     # the sort with it keeps the block order (no second, unstable sort).
     order = ([partition_col] if partition_col else []) + ["id", "_pos"]

@@ -1,10 +1,10 @@
 """File sources.
 
-* CSV / JSON lines: explicit schemas, no inference.
+* CSV by header name, JSON lines: explicit types, no inference.
 * FASTA: the text source split on ``>`` (``lineSep``), so records are
   distributed like lines and a file of any size is splittable.
-* PDB: each file is read whole (``wholetext``), cut into structure blocks
-  at ``END`` lines, and every block's CA records are parsed with one regex
+* PDB: files are cut into structure blocks at ``END`` lines while being
+  read (``lineSep``), and every block's CA records are parsed with one regex
   pass and fixed-column ``substring`` into an ``array<struct>`` in file
   order: one row per structure, no shuffle (the array form of the scorer
   consumes it directly; ``explode_atoms`` gives the relational form).
@@ -14,37 +14,67 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType, _parse_datatype_string
 
+from seqscore.functions.numeric import no_nan
 from seqscore.runtime import path_exists, require_paths
 
 SEQUENCE_SCHEMA = "sequence STRING"
 PAIR_SCHEMA = "chosen STRING, rejected STRING, margin DOUBLE"
 
 
-def read_sequences_csv(spark: SparkSession, path: str, schema: str | StructType = SEQUENCE_SCHEMA) -> DataFrame:
-    """Header row; columns typed by ``schema`` (extra passthrough columns
-    must be declared).  A missing input fails before any job runs (P22)."""
+def read_csv(spark: SparkSession, path: str, schema: str | StructType) -> DataFrame:
+    """CSV by header name: the columns of ``schema`` in any order, with their
+    types, and all further columns as text behind them (P2).  A file whose
+    header differs from the others', a missing column and a value that its
+    type can't hold fail the job; NaN becomes NULL.  A missing input fails
+    before any job runs (P22)."""
     require_paths(spark, [path])
-    return spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").csv(path)
+    wanted = _parse_datatype_string(schema) if isinstance(schema, str) else schema
+    names = spark.read.option("header", True).csv(path).columns
+    missing = [f.name for f in wanted.fields if f.name not in names]
+    if missing:
+        raise ValueError(f"{path}: no column {', '.join(missing)} in the header {names}")
+    text = StructType([StructField(n, StringType()) for n in names])
+    raw = (spark.read.schema(text).option("header", True).option("enforceSchema", False)
+           .option("mode", "FAILFAST").csv(path))
+    typed = [_typed(f) for f in wanted.fields]
+    return raw.select(*typed, *(F.col(f"`{n}`") for n in names if n not in wanted.names))
+
+
+def _typed(f: StructField) -> Column:
+    value = F.col(f"`{f.name}`")
+    if isinstance(f.dataType, StringType):
+        return value
+    number = value.cast(f.dataType)
+    if f.dataType.typeName() in ("double", "float"):
+        number = no_nan(number)
+    return number.alias(f.name)
 
 
-def read_csv(spark: SparkSession, path: str, schema: str | StructType) -> DataFrame:
-    require_paths(spark, [path])
-    return spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").csv(path)
+def read_sequences_csv(spark: SparkSession, path: str, schema: str | StructType = SEQUENCE_SCHEMA) -> DataFrame:
+    """Header row with a ``sequence`` column, others passed through."""
+    return read_csv(spark, path, schema)
 
 
 def read_pairs(spark: SparkSession, path: str, schema: str = PAIR_SCHEMA) -> DataFrame:
     """JSON lines with a fixed schema; blank lines are skipped."""
-    require_paths(spark, [path])
-    return spark.read.schema(schema).json(path)
+    return read_json(spark, path, schema)
 
 
 def read_json(spark: SparkSession, path: str, schema: str | StructType) -> DataFrame:
+    """JSON lines with a fixed schema; NaN becomes NULL."""
     require_paths(spark, [path])
-    return spark.read.schema(schema).json(path)
+    df = spark.read.schema(schema).json(path)
+    return df.withColumns({f.name: no_nan(F.col(f.name)) for f in df.schema.fields
+                           if f.dataType.typeName() in ("double", "float")})
+
+
+def _plain_path(path: Column) -> Column:
+    """A file's path, written the same way by every reader."""
+    return F.regexp_replace(path, "^file:/+", "file:///")
 
 
 def _file_stem(name_col) -> F.Column:
@@ -82,42 +112,84 @@ def read_fasta(spark: SparkSession, path: str, line2_only: bool = False,
     return out.filter(F.length("sequence") > 0).select("file_name", "id", "header", "sequence")
 
 
-CA_LINE = r"(?m)^(?:ATOM  |HETATM).{6}(?: CA |CA  )[ A].*$"
-
+CA_LINE = r"(?m)^((?:ATOM  |HETATM).{6}(?: CA |CA  ).*)$"
 
-def parse_pdb_blocks(files: DataFrame, text_col: str = "value", name_col: str = "file_name") -> DataFrame:
-    """Structure blocks -> (file_name, block_no, id, atoms array).
 
-    Id: the ``HEADER`` text when present, else the file stem.  Atoms: every
-    ATOM/HETATM record named CA (either justification, altLoc blank or A),
-    in file order across models and chains.  A malformed number becomes
-    NULL (``try_cast``) instead of failing the whole job."""
-    blocks = files.select(name_col, F.posexplode(F.split(F.col(text_col), r"(?m)^END\s*$")).alias("block_no", "block"))
-    blocks = blocks.filter(F.length(F.trim(F.col("block"))) > 0)
-    head = F.trim(F.regexp_extract(F.col("block"), r"(?m)^HEADER\s+(\S+)", 1))
-    ca_lines = F.regexp_extract_all(F.col("block"), F.lit("(" + CA_LINE + ")"), 1)
+def _ca_records(block: Column) -> Column:
+    """All CA records of a structure block in file order, with what tells
+    alternate locations of one residue apart.  Malformed numbers and NaN
+    become NULL instead of failing the whole job."""
+    def number(line, at, width):
+        return no_nan(F.trim(F.substring(line, at, width)).try_cast("double"))
 
-    def atom(line):
+    def record(line, model):
         return F.struct(
             F.trim(F.substring(line, 18, 3)).alias("resname"),
-            F.trim(F.substring(line, 31, 8)).try_cast("double").alias("x"),
-            F.trim(F.substring(line, 39, 8)).try_cast("double").alias("y"),
-            F.trim(F.substring(line, 47, 8)).try_cast("double").alias("z"),
-            F.trim(F.substring(line, 61, 6)).try_cast("double").alias("plddt"))
+            number(line, 31, 8).alias("x"), number(line, 39, 8).alias("y"), number(line, 47, 8).alias("z"),
+            number(line, 61, 6).alias("plddt"),
+            F.substring(line, 17, 1).alias("alt"), F.coalesce(number(line, 55, 6), F.lit(0.0)).alias("occupancy"),
+            F.concat(model.cast("string"), F.lit(":"), F.substring(line, 22, 6)).alias("residue"))
 
+    return F.flatten(F.transform(
+        F.split(block, r"(?m)^MODEL "),
+        lambda text, i: F.transform(F.regexp_extract_all(text, F.lit(CA_LINE), 1), lambda line: record(line, i))))
+
+
+def _best_locations(records: Column) -> Column:
+    """Of the alternate locations of one residue (same model, chain, number and
+    insertion code), the one with the highest occupancy, on ties the first
+    label; records without a label all stay."""
+    def beaten(e):
+        return F.exists(records, lambda f: (f["residue"] == e["residue"]) & (f["alt"] != " ") & (
+            (f["occupancy"] > e["occupancy"]) | ((f["occupancy"] == e["occupancy"]) & (f["alt"] < e["alt"]))))
+
+    kept = F.filter(records, lambda e: (e["alt"] == " ") | ~beaten(e))
+    return F.transform(kept, lambda e: F.struct(*(e[k].alias(k) for k in ("resname", "x", "y", "z", "plddt"))))
+
+
+def parse_pdb_blocks(files: DataFrame, text_col: str = "value", name_col: str = "file_name",
+                     order: Column | None = None) -> DataFrame:
+    """Structure blocks -> (file_name, block_no, id, atoms array).
+
+    Id: the ``HEADER`` text when present, else the file stem.  Atoms: every
+    ATOM/HETATM record named CA (either justification) in file order across
+    models and chains, one location for each residue.  ``block_no`` sorts
+    the blocks of a file: ``order`` of its piece, then the place in it."""
+    keep = [F.col(name_col)] + ([order.alias("_at")] if order is not None else [])
+    blocks = files.select(*keep, F.posexplode(F.split(F.col(text_col), r"(?m)^END\s*$")).alias("_no", "block"))
+    blocks = blocks.filter(F.length(F.trim(F.regexp_replace("block", r"\s+", " "))) > 0)
+    head = F.trim(F.regexp_extract(F.col("block"), r"(?m)^HEADER\s+(\S+)", 1))
+    no = F.col("_no") if order is None else F.struct(F.col("_at"), F.col("_no"))
     return blocks.select(
-        name_col, "block_no",
+        name_col, no.alias("block_no"),
         F.when(head != "", head).otherwise(_file_stem(F.col(name_col))).alias("id"),
-        F.transform(ca_lines, atom).alias("atoms"))
+        _ca_records(F.col("block")).alias("_records")).select(
+        name_col, "block_no", "id", _best_locations(F.col("_records")).alias("atoms"))
 
 
 def read_pdb(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
-    """S3: structures from PDB text files (one or many per file)."""
+    """S3: structures from the PDB text files of a folder (not of folders below
+    it), one or many per file, with the file's ``path``.
+
+    Files are cut at their ``END`` lines while being read, so a large file of
+    many structures is split over tasks and no task holds more than a
+    structure of it."""
     require_paths(spark, [path])
-    files = (spark.read.option("pathGlobFilter", glob)
-             .option("recursiveFileLookup", True).text(path, wholetext=True)
-             .select("value", F.col("_metadata.file_name").alias("file_name")))
-    return parse_pdb_blocks(files)
+    files = (spark.read.option("pathGlobFilter", glob).option("lineSep", "\nEND\n").text(path)
+             .select("value", _plain_path(F.col("_metadata.file_path")).alias("path"),
+                     F.col("_metadata.file_name").alias("file_name"),
+                     F.struct(F.col("_metadata.file_block_start").alias("start"),
+                              F.monotonically_increasing_id().alias("n")).alias("_place")))
+    blocks = parse_pdb_blocks(files, name_col="file_name",
+                              order=F.struct("_place", "path"))
+    return blocks.select(F.col("block_no")["_at"]["path"].alias("path"), "file_name",
+                         F.struct(F.col("block_no")["_at"]["_place"].alias("at"),
+                                  F.col("block_no")["_no"].alias("no")).alias("block_no"), "id", "atoms")
+
+
+def without_ca(structures: DataFrame) -> DataFrame:
+    """Side table (P7): ids of the structures that hold no CA record."""
+    return structures.filter(F.size("atoms") == 0).select("id", "file_name")
 
 
 def explode_atoms(structures: DataFrame, plddt_scale: float = 1.0) -> DataFrame:
@@ -127,31 +199,33 @@ def explode_atoms(structures: DataFrame, plddt_scale: float = 1.0) -> DataFrame:
                      "a.z", (F.col("a.plddt") * F.lit(plddt_scale)).alias("plddt"))
 
 
-def discover(spark: SparkSession, primary: str, fallback: str) -> str | None:
-    """The first folder that exists, else None (the caller goes on with
-    an empty typed frame)."""
+def discover(spark: SparkSession, primary: str, fallback: str, glob: str = "*.pdb") -> str | None:
+    """The first folder that holds a file of the pattern itself, else None
+    (the caller goes on with an empty typed frame)."""
     for p in (primary, fallback):
-        if path_exists(spark, p):
+        if path_exists(spark, f"{p.rstrip('/')}/{glob}"):
             return p
     return None
 
 
 def structure_inventory(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     """(path, file_name, stem, length) for every matching non-empty
-    file (zero-length files yield no scan split, which is the "exists and
-    size > 0" rule); only metadata columns are selected, so contents are
-    pruned from the scan."""
+    file of the folder itself (zero-length files yield no scan split, which
+    is the "exists and size > 0" rule); only metadata columns are selected,
+    so contents are pruned from the scan."""
     require_paths(spark, [path])
     inv = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
-           .option("recursiveFileLookup", True).load(path).select("path", "length"))
+           .load(path).select("path", "length"))
     name = F.regexp_extract(F.col("path"), r"([^/]+)$", 1)
-    return inv.select("path", name.alias("file_name"), _file_stem(name).alias("stem"), "length")
+    return inv.select(_plain_path(F.col("path")).alias("path"), name.alias("file_name"), _file_stem(name).alias("stem"), "length")
 
 
-def legacy_order(structures: DataFrame) -> DataFrame:
-    """The source pipeline's lexicographic file order (only needed for
-    the legacy id mode, where an id is the file's position in that order)."""
-    return structures.orderBy("file_name", "block_no")
+def pending(candidates: DataFrame, inventory: DataFrame, id_col: str = "id") -> tuple[DataFrame, DataFrame]:
+    """(done, pending) candidates: those with a non-empty file of their
+    stem in the inventory, and those without, which are left to do."""
+    have = inventory.filter("length > 0").select(F.col("stem").alias("_stem")).distinct()
+    on = candidates[id_col] == have["_stem"]
+    return candidates.join(have, on, "left_semi"), candidates.join(have, on, "left_anti")
 
 
 def with_file_position(df: DataFrame) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from seqscore import constants as C
 from seqscore.operators.ranking import ordinal_within
-from seqscore.sources.tables import read_table, spread
+from seqscore.sources.tables import read_table
 
 # FIXED VALUES: residue names indexed by ``l_partkey % 21`` (the twenty
 # standard residues in conventional order, then an unknown residue).
@@ -64,22 +64,32 @@ def structure_id(seq_idx: str = "seq_idx"):
     return F.concat(F.lit("seq_"), F.col(seq_idx).cast("string"))
 
 
-def peptides(spark: SparkSession, sf_dir: str) -> DataFrame:
+def peptides(spark: SparkSession, sf_dir: str, passthrough: tuple[str, ...] = ()) -> DataFrame:
     """seq_idx, id, sequence: every letter of the document, upper-cased
-    ASCII, keeping the twenty residue codes (the whole text, no prefix)."""
-    docs = spread(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
+    ASCII, keeping the twenty residue codes (the whole text, no prefix);
+    further columns of the documents on demand."""
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text", *passthrough])
     letters = F.upper(F.regexp_replace(F.col("text"), "[^A-Za-z]", ""))
     aa = F.regexp_replace(letters, f"[^{C.AMINO_ACIDS}]", "")
     return docs.select(F.col("doc_id").alias("seq_idx"), structure_id("doc_id").alias("id"),
-                       aa.alias("sequence"))
+                       aa.alias("sequence"), *passthrough)
+
+
+def synthetic_weights(spark: SparkSession) -> DataFrame:
+    """(dipeptide, weight): a made-up table by a rule, standing in for the
+    published one that a user supplies: for the residues' places i and j in
+    conventional order, ((7 i + 13 j) mod 29 - 14) / 2."""
+    aa = C.AMINO_ACIDS
+    return spark.createDataFrame(
+        [(a + b, ((7 * i + 13 * j) % 29 - 14) / 2) for i, a in enumerate(aa) for j, b in enumerate(aa)],
+        "dipeptide string, weight double")
 
 
 def energies(spark: SparkSession, sf_dir: str, scores: DataFrame) -> DataFrame:
     """Energies per scored structure: ``e_initial = o_custkey/4``,
-    ``e_final = -o_totalprice/31.7``; both null (failed) when the order is
-    pending ('P') or missing.  The divisor 31.7 keeps every value off a
-    2-dp rounding tie (a tie would need 20m = 634n + 317: even = odd), so
-    rounding cannot depend on the engine's binary-to-decimal conversion."""
+    ``e_final = -floor(o_totalprice)/32``; both null (failed) when the order is
+    pending ('P') or missing.  Both divisors are powers of two, so values on
+    a 2-dp rounding tie occur and are exact in binary."""
     orders = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_totalprice",
                                                   "o_orderstatus"])
     ok = F.col("o_orderstatus") != F.lit("P")
@@ -87,4 +97,4 @@ def energies(spark: SparkSession, sf_dir: str, scores: DataFrame) -> DataFrame:
     return j.select(
         scores["*"],
         F.when(ok, F.col("o_custkey") / 4.0).alias("e_initial"),
-        F.when(ok, -F.col("o_totalprice") / 31.7).alias("e_final"))
+        F.when(ok, -F.floor("o_totalprice") / 32.0).alias("e_final"))

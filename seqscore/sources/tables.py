@@ -18,16 +18,3 @@ def read_table(spark: SparkSession, sf_dir: str, name: str,
     ReadSchema exactly those columns."""
     df = spark.read.parquet(table_path(sf_dir, name))
     return df.select(*columns) if columns else df
-
-
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Guarantee enough partitions for CPU-heavy per-row work.
-
-    A source stored as one large row group scans as a single task; when the
-    input has fewer partitions than the cluster has cores, rows are dealt
-    round-robin over ``min_partitions`` (default: default parallelism).  On
-    inputs that already have enough splits this is a no-op (no shuffle)."""
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df

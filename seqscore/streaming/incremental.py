@@ -28,14 +28,23 @@ def scored_stream(spark: SparkSession, in_dir: str, cfg: ScoringConfig,
     return add_score(structure_metrics_array(structures), cfg).drop("atoms")
 
 
+def _committed(spark: SparkSession, checkpoint: str) -> int:
+    """Micro-batches that the query's log holds as finished: they are numbered
+    from 0, so the count is the last number and one."""
+    from seqscore.runtime import _hadoop_path
+    fs, path = _hadoop_path(spark, f"{checkpoint.rstrip('/')}/commits")
+    names = [s.getPath().getName() for s in fs.listStatus(path)] if fs.exists(path) else []
+    return max((int(n) + 1 for n in names if n.isdigit()), default=0)
+
+
 def run_incremental(spark: SparkSession, in_dir: str, out_dir: str, checkpoint: str,
                     cfg: ScoringConfig | None = None) -> int:
     """Process every file not yet recorded in ``checkpoint`` and stop
     (``availableNow``); returns the number of micro-batches run."""
     cfg = cfg or ScoringConfig()
+    done = _committed(spark, checkpoint)
     q = (scored_stream(spark, in_dir, cfg).writeStream.format("parquet")
          .option("checkpointLocation", checkpoint).outputMode("append")
          .trigger(availableNow=True).start(out_dir))
     q.awaitTermination()
-    progress = q.recentProgress
-    return len([p for p in progress if p.get("numInputRows", 0) > 0])
+    return _committed(spark, checkpoint) - done

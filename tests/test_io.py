@@ -40,7 +40,7 @@ def test_pdb_single_file_per_structure(spark):
     s = sources.read_pdb(spark, d, "*.pdb").collect()
     assert len(s) == 1 and s[0].id == "seq_7"
     names = [a.resname for a in s[0].atoms]
-    # altLoc B dropped; the calcium named CA is kept (no record-type test)
+    # of the locations of LYS, the one with the higher occupancy; the calcium named CA is kept (no record-type test)
     assert names == ["ALA", "LYS", "CA", "GLU"]
     assert s[0].atoms[0].x == 11.639 and s[0].atoms[0].plddt == 0.72
 
@@ -160,12 +160,104 @@ def test_legacy_ids_lexicographic(spark):
     assert got == {"seq_0": "seq_0", "seq_1": "seq_1", "seq_10": "seq_2", "seq_2": "seq_3"}
 
 
-def test_pdb_writer_refuses_oversized_structure(spark):
-    atoms = spark.range(1, 100_002).select(
+ATOMS = "id string, ord long, resname string, x double, y double, z double, plddt double"
+
+
+@pytest.mark.parametrize("n", [10_050, 150_000])
+def test_pdb_writer_keeps_large_structures(spark, n):
+    atoms = spark.range(1, n + 1).select(
         F.lit("big").alias("id"), F.col("id").alias("ord"), F.lit("GLY").alias("resname"),
-        F.lit(0.0).alias("x"), F.lit(0.0).alias("y"), F.lit(0.0).alias("z"), F.lit(0.5).alias("plddt"))
+        (F.col("id") % 9000 / 8).alias("x"), (-F.col("id") % 777 / 4).alias("y"), F.lit(-0.5).alias("z"),
+        F.lit(0.75).alias("plddt"))
+    path = sinks.write_pdb(atoms, os.path.join(tmp(), "big"), 2)
+    back = sources.explode_atoms(sources.read_pdb(spark, path))
+    assert back.count() == n
+    assert back.exceptAll(atoms).count() == 0
+
+
+@pytest.mark.parametrize("atom", [("GLY", 123456.5, 0.0), ("GLY", 0.0, -12345.678), ("LONG", 0.0, 0.0)])
+def test_pdb_writer_fails_where_a_field_does_not_fit(spark, atom):
+    res, x, y = atom
+    atoms = spark.createDataFrame([("s", 1, res, x, y, 0.0, 0.5)], ATOMS)
+    with pytest.raises(Exception, match="doesn't fit"):
+        sinks.write_pdb(atoms, os.path.join(tmp(), "wide"), 1)
+
+
+def test_pdb_fields_at_their_limits(spark):
+    atoms = spark.createDataFrame([("s", 1, "GLY", 9999.999, -999.999, None, 0.5)], ATOMS)
+    back = sources.explode_atoms(sources.read_pdb(spark, sinks.write_pdb(atoms, os.path.join(tmp(), "w"), 1)))
+    assert back.collect() == atoms.collect()
+
+
+ALT = """ATOM      1  CA AARG A   1       1.000   1.000   1.000  0.20  0.10           C
+ATOM      2  CA BARG A   1       2.000   1.000   1.000  0.80  0.20           C
+ATOM      3  CA BGLY A   2       3.000   1.000   1.000  1.00  0.30           C
+ATOM      4  CA 1SER A   3       4.000   1.000   1.000  0.50  0.40           C
+ATOM      5  CA 2SER A   3       5.000   1.000   1.000  0.50  0.50           C
+ATOM      6  CA  ALA A   3A      6.000     nan   1.000  1.00  0.60           C
+MODEL        2
+ATOM      7  CA AARG A   1       7.000   1.000   1.000  0.20  0.70           C
+ENDMDL
+END
+"""
+
+
+def test_alternate_locations_by_occupancy(spark):
+    d = tmp()
+    with open(os.path.join(d, "a.pdb"), "w") as f:
+        f.write(ALT)
+    (s,) = sources.read_pdb(spark, d, "*.pdb").collect()
+    assert [(a.resname, a.x, a.y) for a in s.atoms] == [
+        ("ARG", 2.0, 1.0), ("GLY", 3.0, 1.0), ("SER", 4.0, 1.0), ("ALA", 6.0, None), ("ARG", 7.0, 1.0)]
+
+
+def test_discovery_falls_back_and_stays_in_the_folder(spark):
+    d = tmp()
+    os.makedirs(os.path.join(d, "prediction_results", "relaxed"))
+    for name in ("x.pdb", "prediction_results/relaxed/y.pdb"):
+        open(os.path.join(d, name), "w").write(PDB)
+    assert sources.discover(spark, os.path.join(d, "prediction_results"), d) == d
+    assert sources.read_pdb(spark, d, "*.pdb").count() == 1
+    assert [r.stem for r in sources.structure_inventory(spark, d, "*.pdb").collect()] == ["x"]
+    ids = spark.createDataFrame([("x",), ("z",)], "id string")
+    done, left = sources.pending(ids, sources.structure_inventory(spark, d, "*.pdb"))
+    assert [r.id for r in done.collect()] == ["x"] and [r.id for r in left.collect()] == ["z"]
+
+
+def test_structures_without_ca_are_listed(spark):
+    d = tmp()
+    open(os.path.join(d, "n.pdb"), "w").write(PDB.replace(" CA ", " CB ").replace("CA  ", "CB  "))
+    open(os.path.join(d, "y.pdb"), "w").write(PDB)
+    assert [r.file_name for r in sources.without_ca(sources.read_pdb(spark, d, "*.pdb")).collect()] == ["n.pdb"]
+
+
+def test_csv_by_header_name(spark):
+    d = tmp()
+    for name, head, row in (("a.csv", "name,sequence,n", "x,ACD,1"), ("b.csv", "name,sequence,n", "y,DEF,nan")):
+        open(os.path.join(d, name), "w").write(f"{head}\n{row}\n")
+    got = sources.read_csv(spark, d, "n DOUBLE, sequence STRING").orderBy("name").collect()
+    assert [tuple(r) for r in got] == [(1.0, "ACD", "x"), (None, "DEF", "y")]
+    with pytest.raises(ValueError, match="no column score"):
+        sources.read_csv(spark, d, "score DOUBLE")
+    open(os.path.join(d, "c.csv"), "w").write("sequence,name,n\nACD,z,2\n")
     with pytest.raises(Exception):
-        sinks.write_pdb(atoms, os.path.join(tmp(), "big"), 2)
+        sources.read_csv(spark, d, "n DOUBLE, sequence STRING").collect()
+
+
+def test_checkpoint_folder_is_required_on_a_cluster(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from seqscore.session import ensure_checkpoint_dir
+    for master, ok in (("local[4]", True), ("local", True), ("yarn", False), ("spark://host:7077", False),
+                       ("local-cluster[2,1,1024]", False)):
+        made = []
+        fake = SimpleNamespace(conf=SimpleNamespace(get=lambda k, default: default), sparkContext=SimpleNamespace(
+            master=master, getCheckpointDir=lambda: None, setCheckpointDir=made.append))
+        if ok:
+            assert ensure_checkpoint_dir(fake) == made[0]
+        else:
+            with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+                ensure_checkpoint_dir(fake)
 
 
 def test_fasta_short_record_skip_or_raise(spark):

@@ -87,3 +87,17 @@ def test_empty_inputs(spark):
     ldf = spark.createDataFrame([], "lid long, g long, v double")
     rdf = spark.createDataFrame([(1, 1, 2.0)], "rid long, g long, v double")
     assert pairs.nearest_join(ldf, rdf, "v", ["g"], "lid", "rid", 3).count() == 0
+
+
+def test_nearest_join_nulls_match_nothing(spark):
+    nan = float("nan")
+    left = spark.createDataFrame([(1, None, 1.0), (2, 7, None), (3, 7, 5.0), (4, 8, 1.0), (5, 7, nan)], "lid long, u long, v double")
+    right = spark.createDataFrame([(10, None, 1.0), (11, 7, None), (12, 7, 9.0), (13, 7, nan)], "rid long, u long, v double")
+    got = {r.lid: (r.rid, r.right_key) for r in pairs.nearest_join(left, right, "v", ["u"], "lid", "rid", 3).collect()}
+    assert got == {1: (None, None), 2: (None, None), 3: (12, 9.0), 4: (None, None), 5: (None, None)}
+
+
+def test_stratified_pairs_keep_winners_of_empty_bins(spark):
+    df = spark.createDataFrame([(f"s{i}", i, 10.0 - i, i + 1) for i in range(5)], "id string, seq_idx long, score double, rank long")
+    got = {r.chosen: r.rejected for r in pairs.stratified_pairs(df, fraction=0.8).collect()}
+    assert len(got) == 4 and sum(v is not None for v in got.values()) == 1

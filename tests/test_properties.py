@@ -45,8 +45,7 @@ def test_range_ordinal_is_row_number(spark, groups, parts):
     # order keys shuffled so file order differs from row order
     order = list(range(len(groups)))[::-1]
     df = spark.createDataFrame([(g, o) for g, o in zip(groups, order)], "g long, o long")
-    got = {(r.g, r.o): r.ord for r in ranking.ordinal_within(df, ["g"], ["o"], "ord", parts,
-                                                             force_range=True).collect()}
+    got = {(r.g, r.o): r.ord for r in ranking.ordinal_within(df, ["g"], ["o"], "ord", parts).collect()}
     exp = {}
     for g in set(groups):
         for pos, o in enumerate(sorted(o for gg, o in zip(groups, order) if gg == g)):

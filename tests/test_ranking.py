@@ -4,7 +4,6 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from seqscore.operators import ranking
-from seqscore.operators.skew import SkewPolicy
 
 
 def test_global_rank_equals_row_number_with_ties(spark):
@@ -27,13 +26,21 @@ def test_ordinal_within_hot_group_spanning_partitions(spark):
     cold = spark.range(0, 30).select((F.col("id") % 5 + 2).alias("g"), F.col("id").alias("o"))
     df = hot.unionByName(cold)
     ref = df.withColumn("ref", F.row_number().over(Window.partitionBy("g").orderBy("o")))
-    forced = ranking.ordinal_within(df, ["g"], ["o"], "ord", num_partitions=7, force_range=True)
-    split = ranking.ordinal_within(df, ["g"], ["o"], "ord", num_partitions=7,
-                                   policy=SkewPolicy(hot_rows=100))   # g=1 is hot
-    for got in (forced, split):
-        j = got.join(ref, ["g", "o"])
-        assert j.count() == 430
-        assert j.filter(F.col("ord") != F.col("ref")).count() == 0
+    got = ranking.ordinal_within(df, ["g"], ["o"], "ord", num_partitions=7)
+    j = got.join(ref, ["g", "o"])
+    assert j.count() == 430
+    assert j.filter(F.col("ord") != F.col("ref")).count() == 0
+
+
+def test_missing_scores_rank_last(spark):
+    from seqscore.functions.numeric import best_first, least_first, score_key
+    nan = float("nan")
+    df = spark.createDataFrame([(1, 0.5), (2, nan), (3, None), (4, 0.7), (5, 0.5000000001)], "k long, score double")
+    for key, want in ((best_first("score"), [4, 5, 1]), (least_first("score"), [1, 5, 4]),
+                      (score_key("score").desc_nulls_last(), [4, 5, 1])):
+        got = sorted((r["rank"], r.k) for r in ranking.global_rank(df, [key, F.col("k")]).collect())
+        assert [k for _, k in got] == want + [2, 3]
+        assert [r.k for r in ranking.top_n(df, [key, F.col("k")], 4).collect()] == want + [2]
 
 
 def test_split_partitions_input(spark):

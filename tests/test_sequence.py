@@ -68,12 +68,25 @@ def test_instability_with_supplied_weights(spark):
     assert got[2] == 0.0 and got[3] is None
 
 
-def test_corpus_weights_bounded(spark):
+def test_no_table_no_index(spark):
+    seqs = spark.createDataFrame([(1, "ACDK"), (2, "")], "seq_idx long, sequence string")
+    assert [r.instability_index for r in instability_index(seqs).collect()] == [None, None]
+    assert [r.instability_index for r in descriptors(seqs).collect()] == [None, None]
+
+
+def test_dipeptide_counts(spark):
     seqs = spark.createDataFrame([(1, "ACDEFGHIKL" * 3), (2, "MNPQRSTVWY" * 2)], "seq_idx long, sequence string")
     c = dipeptide_counts(seqs)
     assert c.groupBy().sum("n").collect()[0][0] == 29 + 19
 
 
+def test_half_even_rounding(spark):
+    from seqscore.functions.numeric import round_dp
+    vals = [0.125, -0.125, 0.625, 0.375, 2.675, None]
+    df = spark.createDataFrame([(v,) for v in vals], "v double")
+    assert [r[0] for r in df.select(round_dp("v", 2)).collect()] == [0.12, -0.12, 0.62, 0.38, 2.68, None]
+
+
 def test_descriptors_keep_columns_and_limit(spark):
     seqs = spark.createDataFrame([(0, "x", "ACDK"), (1, "y", "KKR"), (2, "z", "DE")],
                                  "seq_idx long, tag string, sequence string")
@@ -86,11 +99,13 @@ def test_descriptors_keep_columns_and_limit(spark):
 def test_instability_paths_agree(spark):
     from seqscore.operators.descriptors import instability_index_native
     import random
+    from seqscore.sources.fixtures import synthetic_weights
+    w = synthetic_weights(spark)
     rnd = random.Random(5)
     rows = [(i, "".join(rnd.choice(C.AMINO_ACIDS) for _ in range(rnd.randint(0, 60)))) for i in range(40)]
     seqs = spark.createDataFrame(rows, "seq_idx long, sequence string")
-    a = {r.seq_idx: r.instability_index for r in instability_index(seqs).collect()}
-    b = {r.seq_idx: r.instability_index for r in instability_index_native(seqs).collect()}
+    a = {r.seq_idx: r.instability_index for r in instability_index(seqs, w).collect()}
+    b = {r.seq_idx: r.instability_index for r in instability_index_native(seqs, w).collect()}
     assert a.keys() == b.keys()
     for k in a:
         assert (a[k] is None and b[k] is None) or a[k] == pytest.approx(b[k], abs=1e-12)

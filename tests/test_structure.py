@@ -7,16 +7,14 @@ from pyspark.sql import functions as F
 
 from seqscore.config import ScoringConfig
 from seqscore.operators import structure
-from seqscore.operators.skew import SkewPolicy
 
 CFG = ScoringConfig()
 SCHEMA = "sid string, ord int, resname string, x double, y double, z double, plddt double"
 
 
-def metrics(spark, rows, policy=None):
+def metrics(spark, rows):
     df = spark.createDataFrame(rows, SCHEMA)
-    kw = {"policy": policy} if policy else {}
-    m = structure.structure_metrics(df, ["sid"], "ord", **kw)
+    m = structure.structure_metrics(df, ["sid"], "ord")
     return {r.sid: r for r in structure.add_score(m, CFG).collect()}
 
 
@@ -99,15 +97,21 @@ def test_matches_python_statement(spark):
         assert (g.net_charge, g.muH, g.plddt, g.dist_nc, g.score) == pytest.approx(exp, abs=1e-9)
 
 
-def test_hot_key_path_gives_same_result(spark):
-    rows = [("hot", i, "ARG" if i % 3 else "LEU", float(i % 7), float(i % 5), float(i % 3), 0.8)
-            for i in range(1, 200)] + [("cold", 1, "ASP", 0.0, 1.0, 0.0, 0.7),
-                                       ("cold", 2, "VAL", 2.0, 1.0, 0.0, 0.6)]
-    a = metrics(spark, rows)
-    b = metrics(spark, rows, SkewPolicy(hot_rows=50))
-    for k in ("hot", "cold"):
-        assert (a[k].muH, a[k].net_charge, a[k].dist_nc, a[k].plddt) == pytest.approx(
-            (b[k].muH, b[k].net_charge, b[k].dist_nc, b[k].plddt), abs=1e-12)
+def test_missing_coordinates_reject_the_structure_in_both_forms(spark):
+    nan = float("nan")
+    rows = [("a", 1, "ARG", 0.1, 0.2, 0.3, 0.9), ("a", 2, "TRP", 1.5, None, 0.0, 0.8),
+            ("b", 1, "GLY", 5.0, nan, 5.0, 0.5), ("c", 1, "GLY", 1.0, 2.0, 3.0, None),
+            ("c", 2, "ARG", 2.0, 2.0, 3.0, nan), ("c", 3, "ARG", 2.0, 4.0, 3.0, 0.5), (None, 1, "GLY", 1.0, 1.0, 1.0, 0.1)]
+    got = metrics(spark, rows)
+    assert set(got) == {"c", None} and got["c"].plddt == 0.5
+    df = spark.createDataFrame(rows, SCHEMA)
+    bad = {r.sid: (r.n_res, r.n_missing) for r in structure.incomplete_structures(df, ["sid"]).collect()}
+    assert bad == {"a": (2, 1), "b": (1, 1)}
+    arr = df.groupBy(F.col("sid").alias("id")).agg(F.sort_array(F.collect_list(F.struct("ord", "resname", "x", "y", "z", "plddt"))).alias("atoms"))
+    both = {r.id: r for r in structure.structure_metrics_array(arr).collect()}
+    assert set(both) == {"c", None} and both["c"].plddt == 0.5
+    assert both["c"].muH == pytest.approx(got["c"].muH) and both["c"].dist_nc == pytest.approx(got["c"].dist_nc)
+    assert {r.id for r in structure.incomplete_structures_array(arr).collect()} == {"a", "b"}
 
 
 def test_array_form_equals_relational(spark):

@@ -91,3 +91,27 @@ def test_empty_candidates(spark):
     s = validation.validation_summary(v).collect()[0]
     assert (s.n_validated, s.n_total, s.spearman_rho, s.spearman_pval) == (0, 0, 0.0, 1.0)
     assert s.interpretation == "Insufficient data" and s.best_proxy is None and s.mean_delta_e is None
+
+
+def test_one_pvalue_formula_for_every_n(spark):
+    import math
+    from seqscore.operators.validation import t_test_pvalue
+    df = spark.createDataFrame([(0.1636363636, 10), (0.5, 3), (0.0, 50), (-0.9, 4), (1.0, 9), (0.3, 2),
+                                (0.002, 1_000_000), (0.004, 1_000_000), (0.00002, 4_000_000_000)], "rho double, n long")
+    got = [r[0] for r in df.select(t_test_pvalue(F.col("rho"), F.col("n"))).collect()]
+    assert got[0] == pytest.approx(0.6515, abs=5e-5)
+    assert got[1] == pytest.approx(2 / 3, abs=1e-9) and got[2] == pytest.approx(1) and got[3] == pytest.approx(0.1, abs=1e-9)
+    assert got[4] == 0.0 and got[5] is None
+    for p, rho, n in ((got[6], 0.002, 1e6), (got[7], 0.004, 1e6), (got[8], 2e-5, 4e9)):
+        assert p == pytest.approx(math.erfc(rho * math.sqrt(n) / math.sqrt(2)), rel=1e-4)
+
+
+def test_rmsd_needs_the_same_atoms(spark):
+    from seqscore.operators.validation import rmsd
+    schema = "seq_idx long, ord long, x double, y double, z double"
+    a = spark.createDataFrame([(1, 1, 0.0, 0.0, 0.0), (1, 2, 1.0, 0.0, 0.0)], schema)
+    b = spark.createDataFrame([(1, 1, 0.0, 3.0, 0.0), (1, 2, 1.0, 0.0, 3.0)], schema)
+    assert [tuple(r) for r in rmsd(a, b).collect()] == [(1, 3.0, 2)]
+    for x, y in ((a, b.limit(1)), (a.limit(1), b)):
+        with pytest.raises(Exception, match="number of atoms: 1"):
+            rmsd(x, y).collect()
