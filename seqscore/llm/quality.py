@@ -28,7 +28,7 @@ from .common import RangeReader, cut_lineage, fold, scratch_path
 
 ORDER = 5
 REPEAT = "\x01"
-BLOCK_BYTES = 1 << 22
+BLOCK_BYTES = 1 << 20
 """Bytes of text whose n-grams a task holds at a time."""
 SHORT = 2.0
 """Standard deviation, in nats, allowed to the log-probability of one byte."""
@@ -90,7 +90,7 @@ def ngram_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
                 c, k = np.unique(ngrams(block)[0], return_counts=True)
                 codes, at = np.unique(np.concatenate([codes, c]), return_inverse=True)
                 n = np.bincount(at, np.concatenate([n, k]), len(codes)).astype(np.int64)
-                if len(codes) > 1 << 22:
+                if len(codes) > 1 << 20:
                     yield pd.DataFrame({"code": codes, "c": n})
                     codes, n = np.zeros(0, np.int64), np.zeros(0, np.int64)
         if len(codes):
@@ -157,7 +157,7 @@ def write_model(model: DataFrame, path: str) -> list[str]:
 class ModelFiles:
     """Streams the model past sets of n-grams."""
 
-    def __init__(self, files: list[str], kept_rows: int = 1 << 21):
+    def __init__(self, files: list[str], kept_rows: int = 1 << 20):
         self._files, self._kept, self._room = files, {}, kept_rows
 
     def _groups(self) -> Iterator[tuple[np.ndarray, ...]]:
@@ -255,7 +255,7 @@ def judged(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     without any trusted text left out, every text with a word is kept."""
     spark = docs.sparkSession
     good = (labels.filter(F.col(label_col) == 1).select(F.col(id_col).cast("long").alias("id"))
-            .filter("id is not null").distinct())
+            .filter("id is not null").distinct().hint("merge"))  # labels grow with the documents: never broadcast
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(lang_col).cast("string").alias("lang"),
                        F.col(text_col).alias("text"))
     out = fold(F.col("id"), folds) == 0
