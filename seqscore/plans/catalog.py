@@ -535,7 +535,7 @@ def register_views(spark: SparkSession, sf_dir: str) -> list[str]:
         "peptides": _peptides(spark, sf_dir),
         "scores": scores(spark, sf_dir),
     }
-    views["ranked"] = ranking.global_rank(views["scores"], [F.col("score").desc(), F.col("seq_idx")])
+    views["ranked"] = ranking.global_rank(views["scores"], by_score())
     views["energies"] = fixtures.energies(spark, sf_dir, views["scores"])
     for name, df in views.items():
         df.createOrReplaceTempView(name)
