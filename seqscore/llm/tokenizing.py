@@ -9,7 +9,7 @@ import numpy as np
 
 # A worker that remembers more words than this starts afresh with the next block
 # of texts.  It bounds memory only, never a result.
-WORDS_KEPT = 1_500_000
+WORDS_KEPT = 600_000
 
 _BREAK = re.compile(r" \s")
 
