@@ -11,8 +11,10 @@ files of bounded size.  A task gathers the distinct n-grams of a block of
 texts, streams the files past them (a merge join, one row group in memory at
 a time) and sums the documents' log-probabilities; texts are not shuffled.
 
-A word equal to the one before it is read as one sign of its own, so that
-runs of a repeated word are as unlikely as they are rare in trusted text.
+A word equal to the one before it is read as one sign of its own.  Within a
+run, such signs foretell each other, so that a text of repeated words would
+pass for fluent; documents are therefore judged with each such sign at its
+frequency in trusted text, whatever comes before it: as unlikely as it is rare.
 """
 
 from __future__ import annotations
@@ -28,6 +30,8 @@ from .common import RangeReader, cut_lineage, fold, scratch_path
 
 ORDER = 5
 REPEAT = "\x01"
+REPEAT_STEP = 2 * ORDER
+"""The model's last step: one row with the log-frequency of the repeat sign."""
 BLOCK_BYTES = 1 << 20
 """Bytes of text whose n-grams a task holds at a time."""
 SHORT = 2.0
@@ -115,7 +119,9 @@ def _discounts(counts: DataFrame) -> tuple[float, float, float]:
 def kneser_ney(counts: DataFrame) -> DataFrame:
     """(step, code, value) of the model: steps 0, 2, 4, ... hold the
     log-probabilities of the seen n-grams of order 5, 4, ..., steps 1, 3, ...
-    the log back-off weights of the contexts of those orders."""
+    the log back-off weights of the contexts of those orders, and REPEAT_STEP
+    the log of the repeat sign's share of all bytes (one added to each byte's
+    count, as the sign may not occur)."""
     tables = {ORDER: cut_lineage(counts)}
     for k in range(ORDER - 1, 0, -1):  # in how many contexts a lower-order n-gram occurs
         tables[k] = cut_lineage(
@@ -140,7 +146,11 @@ def kneser_ney(counts: DataFrame) -> DataFrame:
         rows = lower.select(F.lit(step).alias("step"), "code", F.log("p").cast("float").alias("value")).union(
             contexts.select(F.lit(step + 1), "ctx", F.log("backoff").cast("float")))
         out = rows if out is None else out.union(rows)
-    return out
+    sign = ord(REPEAT)
+    repeats = F.sum(F.when(F.col("code").bitwiseAND(255) == sign, F.col("c")).otherwise(0))
+    share = (F.coalesce(repeats, F.lit(0)) + 1) / (F.coalesce(F.sum("c"), F.lit(0)) + 256)
+    return out.union(tables[ORDER].agg(F.log(share).cast("float").alias("value")).select(
+        F.lit(REPEAT_STEP), F.lit(sign).cast("long"), "value"))
 
 
 def write_model(model: DataFrame, path: str) -> list[str]:
@@ -180,13 +190,17 @@ class ModelFiles:
                     self._kept[name] = held
                     self._room -= f.metadata.num_rows
 
-    def log_probabilities(self, codes: np.ndarray) -> np.ndarray:
-        """log p of each n-gram's last byte after the bytes before it."""
+    def log_probabilities(self, codes: np.ndarray, lone_repeats: bool = False) -> np.ndarray:
+        """log p of each n-gram's last byte after the bytes before it; with
+        ``lone_repeats``, of a repeat sign regardless of them."""
         acc = np.zeros(len(codes))
+        alone = np.log(1 / 256)
         open_ = np.ones(len(codes), bool)
         now, keys, order = -1, None, None
         for step, code, value in self._groups():
-            for s in range(int(step[0]), int(step[-1]) + 1):
+            if step[-1] == REPEAT_STEP:
+                alone = value[-1]
+            for s in range(int(step[0]), min(int(step[-1]) + 1, REPEAT_STEP)):
                 a, b = np.searchsorted(step, s), np.searchsorted(step, s, "right")
                 if a == b:
                     continue
@@ -207,13 +221,17 @@ class ModelFiles:
                 if s % 2 == 0:
                     open_[rows] = False
         acc[open_] += np.log(1 / 256)  # a byte never seen: uniform below order 1
+        if lone_repeats:
+            acc[(codes & 255) == ord(REPEAT)] = alone
         return acc
 
 
-def perplexities(docs: DataFrame, files: list[str], text_col: str = "text", out: str = "ppl") -> DataFrame:
+def perplexities(docs: DataFrame, files: list[str], text_col: str = "text", out: str = "ppl",
+                 lone_repeats: bool = False) -> DataFrame:
     """``docs`` with a column ``out`` of (perplexity, lower): the perplexity per
     byte and its lower bound by the text's length, as a short text's perplexity
-    says less; null for texts without a word."""
+    says less; null for texts without a word.  With ``lone_repeats``, a repeat
+    sign counts by its frequency in the training text, not by its context."""
     shared = docs.sparkSession.sparkContext.broadcast(files)
 
     @F.pandas_udf("perplexity double, lower double")
@@ -224,7 +242,7 @@ def perplexities(docs: DataFrame, files: list[str], text_col: str = "text", out:
             for block in _blocks(s.tolist()):
                 codes, lengths = ngrams(block)
                 distinct = np.unique(codes)
-                logp = model.log_probabilities(distinct)
+                logp = model.log_probabilities(distinct, lone_repeats)
                 each = logp[np.searchsorted(distinct, codes)]
                 sums = np.add.reduceat(each, np.concatenate([[0], np.cumsum(lengths)[:-1]]))
                 nats = -sums / lengths
@@ -250,7 +268,8 @@ def judged(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     model; ``margin`` times the ``quantile`` of the lower bounds of the fold
     left out, language by language, is the threshold (of all languages together
     where a language has none; a null language is one of its own).  The margin
-    covers the error of a quantile of few documents.  keep is 1 for lower
+    covers the error of a quantile of few documents.  Both sides take repeat
+    signs by their frequency (``lone_repeats``).  keep is 1 for lower
     bounds up to the threshold, 0 above it, and 0 for texts without a word;
     without any trusted text left out, every text with a word is kept."""
     spark = docs.sparkSession
@@ -261,14 +280,14 @@ def judged(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     out = fold(F.col("id"), folds) == 0
     files = train(spark, rows.filter(~out).join(good.filter(~out), "id", "left_semi"), "text")
     measured = cut_lineage(
-        perplexities(rows.filter(out).join(good.filter(out), "id", "left_semi"), files)
+        perplexities(rows.filter(out).join(good.filter(out), "id", "left_semi"), files, lone_repeats=True)
         .select("lang", "ppl.lower").filter("lower is not null"))
     cut = F.percentile_approx("lower", quantile, 10_000) * margin
     overall = measured.agg(cut).first()[0]
     # one row for each language
     per_language = measured.groupBy(F.col("lang").alias("__lang")).agg(cut.alias("__t"))
     ppl, low, top = (f"{prefix}{x}" for x in ("perplexity", "lower", "threshold"))
-    scored = perplexities(docs, files, text_col, "__ppl").join(
+    scored = perplexities(docs, files, text_col, "__ppl", lone_repeats=True).join(
         F.broadcast(per_language), F.col(lang_col).cast("string").eqNullSafe(F.col("__lang")), "left")
     keep = F.col(low).isNotNull() & (F.col(top).isNull() | (F.col(low) <= F.col(top)))
     return (scored.withColumns({ppl: F.col("__ppl.perplexity"), low: F.col("__ppl.lower"),

@@ -110,6 +110,35 @@ def test_clean_documents_stay_and_junk_goes(spark):
     assert kept.columns == d.columns and kept.count() == sum(r.keep for r in got)
 
 
+def test_repeat_signs_count_by_their_frequency(spark):
+    files = Q.train(spark, spark.createDataFrame([(t,) for t in TRUSTED], "text string"))
+    p, read = plain_kneser_ney(TRUSTED), b"".join(Q.symbols(t) + b"\0" for t in TRUSTED if Q.symbols(t))
+    share = (read.count(b"\x01") + 1) / (len(read) + 256)
+    texts = ["mat mat mat", "the the the the cat", "a cat", "zzz zzz"]
+    rows = Q.perplexities(spark.createDataFrame([(t, i) for i, t in enumerate(texts)], "text string, i int"),
+                          files, lone_repeats=True).orderBy("i").collect()
+    for r, t in zip(rows, texts, strict=True):
+        raw = b"\0" * 4 + Q.symbols(t) + b"\0"
+        want = [share if raw[i + 4] == 1 else p(raw[i:i + 5]) for i in range(len(raw) - 4)]
+        assert r.ppl.perplexity == pytest.approx(float(np.exp(-np.mean(np.log(want)))), rel=1e-4)
+
+
+def test_junk_of_repeated_words_goes(spark):
+    rng = np.random.default_rng(1)
+    words = ["".join(rng.choice(list("abcdefghij"), int(rng.integers(3, 8)))) for _ in range(300)]
+    docs, labels = [], []
+    for i in range(400):
+        t = list(rng.choice(words, 60))
+        if i % 50 == 7:  # a clean text may repeat a word
+            t[20:27] = [t[20]] * 7
+        if i % 8 == 0:
+            t = [w for w in t[:25] for _ in range(int(rng.integers(10, 30)))]
+        docs.append((i, " ".join(t), "en", "s", 0.0))
+        labels.append((i, int(i % 8 != 0)))
+    got = Q.quality(spark.createDataFrame(docs, SCHEMA), spark.createDataFrame(labels, "doc_id long, quality int")).collect()
+    assert {r.doc_id for r in got if not r.keep} == set(range(0, 400, 8))
+
+
 def test_without_labels_or_documents(spark):
     docs, _ = corpus(5)
     d = spark.createDataFrame(docs, SCHEMA)
