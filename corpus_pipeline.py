@@ -40,8 +40,8 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_first_of_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near duplicates."""
-    return simhash.keep_first(docs, words_per_shingle=WORDS_PER_SHINGLE, max_distance=MAX_DISTANCE)
+    """One row of each group of near duplicates: that with the smallest id."""
+    return simhash.keep_first(docs, words_per_shingle=WORDS_PER_SHINGLE, max_distance=MAX_DISTANCE, repeats=False)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -104,6 +104,17 @@ def fingerprint_links(fingerprints: DataFrame, col: str, max_distance: int) -> D
             .filter(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_distance))
 
 
+def _smallest_by_print(prints: DataFrame, what: Column, max_distance: int) -> DataFrame:
+    """(f, best): for every fingerprint, the smallest ``what`` of all rows of its
+    component; minima by partial aggregation, first by fingerprint."""
+    classes = cut_lineage(prints.groupBy("f").agg(F.min(what).alias("first")))
+    roots = connected_components(fingerprint_links(classes, "f", max_distance))
+    grouped = (classes.join(roots.withColumnRenamed("node", "f"), "f", "left")
+               .select("f", "first", F.coalesce("component", "f").alias("root")))
+    smallest = grouped.groupBy("root").agg(F.min("first").alias("best"))
+    return grouped.join(smallest, "root").select("f", "best")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     words_per_shingle: int = 3, max_distance: int = 2) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id for every row.
@@ -114,26 +125,27 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     prints = cut_lineage(docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
         simhash(F.col(text_col), words_per_shingle).alias("f")))
-    classes = cut_lineage(prints.groupBy("f").agg(F.min("doc_id").alias("first_id")))
-    roots = connected_components(fingerprint_links(classes, "f", max_distance))
-    grouped = (classes.join(roots.withColumnRenamed("node", "f"), "f", "left")
-               .select("f", "first_id", F.coalesce("component", "f").alias("root")))
-    smallest = grouped.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    by_print = grouped.join(smallest, "root").select("f", "component_id")
+    by_print = _smallest_by_print(prints, F.col("doc_id"), max_distance)
     return prints.join(by_print, "f").select(
-        "doc_id", F.lower(F.lpad(F.hex("f"), 16, "0")).alias("fingerprint"), "component_id")
+        "doc_id", F.lower(F.lpad(F.hex("f"), 16, "0")).alias("fingerprint"), F.col("best").alias("component_id"))
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-               words_per_shingle: int = 3, max_distance: int = 2) -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of their component, all
-    columns.  Rows that repeat a kept id all stay; rows without an id stay
-    only if no document of their component has one."""
-    found = near_duplicates(docs.select(id_col, text_col), id_col, text_col,
-                            words_per_shingle, max_distance)
-    # an id given to different texts belongs to the first component it heads
-    dropped = (found.groupBy("doc_id")
-               .agg(F.min(F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("first"))
-               .filter("not first").select(F.col("doc_id").alias("__dropped_id")))
-    return docs.join(dropped, docs[id_col].cast("long").eqNullSafe(dropped["__dropped_id"]),
-                     "left_anti")
+               words_per_shingle: int = 3, max_distance: int = 2, repeats: bool = True) -> DataFrame:
+    """The first row of each component, all columns: the one with the smallest
+    id (a row without an id comes last), among equal ids the one whose text
+    hashes lowest.  Rows of that component that repeat the id stay too, unless
+    ``repeats`` is false: then exactly one row of each component stays.
+
+    Rows are told apart by a number of their own, pinned by a checkpoint, and
+    not by ids: these may be missing or given to different texts."""
+    rows = cut_lineage(docs.withColumn("__row", F.monotonically_increasing_id()))
+    prints = cut_lineage(rows.select(
+        "__row", F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("hash"),
+        simhash(F.col(text_col), words_per_shingle).alias("f")))
+    rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "hash", "__row")
+    first = F.col("__row") == F.col("best.__row")
+    if repeats:
+        first = first | F.coalesce(F.col("doc_id") == F.col("best.doc_id"), F.lit(False))
+    dropped = prints.join(_smallest_by_print(prints, rank, max_distance), "f").filter(~first).select("__row")
+    return rows.join(dropped, "__row", "left_anti").select(*docs.columns)

@@ -87,3 +87,9 @@ def test_empty_documents(spark, tables, tmp_path):
     for t in ("documents", "labels"):
         spark.read.parquet(f"{tables}/{t}.parquet").limit(0).write.parquet(f"{tmp_path}/{t}.parquet")
     assert P.run(spark, str(tmp_path)).collect() == []
+
+
+def test_one_row_of_each_group_stays(spark):
+    rows = [(5, "a b c d"), (5, "a b c d"), (None, "a b c d"), (None, "x y z"), (9, "a b c d"), (9, "other text here now")]
+    kept = P.keep_first_of_group(spark, spark.createDataFrame(rows, "doc_id long, text string"), "")
+    assert Counter(map(tuple, kept.collect())) == Counter([(5, "a b c d"), (None, "x y z"), (9, "other text here now")])

@@ -87,3 +87,16 @@ def test_keep_first(docs_of):
     assert sorted(r.doc_id for r in kept.collect()) == [2, 2, 7]
     assert keep_first(df.limit(0)).collect() == []
     assert near_duplicates(df.limit(0)).collect() == []
+
+
+def test_keep_first_decides_by_row(docs_of):
+    one, two = "a b c d", "other text here now"
+    rows = [(5, one, "a"), (None, one, "b"), (None, "x y z", "c"), (None, "p q r s", "d"), (None, "p q r s", "e"),
+            (9, one, "f"), (9, two, "g"), (12, two, "h"), (20, "k l m n", "i"), (20, "k l m n", "j")]
+    df = docs_of(rows, "doc_id long, text string, name string")
+    want = {frozenset("a"), frozenset("c"), frozenset("de"), frozenset("g"), frozenset("ij")}
+    for repeats in (False, True):
+        kept = [r.name for r in keep_first(df, repeats=repeats).collect()]
+        got = [next(w for w in want if n in w) for n in kept if any(n in w for w in want)]
+        assert len(got) == len(kept) and set(got) == want
+        assert len(kept) == (6 if repeats else 5)
