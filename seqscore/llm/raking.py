@@ -6,12 +6,13 @@ documents are sampled with probabilities in proportion to their cell's weight.
 DataFrame operations only.
 
 Documents are read twice (adding up, sampling) and never shuffled; the raking
-itself works on the table of cells.
+itself works on the table of cells, whose marginals are partial aggregates: no
+task gathers the cells of a value.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut_lineage
@@ -19,7 +20,7 @@ from .common import cut_lineage
 # A table of cells of at most this many rows (well below 100 bytes each beside
 # the names) is broadcast for sampling; a larger one is joined by its keys.
 BROADCAST_CELLS = 50_000
-ROUNDS_PER_JOB = 4
+ROUNDS_PER_CHECK = 4
 DIMENSIONS = ("source", "lang", "topic")
 
 
@@ -83,15 +84,16 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], tolerance: float = 1e-
     total = cells.agg(F.sum("tokens")).first()[0]
     if not total:
         return cells.select(*dims, "tokens", "weight")
-    for _ in range(0, max_rounds, ROUNDS_PER_JOB):
-        now = cells
-        for _ in range(ROUNDS_PER_JOB):
+    for _ in range(0, max_rounds, ROUNDS_PER_CHECK):
+        for _ in range(ROUNDS_PER_CHECK):
             for d in dims:
-                have = F.sum(F.col("weight") * F.col("tokens")).over(Window.partitionBy(d))
-                now = now.withColumn("weight", F.when(
-                    have > 0, F.col("weight") * F.col(f"share_{d}") * F.lit(float(total)) / have
-                ).otherwise(0.0))
-        cells = cut_lineage(now)
+                # a marginal is aggregated in part before it is shuffled, and joined back
+                have = cells.groupBy(d).agg(F.sum(F.col("weight") * F.col("tokens")).alias("have"))
+                cells = cells.join(have, d).withColumn("weight", F.when(
+                    F.col("have") > 0, F.col("weight") * F.col(f"share_{d}") * F.lit(float(total)) / F.col("have")
+                ).otherwise(0.0)).drop("have")
+            # each step reads the cells twice: pinned every round, the plan stays small
+            cells = cut_lineage(cells)
         # the last dimension holds exactly after its step; the others show the error
         missed = 0.0
         for d in dims[:-1]:

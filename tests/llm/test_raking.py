@@ -95,3 +95,14 @@ def test_topics_and_no_python(spark):
     assert got == ["rights", "links", "contact", "code", "short", "long", "prose", "empty", "empty"]
     plan = R.mix(table(spark, 20))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_no_window_gathers_the_cells_of_a_value(spark, monkeypatch):
+    plans, cut = [], R.cut_lineage
+
+    def noted(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return cut(df)
+    monkeypatch.setattr(R, "cut_lineage", noted)
+    R.mix(table(spark, 50))
+    assert len(plans) > 2 and not any("Window" in p for p in plans)
