@@ -68,6 +68,11 @@ def op10_quality_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
                    read_table(spark, sf_dir, "labels", ["doc_id", "quality"]))
 
 
+def op11_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .wrapper import main_text
+    return main_text(read_table(spark, sf_dir, "pages", ["page_id", "url", "html"]))
+
+
 def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .fill_in_middle import fill_in_middle, restored
     moved = fill_in_middle(read_table(spark, sf_dir, "documents", ["doc_id", "text"]), rate=50, spm_rate=80, seed=42)
@@ -85,7 +90,7 @@ def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_simhash_near_dedup, op2_toxicity, op3_warc_zip, op4_best_fit_packing, op5_document_fingerprints,
     op6_source_mixing, op7_language_id, op8_token_files, op9_metric_range_join, op10_quality_perplexity,
-    op12_fill_in_middle, op13_phrase_collocations)}
+    op11_html_extraction, op12_fill_in_middle, op13_phrase_collocations)}
 
 # Plain statements of the contracts: every text cut by one regular expression,
 # every phrase counted with all others.
