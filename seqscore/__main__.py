@@ -18,6 +18,7 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument("--config", default=None, help="scoring config JSON (else $SCORING_CONFIG)")
     s.add_argument("--plddt-scale", type=float, default=1.0)
     s.add_argument("--on-empty", choices=("write", "raise"), default="write")
+    s.add_argument("--resume-from", default=None, help="folder that keeps what is scored; only new files are read")
     s = sub.add_parser("triplets"); s.add_argument("preferences"); s.add_argument("sequences_csv")
     s.add_argument("out_dir")
     s = sub.add_parser("generated"); s.add_argument("generated_csv"); s.add_argument("pdb_dir")
@@ -51,7 +52,7 @@ def main(argv: list[str] | None = None) -> int:
         stages.prepare_fasta(spark, a.sequences_csv, a.out_dir, a.limit)
     elif a.stage == "score":
         stages.score_and_pair(spark, a.pdb_dir, a.out_dir, load_config(a.config),
-                              plddt_scale=a.plddt_scale, on_empty=a.on_empty)
+                              plddt_scale=a.plddt_scale, on_empty=a.on_empty, resume_from=a.resume_from)
     elif a.stage == "triplets":
         stages.build_triplets(spark, a.preferences, a.sequences_csv, a.out_dir)
     elif a.stage == "generated":

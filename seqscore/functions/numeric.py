@@ -54,3 +54,25 @@ def safe_norm3(x: Column, y: Column, z: Column) -> Column:
 def distance3(a: Column, b: Column) -> Column:
     """Distance between two ``struct<x,y,z>`` columns."""
     return norm3(a["x"] - b["x"], a["y"] - b["y"], a["z"] - b["z"])
+
+
+# Doubles as two integers for sums that do not depend on their order: units of
+# 2^-20 and, of what is left, units of 2^-52.  Both sums stay within a long for
+# a billion addends of up to 8192, or eight thousand of up to a billion.
+_COARSE, _FINE = float(1 << 20), float(1 << 32)
+
+
+def exact_sum(value: Column) -> Column:
+    """Sum of doubles that gives the same bits for any order and partitioning
+    of its rows: each value is taken to 2^-52 (far below the digits that a
+    coordinate has) and added up as integers.  NULL for no values."""
+    scaled = value * F.lit(_COARSE)
+    coarse = F.floor(scaled)
+    fine = F.rint((scaled - coarse.cast("double")) * F.lit(_FINE)).cast("bigint")
+    return (F.sum(coarse).cast("double") / F.lit(_COARSE)
+            + F.sum(fine).cast("double") / F.lit(_COARSE * _FINE))
+
+
+def exact_avg(value: Column) -> Column:
+    """Mean over the values that are not NULL, by ``exact_sum``."""
+    return exact_sum(value) / F.count(value)

@@ -66,13 +66,14 @@ def global_rank(df: DataFrame, order: list[Column | str], name: str = "rank",
 
 
 def _ordinal_by_range(df: DataFrame, group: list[str], order: list[Column | str], name: str,
-                      p: int) -> DataFrame:
+                      p: int, pin_input: bool) -> DataFrame:
     """Range-partitioned ordinal: a group may span partitions; rows that
     continue a group from earlier partitions get an offset from a P-row
     boundary summary.  (group, order) must be unique."""
     keys = [F.col(g) for g in group] + _sort_key_names(order)
     # pin the partition assignment (see global_rank for why)
-    ranged = cut_lineage(cut_lineage(df).repartitionByRange(p, *keys).withColumn(_PID, F.spark_partition_id()))
+    src = cut_lineage(df) if pin_input else df
+    ranged = cut_lineage(src.repartitionByRange(p, *keys).withColumn(_PID, F.spark_partition_id()))
     gkey = F.struct(*[F.col(g) for g in group])
     local = ranged.withColumn(
         "_rn", F.row_number().over(Window.partitionBy(_PID, *group).orderBy(*_sort_key_names(order))))
@@ -97,15 +98,16 @@ def _ordinal_by_range(df: DataFrame, group: list[str], order: list[Column | str]
 
 
 def ordinal_within(df: DataFrame, group: list[str], order: list[Column | str],
-                   name: str = "ord", num_partitions: int | None = None) -> DataFrame:
+                   name: str = "ord", num_partitions: int | None = None, pin_input: bool = True) -> DataFrame:
     """1-based position of each row inside its group, ordered by ``order``
     (``row_number() OVER (PARTITION BY group ORDER BY order)``).
 
     One plan for every input: rows are range-partitioned on (group, order),
     numbered inside their range, and a group that spans ranges gets its
     offsets from a summary of one row per range, so no group has to fit
-    into one task."""
-    return _ordinal_by_range(df, group, order, name, _partitions(df, num_partitions))
+    into one task.  ``pin_input=False`` is for inputs that are cheap to read
+    twice, such as a scan: only the ranged copy is pinned then."""
+    return _ordinal_by_range(df, group, order, name, _partitions(df, num_partitions), pin_input)
 
 
 def winner_count(n_rows: int, fraction: float) -> int:

@@ -152,6 +152,11 @@ def structure_metrics_array(df: DataFrame, atoms_col: str = "atoms") -> DataFram
     return out.drop("_n", "_c", "_s")
 
 
+def scaled_plddt(df: DataFrame, scale: float, atoms_col: str = "atoms") -> DataFrame:
+    """The array form with every pLDDT multiplied, for files that hold percent."""
+    return df.withColumn(atoms_col, F.transform(atoms_col, lambda a: a.withField("plddt", a["plddt"] * scale)))
+
+
 def incomplete_structures_array(df: DataFrame, atoms_col: str = "atoms") -> DataFrame:
     """Side table of the array form: structures without atoms or with a missing
     coordinate, with n_res and n_missing."""

@@ -12,10 +12,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seqscore import constants as C
-from seqscore.functions.numeric import least_first, no_nan, round_dp, score_key
+from seqscore.functions.numeric import exact_sum, least_first, no_nan, round_dp, score_key
 from seqscore.functions.scoring import agreement_label
 from seqscore.operators.ranking import global_rank
 from seqscore.session import cut_lineage
+from seqscore.sources.files import ATOM_KEY
 
 IDENTITY = ["id", "proxy_score", "plddt", "dist_nc", "muH", "net_charge"]
 
@@ -133,23 +134,60 @@ def validation_summary(ranked_rows: DataFrame, key: str = "seq_idx", best: str =
         round_dp(F.col("_mean_de"), 2).alias("mean_delta_e"))
 
 
+REPORT = ["rank_physics", "rank_proxy", "sequence", "e_final", "delta_e", "rmsd", "plddt"]
+
+
+def report(rows: DataFrame, *keys: str) -> DataFrame:
+    """The succeeded rows as the ranked report shows them: both ranks,
+    sequence, final energy, its change, RMSD and pLDDT; ``keys`` in front."""
+    return rows.filter(F.col("e_final").isNotNull()).select(*keys, *REPORT)
+
+
+def displacement(before: DataFrame, after: DataFrame, key: str = "id",
+                 atom_key: tuple[str, ...] = ATOM_KEY) -> DataFrame:
+    """Atoms of two structures aligned by ``atom_key`` (model,
+    chain, residue number, insertion code, atom name), in whatever order the
+    files hold them.  One row per structure of either side:
+
+    key, n_atoms and rmsd (``sqrt(mean squared displacement)`` without
+    superposition, 3 dp) over all atoms, n_missing and n_added (atoms of one
+    side only), error.  A structure whose sides differ, name an atom twice or
+    lack a coordinate has NULL ``n_atoms`` and ``rmsd`` and its ``error``; the
+    others go on.  NULL parts of a key are equal; structures whose key is NULL
+    are one.
+
+    Both sides meet by one exchange on (structure, atom), which is unique and
+    can't skew; per-structure sums are pre-aggregated and do not depend on
+    their order."""
+    def side(df: DataFrame, is_after: int) -> DataFrame:
+        return df.select(key, *atom_key, F.lit(is_after).alias("_after"), *(no_nan(c).alias(c) for c in "xyz"))
+
+    on = F.col("_after") == 1
+    one = lambda c, s: F.max(F.when(s, F.col(c)))
+    atoms = side(before, 0).unionByName(side(after, 1)).groupBy(key, *atom_key).agg(
+        F.count_if(~on).alias("_a"), F.count_if(on).alias("_b"),
+        *(one(c, ~on).alias(f"_{c}0") for c in "xyz"), *(one(c, on).alias(f"_{c}1") for c in "xyz"))
+    d2 = sum((F.pow(F.col(f"_{c}1") - F.col(f"_{c}0"), 2) for c in "xyz"), F.lit(0.0))
+    both = (F.col("_a") > 0) & (F.col("_b") > 0)
+    agg = atoms.groupBy(key).agg(
+        F.count_if(both).alias("_n"), F.sum("_a").alias("_na"), F.sum("_b").alias("_nb"),
+        F.count_if(F.col("_b") == 0).alias("n_missing"), F.count_if(F.col("_a") == 0).alias("n_added"),
+        F.count_if((F.col("_a") > 1) | (F.col("_b") > 1)).alias("_twice"),
+        F.count_if(both & d2.isNull()).alias("_blank"), exact_sum(F.when(both, d2)).alias("_d2"))
+    count = lambda c: F.col(c).cast("string")
+    error = (F.when(F.col("_na") == 0, F.lit("no atoms before"))
+             .when(F.col("_nb") == 0, F.lit("no atoms after"))
+             .when(F.col("_twice") > 0, F.concat(count("_twice"), F.lit(" atoms named twice")))
+             .when(F.col("n_missing") + F.col("n_added") > 0, F.concat(
+                 F.lit("atoms differ: "), count("n_missing"), F.lit(" missing, "), count("n_added"), F.lit(" added")))
+             .when(F.col("_blank") > 0, F.concat(count("_blank"), F.lit(" atoms without coordinates"))))
+    return agg.withColumn("error", error).select(
+        key, F.when(F.col("error").isNull(), F.col("_n")).alias("n_atoms"),
+        F.when(F.col("error").isNull(), round_dp(F.sqrt(F.col("_d2") / F.col("_n")), 3)).alias("rmsd"),
+        "n_missing", "n_added", "error")
+
+
 def rmsd(before: DataFrame, after: DataFrame, key: str = "seq_idx", pos: str = "ord") -> DataFrame:
-    """Positional pairing of atoms, ``sqrt(mean squared
-    displacement)`` without superposition (3 dp), and the atom count.
-
-    Both sides must hold the same positions of a structure: an atom without
-    partner fails the job and names the structure.  The join key (structure,
-    position) is unique, so it cannot skew."""
-    a = before.select(key, pos, F.lit(True).alias("_a"), F.col("x").alias("x0"), F.col("y").alias("y0"),
-                      F.col("z").alias("z0"))
-    b = after.select(key, pos, F.lit(True).alias("_b"), F.col("x").alias("x1"), F.col("y").alias("y1"),
-                     F.col("z").alias("z1"))
-    d2 = (F.pow(F.col("x1") - F.col("x0"), 2) + F.pow(F.col("y1") - F.col("y0"), 2)
-          + F.pow(F.col("z1") - F.col("z0"), 2))
-    paired = F.count("_a") + F.count("_b") == 2 * F.count(F.lit(1))
-    agg = a.join(b, [key, pos], "full").groupBy(key).agg(
-        round_dp(F.sqrt(F.avg(d2)), 3).alias("rmsd"), F.count(F.lit(1)).alias("n_atoms"),
-        paired.alias("_paired"))
-    ok = F.assert_true(F.col("_paired"), F.concat(
-        F.lit("structures differ in their number of atoms: "), F.col(key).cast("string")))
-    return agg.select(key, F.when(ok.isNull(), F.col("rmsd")).alias("rmsd"), "n_atoms")
+    """``displacement`` with atoms paired by their position in the structure:
+    key, rmsd, n_atoms, error."""
+    return displacement(before, after, key, (pos,)).select(key, "rmsd", "n_atoms", "error")

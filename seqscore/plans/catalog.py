@@ -134,6 +134,22 @@ def rmsd(spark, sf_dir):
                                                  "n_atoms")
 
 
+@query
+def rmsd_all_atoms(spark, sf_dir):
+    """All atoms of the structures before and after relaxation,
+    written as PDB files, read back and aligned by chain, residue and name;
+    structures whose sides differ become NULL rows with their error."""
+    from seqscore.operators import validation
+    from seqscore.sinks.files import write_pdb
+    from seqscore.sources.files import explode_all_atoms, read_pdb
+    before = fixtures.all_atoms(spark, sf_dir)
+    sides = []
+    for name, atoms in (("pdb_before", before), ("pdb_after", fixtures.relaxed_all_atoms(before))):
+        path = write_pdb(atoms, _scratch(spark, name), _n_files(spark), order_col="ord", all_atoms=True)
+        sides.append(explode_all_atoms(read_pdb(spark, path, all_atoms=True)))
+    return validation.displacement(*sides)
+
+
 # -- sequences -----------------------------------------------------------------
 
 def _peptides(spark, sf_dir):
@@ -372,10 +388,25 @@ def ranked_report(spark, sf_dir):
 
 @query
 def validation_report(spark, sf_dir):
-    """Succeeded rows by physics rank."""
-    v = validated(spark, sf_dir)
-    return v.filter(F.col("e_final").isNotNull()).select(
-        "rank_physics", "rank_proxy", "id", "e_final", "delta_e", "plddt")
+    """Succeeded rows with both ranks, sequence, energies, RMSD, pLDDT."""
+    from seqscore.operators import validation
+    before = fixtures.ca_atoms_ordered(spark, sf_dir)
+    moved = validation.rmsd(before, fixtures.relaxed_atoms(before)).select("seq_idx", "rmsd")
+    rows = (validated(spark, sf_dir).join(moved, "seq_idx", "left")
+            .join(_peptides(spark, sf_dir).select("seq_idx", "sequence"), "seq_idx", "left"))
+    return validation.report(rows.withColumn("sequence", F.coalesce("sequence", F.lit(""))), "id")
+
+
+@query
+def candidate_table(spark, sf_dir):
+    """V4: every candidate in rank order with its sequence, metrics and the
+    badge of two or more Cys."""
+    from seqscore.functions import sequence as S
+    p = _peptides(spark, sf_dir).select("seq_idx", "sequence")
+    j = ranked(spark, sf_dir).join(p, "seq_idx", "left").withColumn("sequence", F.coalesce("sequence", F.lit("")))
+    return (j.withColumn("cys_count", S.cys_count(F.col("sequence"))).withColumn("cys_badge", F.col("cys_count") >= 2)
+            .select("rank", "id", "sequence", "score", "plddt", "dist_nc", "muH", "net_charge", "cyclic_candidate",
+                    "cys_count", "cys_badge").orderBy("rank"))
 
 
 @query
@@ -494,35 +525,86 @@ def stream_score(spark, sf_dir):
     """PDB files scored by a Structured Streaming query (file source,
     checkpointed, availableNow) into Parquet."""
     from seqscore.sinks.files import write_pdb
-    from seqscore.streaming.incremental import run_incremental
+    from seqscore.streaming.incremental import read_scored, run_incremental
     src = write_pdb(_pdb_atoms(spark, sf_dir), _scratch(spark, "stream_in"), _n_files(spark),
                     order_col="ord_key")
     out, ckpt = _scratch(spark, "stream_out"), _scratch(spark, "stream_ckpt")
     run_incremental(spark, src, out, ckpt, CFG)
-    s = spark.read.parquet(out)
+    s = read_scored(spark, out)
     return structure.rounded(s, SCORED).select(
         "id", "n_res", "net_charge", "muH", "plddt", "dist_nc", "score")
 
 
-def relaxation_ratio(row: dict) -> dict:
-    """Example per-item user function for the guarded map: relative energy
-    change; raises on a failed run (missing energies) or a zero start."""
-    e0, e1 = row.get("e_initial"), row.get("e_final")
-    if e0 is None or e1 is None or e0 != e0 or e1 != e1:
+@query
+def resumed_score(spark, sf_dir):
+    """Half of the structures are written as PDB files and scored, then the
+    others are added to the folder; the second run reads only these, the third
+    nothing."""
+    from seqscore.plans import resume
+    from seqscore.sinks.files import write_pdb
+    src, out = _scratch(spark, "resume_in"), _scratch(spark, "resume_out")
+    atoms = _pdb_atoms(spark, sf_dir)
+    half = F.col("seq_idx") % 2 == 0
+    for part in (half, ~half):
+        write_pdb(atoms.filter(part), src, _n_files(spark), order_col="ord_key", mode="append")
+        resume.score_new(spark, src, out, CFG, glob="*.txt")
+    again = resume.score_new(spark, src, out, CFG, glob="*.txt")
+    if again.files_read:
+        raise AssertionError(f"the third run read {again.files_read} files")
+    return structure.rounded(resume.scored(spark, out), SCORED).select(
+        "id", "n_res", "net_charge", "muH", "plddt", "dist_nc", "score")
+
+
+def relaxation_ratio(rows):
+    """Example function for the guarded map: relative energy change of a batch;
+    raises where a run failed (missing energies) or started at zero."""
+    e0, e1 = rows["e_initial"].to_numpy(), rows["e_final"].to_numpy()
+    if (e0 != e0).any() or (e1 != e1).any():
         raise ValueError("energy missing")
-    return {"ratio": (e1 - e0) / abs(e0)}
+    if (e0 == 0).any():
+        raise ZeroDivisionError("float division by zero")
+    return rows.assign(ratio=(e1 - e0) / abs(e0))
 
 
 @query
 def guarded_map(spark, sf_dir):
-    """A Python function per row in Arrow batches; failures become
-    NULL records with the error text instead of failing the job."""
+    """A Python function over Arrow batches, halved around failing rows;
+    these become NULL records with the error text instead of failing the job."""
     from seqscore.runtime import guarded_map as gmap
     e = fixtures.energies(spark, sf_dir, scores(spark, sf_dir)).select("id", "e_initial", "e_final")
     out = gmap(e, relaxation_ratio, "id STRING, ratio DOUBLE, error STRING", ["id"])
     return out.select("id", round_dp(F.col("ratio"), 6).alias("ratio"), "error")
 
 
+def helical_moment(rows):
+    """Hydrophobic moment of a batch of sequences wound as a helix (100 degrees
+    a residue): the length of the sum of the residues' scale values as vectors,
+    by one running sum over all residues of the batch."""
+    import numpy as np
+    seqs = rows["sequence"].tolist()
+    if any(s is None or len(s) < 2 for s in seqs):
+        raise ValueError("sequence too short")
+    value = np.zeros(256)
+    for name, residue in zip(C.THREE_LETTER, C.AMINO_ACIDS, strict=True):
+        value[ord(residue)] = C.EISENBERG[name]
+    size = np.array([len(s) for s in seqs])
+    ends = np.cumsum(size)
+    h = value[np.frombuffer("".join(seqs).encode(), np.uint8)]
+    turn = np.radians(100.0) * (np.arange(len(h)) - np.repeat(ends - size, size))
+    parts = [np.add.reduceat(h * f(turn), ends - size) for f in (np.cos, np.sin)]
+    return rows.assign(moment=np.hypot(*parts) / size)
+
+
+@query
+def guarded_moment(spark, sf_dir):
+    """U3 over every document's sequence with a numpy function that works on
+    the residues of a whole batch at once."""
+    from seqscore.runtime import guarded_map as gmap
+    out = gmap(_peptides(spark, sf_dir).select("id", "sequence"), helical_moment,
+               "id STRING, moment DOUBLE, error STRING", ["id"])
+    return out.select("id", round_dp(F.col("moment"), 6).alias("moment"), "error")
+
+
 # -- SQL access ------------------------------------------------------------------
 
 def register_views(spark: SparkSession, sf_dir: str) -> list[str]:

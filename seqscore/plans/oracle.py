@@ -206,6 +206,43 @@ FROM ca_ord a JOIN relaxed r ON a.seq_idx = r.seq_idx AND a.ord = r.ord
 GROUP BY a.seq_idx""")
 
 
+def fixed(expr: str, digits: int) -> str:
+    """The value as written to a fixed-width text column, read back."""
+    return f"CAST(round_even(CAST({expr} AS DECIMAL(20,7)), {digits}) AS DOUBLE)"
+
+
+# Every structure's atoms before and after as lists of names: what both hold,
+# what one lacks.
+QUERIES["rmsd_all_atoms"] = with_(CA_ORDERED + f""",
+before AS (
+  SELECT seq_idx, ord, x, y, z, (CASE WHEN ord % 2 = 1 THEN 'A' ELSE 'B' END) || ((ord - 1) // 2 // 5 + 1) || '/' ||
+         ['N', 'CA', 'C', 'O', 'CB'][CAST((ord - 1) // 2 % 5 AS INTEGER) + 1] AS name
+  FROM ca_ord),
+relaxed AS (
+  SELECT seq_idx, name, x + (ord % 3) * 0.125 AS x, y - 0.25 AS y, z
+  FROM before WHERE NOT (seq_idx % 7 = 3 AND ord = 1)
+  UNION ALL
+  SELECT seq_idx, 'A1/OXT', x, y - 0.25, z FROM before WHERE seq_idx % 11 = 5 AND ord = 1),
+b AS (SELECT seq_idx, name, {fixed('x', 3)} AS x, {fixed('y', 3)} AS y, {fixed('z', 3)} AS z FROM before),
+r AS (SELECT seq_idx, name, {fixed('x', 3)} AS x, {fixed('y', 3)} AS y, {fixed('z', 3)} AS z FROM relaxed),
+sides AS (
+  SELECT seq_idx, (SELECT count(*) FROM b WHERE b.seq_idx = s.seq_idx) AS nb,
+         (SELECT count(*) FROM r WHERE r.seq_idx = s.seq_idx) AS nr
+  FROM (SELECT DISTINCT seq_idx FROM b) s),
+paired AS (
+  SELECT b.seq_idx, count(*) AS n,
+         {r6('sqrt(avg((r.x - b.x) * (r.x - b.x) + (r.y - b.y) * (r.y - b.y) + (r.z - b.z) * (r.z - b.z)))', 3)} AS rmsd
+  FROM b JOIN r ON b.seq_idx = r.seq_idx AND b.name = r.name GROUP BY b.seq_idx),
+counted AS (
+  SELECT s.*, coalesce(n, 0) AS n, rmsd, nb - coalesce(n, 0) AS miss, nr - coalesce(n, 0) AS added
+  FROM sides s LEFT JOIN paired p ON p.seq_idx = s.seq_idx)""", """
+SELECT 'seq_' || CAST(seq_idx AS VARCHAR) AS id, CASE WHEN miss + added = 0 THEN n END AS n_atoms,
+       CASE WHEN miss + added = 0 THEN rmsd END AS rmsd, miss AS n_missing, added AS n_added,
+       CASE WHEN nr = 0 THEN 'no atoms after'
+            WHEN miss + added > 0 THEN 'atoms differ: ' || miss || ' missing, ' || added || ' added' END AS error
+FROM counted""")
+
+
 # -- sequences -----------------------------------------------------------------
 
 def d(v: float) -> str:
@@ -431,8 +468,19 @@ QUERIES["ranked_report"] = with_(ATTACHED, f"""
 SELECT rank, sequence, score, plddt, dist_nc, cyclic_candidate, cys_count
 FROM attached WHERE rank <= {C.DEFAULT_TOP_N}""")
 
-QUERIES["validation_report"] = with_(VALIDATED, """
-SELECT rank_physics, rank_proxy, id, e_final, delta_e, plddt FROM validated WHERE e_final IS NOT NULL""")
+QUERIES["validation_report"] = with_(VALIDATED + "," + PEPTIDES + f""",
+relaxed AS (SELECT seq_idx, ord, x + (ord % 3) * 0.125 AS x, y - 0.25 AS y, z FROM ca_ord),
+moved AS (
+  SELECT a.seq_idx,
+         {r6('sqrt(avg((r.x - a.x) * (r.x - a.x) + (r.y - a.y) * (r.y - a.y) + (r.z - a.z) * (r.z - a.z)))', 3)} AS rmsd
+  FROM ca_ord a JOIN relaxed r ON a.seq_idx = r.seq_idx AND a.ord = r.ord GROUP BY a.seq_idx)""", """
+SELECT v.id, rank_physics, rank_proxy, coalesce(p.sequence, '') AS sequence, e_final, delta_e, rmsd, plddt
+FROM validated v LEFT JOIN peptides p ON p.seq_idx = v.seq_idx LEFT JOIN moved m ON m.seq_idx = v.seq_idx
+WHERE e_final IS NOT NULL""")
+
+QUERIES["candidate_table"] = with_(ATTACHED, """
+SELECT rank, id, sequence, score, plddt, dist_nc, muH, net_charge, cyclic_candidate, cys_count,
+       cys_count >= 2 AS cys_badge FROM attached""")
 
 QUERIES["stratified_pairs"] = with_(METRICS + """,
 nn AS (SELECT n_win, (SELECT count(*) FROM scores) - n_win AS n_lose FROM cut),
@@ -455,11 +503,6 @@ QUERIES["fasta_roundtrip"] = with_(PEPTIDES, """
 SELECT id, sequence FROM peptides WHERE length(sequence) > 0""")
 
 
-def fixed(expr: str, digits: int) -> str:
-    """The value as written to a fixed-width text column, read back."""
-    return f"CAST(round_even(CAST({expr} AS DECIMAL(20,7)), {digits}) AS DOUBLE)"
-
-
 PDB_METRICS = f"""
 ca_atoms AS (
   SELECT l_orderkey AS seq_idx, l_linenumber, l_partkey, l_suppkey, l_extendedprice,
@@ -471,6 +514,7 @@ ca_atoms AS (
 QUERIES["pdb_roundtrip"] = with_(PDB_METRICS, """
 SELECT id, n_res, net_charge, muH, plddt, dist_nc, score FROM scores""")
 QUERIES["stream_score"] = QUERIES["pdb_roundtrip"]
+QUERIES["resumed_score"] = QUERIES["pdb_roundtrip"]
 QUERIES["file_inventory"] = """
 SELECT DISTINCT 'seq_' || CAST(l_orderkey AS VARCHAR) AS id FROM lineitem"""
 
@@ -483,3 +527,16 @@ SELECT s.id,
             WHEN o.o_custkey = 0 THEN 'ZeroDivisionError: float division by zero'
             ELSE NULL END AS error
 FROM scores s LEFT JOIN orders o ON s.seq_idx = o.o_orderkey""")
+
+_ONE_LETTER = {a: C.EISENBERG[n] for n, a in zip(C.THREE_LETTER, C.AMINO_ACIDS, strict=True)}
+
+QUERIES["guarded_moment"] = with_(PEPTIDES + f""",
+residues AS (
+  SELECT seq_idx, i - 1 AS i, {_case_map('substr(sequence, i, 1)', _ONE_LETTER)} AS h
+  FROM (SELECT seq_idx, sequence, unnest(range(1, length(sequence) + 1)) AS i FROM peptides)),
+wound AS (
+  SELECT seq_idx, count(*) AS n, sum(h * cos(radians(100.0 * i))) AS c, sum(h * sin(radians(100.0 * i))) AS s
+  FROM residues GROUP BY seq_idx)""", f"""
+SELECT p.id, CASE WHEN length(p.sequence) >= 2 THEN {r6('sqrt(c * c + s * s) / n')} END AS moment,
+       CASE WHEN coalesce(length(p.sequence), 0) < 2 THEN 'ValueError: sequence too short' END AS error
+FROM peptides p LEFT JOIN wound w ON w.seq_idx = p.seq_idx""")

@@ -22,6 +22,7 @@ from seqscore.functions import sequence as S
 from seqscore.functions.numeric import score_key
 from seqscore.operators import pairs, ranking, reports, structure, validation
 from seqscore.operators.descriptors import descriptors
+from seqscore.plans import resume
 from seqscore.runtime import require_non_empty
 from seqscore.session import cut_lineage
 from seqscore.sinks import files as sinks
@@ -102,25 +103,38 @@ def score_structures(spark: SparkSession, pdb_dir: str, cfg: ScoringConfig,
         schema = "id string, net_charge double, muH double, plddt double, dist_nc double, score double"
         return spark.createDataFrame([], schema)
     if plddt_scale != 1.0:
-        st = st.withColumn("atoms", F.transform("atoms", lambda a: a.withField("plddt", a["plddt"] * plddt_scale)))
+        st = structure.scaled_plddt(st, plddt_scale)
     m = structure.add_score(structure.structure_metrics_array(st), cfg)
     return m.select(*SCORE_COLUMNS, "cyclic_candidate")
 
 
 def score_and_pair(spark: SparkSession, pdb_dir: str, out_dir: str, cfg: ScoringConfig | None = None,
                    fraction: float = C.WINNER_FRACTION, plddt_scale: float = 1.0,
-                   on_empty: str = "write") -> tuple[DataFrame, DataFrame]:
+                   on_empty: str = "write", resume_from: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Stage 3: scoring_results.csv and preferences.jsonl (nearest loser), and
     side tables of the structures that can't be scored.  Without any scored
-    structure the tables are empty (``on_empty="write"``) or it fails."""
+    structure the tables are empty (``on_empty="write"``) or it fails.
+
+    With ``resume_from``, a folder that outlives the run, only files that are
+    new or changed since the last run with it are read and scored; ranks and
+    pairs are made from all structures scored so far, and the side tables are
+    left to full runs."""
     cfg = cfg or ScoringConfig()
-    structures = _structures(spark, pdb_dir)
+    structures = None if resume_from else _structures(spark, pdb_dir)
     if structures is not None:
         # Ids that hold no CA record or lack a coordinate are listed, not scored
         sinks.write_csv(sources.without_ca(structures), _out(out_dir, "structures_without_ca"))
         sinks.write_csv(structure.incomplete_structures_array(structures).filter("n_missing > 0"),
                         _out(out_dir, "structures_incomplete"))
-    scored = cut_lineage(score_structures(spark, pdb_dir, cfg, plddt_scale))
+    if resume_from:
+        where = sources.discover(spark, _out(pdb_dir, "prediction_results"), pdb_dir, "*.pdb")
+        if where is not None:
+            run = resume.score_new(spark, where, resume_from, cfg, "*.pdb", plddt_scale)
+            LOG.info("score: %d files read, %d left as they were", run.files_read, run.files_skipped)
+        scored = resume.scored(spark, resume_from).select(*SCORE_COLUMNS, "cyclic_candidate")
+    else:
+        scored = score_structures(spark, pdb_dir, cfg, plddt_scale)
+    scored = cut_lineage(scored)
     if on_empty == "raise":
         require_non_empty(scored, "scored structures")
     s_counted, s_obs = sinks.counted(scored.select(*SCORE_COLUMNS), "scored")
@@ -177,16 +191,19 @@ def score_generated(spark: SparkSession, generated_csv: str, pdb_dir: str, out_d
 
 
 def _displacements(spark: SparkSession, cand: DataFrame, pdb_dir: str, relaxed_dir: str | None) -> DataFrame:
-    """(id, rmsd, n_atoms, relaxed_pdb) of the candidates that have a relaxed
-    structure; no rows without a folder of them."""
+    """(id, rmsd, n_atoms, relaxed_pdb, error) of the candidates that have a
+    relaxed structure, over all their atoms; no rows without a folder of them."""
     if relaxed_dir is None:
-        return spark.createDataFrame([], "id string, rmsd double, n_atoms bigint, relaxed_pdb string")
+        return spark.createDataFrame([], "id string, rmsd double, n_atoms bigint, relaxed_pdb string, error string")
     stem = F.regexp_replace("file_name", r"(_relaxed)?\.[^.]*$", "")
     wanted = cand.select("id").distinct()
-    after = sources.read_pdb(spark, relaxed_dir, "*_relaxed.pdb").withColumn("id", stem).join(wanted, "id", "left_semi")
-    before = sources.read_pdb(spark, pdb_dir, "*.pdb").withColumn("id", stem).join(after.select("id"), "id", "left_semi")
-    moved = validation.rmsd(sources.explode_atoms(before), sources.explode_atoms(after), key="id")
-    return moved.join(after.select("id", F.col("path").alias("relaxed_pdb")), "id")
+    after = (sources.read_pdb(spark, relaxed_dir, "*_relaxed.pdb", all_atoms=True).withColumn("id", stem)
+             .join(wanted, "id", "left_semi"))
+    before = (sources.read_pdb(spark, pdb_dir, "*.pdb", all_atoms=True).withColumn("id", stem)
+              .join(after.select("id"), "id", "left_semi"))
+    moved = validation.displacement(sources.explode_all_atoms(before), sources.explode_all_atoms(after))
+    paths = after.groupBy("id").agg(F.min("path").alias("relaxed_pdb"))
+    return moved.join(paths, "id").select("id", "rmsd", "n_atoms", "relaxed_pdb", "error")
 
 
 ENERGY_SCHEMA = "id STRING, e_initial DOUBLE, e_final DOUBLE"
@@ -199,8 +216,11 @@ def validate(spark: SparkSession, scored_csv: str, energies_csv: str, pdb_dir: s
     and rank correlation (W3, A10), physics_validation.csv and the summary
     JSON (K3).  Candidates without a structure file are listed in
     candidates_without_file.  With ``relaxed_dir`` (files <id>_relaxed.pdb),
-    rmsd and n_atoms come from the structures' CA atoms before and after.
-    Fails when no candidate survives (P21)."""
+    rmsd and n_atoms come from all atoms of the structures before and after,
+    aligned by name; structures that differ keep their row, without them, and
+    are listed with the reason in structures_not_aligned.  The succeeded rows
+    by physics rank are the report (O4).  Fails when no candidate survives
+    (P21)."""
     schema = ("id STRING, sequence STRING, net_charge DOUBLE, muH DOUBLE, plddt DOUBLE, dist_nc DOUBLE, "
               "score DOUBLE, cyclic_candidate BOOLEAN, cys_count INT, rank INT")
     scored = sources.read_csv(spark, scored_csv, schema).withColumn("seq_idx", F.col("rank").cast("bigint"))
@@ -211,12 +231,15 @@ def validate(spark: SparkSession, scored_csv: str, energies_csv: str, pdb_dir: s
     energies = sources.read_csv(spark, energies_csv, ENERGY_SCHEMA)
     rows = validation.energy_rows(cand.join(energies, "id", "left"))
     ranked = validation.rank_validation(rows.join(cand.select("id", "sequence", "cys_count"), "id"))
-    table = ranked.join(_displacements(spark, cand, pdb_dir, relaxed_dir), "id", "left").select(
+    moved = cut_lineage(_displacements(spark, cand, pdb_dir, relaxed_dir))
+    sinks.write_csv(moved.filter("error is not null").select("id", "error"), _out(out_dir, "structures_not_aligned"))
+    table = ranked.join(moved, "id", "left").select(
         "id", "sequence", "proxy_score", "plddt", "dist_nc", "muH", "net_charge", "cys_count", "e_initial",
         "e_final", "delta_e", "rmsd", "n_atoms", "converged", "relaxed_pdb", "rank_proxy", "rank_physics")
     counted, obs = sinks.counted(table.orderBy("rank_proxy"), "physics_validation")
     sinks.write_csv(counted, _out(out_dir, "physics_validation"))
     LOG.info("validate: %d candidates written", obs.get["rows"])
+    sinks.write_csv(validation.report(table).orderBy("rank_physics"), _out(out_dir, "validation_report"))
     summary = validation.validation_summary(ranked)
     sinks.write_json_summary(summary, _out(out_dir, "validation_summary"))
     return table, summary

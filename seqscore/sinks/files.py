@@ -82,12 +82,22 @@ def _number(n: Column, width: int) -> Column:
             .when(n < most + 26 * 36 ** (width - 1), letters).otherwise(F.lit(" " * width)))
 
 
-def pdb_atom_line(pos_col: str = "ord") -> Column:
-    """One ``ATOM`` record for a CA (PDB v3.3 fixed columns)."""
+def pdb_atom_line(pos_col: str = "ord", all_atoms: bool = False) -> Column:
+    """One ``ATOM`` record (PDB v3.3 fixed columns): a CA of chain A whose
+    residue number is its position, or with ``all_atoms`` the atom that the
+    columns atom, chain, resseq and icode name."""
     n = F.col(pos_col)
+    if all_atoms:
+        # names of up to three characters start in the second of their four columns
+        name = F.when(F.length("atom") < 4, F.concat(F.lit(" "), F.col("atom"))).otherwise(F.col("atom"))
+        who = [F.lit(" "), _field(name, 4, "atom name", left=True), F.lit(" "),
+               _field(F.col("resname"), 3, "residue name", left=True), F.lit(" "), _field(F.col("chain"), 1, "chain"),
+               _number(F.col("resseq").cast("bigint"), 4), _field(F.col("icode"), 1, "insertion code"), F.lit("   ")]
+    else:
+        who = [F.lit("  CA  "), _field(F.col("resname"), 3, "residue name", left=True), F.lit(" A"), _number(n, 4),
+               F.lit("    ")]
     return F.concat(
-        F.lit("ATOM  "), _number(n, 5), F.lit("  CA  "), _field(F.col("resname"), 3, "residue name", left=True),
-        F.lit(" A"), _number(n, 4), F.lit("    "),
+        F.lit("ATOM  "), _number(n, 5), *who,
         _fixed(F.col("x"), 8, 3, "x"), _fixed(F.col("y"), 8, 3, "y"), _fixed(F.col("z"), 8, 3, "z"),
         F.lit("  1.00"), _fixed(F.col("plddt"), 6, 2, "plddt"), F.lit("           C"))
 
@@ -98,7 +108,7 @@ MAX_LINES_PER_FILE = 1_000_000   # ~80 MB of PDB text per file
 def write_pdb(atoms: DataFrame, path: str, num_files: int, id_col: str = "id",
               pos_col: str = "ord", partition_col: str | None = None,
               max_lines_per_file: int = MAX_LINES_PER_FILE,
-              order_col: str | None = None) -> str:
+              order_col: str | None = None, all_atoms: bool = False, mode: str = "overwrite") -> str:
     """Multi-structure PDB text files: per structure a ``HEADER`` line with
     the id, its ``ATOM`` lines in position order, and ``END``.
 
@@ -111,11 +121,13 @@ def write_pdb(atoms: DataFrame, path: str, num_files: int, id_col: str = "id",
     ``max_lines_per_file`` lines.  ``partition_col`` optionally adds a
     directory level.  With ``order_col`` the positions are numbered here;
     otherwise ``pos_col`` holds them.  A coordinate, pLDDT or residue name
-    that its field can't hold fails the job."""
+    that its field can't hold fails the job.  ``all_atoms`` writes named atoms
+    (see ``pdb_atom_line``); ``mode`` may be ``append``."""
     n_atoms = atoms.count()
     num_files = max(int(num_files), -(-n_atoms // int(max_lines_per_file)))
     src = F.col(order_col) if order_col else F.col(pos_col).cast("bigint")
-    keep = [F.col(id_col).alias("id"), src.alias("_src"), "resname", "x", "y", "z",
+    named = ["atom", "chain", "resseq", "icode"] if all_atoms else []
+    keep = [F.col(id_col).alias("id"), src.alias("_src"), "resname", *named, "x", "y", "z",
             "plddt"] + ([partition_col] if partition_col else [])
     a = atoms.select(*keep).repartition(int(num_files), "id")
     w = Window.partitionBy("id").orderBy("_src")
@@ -124,13 +136,13 @@ def write_pdb(atoms: DataFrame, path: str, num_files: int, id_col: str = "id",
     a = a.withColumn("_pos", F.col("_nth") if order_col else F.col("_src"))
     text = F.concat(
         F.when(F.col("_nth") == 1, F.concat(F.lit("HEADER    "), F.col("id"), F.lit("\n"))).otherwise(F.lit("")),
-        pdb_atom_line("_pos"),
+        pdb_atom_line("_pos", all_atoms),
         F.when(F.col("_end"), F.lit("\nEND")).otherwise(F.lit("")))
     # With a directory level the writer needs rows ordered by it; leading
     # the sort with it keeps the block order (no second, unstable sort).
     order = ([partition_col] if partition_col else []) + ["id", "_pos"]
     cols = [text.alias("value")] + ([partition_col] if partition_col else [])
-    out = a.sortWithinPartitions(*order).select(*cols).write.mode("overwrite")
+    out = a.sortWithinPartitions(*order).select(*cols).write.mode(mode)
     if partition_col:
         out = out.partitionBy(partition_col)
     out.text(path)

@@ -1,13 +1,14 @@
 """File sources.
 
 * CSV by header name, JSON lines: explicit types, no inference.
-* FASTA: the text source split on ``>`` (``lineSep``), so records are
-  distributed like lines and a file of any size is splittable.
+* FASTA: the text source split where a line starts with ``>`` (``lineSep``),
+  so records are distributed like lines and a file of any size is splittable.
 * PDB: files are cut into structure blocks at ``END`` lines while being
-  read (``lineSep``), and every block's CA records are parsed with one regex
-  pass and fixed-column ``substring`` into an ``array<struct>`` in file
-  order: one row per structure, no shuffle (the array form of the scorer
-  consumes it directly; ``explode_atoms`` gives the relational form).
+  read (``lineSep``), and every block's atom records (CA only, or all) are
+  parsed with one regex pass and fixed-column ``substring`` into an
+  ``array<struct>`` in file order: one row per structure, no shuffle (the array
+  form of the scorer consumes it directly; ``explode_atoms`` and
+  ``explode_all_atoms`` give the relational form).
 * Inventory: ``binaryFile`` with only ``path``/``length`` selected, so
   file contents are never read.
 """
@@ -85,17 +86,20 @@ def read_fasta(spark: SparkSession, path: str, line2_only: bool = False,
                on_short: str = "skip") -> DataFrame:
     """(file_name, id, header, sequence) per record.
 
-    ``id`` is the first header token when the header has one before a space
+    A record starts at a line that begins with ``>``; any further ``>`` belongs
+    to the header or sequence it stands in.  Lines may end in CR LF.  ``id`` is the first header token when the header has one before a space
     (``>seq_5 A|protein``), else the file stem (one record per file, named
     by id).  The sequence joins all lines after the header; with
     ``line2_only`` only the first sequence line is kept (the legacy reader
     truncated multi-line records).  Records with no sequence line are
     dropped (``on_short="skip"``) or fail the job (``"raise"``)."""
     require_paths(spark, [path])
-    raw = (spark.read.option("lineSep", ">").text(path)
-           .select("value", F.col("_metadata.file_name").alias("file_name")))
+    # the separator takes the sign of every record but a file's first
+    raw = (spark.read.option("lineSep", "\n>").text(path)
+           .select(F.regexp_replace("value", r"^\s*>", "").alias("value"),
+                   F.col("_metadata.file_name").alias("file_name")))
     rec = raw.filter(F.length(F.trim(F.col("value"))) > 0)
-    lines = F.split(F.col("value"), "\n")
+    lines = F.split(F.col("value"), "\r?\n")
     header = F.trim(F.element_at(lines, 1))
     if line2_only:
         seq = F.trim(F.coalesce(F.try_element_at(lines, F.lit(2)), F.lit("")))
@@ -113,48 +117,63 @@ def read_fasta(spark: SparkSession, path: str, line2_only: bool = False,
 
 
 CA_LINE = r"(?m)^((?:ATOM  |HETATM).{6}(?: CA |CA  ).*)$"
-
-
-def _ca_records(block: Column) -> Column:
-    """All CA records of a structure block in file order, with what tells
-    alternate locations of one residue apart.  Malformed numbers and NaN
-    become NULL instead of failing the whole job."""
+ATOM_LINE = r"(?m)^((?:ATOM  |HETATM).*)$"
+CA_FIELDS = ("resname", "x", "y", "z", "plddt")
+ATOM_KEY = ("model", "chain", "resseq", "icode", "atom")
+ATOM_FIELDS = (*ATOM_KEY, "resname", "x", "y", "z")
+
+
+def _records(block: Column, pattern: str) -> Column:
+    """All records of a structure block that match ``pattern``, in file order:
+    the fields by which atoms are told apart (PDB v3.3 columns; models are
+    numbered by their place), coordinates, pLDDT, alternate location and
+    occupancy.  Malformed numbers and NaN become NULL instead of failing the
+    whole job."""
     def number(line, at, width):
         return no_nan(F.trim(F.substring(line, at, width)).try_cast("double"))
 
     def record(line, model):
         return F.struct(
-            F.trim(F.substring(line, 18, 3)).alias("resname"),
+            model.cast("int").alias("model"), F.trim(F.substring(line, 22, 1)).alias("chain"),
+            F.trim(F.substring(line, 23, 4)).alias("resseq"), F.trim(F.substring(line, 27, 1)).alias("icode"),
+            F.trim(F.substring(line, 13, 4)).alias("atom"), F.trim(F.substring(line, 18, 3)).alias("resname"),
             number(line, 31, 8).alias("x"), number(line, 39, 8).alias("y"), number(line, 47, 8).alias("z"),
             number(line, 61, 6).alias("plddt"),
-            F.substring(line, 17, 1).alias("alt"), F.coalesce(number(line, 55, 6), F.lit(0.0)).alias("occupancy"),
-            F.concat(model.cast("string"), F.lit(":"), F.substring(line, 22, 6)).alias("residue"))
+            F.substring(line, 17, 1).alias("alt"), F.coalesce(number(line, 55, 6), F.lit(0.0)).alias("occupancy"))
 
+    # what stands before the first MODEL line holds the atoms of a file without models
     return F.flatten(F.transform(
         F.split(block, r"(?m)^MODEL "),
-        lambda text, i: F.transform(F.regexp_extract_all(text, F.lit(CA_LINE), 1), lambda line: record(line, i))))
+        lambda text, i: F.transform(F.regexp_extract_all(text, F.lit(pattern), 1), lambda line: record(line, i))))
+
 
+def _by_location(records: Column) -> Column:
+    """The records sorted so that an atom's labelled locations stand together,
+    the best one first: highest occupancy, then first label, then file order."""
+    return F.array_sort(F.transform(records, lambda r, i: F.struct(
+        F.struct(*(r[k].alias(k) for k in ATOM_KEY)).alias("key"), (r["alt"] == " ").alias("plain"),
+        (-r["occupancy"]).alias("rank"), r["alt"].alias("alt"), i.alias("at"), r.alias("record"))))
 
-def _best_locations(records: Column) -> Column:
-    """Of the alternate locations of one residue (same model, chain, number and
-    insertion code), the one with the highest occupancy, on ties the first
-    label; records without a label all stay."""
-    def beaten(e):
-        return F.exists(records, lambda f: (f["residue"] == e["residue"]) & (f["alt"] != " ") & (
-            (f["occupancy"] > e["occupancy"]) | ((f["occupancy"] == e["occupancy"]) & (f["alt"] < e["alt"]))))
 
-    kept = F.filter(records, lambda e: (e["alt"] == " ") | ~beaten(e))
-    return F.transform(kept, lambda e: F.struct(*(e[k].alias(k) for k in ("resname", "x", "y", "z", "plddt"))))
+def _best_locations(ranked: Column, fields: tuple[str, ...]) -> Column:
+    """Of an atom's alternate locations the best one, in file order; records
+    without a label all stay.  ``ranked`` must be a column of ``_by_location``:
+    every record is compared with the one before it only."""
+    kept = F.filter(ranked, lambda e, i: e["plain"] | (i == 0) | ~F.coalesce(
+        (F.get(ranked, i - 1)["key"] == e["key"]) & ~F.get(ranked, i - 1)["plain"], F.lit(False)))
+    ordered = F.array_sort(F.transform(kept, lambda e: F.struct(e["at"].alias("at"), e["record"].alias("record"))))
+    return F.transform(ordered, lambda e: F.struct(*(e["record"][k].alias(k) for k in fields)))
 
 
 def parse_pdb_blocks(files: DataFrame, text_col: str = "value", name_col: str = "file_name",
-                     order: Column | None = None) -> DataFrame:
+                     order: Column | None = None, all_atoms: bool = False) -> DataFrame:
     """Structure blocks -> (file_name, block_no, id, atoms array).
 
     Id: the ``HEADER`` text when present, else the file stem.  Atoms: every
-    ATOM/HETATM record named CA (either justification) in file order across
-    models and chains, one location for each residue.  ``block_no`` sorts
-    the blocks of a file: ``order`` of its piece, then the place in it."""
+    ATOM/HETATM record named CA (either justification) or, with ``all_atoms``,
+    every such record, in file order across models and chains, one location
+    for each atom.  ``block_no`` sorts the blocks of a file: ``order`` of its
+    piece, then the place in it."""
     keep = [F.col(name_col)] + ([order.alias("_at")] if order is not None else [])
     blocks = files.select(*keep, F.posexplode(F.split(F.col(text_col), r"(?m)^END\s*$")).alias("_no", "block"))
     blocks = blocks.filter(F.length(F.trim(F.regexp_replace("block", r"\s+", " "))) > 0)
@@ -163,25 +182,33 @@ def parse_pdb_blocks(files: DataFrame, text_col: str = "value", name_col: str =
     return blocks.select(
         name_col, no.alias("block_no"),
         F.when(head != "", head).otherwise(_file_stem(F.col(name_col))).alias("id"),
-        _ca_records(F.col("block")).alias("_records")).select(
-        name_col, "block_no", "id", _best_locations(F.col("_records")).alias("atoms"))
+        _by_location(_records(F.col("block"), ATOM_LINE if all_atoms else CA_LINE)).alias("_ranked")).select(
+        name_col, "block_no", "id",
+        _best_locations(F.col("_ranked"), ATOM_FIELDS if all_atoms else CA_FIELDS).alias("atoms"))
+
+
+# What ends a structure while files are read.  Files with other line ends or
+# padded END lines are read right too, but as one row each, unless the reader
+# is given theirs.
+RECORD_END = "\nEND\n"
 
 
-def read_pdb(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
+def read_pdb(spark: SparkSession, path: str | list[str], glob: str = "*", all_atoms: bool = False,
+             record_end: str = RECORD_END) -> DataFrame:
     """S3: structures from the PDB text files of a folder (not of folders below
-    it), one or many per file, with the file's ``path``.
+    it) or of a list of files, one or many per file, with the file's ``path``.
 
     Files are cut at their ``END`` lines while being read, so a large file of
     many structures is split over tasks and no task holds more than a
-    structure of it."""
-    require_paths(spark, [path])
-    files = (spark.read.option("pathGlobFilter", glob).option("lineSep", "\nEND\n").text(path)
+    structure of it.  ``record_end`` names another form of these lines, such
+    as CR LF or END padded to 80 columns."""
+    require_paths(spark, [path] if isinstance(path, str) else path)
+    files = (spark.read.option("pathGlobFilter", glob).option("lineSep", record_end).text(path)
              .select("value", _plain_path(F.col("_metadata.file_path")).alias("path"),
                      F.col("_metadata.file_name").alias("file_name"),
                      F.struct(F.col("_metadata.file_block_start").alias("start"),
                               F.monotonically_increasing_id().alias("n")).alias("_place")))
-    blocks = parse_pdb_blocks(files, name_col="file_name",
-                              order=F.struct("_place", "path"))
+    blocks = parse_pdb_blocks(files, name_col="file_name", order=F.struct("_place", "path"), all_atoms=all_atoms)
     return blocks.select(F.col("block_no")["_at"]["path"].alias("path"), "file_name",
                          F.struct(F.col("block_no")["_at"]["_place"].alias("at"),
                                   F.col("block_no")["_no"].alias("no")).alias("block_no"), "id", "atoms")
@@ -199,6 +226,13 @@ def explode_atoms(structures: DataFrame, plddt_scale: float = 1.0) -> DataFrame:
                      "a.z", (F.col("a.plddt") * F.lit(plddt_scale)).alias("plddt"))
 
 
+def explode_all_atoms(structures: DataFrame) -> DataFrame:
+    """Relational form of ``read_pdb(all_atoms=True)``: id, ord (1-based) and
+    the fields of ``ATOM_FIELDS``."""
+    ex = structures.select("id", F.posexplode("atoms").alias("_p", "a"))
+    return ex.select("id", (F.col("_p") + 1).cast("bigint").alias("ord"), "a.*")
+
+
 def discover(spark: SparkSession, primary: str, fallback: str, glob: str = "*.pdb") -> str | None:
     """The first folder that holds a file of the pattern itself, else None
     (the caller goes on with an empty typed frame)."""
@@ -209,15 +243,16 @@ def discover(spark: SparkSession, primary: str, fallback: str, glob: str = "*.pd
 
 
 def structure_inventory(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
-    """(path, file_name, stem, length) for every matching non-empty
+    """(path, file_name, stem, length, modified) for every matching non-empty
     file of the folder itself (zero-length files yield no scan split, which
     is the "exists and size > 0" rule); only metadata columns are selected,
     so contents are pruned from the scan."""
     require_paths(spark, [path])
     inv = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
-           .load(path).select("path", "length"))
+           .load(path).select("path", "length", F.col("modificationTime").alias("modified")))
     name = F.regexp_extract(F.col("path"), r"([^/]+)$", 1)
-    return inv.select(_plain_path(F.col("path")).alias("path"), name.alias("file_name"), _file_stem(name).alias("stem"), "length")
+    return inv.select(_plain_path(F.col("path")).alias("path"), name.alias("file_name"), _file_stem(name).alias("stem"), "length",
+                      "modified")
 
 
 def pending(candidates: DataFrame, inventory: DataFrame, id_col: str = "id") -> tuple[DataFrame, DataFrame]:

@@ -48,7 +48,32 @@ def ca_atoms_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``ca_atoms`` plus ``ord`` (1-based file position in its structure),
     computed without a per-structure window (see ``ordinal_within``)."""
     a = ca_atoms(spark, sf_dir)
-    return ordinal_within(a, ["seq_idx"], ["ord_key"], "ord")
+    return ordinal_within(a, ["seq_idx"], ["ord_key"], "ord", pin_input=False)
+
+
+# FIXED VALUES: the atoms of a residue's backbone in their usual order.
+BACKBONE = ("N", "CA", "C", "O", "CB")
+
+
+def all_atoms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``ca_atoms_ordered`` read as the backbones of two chains: atoms of odd
+    position belong to chain A, the others to B; five make a residue."""
+    nth = F.floor((F.col("ord") - 1) / 2)
+    return ca_atoms_ordered(spark, sf_dir).select(
+        "seq_idx", structure_id().alias("id"), "ord", "resname", F.when(F.col("ord") % 2 == 1, "A").otherwise("B").alias("chain"),
+        (F.floor(nth / 5) + 1).cast("bigint").alias("resseq"), F.lit("").alias("icode"),
+        F.element_at(F.array(*map(F.lit, BACKBONE)), (nth % 5 + 1).cast("int")).alias("atom"),
+        "x", "y", "z", "plddt")
+
+
+def relaxed_all_atoms(atoms: DataFrame) -> DataFrame:
+    """``all_atoms`` after a relaxation that returns them in reverse order;
+    every seventh structure lost its first atom, every eleventh got one more."""
+    lost = (F.col("seq_idx") % 7 == 3) & (F.col("ord") == 1)
+    extra = atoms.filter((F.col("seq_idx") % 11 == 5) & (F.col("ord") == 1)).withColumns(
+        {"atom": F.lit("OXT"), "ord": F.lit(0).cast("bigint")})
+    return atoms.filter(~lost).unionByName(extra).withColumns({
+        "x": F.col("x") + (F.col("ord") % 3) * F.lit(0.125), "y": F.col("y") - F.lit(0.25), "ord": -F.col("ord")})
 
 
 def relaxed_atoms(atoms_ordered: DataFrame) -> DataFrame:
