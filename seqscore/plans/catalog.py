@@ -520,6 +520,16 @@ def file_inventory(spark, sf_dir):
     return read_pdb(spark, where, "*.txt").join(inv.select("path"), "path", "left_semi").select("id")
 
 
+@query
+def legacy_positions(spark, sf_dir):
+    """Ids from the stems of one file name per structure, and the ids
+    that the old naming gave by the files' places in the order of names."""
+    from seqscore.sources.files import file_stem, legacy_ids
+    files = scores(spark, sf_dir).select(
+        F.concat("id", F.lit(".pdb")).alias("file_name"), F.lit(0).alias("block_no"), "net_charge")
+    return legacy_ids(files.withColumn("id", file_stem(F.col("file_name")))).select("id", "legacy_id", "net_charge")
+
+
 @query
 def stream_score(spark, sf_dir):
     """PDB files scored by a Structured Streaming query (file source,

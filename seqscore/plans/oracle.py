@@ -540,3 +540,7 @@ wound AS (
 SELECT p.id, CASE WHEN length(p.sequence) >= 2 THEN {r6('sqrt(c * c + s * s) / n')} END AS moment,
        CASE WHEN coalesce(length(p.sequence), 0) < 2 THEN 'ValueError: sequence too short' END AS error
 FROM peptides p LEFT JOIN wound w ON w.seq_idx = p.seq_idx""")
+
+QUERIES["legacy_positions"] = with_(METRICS, """
+SELECT id, 'seq_' || CAST(row_number() OVER (ORDER BY encode(id || '.pdb')) - 1 AS VARCHAR) AS legacy_id, net_charge
+FROM scores""")

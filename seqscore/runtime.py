@@ -68,36 +68,37 @@ def guarded_map(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], out_s
     far from a failure are never called alone.  Only exceptions of ``fn`` are
     caught.  ``out_schema`` lists the ``keep`` columns, the outputs of ``fn`` and
     ``error STRING``; outputs that ``fn`` leaves out are NULL."""
-    import pandas as pd
+    import numpy as np
     from pyspark.sql.types import _parse_datatype_string
 
     out_cols = [f.name for f in _parse_datatype_string(out_schema).fields]
     produced = [c for c in out_cols if c not in keep and c != "error"]
 
-    def tried(rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
-        """Results of consecutive parts of the rows, in their order."""
-        todo = [rows]
+    def guarded(rows: pd.DataFrame) -> pd.DataFrame:
+        n = len(rows)
+        values = {c: np.full(n, None, object) for c in produced}
+        errors = np.full(n, None, object)
+        todo = [(0, n)]
         while todo:
-            part = todo.pop()
-            out = part[keep].copy()
+            a, b = todo.pop()
             try:
-                made = fn(part.reset_index(drop=True))
-                if len(made) != len(part):
-                    raise ValueError(f"{len(made)} results for {len(part)} rows")
+                made = fn(rows.iloc[a:b].reset_index(drop=True))
+                if len(made) != b - a:
+                    raise ValueError(f"{len(made)} results for {b - a} rows")
             except Exception as e:  # the guarded map's contract
-                if len(part) > 1:
-                    half = len(part) // 2
-                    todo += [part.iloc[half:], part.iloc[:half]]
-                    continue
-                error = "".join(traceback.format_exception_only(type(e), e)).strip()
-                yield out.assign(**dict.fromkeys(produced), error=error)[out_cols]
+                if b - a > 1:
+                    todo += [((a + b) // 2, b), (a, (a + b) // 2)]
+                else:
+                    errors[a] = "".join(traceback.format_exception_only(type(e), e)).strip()
                 continue
-            values = {c: made[c].to_numpy() if c in made.columns else None for c in produced}
-            yield out.assign(**values, error=None)[out_cols]
+            for c in produced:
+                if c in made.columns:
+                    values[c][a:b] = made[c].to_numpy()
+        return rows[keep].assign(**values, error=errors)[out_cols]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             if len(batch):
-                yield from tried(batch)
+                yield guarded(batch.reset_index(drop=True))
 
     return df.mapInPandas(run, out_schema)

@@ -78,7 +78,8 @@ def _plain_path(path: Column) -> Column:
     return F.regexp_replace(path, "^file:/+", "file:///")
 
 
-def _file_stem(name_col) -> F.Column:
+def file_stem(name_col: Column) -> Column:
+    """A file name without its last extension."""
     return F.regexp_replace(name_col, r"\.[^.]*$", "")
 
 
@@ -107,7 +108,7 @@ def read_fasta(spark: SparkSession, path: str, line2_only: bool = False,
         seq = F.regexp_replace(F.array_join(F.slice(lines, 2, 1 << 30), ""), r"\s", "")
     out = rec.select("file_name", header.alias("header"), seq.alias("sequence"))
     token = F.regexp_extract(F.col("header"), r"^(\S+)\s", 1)
-    out = out.withColumn("id", F.when(token != "", token).otherwise(_file_stem(F.col("file_name"))))
+    out = out.withColumn("id", F.when(token != "", token).otherwise(file_stem(F.col("file_name"))))
     if on_short == "raise":
         ok = F.assert_true(F.length("sequence") > 0,
                            F.concat(F.lit("FASTA record without sequence: "), F.col("file_name")))
@@ -181,7 +182,7 @@ def parse_pdb_blocks(files: DataFrame, text_col: str = "value", name_col: str =
     no = F.col("_no") if order is None else F.struct(F.col("_at"), F.col("_no"))
     return blocks.select(
         name_col, no.alias("block_no"),
-        F.when(head != "", head).otherwise(_file_stem(F.col(name_col))).alias("id"),
+        F.when(head != "", head).otherwise(file_stem(F.col(name_col))).alias("id"),
         _by_location(_records(F.col("block"), ATOM_LINE if all_atoms else CA_LINE)).alias("_ranked")).select(
         name_col, "block_no", "id",
         _best_locations(F.col("_ranked"), ATOM_FIELDS if all_atoms else CA_FIELDS).alias("atoms"))
@@ -251,7 +252,7 @@ def structure_inventory(spark: SparkSession, path: str, glob: str = "*") -> Data
     inv = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
            .load(path).select("path", "length", F.col("modificationTime").alias("modified")))
     name = F.regexp_extract(F.col("path"), r"([^/]+)$", 1)
-    return inv.select(_plain_path(F.col("path")).alias("path"), name.alias("file_name"), _file_stem(name).alias("stem"), "length",
+    return inv.select(_plain_path(F.col("path")).alias("path"), name.alias("file_name"), file_stem(name).alias("stem"), "length",
                       "modified")
 
 

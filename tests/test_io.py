@@ -104,21 +104,23 @@ def test_inventory_and_discovery(spark):
 
 
 def test_stream_is_resumable(spark):
-    from seqscore.streaming.incremental import run_incremental
+    from seqscore.streaming.incremental import read_scored, run_incremental
     src, out, ck = tmp(), tmp(), tmp()
     open(os.path.join(src, "a.pdb"), "w").write(PDB)
     assert run_incremental(spark, src, out, ck, ScoringConfig()) == 1
     assert run_incremental(spark, src, out, ck, ScoringConfig()) == 0     # nothing new
     open(os.path.join(src, "b.pdb"), "w").write(PDB.replace("PEPTIDE", "OTHER"))
     run_incremental(spark, src, out, ck, ScoringConfig())
-    assert sorted(r.id for r in spark.read.parquet(out).collect()) == ["OTHER", "PEPTIDE"]
+    assert sorted(r.id for r in read_scored(spark, out).collect()) == ["OTHER", "PEPTIDE"]
 
 
 def test_guarded_map(spark):
     df = spark.createDataFrame([("a", 2.0), ("b", 0.0)], "id string, v double")
 
-    def inv(row):
-        return {"r": 1 / row["v"]}
+    def inv(rows):
+        if (rows["v"] == 0).any():
+            raise ZeroDivisionError("float division by zero")
+        return rows.assign(r=1 / rows["v"])
 
     got = {r.id: r for r in guarded_map(df, inv, "id string, r double, error string", ["id"]).collect()}
     assert got["a"].r == 0.5 and got["a"].error is None

@@ -111,7 +111,9 @@ def test_rmsd_needs_the_same_atoms(spark):
     schema = "seq_idx long, ord long, x double, y double, z double"
     a = spark.createDataFrame([(1, 1, 0.0, 0.0, 0.0), (1, 2, 1.0, 0.0, 0.0)], schema)
     b = spark.createDataFrame([(1, 1, 0.0, 3.0, 0.0), (1, 2, 1.0, 0.0, 3.0)], schema)
-    assert [tuple(r) for r in rmsd(a, b).collect()] == [(1, 3.0, 2)]
-    for x, y in ((a, b.limit(1)), (a.limit(1), b)):
-        with pytest.raises(Exception, match="number of atoms: 1"):
-            rmsd(x, y).collect()
+    assert [tuple(r) for r in rmsd(a, b).collect()] == [(1, 3.0, 2, None)]
+    for x, y, error in ((a, b.limit(1), "atoms differ: 1 missing, 0 added"),
+                        (a.limit(1), b, "atoms differ: 0 missing, 1 added")):
+        other = spark.createDataFrame([(2, 1, 0.0, 0.0, 0.0)], schema)
+        got = sorted(tuple(r) for r in rmsd(x.unionByName(other), y.unionByName(other)).collect())
+        assert got == [(1, None, None, error), (2, 0.0, 1, None)]
