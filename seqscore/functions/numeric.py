@@ -56,23 +56,32 @@ def distance3(a: Column, b: Column) -> Column:
     return norm3(a["x"] - b["x"], a["y"] - b["y"], a["z"] - b["z"])
 
 
-# Doubles as two integers for sums that do not depend on their order: units of
-# 2^-20 and, of what is left, units of 2^-52.  Both sums stay within a long for
-# a billion addends of up to 8192, or eight thousand of up to a billion.
-_COARSE, _FINE = float(1 << 20), float(1 << 32)
+# Doubles as three integers for sums that do not depend on their order: units
+# of 2^-20 and, of what is left, units of 2^-52 and of 2^-84.  The sums stay
+# within a long for a billion addends of up to 8192 (fewer if larger).
+_UNIT, _NEXT = float(1 << 20), float(1 << 32)
+_LARGEST = float(1 << 42)
 
 
 def exact_sum(value: Column) -> Column:
     """Sum of doubles that gives the same bits for any order and partitioning
-    of its rows: each value is taken to 2^-52 (far below the digits that a
-    coordinate has) and added up as integers.  NULL for no values."""
-    scaled = value * F.lit(_COARSE)
-    coarse = F.floor(scaled)
-    fine = F.rint((scaled - coarse.cast("double")) * F.lit(_FINE)).cast("bigint")
-    return (F.sum(coarse).cast("double") / F.lit(_COARSE)
-            + F.sum(fine).cast("double") / F.lit(_COARSE * _FINE))
+    of its rows: each value is taken to 2^-84, below the last bit of any
+    coordinate, and added up as integers; the sum of one value is that value.
+    NULL and NaN are left out; NULL for no values, NaN where a value is too
+    large (2^42 or infinite)."""
+    v = no_nan(value)
+    large = F.abs(v) >= F.lit(_LARGEST)
+    scaled = F.when(~large, v * F.lit(_UNIT))
+    coarse = scaled.cast("bigint")
+    rest = (scaled - coarse.cast("double")) * F.lit(_NEXT)
+    middle = rest.cast("bigint")
+    fine = F.rint((rest - middle.cast("double")) * F.lit(_NEXT)).cast("bigint")
+    total = (F.sum(coarse).cast("double") / F.lit(_UNIT)
+             + (F.sum(middle).cast("double") / F.lit(_UNIT * _NEXT)
+                + F.sum(fine).cast("double") / F.lit(_UNIT * _NEXT * _NEXT)))
+    return F.when(F.count_if(large) > 0, F.lit(float("nan"))).otherwise(total)
 
 
 def exact_avg(value: Column) -> Column:
-    """Mean over the values that are not NULL, by ``exact_sum``."""
-    return exact_sum(value) / F.count(value)
+    """Mean over the values that are neither NULL nor NaN, by ``exact_sum``."""
+    return exact_sum(value) / F.count(no_nan(value))

@@ -1,6 +1,6 @@
 """Summary reports (A7, A12-A15).  Each is one global or grouped
-aggregate with partial (map-side) aggregation; exact order statistics use
-the global rank instead of collecting values."""
+aggregate with partial (map-side) aggregation; exact order statistics come
+from rounds of counting, without sorting or collecting values."""
 
 from __future__ import annotations
 
@@ -9,8 +9,8 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seqscore.functions.numeric import least_first, no_nan, round_dp
-from seqscore.operators.ranking import global_rank, one_row
+from seqscore.functions.numeric import no_nan, round_dp
+from seqscore.operators.ranking import one_row
 
 
 def batch_summary(scored: DataFrame) -> DataFrame:
@@ -48,20 +48,68 @@ def reject_diversity(pairs: DataFrame) -> DataFrame:
                        round_dp(F.lit(top_n).cast("bigint") / F.col("n_pairs"), 6).alias("top_reject_share"))
 
 
-def exact_percentile(df: DataFrame, col: str, q: float, key: str = "seq_idx") -> float | None:
-    """Exact linear-interpolation percentile (``percentile_cont``): the two
-    neighbouring order statistics are fetched by global rank, so no task
-    holds more than its range partition; None for an empty input."""
-    r = global_rank(df.select(key, col), [least_first(col), F.col(key)], "_r")
-    n = r.filter(no_nan(col).isNotNull()).count()                               # reads the rank's pinned copy
+SELECT_BUCKETS = 4096
+
+
+def order_statistics(df: DataFrame, col: str, places: list[int], buckets: int = SELECT_BUCKETS) -> dict[int, float]:
+    """Values at the 0-based ``places`` of the sorted column, NULL and NaN left
+    out, without sorting it.
+
+    Rounds of counting: every range that holds a wanted place is cut into
+    ``buckets`` equal parts, one partial aggregation counts the rows of all
+    parts and takes their least and greatest value, and the parts that hold a
+    place are the next ranges.  Least and greatest value of a range fall into
+    different parts, so each round narrows; a part of one value is done,
+    however many rows share it.  A round sends at most ranges x buckets rows to
+    the driver, and a place costs about one round for each factor of 4096
+    between the range and the distance of its neighbours."""
+    v = no_nan(col).cast("double")
+    values = df.select(v.alias("_v")).filter("_v is not null")
+    lo, hi, n = values.agg(F.min("_v"), F.max("_v"), F.count(F.lit(1))).first()
+    for k in places:
+        if not 0 <= k < n:
+            raise IndexError(f"place {k} of {n} values")
+    found: dict[int, float] = {}
+    # (least, greatest, rows before) -> places wanted
+    ranges = {(lo, hi, 0): sorted(set(places))}
+    while True:
+        for (a, b, _), wanted in list(ranges.items()):
+            if a == b:
+                found.update(dict.fromkeys(wanted, a))
+                del ranges[a, b, _]
+        if not ranges:
+            return found
+        part = range_id = None
+        for i, (a, b, _) in enumerate(ranges):
+            inside = F.col("_v").between(F.lit(a), F.lit(b))
+            # halves keep the width of a range finite; infinite ends are parts of their own
+            cut = F.lit(1) if math.isinf(a) or math.isinf(b) else F.floor(
+                (F.col("_v") / 2 - F.lit(a / 2)) / F.lit(b / 2 - a / 2) * F.lit(float(buckets))).cast("long")
+            cut = F.when(F.col("_v") == F.lit(a), F.lit(0)).when(F.col("_v") == F.lit(b), F.lit(buckets)).otherwise(cut)
+            part = F.when(inside, cut) if part is None else part.when(inside, cut)
+            range_id = F.when(inside, F.lit(i)) if range_id is None else range_id.when(inside, F.lit(i))
+        counted = (values.select("_v", range_id.alias("_range"), part.alias("_part")).filter("_range is not null")
+                   .groupBy("_range", "_part").agg(F.min("_v"), F.max("_v"), F.count(F.lit(1))).collect())
+        narrowed: dict[tuple, list[int]] = {}
+        for i, ((_, _, before), wanted) in enumerate(ranges.items()):
+            for _, _, least, most, rows in sorted((r for r in counted if r[0] == i), key=lambda r: r[1]):
+                here = [k for k in wanted if before <= k < before + rows]
+                if here:
+                    narrowed[least, most, before] = here
+                before += rows
+        ranges = narrowed
+
+
+def exact_percentile(df: DataFrame, col: str, q: float) -> float | None:
+    """Exact linear-interpolation percentile (``percentile_cont``) from the two
+    neighbouring order statistics; None for an input without values."""
+    n = df.filter(no_nan(col).isNotNull()).count()
     if n == 0:
         return None
     h = (n - 1) * float(q)
     lo, hi = math.floor(h), math.ceil(h)
-    v = one_row(r.filter(F.col("_r").isin(lo + 1, hi + 1)).agg(
-        F.max(F.when(F.col("_r") == lo + 1, F.col(col))).alias("v_lo"),
-        F.max(F.when(F.col("_r") == hi + 1, F.col(col))).alias("v_hi")))
-    return v["v_lo"] + (h - lo) * (v["v_hi"] - v["v_lo"])
+    v = order_statistics(df, col, [lo, hi])
+    return v[lo] + (h - lo) * (v[hi] - v[lo])
 
 
 def above_percentile(df: DataFrame, cohort_col: str, base: str, other: str, q: float,

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seqscore.config import ScoringConfig
-from seqscore.functions.numeric import distance3, no_nan, norm3, round_dp, safe_norm3
+from seqscore.functions.numeric import distance3, exact_avg, exact_sum, no_nan, norm3, round_dp, safe_norm3
 from seqscore.functions.scoring import (charge_class, composite_score, cyclic_candidate,
                                         eisenberg)
 
@@ -44,7 +44,7 @@ def centred_atoms(a: DataFrame, key: list[str]) -> DataFrame:
     back by key; a structure with very many atoms is one skewed join key,
     which adaptive execution splits."""
     c = a.groupBy(*key).agg(
-        F.avg("x").alias("_cx"), F.avg("y").alias("_cy"), F.avg("z").alias("_cz"),
+        *(exact_avg(F.col(c)).alias(f"_c{c}") for c in "xyz"),
         F.count_if(_missing(_row("x", "y", "z"))).alias("_missing")).filter("_missing = 0").drop("_missing")
     on = None
     for k in key:
@@ -70,7 +70,8 @@ def structure_metrics(atoms: DataFrame, key: list[str], order: str) -> DataFrame
     Structures with no atoms (P7) or with a missing coordinate produce no
     row; a missing pLDDT is left out of its mean.  All per-structure
     quantities are partial (map-side) aggregates, so even a hot structure
-    is pre-reduced before its shuffle.
+    is pre-reduced before its shuffle; sums are exact, so the same atoms give
+    the same bits in any order and partitioning.
     """
     a = atoms.select(*key, order, "resname", "x", "y", "z", "plddt")
     j = centred_atoms(a, key)
@@ -81,9 +82,9 @@ def structure_metrics(atoms: DataFrame, key: list[str], order: str) -> DataFrame
     agg = j.groupBy(*key).agg(
         F.count(F.lit(1)).alias("n_res"),
         F.sum(charge_class(F.col("resname"))).alias("_charge"),
-        F.sum(dx / nrm * h).alias("_sx"), F.sum(dy / nrm * h).alias("_sy"),
-        F.sum(dz / nrm * h).alias("_sz"),
-        F.avg(no_nan("plddt")).alias("plddt"),
+        exact_sum(dx / nrm * h).alias("_sx"), exact_sum(dy / nrm * h).alias("_sy"),
+        exact_sum(dz / nrm * h).alias("_sz"),
+        exact_avg(no_nan("plddt")).alias("plddt"),
         F.min_by(xyz, F.col(order)).alias("_first"),
         F.max_by(xyz, F.col(order)).alias("_last"))
     return agg.select(

@@ -568,12 +568,12 @@ def resumed_score(spark, sf_dir):
 def relaxation_ratio(rows):
     """Example function for the guarded map: relative energy change of a batch;
     raises where a run failed (missing energies) or started at zero."""
-    e0, e1 = rows["e_initial"].to_numpy(), rows["e_final"].to_numpy()
+    e0, e1 = rows["e_initial"], rows["e_final"]
     if (e0 != e0).any() or (e1 != e1).any():
         raise ValueError("energy missing")
     if (e0 == 0).any():
         raise ZeroDivisionError("float division by zero")
-    return rows.assign(ratio=(e1 - e0) / abs(e0))
+    return {"ratio": (e1 - e0) / abs(e0)}
 
 
 @query
@@ -591,7 +591,7 @@ def helical_moment(rows):
     a residue): the length of the sum of the residues' scale values as vectors,
     by one running sum over all residues of the batch."""
     import numpy as np
-    seqs = rows["sequence"].tolist()
+    seqs = list(rows["sequence"])
     if any(s is None or len(s) < 2 for s in seqs):
         raise ValueError("sequence too short")
     value = np.zeros(256)
@@ -602,7 +602,7 @@ def helical_moment(rows):
     h = value[np.frombuffer("".join(seqs).encode(), np.uint8)]
     turn = np.radians(100.0) * (np.arange(len(h)) - np.repeat(ends - size, size))
     parts = [np.add.reduceat(h * f(turn), ends - size) for f in (np.cos, np.sin)]
-    return rows.assign(moment=np.hypot(*parts) / size)
+    return {"moment": np.hypot(*parts) / size}
 
 
 @query

@@ -13,6 +13,7 @@ from typing import TYPE_CHECKING
 from pyspark.sql import DataFrame, SparkSession
 
 if TYPE_CHECKING:
+    import numpy as np
     import pandas as pd
 
 
@@ -54,14 +55,14 @@ def require_non_empty(df: DataFrame, what: str = "result") -> DataFrame:
     return df
 
 
-def guarded_map(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], out_schema: str,
+def guarded_map(df: DataFrame, fn: Callable[[dict[str, np.ndarray]], dict[str, np.ndarray]], out_schema: str,
                 keep: list[str]) -> DataFrame:
     """Run a user function on Arrow batches (``mapInPandas``), one call for
     a whole batch of rows.
 
-    ``fn`` takes a frame of the input columns and returns a frame of its
-    outputs, row by row in the same order.  When a call raises, or returns
-    another number of rows, the batch is halved and both halves are tried, down
+    ``fn`` takes the input columns as numpy arrays by name and returns its
+    outputs likewise, row by row in the same order.  When a call raises, or
+    returns arrays of another length, the batch is halved and both halves are tried, down
     to single rows: a row that fails alone keeps its ``keep`` columns, gets NULL
     outputs and the error's text in ``error``, and all others go on.  So n rows
     with f failures cost about 2 f log2(n / f) calls beside the first, and rows
@@ -76,15 +77,17 @@ def guarded_map(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], out_s
 
     def guarded(rows: pd.DataFrame) -> pd.DataFrame:
         n = len(rows)
+        columns = {c: rows[c].to_numpy() for c in rows.columns}
         values = {c: np.full(n, None, object) for c in produced}
         errors = np.full(n, None, object)
         todo = [(0, n)]
         while todo:
             a, b = todo.pop()
             try:
-                made = fn(rows.iloc[a:b].reset_index(drop=True))
-                if len(made) != b - a:
-                    raise ValueError(f"{len(made)} results for {b - a} rows")
+                made = fn({c: v[a:b] for c, v in columns.items()})
+                for c in produced:
+                    if c in made and len(made[c]) != b - a:
+                        raise ValueError(f"{len(made[c])} results for {b - a} rows")
             except Exception as e:  # the guarded map's contract
                 if b - a > 1:
                     todo += [((a + b) // 2, b), (a, (a + b) // 2)]
@@ -92,8 +95,8 @@ def guarded_map(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], out_s
                     errors[a] = "".join(traceback.format_exception_only(type(e), e)).strip()
                 continue
             for c in produced:
-                if c in made.columns:
-                    values[c][a:b] = made[c].to_numpy()
+                if c in made:
+                    values[c][a:b] = made[c]
         return rows[keep].assign(**values, error=errors)[out_cols]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -124,46 +124,55 @@ ATOM_KEY = ("model", "chain", "resseq", "icode", "atom")
 ATOM_FIELDS = (*ATOM_KEY, "resname", "x", "y", "z")
 
 
-def _records(block: Column, pattern: str) -> Column:
-    """All records of a structure block that match ``pattern``, in file order:
-    the fields by which atoms are told apart (PDB v3.3 columns; models are
-    numbered by their place), coordinates, pLDDT, alternate location and
-    occupancy.  Malformed numbers and NaN become NULL instead of failing the
-    whole job."""
+def _records(block: Column, all_atoms: bool) -> Column:
+    """All CA or all atom records of a structure block in file order (PDB v3.3
+    columns; models are numbered by their place): the fields asked for, and
+    what tells alternate locations of an atom apart.  Malformed numbers and NaN
+    become NULL instead of failing the whole job."""
     def number(line, at, width):
         return no_nan(F.trim(F.substring(line, at, width)).try_cast("double"))
 
     def record(line, model):
+        text = lambda name, at, width: F.trim(F.substring(line, at, width)).alias(name)
+        names = ([model.cast("int").alias("model"), text("chain", 22, 1), text("resseq", 23, 4), text("icode", 27, 1),
+                  text("atom", 13, 4), text("resname", 18, 3)] if all_atoms else [text("resname", 18, 3)])
+        more = [] if all_atoms else [number(line, 61, 6).alias("plddt")]
         return F.struct(
-            model.cast("int").alias("model"), F.trim(F.substring(line, 22, 1)).alias("chain"),
-            F.trim(F.substring(line, 23, 4)).alias("resseq"), F.trim(F.substring(line, 27, 1)).alias("icode"),
-            F.trim(F.substring(line, 13, 4)).alias("atom"), F.trim(F.substring(line, 18, 3)).alias("resname"),
-            number(line, 31, 8).alias("x"), number(line, 39, 8).alias("y"), number(line, 47, 8).alias("z"),
-            number(line, 61, 6).alias("plddt"),
-            F.substring(line, 17, 1).alias("alt"), F.coalesce(number(line, 55, 6), F.lit(0.0)).alias("occupancy"))
+            *names, number(line, 31, 8).alias("x"), number(line, 39, 8).alias("y"), number(line, 47, 8).alias("z"),
+            *more, F.substring(line, 17, 1).alias("alt"), model.alias("_model"), line.alias("_line"))
 
     # what stands before the first MODEL line holds the atoms of a file without models
+    pattern = ATOM_LINE if all_atoms else CA_LINE
     return F.flatten(F.transform(
         F.split(block, r"(?m)^MODEL "),
         lambda text, i: F.transform(F.regexp_extract_all(text, F.lit(pattern), 1), lambda line: record(line, i))))
 
 
 def _by_location(records: Column) -> Column:
-    """The records sorted so that an atom's labelled locations stand together,
-    the best one first: highest occupancy, then first label, then file order."""
-    return F.array_sort(F.transform(records, lambda r, i: F.struct(
-        F.struct(*(r[k].alias(k) for k in ATOM_KEY)).alias("key"), (r["alt"] == " ").alias("plain"),
-        (-r["occupancy"]).alias("rank"), r["alt"].alias("alt"), i.alias("at"), r.alias("record"))))
+    """Where a structure has alternate locations, its records sorted so that an
+    atom's labelled ones stand together, the best first: highest occupancy,
+    then first label, then file order; else NULL."""
+    def key(r, i):
+        line = r["_line"]
+        occupancy = F.coalesce(no_nan(F.trim(F.substring(line, 55, 6)).try_cast("double")), F.lit(0.0))
+        # model, atom name, chain, residue number and insertion code
+        who = F.concat(r["_model"].cast("string"), F.lit(":"), F.substring(line, 13, 4), F.substring(line, 22, 6))
+        return F.struct(who.alias("key"), (r["alt"] == " ").alias("plain"), (-occupancy).alias("rank"),
+                        r["alt"].alias("alt"), i.alias("at"), r.alias("record"))
 
+    return F.when(F.exists(records, lambda r: r["alt"] != " "), F.array_sort(F.transform(records, key)))
 
-def _best_locations(ranked: Column, fields: tuple[str, ...]) -> Column:
+
+def _best_locations(records: Column, ranked: Column, fields: tuple[str, ...]) -> Column:
     """Of an atom's alternate locations the best one, in file order; records
     without a label all stay.  ``ranked`` must be a column of ``_by_location``:
     every record is compared with the one before it only."""
+    wanted = lambda r: F.struct(*(r[k].alias(k) for k in fields))
     kept = F.filter(ranked, lambda e, i: e["plain"] | (i == 0) | ~F.coalesce(
         (F.get(ranked, i - 1)["key"] == e["key"]) & ~F.get(ranked, i - 1)["plain"], F.lit(False)))
     ordered = F.array_sort(F.transform(kept, lambda e: F.struct(e["at"].alias("at"), e["record"].alias("record"))))
-    return F.transform(ordered, lambda e: F.struct(*(e["record"][k].alias(k) for k in fields)))
+    return F.when(ranked.isNull(), F.transform(records, wanted)).otherwise(
+        F.transform(ordered, lambda e: wanted(e["record"])))
 
 
 def parse_pdb_blocks(files: DataFrame, text_col: str = "value", name_col: str = "file_name",
@@ -183,9 +192,10 @@ def parse_pdb_blocks(files: DataFrame, text_col: str = "value", name_col: str =
     return blocks.select(
         name_col, no.alias("block_no"),
         F.when(head != "", head).otherwise(file_stem(F.col(name_col))).alias("id"),
-        _by_location(_records(F.col("block"), ATOM_LINE if all_atoms else CA_LINE)).alias("_ranked")).select(
-        name_col, "block_no", "id",
-        _best_locations(F.col("_ranked"), ATOM_FIELDS if all_atoms else CA_FIELDS).alias("atoms"))
+        _records(F.col("block"), all_atoms).alias("_records")).select(
+        name_col, "block_no", "id", "_records", _by_location(F.col("_records")).alias("_ranked")).select(
+        name_col, "block_no", "id", _best_locations(
+            F.col("_records"), F.col("_ranked"), ATOM_FIELDS if all_atoms else CA_FIELDS).alias("atoms"))
 
 
 # What ends a structure while files are read.  Files with other line ends or

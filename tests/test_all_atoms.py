@@ -232,7 +232,7 @@ def test_guard_halves_around_failures(spark):
         calls.add(1)
         if (rows["v"] == 0).any():
             raise ZeroDivisionError("zero")
-        return rows.assign(r=1.0 / rows["v"], s=rows["v"].astype(str))
+        return {"r": 1.0 / rows["v"], "s": [str(v) for v in rows["v"]]}
 
     n, bad = 4096, {5, 6, 4000}
     df = spark.createDataFrame([(i, 0.0 if i in bad else float(i + 1)) for i in range(n)], "id long, v double").coalesce(1)
@@ -248,8 +248,8 @@ def test_guard_halves_around_failures(spark):
 
 def test_guard_with_wrong_lengths_missing_outputs_and_no_rows(spark):
     df = spark.createDataFrame([(1,), (2,)], "id long")
-    out = guarded_map(df, lambda rows: rows.iloc[:0], "id long, r double, error string", ["id"]).collect()
+    out = guarded_map(df, lambda rows: {"r": rows["id"][:0]}, "id long, r double, error string", ["id"]).collect()
     assert [r.error for r in out] == ["ValueError: 0 results for 1 rows"] * 2
-    out = guarded_map(df, lambda rows: rows, "id long, r double, error string", ["id"]).collect()
+    out = guarded_map(df, lambda rows: {}, "id long, r double, error string", ["id"]).collect()
     assert [(r.r, r.error) for r in out] == [(None, None)] * 2
-    assert guarded_map(df.limit(0), lambda rows: rows, "id long, error string", ["id"]).count() == 0
+    assert guarded_map(df.limit(0), lambda rows: {}, "id long, error string", ["id"]).count() == 0

@@ -120,7 +120,7 @@ def test_guarded_map(spark):
     def inv(rows):
         if (rows["v"] == 0).any():
             raise ZeroDivisionError("float division by zero")
-        return rows.assign(r=1 / rows["v"])
+        return {"r": 1 / rows["v"]}
 
     got = {r.id: r for r in guarded_map(df, inv, "id string, r double, error string", ["id"]).collect()}
     assert got["a"].r == 0.5 and got["a"].error is None
