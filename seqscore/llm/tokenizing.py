@@ -7,9 +7,11 @@ from itertools import pairwise
 
 import numpy as np
 
-# A worker that remembers more words than this starts afresh with the next block
-# of texts.  It bounds memory only, never a result.
-WORDS_KEPT = 600_000
+# A worker remembers the words of the current generation and of the one before.
+# A generation ends with so many words, or so many bytes of words and ids; words
+# of the former that are met again move on, the others are forgotten.  This
+# bounds memory only, never a result.
+GENERATION_WORDS, GENERATION_BYTES = 200_000, 12_000_000
 
 _BREAK = re.compile(r" \s")
 
@@ -26,7 +28,8 @@ class TextEncoder:
     non-space follows, so the ids of a text are those of its space-separated
     words, each taken with its leading space.  Words met before are not
     encoded again; new words of a batch are encoded together.  Texts in which
-    white space follows a space, or that end in one, go to the tokenizer whole."""
+    white space follows a space, or that end in one, go to the tokenizer whole;
+    so do all texts of a vocabulary that doesn't split in front of spaces."""
 
     _shared: dict[str, TextEncoder] = {}
 
@@ -43,6 +46,9 @@ class TextEncoder:
         from tokenizers import Tokenizer
         self._tok = Tokenizer.from_file(path)
         self._words: dict[str, bytes] = {}
+        self._former: dict[str, bytes] = {}
+        self._bytes = 0
+        self._by_word = self._splits_at_spaces()
         self._special = [t.content for t in self._tok.get_added_tokens_decoder().values()]
         size = self._tok.get_vocab_size()
         self.id_bytes = 2 if size <= 1 << 16 else 4
@@ -52,6 +58,15 @@ class TextEncoder:
         for piece, i in self._tok.get_vocab().items():
             self._width[i] = len(piece)
 
+    def _splits_at_spaces(self) -> bool:
+        """Whether words can be encoded apart: a space that a non-space follows
+        starts a new piece, and the text is not changed before."""
+        probe = "a b1 2, c.é  漢 x"
+        if self._tok.normalizer is not None or self._tok.pre_tokenizer is None:
+            return False
+        starts = {at for _, (at, _) in self._tok.pre_tokenizer.pre_tokenize_str(probe)}
+        return all(i in starts for i, c in enumerate(probe[:-1]) if c == " " and probe[i + 1] != " ")
+
     def _whole(self, text: str) -> bytes:
         ids = self._tok.encode(text, add_special_tokens=False).ids
         return np.asarray(ids, "<u4").tobytes()
@@ -67,16 +82,17 @@ class TextEncoder:
             cut = [*(4 * np.searchsorted(np.cumsum(self._width[ids]), blanks, "right")).tolist(), 4 * len(ids)]
             packed = ids.tobytes()
             self._words.update(zip(part, [packed[a:b] for a, b in pairwise(cut)], strict=True))
+            self._bytes += len(raw) + len(packed)
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self._words) > WORDS_KEPT:
-            self._words = {}
-        get = self._words.get
+        if len(self._words) > GENERATION_WORDS or self._bytes > GENERATION_BYTES:
+            self._words, self._former, self._bytes = {}, self._words, 0
+        get, former = self._words.get, self._former
         split: list[list[str] | None] = []
         found: list[list[bytes | None]] = []
         fresh: set[str] = set()
         for t in texts:
-            if t.endswith(" ") or _BREAK.search(t) or any(s in t for s in self._special):
+            if not self._by_word or t.endswith(" ") or _BREAK.search(t) or any(s in t for s in self._special):
                 split.append(None)
                 found.append([self._whole(t)])
                 continue
@@ -90,7 +106,10 @@ class TextEncoder:
                 split.append(None)
             found.append(ids)
         if fresh:
-            self._learn(list(fresh))
+            again = {w: former[w] for w in fresh if w in former}
+            self._words.update(again)
+            self._bytes += sum(map(len, again)) + sum(map(len, again.values()))
+            self._learn([w for w in fresh if w not in again])
         return [b"".join(ids if words is None else
                          [get(w) if i is None else i for w, i in zip(words, ids, strict=True)])
                 for words, ids in zip(split, found, strict=True)]
