@@ -43,7 +43,7 @@ FULL16, FULL32 = 0xFFFF, 0xFFFFFFFF
 DATA, INDEX = "archive/data.warc.gz", "indexes/index.cdx"
 REVISIT_FROM = 100
 """Payloads of fewer bytes are never written as revisits."""
-PACKAGE_BYTES = 32 << 20
+PACKAGE_BYTES = 8 << 20
 """A package is closed beyond this size; it bounds a task's memory."""
 COMMENT = b"\n"
 
@@ -300,7 +300,7 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
         def package() -> pd.DataFrame:
             name = f"{TaskContext.get().partitionId()}"
             lines = "".join(f"{name} {p} {o} {n}\n" for p, o, n in index)
-            return pd.DataFrame({"package": [zip_stored([(DATA, bytes(data)), (INDEX, lines.encode())])]})
+            return pd.DataFrame({"package": [zip_stored([(DATA, data), (INDEX, lines.encode())])]})
 
         for f in frames:
             for r in f.itertuples(index=False):
@@ -315,7 +315,9 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
         if index:
             yield package()
 
-    write_blobs(joined.mapInPandas(build, "package binary"), "package", path)
+    # fewer writers than shuffle partitions: each fills packages, and their workers are few
+    writers = max(1, int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 4)
+    write_blobs(joined.coalesce(writers).mapInPandas(build, "package binary"), "package", path)
 
 
 READ = ("page_id long, url string, payload_bytes long, payload_digest string, record_type string, "
@@ -349,8 +351,8 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = False) -> Dat
         out["payload_bytes"] = out["payload_bytes"].astype(np.int64)
         return out
 
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return blob_files(spark, path).select("path").repartition(n, "path").mapInPandas(read, READ)
+    # the scan deals the packages to tasks by their length
+    return blob_files(spark, path).select("path").mapInPandas(read, READ)
 
 
 def archive_round_trip(pages: DataFrame, path: str | None = None, **options) -> DataFrame:
