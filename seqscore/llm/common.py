@@ -3,6 +3,10 @@ folder, byte-range reads, held-out folds."""
 
 from __future__ import annotations
 
+import ctypes
+import gc
+
+import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +14,32 @@ from pyspark.sql import functions as F
 from seqscore.session import cut_lineage, scratch_path
 
 __all__ = ["cut_lineage", "scratch_path", "write_blobs", "blob_files", "RangeReader",
-           "fold"]
+           "fold", "free_name", "free_prefix", "give_back"]
+
+
+def free_name(columns: list[str], name: str) -> str:
+    """``name``, with underscores in front until no column has it."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
+def free_prefix(columns: list[str], prefix: str) -> str:
+    """``prefix``, with underscores in front until no column starts with it."""
+    while any(c.lower().startswith(prefix.lower()) for c in columns):
+        prefix = "_" + prefix
+    return prefix
+
+
+def give_back() -> None:
+    """Return memory that a finished task no longer needs to the system: Python
+    workers outlive their tasks, and the next stage needs the room."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 def fold(key: Column, n: int) -> Column:

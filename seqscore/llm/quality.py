@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import RangeReader, cut_lineage, fold, scratch_path
+from .common import RangeReader, cut_lineage, fold, free_name, free_prefix, give_back, scratch_path
 
 ORDER = 5
 REPEAT = "\x01"
@@ -249,6 +249,8 @@ def perplexities(docs: DataFrame, files: list[str], text_col: str = "text", out:
                 found += [(None, None) if not b else (float(np.exp(x)), float(np.exp(x - SHORT / n ** 0.5)))
                           for b, x, n in zip(block, nats, lengths, strict=True)]
             yield pd.DataFrame(found, columns=["perplexity", "lower"], dtype="float64")
+        del model
+        give_back()
 
     return docs.withColumn(out, apply(F.col(text_col)))
 
@@ -285,14 +287,15 @@ def judged(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     cut = F.percentile_approx("lower", quantile, 10_000) * margin
     overall = measured.agg(cut).first()[0]
     # one row for each language
-    per_language = measured.groupBy(F.col("lang").alias("__lang")).agg(cut.alias("__t"))
+    lang, most, found = (free_name(docs.columns, x) for x in ("__lang", "__t", "__ppl"))
+    per_language = measured.groupBy(F.col("lang").alias(lang)).agg(cut.alias(most))
     ppl, low, top = (f"{prefix}{x}" for x in ("perplexity", "lower", "threshold"))
-    scored = perplexities(docs, files, text_col, "__ppl", lone_repeats=True).join(
-        F.broadcast(per_language), F.col(lang_col).cast("string").eqNullSafe(F.col("__lang")), "left")
+    scored = perplexities(docs, files, text_col, found, lone_repeats=True).join(
+        F.broadcast(per_language), F.col(lang_col).cast("string").eqNullSafe(F.col(lang)), "left")
     keep = F.col(low).isNotNull() & (F.col(top).isNull() | (F.col(low) <= F.col(top)))
-    return (scored.withColumns({ppl: F.col("__ppl.perplexity"), low: F.col("__ppl.lower"),
-                                top: F.coalesce("__t", F.lit(overall).cast("double"))})
-            .withColumn(f"{prefix}keep", keep.cast("int")).drop("__lang", "__t", "__ppl"))
+    return (scored.withColumns({ppl: F.col(f"{found}.perplexity"), low: F.col(f"{found}.lower"),
+                                top: F.coalesce(most, F.lit(overall).cast("double"))})
+            .withColumn(f"{prefix}keep", keep.cast("int")).drop(lang, most, found))
 
 
 def quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -307,4 +310,5 @@ def quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
 
 def keep_within(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that ``judged`` keeps, with their own columns."""
-    return judged(docs, labels, prefix="__quality_", **options).filter("__quality_keep = 1").select(*docs.columns)
+    p = free_prefix(docs.columns, "__quality_")
+    return judged(docs, labels, prefix=p, **options).filter(f"{p}keep = 1").select(*docs.columns)

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut_lineage
+from .common import cut_lineage, free_name
 
 # A table of cells of at most this many rows (well below 100 bytes each beside
 # the names) is broadcast for sampling; a larger one is joined by its keys.
@@ -138,6 +138,11 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     the id is null), the same in every run.  Documents without a token, or
     whose value has no target share, get weight 0 and are not sampled."""
     p = prefix
+    made = [f"{p}{x}" for x in (*DIMENSIONS, "tokens", "weight", "probability", "sampled")]
+    clash = {c.lower() for c in docs.columns} & {c.lower() for c in made}
+    if clash:
+        raise ValueError(f"the input has columns {sorted(clash)} already: choose another prefix")
+    on_dim = {d: free_name(docs.columns, f"__{d}") for d in DIMENSIONS}
     text = F.col(text_col)
     tagged = docs.withColumns({
         f"{p}source": _key(F.col(source_col)), f"{p}lang": _key(F.col(lang_col)),
@@ -151,10 +156,10 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     raked = cut_lineage(rake(cells, shares))
     rate = sampling_rate(raked, fraction)
     small = raked.count() <= BROADCAST_CELLS
-    weights = raked.select(*(F.col(d).alias(f"__{d}") for d in DIMENSIONS), F.col("weight").alias(f"{p}weight"))
-    on = [F.col(f"{p}{d}") == F.col(f"__{d}") for d in DIMENSIONS]
+    weights = raked.select(*(F.col(d).alias(on_dim[d]) for d in DIMENSIONS), F.col("weight").alias(f"{p}weight"))
+    on = [F.col(f"{p}{d}") == F.col(on_dim[d]) for d in DIMENSIONS]
     found = tagged.join(F.broadcast(weights) if small else weights, on, "left").drop(
-        *(f"__{d}" for d in DIMENSIONS))
+        *on_dim.values())
     key = F.coalesce(F.col(id_col).cast("long"), F.xxhash64(text))
     draw = F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(1 << 53)) / F.lit(float(1 << 53))
     chance = F.when(F.col(f"{p}tokens") > 0, F.least(

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .common import cut_lineage
+from .common import cut_lineage, free_name, give_back
 from .components import connected_components
 
 MAX_DISTANCE = 4
@@ -57,6 +57,7 @@ def simhash(text: Column, words_per_shingle: int = 3, seed: int = 42) -> Column:
     def fingerprint(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for s in texts:
             yield pd.Series([_fingerprint(t, words_per_shingle, seed) for t in s], dtype="int64")
+        give_back()
 
     return fingerprint(text)
 
@@ -139,13 +140,15 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Rows are told apart by a number of their own, pinned by a checkpoint, and
     not by ids: these may be missing or given to different texts."""
-    rows = cut_lineage(docs.withColumn("__row", F.monotonically_increasing_id()))
+    row = free_name(docs.columns, "__row")
+    rows = cut_lineage(docs.withColumn(row, F.monotonically_increasing_id()))
     prints = cut_lineage(rows.select(
-        "__row", F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("hash"),
+        F.col(row).alias("__row"), F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("hash"),
         simhash(F.col(text_col), words_per_shingle).alias("f")))
     rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "hash", "__row")
     first = F.col("__row") == F.col("best.__row")
     if repeats:
         first = first | F.coalesce(F.col("doc_id") == F.col("best.doc_id"), F.lit(False))
-    dropped = prints.join(_smallest_by_print(prints, rank, max_distance), "f").filter(~first).select("__row")
-    return rows.join(dropped, "__row", "left_anti").select(*docs.columns)
+    dropped = prints.join(_smallest_by_print(prints, rank, max_distance), "f").filter(~first).select(
+        F.col("__row").alias(row))
+    return rows.join(dropped, row, "left_anti").select(*docs.columns)

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import fold
+from .common import fold, give_back
 
 MAX_TRAINING_ROWS = 20_000
 BUCKETS = 1 << 18
@@ -148,8 +148,9 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, factors: int = 4, steps: int
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           label_col: str = "toxic", max_rows: int = MAX_TRAINING_ROWS,
           buckets: int = BUCKETS) -> FactorizationMachine:
-    """Fit on documents with a 0/1 label; at most ``max_rows`` labelled ids, by
-    the smallest hash.  Labels that are null or other values are left out; an
+    """Fit on documents with a 0/1 label: at most ``max_rows`` labelled ids, by
+    the smallest hash, and of their rows as many, by the smallest hash of id and
+    text (an id may have any number of rows).  Labels that are null or other values are left out; an
     id with both labels counts as 1.  Without both classes the model is the
     prior alone."""
     sample = (labels.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("y"))
@@ -168,8 +169,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         rows = [np.frombuffer(t, "<i4").astype(np.int64) for t in f["terms"]]
         return pd.DataFrame({"model": [fit(rows, f["y"].to_numpy()).to_bytes()]})
 
-    found = (chosen.select("id", "y", terms("text").alias("terms"))
-             .groupBy(F.lit(0).alias("all")).applyInPandas(learn, "model binary").collect())
+    bounded = (chosen.select("id", "y", F.xxhash64("id", "text").alias("draw"), terms("text").alias("terms"))
+               .orderBy("draw", "id").limit(max_rows))
+    found = (bounded.select("id", "y", "terms").groupBy(F.lit(0).alias("all")).applyInPandas(learn, "model binary").collect())
     if not found:
         return FactorizationMachine(np.zeros(0, np.int64), 0.0, np.zeros(0), np.zeros((0, 1)))
     return FactorizationMachine.from_bytes(bytes(found[0]["model"]))
@@ -189,6 +191,7 @@ def score(spark: SparkSession, model: FactorizationMachine, text: Column,
             for at in range(0, len(s), 512):
                 out.append(fitted.scores([hashed_terms(t, buckets) for t in s.iloc[at:at + 512]]))
             yield pd.Series(np.concatenate(out) if out else np.zeros(0))
+        give_back()
 
     return apply(text)
 

@@ -93,3 +93,19 @@ def test_one_row_of_each_group_stays(spark):
     rows = [(5, "a b c d"), (5, "a b c d"), (None, "a b c d"), (None, "x y z"), (9, "a b c d"), (9, "other text here now")]
     kept = P.keep_first_of_group(spark, spark.createDataFrame(rows, "doc_id long, text string"), "")
     assert Counter(map(tuple, kept.collect())) == Counter([(5, "a b c d"), (None, "x y z"), (9, "other text here now")])
+
+
+def test_columns_with_the_names_of_the_stages_pass_through(spark, docs_of):
+    """The stages' own helper columns give way to those of the documents."""
+    names = ["__row", "__lang", "__t", "__ppl", "__source", "__topic", "__mix_source", "__quality_keep", "tokens"]
+    texts = ["the cat sat on the mat and looked at the dog", "a dog ran over the green hill to the river",
+             "the cat sat on the mat and looked at the dog", "rain fell on the quiet village all night long"] * 6
+    rows = [(i, f"{t} {i // 4}", "en", f"s{i % 3}", *(f"{n}-{i}" for n in names)) for i, t in enumerate(texts)]
+    schema = "doc_id long, text string, lang string, source string, " + ", ".join(f"`{n}` string" for n in names)
+    docs = docs_of(rows, schema)
+    labels = spark.createDataFrame([(i, 1, i % 2) for i in range(24)], "doc_id long, quality int, toxic int")
+    for out in (quality.keep_within(docs, labels), simhash.keep_first(docs, repeats=False),
+                P.mix_sources(spark, docs, "")):
+        assert out.columns == docs.columns
+        for r in out.collect():
+            assert tuple(r)[4:] == tuple(f"{n}-{r.doc_id}" for n in names)

@@ -82,3 +82,17 @@ def test_without_labels_or_documents(spark):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     assert [r.predicted for r in toxicity(d, none).collect()] == [0]
     assert toxicity(d.limit(0), none).collect() == []
+
+
+def test_bound_holds_for_rows_too(spark):
+    """An id may have any number of rows: no more than the bound are learned,
+    so further rows of it beyond the bound change nothing."""
+    from pyspark.sql import functions as F
+
+    from seqscore.llm import toxicity as module
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, toxic int")
+    rows = [(1, f"word{i} insult group") for i in range(300)] + [(2, f"kind words {i}") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    drawn = docs.orderBy(F.xxhash64("doc_id", "text"), "doc_id").limit(40)
+    few, all_ = (module.train(d, labels, max_rows=40).to_bytes() for d in (drawn, docs))
+    assert few == all_
