@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seqscore.llm import packing, quality, raking, simhash, toxicity
-from seqscore.llm.common import scratch_path
+from seqscore.llm.common import free_prefix, scratch_path
 from seqscore.sources.tables import read_table
 
 TOXIC_FROM = 0.7
@@ -46,8 +46,9 @@ def keep_first_of_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A sample with source, language and topic shares raked to their targets."""
-    mixed = raking.mix(docs, exponent=MIX_EXPONENT, fraction=MIX_FRACTION, prefix="__mix_")
-    return mixed.filter("__mix_sampled = 1").select(*docs.columns)
+    p = free_prefix(docs.columns, "__mix_")
+    mixed = raking.mix(docs, exponent=MIX_EXPONENT, fraction=MIX_FRACTION, prefix=p)
+    return mixed.filter(f"{p}sampled = 1").select(*docs.columns)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -63,12 +64,16 @@ STAGES = [("toxicity", keep_civil), ("quality", keep_good), ("near_duplicates",
 ORACLE_SQL = None
 
 
+# Row groups of whole texts are held in memory until they are full.
+ROW_GROUP_BYTES = 32 << 20
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages on ``documents``; what a stage keeps is written to the shared
     folder and read again, so a lost executor costs no earlier stage."""
     docs = read_table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         path = scratch_path(spark, f"pipeline-{name}")
-        stage(spark, docs, sf_dir).write.mode("error").parquet(path)
+        stage(spark, docs, sf_dir).write.option("parquet.block.size", ROW_GROUP_BYTES).mode("error").parquet(path)
         docs = spark.read.parquet(path)
     return docs
