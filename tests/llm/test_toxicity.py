@@ -2,7 +2,7 @@ import zlib
 
 import numpy as np
 
-from seqscore.llm.toxicity import FactorizationMachine, fit, hashed_terms, toxicity
+from seqscore.llm.toxicity import FactorizationMachine, fit, fit_calibrated, hashed_terms, informative, toxicity
 
 
 def test_pairwise_weights_are_learned():
@@ -33,6 +33,35 @@ def test_logits_equal_the_sum_over_pairs():
         assert abs(z - want) < 1e-9
 
 
+def test_informative_terms_equal_a_plain_count():
+    rng = np.random.default_rng(3)
+    rows = [np.flatnonzero(rng.random(30) < 0.3).astype(np.int64) for _ in range(300)]
+    y = np.array([float(3 in r or rng.random() < 0.1) for r in rows])
+    got = set(informative(rows, y, 4, 6.0).tolist())
+    for t in range(30):
+        table = np.array([[sum((t in r) == i and v == j for r, v in zip(rows, y, strict=True)) for j in (0, 1)]
+                          for i in (0, 1)], float)
+        want = table.sum(1, keepdims=True) * table.sum(0) / len(y)
+        gain = 2 * sum(a * np.log(a / e) for a, e in zip(table.ravel(), want.ravel(), strict=True) if a)
+        assert (t in got) == (gain >= 6), t
+    assert 3 in got
+
+
+def test_calibrated_scores_mean_shares():
+    """A term with which 60 % are toxic and one with which 5 % are: the scores
+    are about these shares, whatever weight the classes had in the fit."""
+    rng = np.random.default_rng(4)
+    rows, y = [], []
+    for _ in range(4000):
+        odd = rng.random() < 0.2
+        noise = rng.choice(np.arange(10, 200), 6, replace=False)
+        rows.append(np.unique(np.concatenate([noise, [1 if odd else 2]]).astype(np.int64)))
+        y.append(int(rng.random() < (0.6 if odd else 0.05)))
+    m = fit_calibrated(rows, np.array(y))
+    high, low = m.scores([np.array([1]), np.array([2])])
+    assert abs(high - 0.6) < 0.08 and abs(low - 0.05) < 0.03
+
+
 def test_terms():
     assert hashed_terms(None).tolist() == hashed_terms("").tolist() == hashed_terms(" . ,").tolist() == []
     assert hashed_terms("Word word, (word)").tolist() == hashed_terms("word").tolist()
@@ -77,6 +106,22 @@ def test_labels_of_the_held_out_fold_change_nothing(spark):
     assert a == b
 
 
+def test_rare_language_is_caught_at_the_threshold(spark):
+    """A language with a fortieth of the labels, whose insults are compounds of
+    one stem, is judged by the same threshold as the large one."""
+    docs, labels = corpus(2000)
+    rng = np.random.default_rng(8)
+    for i in range(5000, 5120):
+        t = [f"mot{chr(97 + k % 26)}{k}" for k in rng.integers(0, 60, 15)]
+        if i % 3 == 0:
+            t[2], t[7], t[9] = (f"vile{k}xx" for k in rng.integers(0, 5, 3))
+        docs.append((i, " ".join(t), "fr", 0.5))
+        labels.append((i, int(i % 3 == 0)))
+    got = toxicity(spark.createDataFrame(docs, "doc_id long, text string, lang string, score double"),
+                   spark.createDataFrame(labels, "doc_id long, toxic int")).filter("held_out and doc_id >= 5000").collect()
+    assert len(got) > 20 and all(r.predicted == int(r.doc_id % 3 == 0) for r in got)
+
+
 def test_without_labels_or_documents(spark):
     d = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
     none = spark.createDataFrame([], "doc_id long, toxic int")
