@@ -3,23 +3,38 @@ top-fraction split (W2/U2) and top-N (O2/O3).
 
 A ``Window.orderBy`` without ``partitionBy`` moves every row into one
 task, and ``Window.partitionBy(key)`` does the same for a hot key.  The
-operators here instead range-partition on the full sort key, number rows
-inside each range partition, and add per-partition offsets computed from
-a P-row summary (P = number of range partitions, a configured bound), so
-no task ever holds more than about N/P rows whatever the key skew.
+operators here instead cut the full sort key into P ranges (P = a
+configured number), number rows inside each range, and add offsets from a
+summary of at most 2P rows, so no task ever holds more than about N/P rows
+whatever the key skew.
+
+The bounds of the ranges are literals: a sample of the keys is read once,
+and a row finds its range by binary search over them.  A row's range then
+depends on nothing but its key, so the summary and the rows agree in every
+evaluation, also after a lost executor, and no ranged copy has to be
+written.  (Spark's own range exchange draws its bounds anew for every
+evaluation, from a sample that depends on the plan.)
 """
 
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seqscore.session import cut_lineage
 
-_PID = "_ss_pid"
-_POS = "_ss_pos"
+_RANGE = "_ss_range"
+
+# Keys sampled for each range: ranges then differ by about 1 / sqrt(100) in size.
+SAMPLES_PER_RANGE = 100
+_HASHES = 1 << 40
+
+# Microseconds, so that bounds keep the order of the keys they were taken from.
+_JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+         "ignoreNullFields": "false"}
 
 
 def _partitions(df: DataFrame, num_partitions: int | None) -> int:
@@ -32,82 +47,154 @@ def _sort_key_names(order: list[Column | str]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in order]
 
 
+@dataclass(frozen=True)
+class _SortKey:
+    """One item of an order: what is sorted by, and how."""
+
+    value: Column
+    descending: bool
+    nulls_last: bool
+
+    @classmethod
+    def of(cls, df: DataFrame, item: Column) -> "_SortKey":
+        node = item._jc.node()
+        if node.getClass().getSimpleName() != "SortOrder":
+            return cls(item, False, False)
+        value = Column(df.sparkSession._jvm.org.apache.spark.sql.Column(node.child()))
+        return cls(value, "Descending" in node.sortDirection().toString(), "NullsLast" in node.nullOrdering().toString())
+
+    def before(self, a: Column, b: Column) -> Column:
+        x, y = (b, a) if self.descending else (a, b)
+        nulls = (a.isNotNull() & b.isNull()) if self.nulls_last else (a.isNull() & b.isNotNull())
+        return nulls | F.coalesce(x < y, F.lit(False))
+
+
+class KeyRanges:
+    """At most ``p`` ranges of the rows of ``df`` along ``order``, with literal bounds.
+
+    The sample takes keys by their hash, so it is the same in any partitioning;
+    the driver receives about 100 keys a range."""
+
+    def __init__(self, df: DataFrame, order: list[Column], p: int):
+        self._keys = [_SortKey.of(df, c) for c in order]
+        named = [k.value.alias(f"k{i}") for i, k in enumerate(self._keys)]
+        keys = df.select(*named)
+        self._type = keys.schema
+        share = SAMPLES_PER_RANGE * p / max(1, df.count())
+        if share < 1:
+            keys = keys.filter(F.pmod(F.xxhash64(*keys.columns), F.lit(_HASHES)) < F.lit(int(share * _HASHES)))
+        ordered = [F.col(f"k{i}").desc_nulls_last() if k.descending and k.nulls_last else
+                   F.col(f"k{i}").desc_nulls_first() if k.descending else
+                   F.col(f"k{i}").asc_nulls_last() if k.nulls_last else F.col(f"k{i}").asc_nulls_first()
+                   for i, k in enumerate(self._keys)]
+        sample = [r[0] for r in keys.orderBy(*ordered).select(
+            F.to_json(F.struct(*keys.columns), _JSON)).collect()] if p > 1 else []
+        picked = [sample[len(sample) * j // p] for j in range(1, p)] if sample else []
+        self._bounds = list(dict.fromkeys(picked))
+
+    @property
+    def bounds(self) -> Column:
+        """The lower bounds of all ranges but the first, as one literal."""
+        ddl = f"array<{self._type.simpleString()}>"
+        return F.from_json(F.lit("[" + ",".join(self._bounds) + "]"), ddl, _JSON)
+
+    def bound(self, number: Column) -> Column:
+        """The lower bound of range ``number``; NULL for the first and beyond the last."""
+        return F.get(self.bounds, number - 1)
+
+    def _before(self, a: Column, b: Column) -> Column:
+        out = F.lit(False)
+        for i, k in reversed(list(enumerate(self._keys))):
+            x, y = a[f"k{i}"], b[f"k{i}"]
+            out = k.before(x, y) | (x.eqNullSafe(y) & out)
+        return out
+
+    def number(self) -> Column:
+        """The number of a row's range, from 0: how many bounds are not after its key."""
+        n = len(self._bounds)
+        if n == 0:
+            return F.lit(0)
+        steps = F.array(*[F.lit(1 << e) for e in reversed(range(n.bit_length()))])
+        bounds = self.bounds
+        start = F.struct(F.lit(0).alias("at"), F.struct(
+            *[k.value.alias(f"k{i}") for i, k in enumerate(self._keys)]).alias("key"))
+
+        def search(acc: Column, step: Column) -> Column:
+            to = acc["at"] + step
+            fits = (to <= F.lit(n)) & ~self._before(acc["key"], F.get(bounds, to - 1))
+            return F.struct(F.when(fits, to).otherwise(acc["at"]).alias("at"), acc["key"].alias("key"))
+
+        # never NULL, which spares the join on it a filter that searches once more
+        return F.coalesce(F.aggregate(steps, start, search, lambda acc: acc["at"]), F.lit(0))
+
+
 def global_rank(df: DataFrame, order: list[Column | str], name: str = "rank",
-                num_partitions: int | None = None, pin_input: bool = True) -> DataFrame:
+                num_partitions: int | None = None, pin_input: bool = True,
+                keys_from: DataFrame | None = None) -> DataFrame:
     """1..n over a total order (``order`` must end in a unique tie-breaker).
 
-    Plan: range exchange on the sort key -> sort within partitions ->
-    position from ``monotonically_increasing_id`` (no second shuffle) ->
-    reliable checkpoint -> per-partition counts (P rows) -> running
-    offsets -> broadcast join on the partition id.
-
-    The checkpoint after the exchange is what makes the result safe: Spark
-    re-samples unbalanced partitions with a seed tied to the RDD id, so two
-    evaluations of the same range exchange (a lost executor, a second
-    branch of the plan) may draw different bounds; pinned partition ids and
-    positions cannot drift.  ``pin_input`` also checkpoints the input first
-    so the sampling pass does not recompute an expensive upstream plan
-    (pass False when the input is already a pinned copy or a filter of one).
+    Plan: keys sampled for the literal bounds -> range number by binary search ->
+    one exchange on it -> numbers inside each range -> running offsets from the
+    counts of the ranges (P rows), joined by broadcast.  Partitions of the
+    result hold the ranks in order.
+
+    ``pin_input`` checkpoints the input first, since its keys are read three times
+    more and it must give the same rows each time (pass False for a pinned copy,
+    a filter of one, or a scan).  ``keys_from``: the same rows where their keys
+    are cheaper to read, for a rank upon a rank.
     """
     keys = _sort_key_names(order)
     p = _partitions(df, num_partitions)
     src = cut_lineage(df) if pin_input else df
-    ranged = (src.repartitionByRange(p, *keys).sortWithinPartitions(*keys)
-              .withColumn(_PID, F.spark_partition_id()))
-    ranged = cut_lineage(ranged.withColumn(
-        _POS, F.monotonically_increasing_id() - F.shiftleft(F.col(_PID).cast("bigint"), 33)))
-    offsets = (ranged.groupBy(_PID).agg(F.count(F.lit(1)).alias("_n"))
-               .withColumn("_off", F.coalesce(F.sum("_n").over(
-                   Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-               .select(_PID, "_off"))
-    return (ranged.join(F.broadcast(offsets), _PID)
-            .withColumn(name, (F.col("_off") + F.col(_POS) + F.lit(1)).cast("bigint"))
-            .drop(_PID, _POS, "_off"))
-
-
-def _ordinal_by_range(df: DataFrame, group: list[str], order: list[Column | str], name: str,
-                      p: int, pin_input: bool) -> DataFrame:
-    """Range-partitioned ordinal: a group may span partitions; rows that
-    continue a group from earlier partitions get an offset from a P-row
-    boundary summary.  (group, order) must be unique."""
-    keys = [F.col(g) for g in group] + _sort_key_names(order)
-    # pin the partition assignment (see global_rank for why)
-    src = cut_lineage(df) if pin_input else df
-    ranged = cut_lineage(src.repartitionByRange(p, *keys).withColumn(_PID, F.spark_partition_id()))
-    gkey = F.struct(*[F.col(g) for g in group])
-    local = ranged.withColumn(
-        "_rn", F.row_number().over(Window.partitionBy(_PID, *group).orderBy(*_sort_key_names(order))))
-    # Per partition: first group, last group, and how many rows of the last
-    # group it holds (the last row's local number).
-    summary = (local.groupBy(_PID).agg(
-        F.min(gkey).alias("_first_g"), F.max(gkey).alias("_last_g"),
-        F.max_by("_rn", F.struct(gkey.alias("g"), F.col("_rn").alias("rn"))).alias("_last_n")))
-    w = Window.orderBy(_PID)
-    run = Window.partitionBy("_last_g").orderBy(_PID).rowsBetween(Window.unboundedPreceding, 0)
-    summary = (summary
-               .withColumn("_cum_last", F.sum("_last_n").over(run))
-               .withColumn("_prev_last_g", F.lag("_last_g").over(w))
-               .withColumn("_prev_cum", F.lag("_cum_last").over(w))
-               .select(_PID, "_first_g",
-                       F.when(F.col("_prev_last_g") == F.col("_first_g"), F.col("_prev_cum"))
-                       .otherwise(F.lit(0)).alias("_off")))
-    out = local.join(F.broadcast(summary), _PID)
-    out = out.withColumn(name, (F.col("_rn") + F.when(gkey == F.col("_first_g"), F.col("_off"))
-                                .otherwise(F.lit(0))).cast("bigint"))
-    return out.drop(_PID, "_rn", "_first_g", "_off")
+    like = src if keys_from is None else keys_from
+    number = KeyRanges(like, keys, p).number()
+    before = Window.orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (like.select(number.alias(_RANGE)).groupBy(_RANGE).agg(F.count(F.lit(1)).alias("_n"))
+               .select(_RANGE, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off")))
+    local = (src.withColumn(_RANGE, number).repartitionById(p, F.col(_RANGE))
+             .withColumn("_rn", F.row_number().over(Window.partitionBy(_RANGE).orderBy(*keys))))
+    return (local.join(F.broadcast(offsets), _RANGE)
+            .withColumn(name, (F.col("_off") + F.col("_rn")).cast("bigint"))
+            .drop(_RANGE, "_rn", "_off"))
 
 
 def ordinal_within(df: DataFrame, group: list[str], order: list[Column | str],
                    name: str = "ord", num_partitions: int | None = None, pin_input: bool = True) -> DataFrame:
     """1-based position of each row inside its group, ordered by ``order``
-    (``row_number() OVER (PARTITION BY group ORDER BY order)``).
-
-    One plan for every input: rows are range-partitioned on (group, order),
-    numbered inside their range, and a group that spans ranges gets its
-    offsets from a summary of one row per range, so no group has to fit
-    into one task.  ``pin_input=False`` is for inputs that are cheap to read
-    twice, such as a scan: only the ranged copy is pinned then."""
-    return _ordinal_by_range(df, group, order, name, _partitions(df, num_partitions), pin_input)
+    (``row_number() OVER (PARTITION BY group ORDER BY order)``);
+    (group, order) must be unique.
+
+    One plan for every input: (group, order) is cut into ranges with literal
+    bounds and rows are numbered inside their range.  A group that spans ranges
+    holds one of the bounds, so at most 2P pairs of range and group need counts:
+    their running sums are the offsets.  No group has to fit into one task.
+    ``pin_input=False`` is for inputs that are cheap to read more than once and
+    give the same rows each time, such as a scan."""
+    p = _partitions(df, num_partitions)
+    src = cut_lineage(df) if pin_input else df
+    keys = [F.col(g) for g in group] + _sort_key_names(order)
+    ranges = KeyRanges(src, keys, p)
+    numbered = src.withColumn(_RANGE, ranges.number())
+    at_bound = F.lit(False)
+    for bound in (ranges.bound(F.col(_RANGE)), ranges.bound(F.col(_RANGE) + 1)):
+        same = bound.isNotNull()
+        for i, g in enumerate(group):
+            same = same & bound[f"k{i}"].eqNullSafe(F.col(g))
+        at_bound = at_bound | same
+    names = [f"_ss_g{i}" for i in range(len(group))]
+    earlier = Window.partitionBy(*names).orderBy("_ss_r").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (numbered.filter(at_bound)
+               .groupBy(F.col(_RANGE).alias("_ss_r"), *[F.col(g).alias(n) for g, n in zip(group, names)])
+               .agg(F.count(F.lit(1)).alias("_n"))
+               .select("_ss_r", *names, F.sum("_n").over(earlier).alias("_off")))
+    local = numbered.repartitionById(p, F.col(_RANGE)).withColumn("_rn", F.row_number().over(
+        Window.partitionBy(_RANGE, *group).orderBy(*_sort_key_names(order))))
+    on = F.col(_RANGE) == F.col("_ss_r")
+    for g, n in zip(group, names):
+        on = on & F.col(g).eqNullSafe(F.col(n))
+    return (local.join(F.broadcast(offsets), on, "left")
+            .withColumn(name, (F.col("_rn") + F.coalesce("_off", F.lit(0))).cast("bigint"))
+            .drop(_RANGE, "_rn", "_ss_r", *names, "_off"))
 
 
 def winner_count(n_rows: int, fraction: float) -> int:

@@ -46,16 +46,17 @@ def rank_validation(rows: DataFrame, key: str = "seq_idx") -> DataFrame:
     With fewer than three succeeded rows: proxy rank over all rows in
     candidate order and no physics rank.
 
-    The ranks are chained with all columns carried, the second reading the
-    first's pinned copy, so nothing is merged back by a join; failures are
-    added at the end (U1).
+    The ranks are chained with all columns carried, both taking their ranges
+    from the pinned rows, so nothing is merged back by a join and nothing but the
+    input is pinned; failures are added at the end (U1).
     """
     rows = cut_lineage(rows)
     ok = rows.filter(F.col("e_final").isNotNull() & ~F.isnan("e_final"))
     none = F.lit(None).cast("bigint")
     if ok.count() >= C.MIN_CORRELATION_ROWS:
         proxy = global_rank(ok, [score_key("proxy_score").desc_nulls_last(), F.col(key)], "rank_proxy", pin_input=False)
-        both = global_rank(proxy, [least_first("e_final"), F.col(key)], "rank_physics", pin_input=False)
+        both = global_rank(proxy, [least_first("e_final"), F.col(key)], "rank_physics", pin_input=False,
+                           keys_from=ok)
         failed = rows.filter(F.col("e_final").isNull() | F.isnan("e_final"))
         return both.unionByName(failed.withColumns({"rank_proxy": none, "rank_physics": none}))
     return global_rank(rows, [score_key("proxy_score").desc_nulls_last(), F.col(key)], "rank_proxy",

@@ -289,8 +289,7 @@ def with_file_position(df: DataFrame) -> DataFrame:
 def assign_ids(df: DataFrame, prefix: str = "seq_") -> DataFrame:
     """``seq_idx`` = 0-based position in file order and ``id`` =
     ``seq_<seq_idx>``, computed with the scalable global rank (no single-
-    task window); the result is pinned by the rank's checkpoint so the
-    position is derived once."""
+    task window); the rank pins its input, so the position is derived once."""
     from seqscore.operators.ranking import global_rank
     pos = with_file_position(df)
     r = global_rank(pos, ["_file", "_split", "_pos"], "_r")
