@@ -19,6 +19,7 @@ from seqscore.config import ScoringConfig
 from seqscore.functions.numeric import distance3, exact_avg, exact_sum, no_nan, norm3, round_dp, safe_norm3
 from seqscore.functions.scoring import (charge_class, composite_score, cyclic_candidate,
                                         eisenberg)
+from seqscore.session import computed_once
 
 METRIC_COLUMNS = ["n_res", "net_charge", "muH", "plddt", "dist_nc"]
 
@@ -126,7 +127,7 @@ def structure_metrics_array(df: DataFrame, atoms_col: str = "atoms") -> DataFram
     centre = F.aggregate(
         arr, F.struct(zero.alias("x"), zero.alias("y"), zero.alias("z")),
         lambda s, r: F.struct(*((s[k] + r[k]).alias(k) for k in "xyz")))
-    tmp = (df.filter((F.size(arr) > 0) & ~F.exists(arr, _missing))
+    tmp = (computed_once(df, atoms_col).filter((F.size(arr) > 0) & ~F.exists(arr, _missing))
            .withColumns({"_n": F.size(arr), "_c": centre}))
 
     def towards(r):

@@ -27,3 +27,19 @@ def test_global_rank_has_no_single_partition_sort_of_rows(spark):
     # single-partition exchange is the P-row offsets table
     assert "ExistingRDD" in plan
     assert plan.count("SinglePartition") == 1
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("all_atoms", [False, True])
+def test_a_record_is_parsed_once(spark, tmp_path, all_atoms):
+    """No filter on the parsed atoms holds a copy of the parser."""
+    from seqscore.operators.structure import structure_metrics_array
+    from seqscore.sources.files import explode_all_atoms, explode_atoms, read_pdb
+    (tmp_path / "a.pdb").write_text("HEADER    a\nEND\n")
+    s = read_pdb(spark, str(tmp_path), all_atoms=all_atoms)
+    plans = [_plan(explode_all_atoms(s))] if all_atoms else [_plan(explode_atoms(s)), _plan(structure_metrics_array(s))]
+    for plan in plans:
+        assert plan.count("regexp_extract_all") == 1
