@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from seqscore import constants as C
 from seqscore.operators.ranking import ordinal_within
+from seqscore.session import cut_lineage
 from seqscore.sources.tables import read_table
 
 # FIXED VALUES: residue names indexed by ``l_partkey % 21`` (the twenty
@@ -57,9 +58,11 @@ BACKBONE = ("N", "CA", "C", "O", "CB")
 
 def all_atoms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``ca_atoms_ordered`` read as the backbones of two chains: atoms of odd
-    position belong to chain A, the others to B; five make a residue."""
+    position belong to chain A, the others to B; five make a residue.  The
+    positions are pinned: files of both sides are counted and written from
+    them, and each of these would number the atoms anew."""
     nth = F.floor((F.col("ord") - 1) / 2)
-    return ca_atoms_ordered(spark, sf_dir).select(
+    return cut_lineage(ca_atoms_ordered(spark, sf_dir).drop("ord_key")).select(
         "seq_idx", structure_id().alias("id"), "ord", "resname", F.when(F.col("ord") % 2 == 1, "A").otherwise("B").alias("chain"),
         (F.floor(nth / 5) + 1).cast("bigint").alias("resseq"), F.lit("").alias("icode"),
         F.element_at(F.array(*map(F.lit, BACKBONE)), (nth % 5 + 1).cast("int")).alias("atom"),

@@ -43,3 +43,10 @@ def test_a_record_is_parsed_once(spark, tmp_path, all_atoms):
     plans = [_plan(explode_all_atoms(s))] if all_atoms else [_plan(explode_atoms(s)), _plan(structure_metrics_array(s))]
     for plan in plans:
         assert plan.count("regexp_extract_all") == 1
+
+
+def test_positions_of_all_atoms_are_pinned(spark):
+    """Every count and write of the atoms would number them again."""
+    from seqscore.sources.fixtures import all_atoms
+    plan = _plan(all_atoms(spark, SF))
+    assert "ExistingRDD" in plan and "Window" not in plan and "Exchange" not in plan
