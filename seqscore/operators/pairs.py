@@ -21,8 +21,10 @@ def preference_pairs(ranked: DataFrame, fraction: float = C.WINNER_FRACTION,
     Winners are exactly the first ``n`` ranks, so every loser scores at
     most every winner and the nearest loser is always rank ``n + 1``.  That
     one row is looked up once and attached to the winners as literals: no
-    join, no pairs, no shuffle.  No losers -> no pairs.
+    join, no pairs, no shuffle.  No losers -> no pairs.  The ranks are pinned:
+    count, look-up and every reader of the pairs would rank anew.
     """
+    ranked = cut_lineage(ranked.select(*dict.fromkeys([id_col, score_col, rank_col])))
     n_win = winner_count(ranked.count(), fraction)
     loser = one_row(ranked.filter(F.col(rank_col) == F.lit(n_win + 1))
                     .select(F.col(id_col).alias("id"), F.col(score_col).alias("score")))

@@ -45,6 +45,12 @@ def test_a_record_is_parsed_once(spark, tmp_path, all_atoms):
         assert plan.count("regexp_extract_all") == 1
 
 
+def test_ranks_behind_pairs_are_pinned(spark):
+    """A report on the pairs does not rank again."""
+    plan = _plan(QUERIES["preference_pairs"](spark, SF))
+    assert "ExistingRDD" in plan and "Window" not in plan and "Exchange" not in plan
+
+
 def test_positions_of_all_atoms_are_pinned(spark):
     """Every count and write of the atoms would number them again."""
     from seqscore.sources.fixtures import all_atoms
