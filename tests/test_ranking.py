@@ -139,3 +139,26 @@ def test_ranks_of_an_empty_table(spark):
     df = spark.createDataFrame([], "g int, k long")
     assert ranking.global_rank(df, [F.col("k").desc()]).collect() == []
     assert ranking.ordinal_within(df, ["g"], ["k"]).collect() == []
+
+
+def test_first_item_places_a_row_as_the_whole_key_does(spark):
+    """NULL, NaN, both zeros, infinities and longs that share a double included."""
+    nan, inf = float("nan"), float("inf")
+    rows = [(i, [None, nan, -0.0, 0.0, inf, -inf, 1e300][i % 7] if i % 3 == 0 else i % 40 / 8 - 2,
+             None if i % 11 == 0 else (1 << 60) + i % 90) for i in range(600)]
+    df = spark.createDataFrame(rows, "k long, f double, n long")
+    for order in ([F.col("f").desc(), F.col("k")], [F.col("f").asc_nulls_last(), F.col("k")], [F.col("n").desc_nulls_first(), F.col("k")],
+                  [F.col("n").asc(), F.col("k")], [F.expr("cast(k % 50 as decimal(38,12)) / 7").desc(), F.col("k")]):
+        ranges = ranking.KeyRanges(df, order, 9)
+        got = ranges.numbered(df.withColumn("want", ranges.number()))
+        assert got.filter(~F.col("want").eqNullSafe(F.col(ranking._RANGE))).count() == 0
+        assert got.select("want").distinct().count() > 5
+
+
+def test_ordinals_place_only_rows_of_groups_at_bounds_twice(spark):
+    """The counts behind the offsets read their groups' rows by a join, not by a
+    search over the whole key of every row, once more for each bound."""
+    df = spark.range(0, 3000).select((F.col("id") % 700).alias("g"), F.col("id").alias("o"))
+    plan = ranking.ordinal_within(df, ["g"], ["o"], num_partitions=8, pin_input=False)._jdf.queryExecution().executedPlan().toString()
+    assert "LeftSemi" in plan
+    assert not [line for line in plan.splitlines() if "Filter" in line and "aggregate(" in line]
