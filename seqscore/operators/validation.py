@@ -53,10 +53,12 @@ def rank_validation(rows: DataFrame, key: str = "seq_idx") -> DataFrame:
     rows = cut_lineage(rows)
     ok = rows.filter(F.col("e_final").isNotNull() & ~F.isnan("e_final"))
     none = F.lit(None).cast("bigint")
-    if ok.count() >= C.MIN_CORRELATION_ROWS:
-        proxy = global_rank(ok, [score_key("proxy_score").desc_nulls_last(), F.col(key)], "rank_proxy", pin_input=False)
+    n = ok.count()
+    if n >= C.MIN_CORRELATION_ROWS:
+        proxy = global_rank(ok, [score_key("proxy_score").desc_nulls_last(), F.col(key)], "rank_proxy", pin_input=False,
+                            n_rows=n)
         both = global_rank(proxy, [least_first("e_final"), F.col(key)], "rank_physics", pin_input=False,
-                           keys_from=ok)
+                           keys_from=ok, n_rows=n)
         failed = rows.filter(F.col("e_final").isNull() | F.isnan("e_final"))
         return both.unionByName(failed.withColumns({"rank_proxy": none, "rank_physics": none}))
     return global_rank(rows, [score_key("proxy_score").desc_nulls_last(), F.col(key)], "rank_proxy",
