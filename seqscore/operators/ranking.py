@@ -219,8 +219,9 @@ def ordinal_within(df: DataFrame, group: list[str], order: list[Column | str],
                .groupBy(F.col(_RANGE).alias("_ss_r"), *[F.col(g).alias(n) for g, n in zip(group, names)])
                .agg(F.count(F.lit(1)).alias("_n"))
                .select("_ss_r", *names, F.sum("_n").over(earlier).alias("_off")))
+    # a task holds one range: the group in front makes the sort compare groups first
     local = ranges.numbered(src).repartitionById(p, F.col(_RANGE)).withColumn("_rn", F.row_number().over(
-        Window.partitionBy(_RANGE, *group).orderBy(*_sort_key_names(order))))
+        Window.partitionBy(*group, _RANGE).orderBy(*_sort_key_names(order))))
     return (local.join(F.broadcast(offsets), (F.col(_RANGE) == F.col("_ss_r")) & same, "left")
             .withColumn(name, (F.col("_rn") + F.coalesce("_off", F.lit(0))).cast("bigint"))
             .drop(_RANGE, "_rn", "_ss_r", *names, "_off"))

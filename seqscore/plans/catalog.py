@@ -128,7 +128,7 @@ def validation_summary(spark, sf_dir):
 @query
 def rmsd(spark, sf_dir):
     from seqscore.operators import validation
-    before = fixtures.ca_atoms_ordered(spark, sf_dir)
+    before = fixtures.ca_atoms_dealt(spark, sf_dir)
     after = fixtures.relaxed_atoms(before)
     return validation.rmsd(before, after).select(fixtures.structure_id().alias("id"), "rmsd",
                                                  "n_atoms")
@@ -390,7 +390,7 @@ def ranked_report(spark, sf_dir):
 def validation_report(spark, sf_dir):
     """Succeeded rows with both ranks, sequence, energies, RMSD, pLDDT."""
     from seqscore.operators import validation
-    before = fixtures.ca_atoms_ordered(spark, sf_dir)
+    before = fixtures.ca_atoms_dealt(spark, sf_dir)
     moved = validation.rmsd(before, fixtures.relaxed_atoms(before)).select("seq_idx", "rmsd")
     rows = (validated(spark, sf_dir).join(moved, "seq_idx", "left")
             .join(_peptides(spark, sf_dir).select("seq_idx", "sequence"), "seq_idx", "left"))

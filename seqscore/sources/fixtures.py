@@ -52,6 +52,13 @@ def ca_atoms_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ordinal_within(a, ["seq_idx"], ["ord_key"], "ord", pin_input=False)
 
 
+def ca_atoms_dealt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``ca_atoms_ordered`` without ``ord_key``, dealt by structure and position:
+    both sides of an alignment read this one exchange, and neither numbers the
+    atoms again."""
+    return ca_atoms_ordered(spark, sf_dir).drop("ord_key").repartition("seq_idx", "ord")
+
+
 # FIXED VALUES: the atoms of a residue's backbone in their usual order.
 BACKBONE = ("N", "CA", "C", "O", "CB")
 

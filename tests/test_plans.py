@@ -56,3 +56,14 @@ def test_positions_of_all_atoms_are_pinned(spark):
     from seqscore.sources.fixtures import all_atoms
     plan = _plan(all_atoms(spark, SF))
     assert "ExistingRDD" in plan and "Window" not in plan and "Exchange" not in plan
+
+
+@pytest.mark.parametrize("name", ["rmsd", "validation_report"])
+def test_both_sides_share_the_numbered_atoms(spark, name):
+    """The atoms are numbered once: the second side reads the first one's exchange."""
+    df = QUERIES[name](spark, SF)
+    df.collect()
+    plan = _plan(df)
+    final = plan[:plan.index("== Initial Plan ==")] if "== Initial Plan ==" in plan else plan
+    assert "ReusedExchange" in final
+    assert sum("Window [row_number()" in line and "ord_key" in line for line in final.splitlines()) == 1
