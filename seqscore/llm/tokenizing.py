@@ -6,12 +6,16 @@ import re
 from itertools import pairwise
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 # A worker remembers the words of the current generation and of the one before.
 # A generation ends with so many words, or so many bytes of words and ids; words
 # of the former that are met again move on, the others are forgotten.  This
 # bounds memory only, never a result.
 GENERATION_WORDS, GENERATION_BYTES = 200_000, 12_000_000
+# The tokenizer takes longer for a word the longer its input is.
+WORDS_PER_INPUT = 64
 
 _BREAK = re.compile(r" \s")
 
@@ -26,10 +30,11 @@ class TextEncoder:
 
     The vocabulary's own splitting always cuts in front of a space that a
     non-space follows, so the ids of a text are those of its space-separated
-    words, each taken with its leading space.  Words met before are not
-    encoded again; new words of a batch are encoded together.  Texts in which
-    white space follows a space, or that end in one, go to the tokenizer whole;
-    so do all texts of a vocabulary that doesn't split in front of spaces."""
+    words, each taken with its leading space.  Each different word of a batch
+    is looked up once; words met before are not encoded again, new ones are
+    encoded together.  Texts in which white space follows a space, or that end
+    in one, go to the tokenizer whole; so do all texts of a vocabulary that
+    doesn't split in front of spaces."""
 
     _shared: dict[str, TextEncoder] = {}
 
@@ -67,52 +72,57 @@ class TextEncoder:
         starts = {at for _, (at, _) in self._tok.pre_tokenizer.pre_tokenize_str(probe)}
         return all(i in starts for i, c in enumerate(probe[:-1]) if c == " " and probe[i + 1] != " ")
 
-    def _whole(self, text: str) -> bytes:
-        ids = self._tok.encode(text, add_special_tokens=False).ids
-        return np.asarray(ids, "<u4").tobytes()
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        return [np.asarray(e.ids, "<u4").tobytes()
+                for e in self._tok.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, words: list[str]) -> None:
-        """Remember the ids of ``words`` (none holds a space or is empty)."""
+    def _learn(self, words: list[str]) -> list[bytes]:
+        """Ids of new ``words`` (none holds a space or is empty)."""
+        found: list[bytes] = []
         for at in range(0, len(words), 4096):
             part = words[at:at + 4096]
-            joined = " " + " ".join(part)
-            ids = np.asarray(self._tok.encode_batch_fast([joined], add_special_tokens=False)[0].ids, "<u4")
-            raw = joined.encode()
+            inputs = [" " + " ".join(part[i:i + WORDS_PER_INPUT]) for i in range(0, len(part), WORDS_PER_INPUT)]
+            raw, packed = "".join(inputs).encode(), b"".join(self._whole(inputs))
             blanks = np.flatnonzero(np.frombuffer(raw, np.uint8) == 32)
-            cut = [*(4 * np.searchsorted(np.cumsum(self._width[ids]), blanks, "right")).tolist(), 4 * len(ids)]
-            packed = ids.tobytes()
-            self._words.update(zip(part, [packed[a:b] for a, b in pairwise(cut)], strict=True))
+            ends = np.cumsum(self._width[np.frombuffer(packed, "<u4")])
+            cut = [*(4 * np.searchsorted(ends, blanks, "right")).tolist(), len(packed)]
+            found.extend([packed[a:b] for a, b in pairwise(cut)])
             self._bytes += len(raw) + len(packed)
+        return found
 
-    def encode(self, texts: list[str]) -> list[bytes]:
+    def _ids_of(self, words: list[str]) -> list[bytes]:
+        """Ids of different words, each with a space in front."""
         if len(self._words) > GENERATION_WORDS or self._bytes > GENERATION_BYTES:
             self._words, self._former, self._bytes = {}, self._words, 0
-        get, former = self._words.get, self._former
-        split: list[list[str] | None] = []
-        found: list[list[bytes | None]] = []
-        fresh: set[str] = set()
+        ids = list(map(self._words.get, words))
+        fresh = [w for w, i in zip(words, ids, strict=True) if i is None]
+        former = list(map(self._former.get, fresh))
+        self._bytes += sum([len(w) + len(i) for w, i in zip(fresh, former, strict=True) if i is not None])
+        learned = iter(self._learn([w for w, i in zip(fresh, former, strict=True) if i is None]))
+        known = [next(learned) if i is None else i for i in former]
+        self._words.update(zip(fresh, known, strict=True))
+        rest = iter(known)
+        return [next(rest) if i is None else i for i in ids]
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        # what is encoded apart (the first word has no space before it), and
+        # what follows as words
+        first: list[str] = []
+        rest: list[str | None] = []
         for t in texts:
             if not self._by_word or t.endswith(" ") or _BREAK.search(t) or any(s in t for s in self._special):
-                split.append(None)
-                found.append([self._whole(t)])
-                continue
-            words = t.split(" ")
-            ids = list(map(get, words))
-            ids[0] = self._whole(words[0])  # it has no blank before it
-            if None in ids:
-                fresh.update([w for w, i in zip(words, ids, strict=True) if i is None])
-                split.append(words)
+                head, blank, tail = t, "", ""
             else:
-                split.append(None)
-            found.append(ids)
-        if fresh:
-            again = {w: former[w] for w in fresh if w in former}
-            self._words.update(again)
-            self._bytes += sum(map(len, again)) + sum(map(len, again.values()))
-            self._learn([w for w in fresh if w not in again])
-        return [b"".join(ids if words is None else
-                         [get(w) if i is None else i for w, i in zip(words, ids, strict=True)])
-                for words, ids in zip(split, found, strict=True)]
+                head, blank, tail = t.partition(" ")
+            first.append(head)
+            rest.append(tail if blank else None)
+        split = pc.split_pattern(pa.array(rest, pa.large_string()), pattern=" ")
+        words = split.values.dictionary_encode()
+        ids = pa.array(self._ids_of(words.dictionary.to_numpy(zero_copy_only=False).tolist()), pa.large_binary()).take(words.indices)
+        starts = np.frombuffer(ids.buffers()[1], np.int64)[ids.offset:ids.offset + len(ids) + 1]
+        cut = starts[split.offsets.to_numpy()].tolist()
+        packed = memoryview(ids.buffers()[2] or b"")
+        return [b"".join((head, packed[a:b])) for head, (a, b) in zip(self._whole(first), pairwise(cut), strict=True)]
 
 
 def blocks(texts: list[str], chars: int = 1_000_000):

@@ -37,6 +37,34 @@ def test_encoder_equals_the_tokenizer_on_random_texts(texts):
         assert np.frombuffer(raw, "<u4").tolist() == tok.encode(t, add_special_tokens=False).ids
 
 
+def test_encoder_looks_up_each_different_word_of_a_batch_once(plain):
+    class Counting(dict):
+        asked = 0
+
+        def get(self, *args):
+            self.asked += 1
+            return super().get(*args)
+
+    enc = TextEncoder(default_vocabulary())
+    enc._words = Counting()
+    texts = ["one two, three two, ünd", "two, three", "", "one", "a  b", "three two, two, ünd"] * 50
+    for t, raw in zip(texts, enc.encode(texts), strict=True):
+        assert np.frombuffer(raw, "<u4").tolist() == plain(t), repr(t)
+    assert enc._words.asked <= 3
+    assert enc.encode([]) == []
+
+
+def test_encoder_forgets_and_learns_again(plain, monkeypatch):
+    monkeypatch.setattr("seqscore.llm.tokenizing.GENERATION_WORDS", 5)
+    enc = TextEncoder(default_vocabulary())
+    rng = np.random.default_rng(1)
+    for _ in range(40):
+        texts = [" ".join(f"w{i}é." for i in rng.integers(0, 30, 6)) for _ in range(3)]
+        for t, raw in zip(texts, enc.encode(texts), strict=True):
+            assert np.frombuffer(raw, "<u4").tolist() == plain(t), repr(t)
+        assert len(enc._words) <= 5 + 18 and len(enc._former) <= 5 + 18
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.integers(0, 5000), max_size=700), st.integers(1, 10**12))
 def test_elias_fano_round_trip(values, scale):
